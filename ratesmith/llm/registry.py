@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import substring_dedup
+from . import decontaminate, substring_dedup
 
-QUERIES = {"op2_substring_dedup": substring_dedup.op2_substring_dedup}
-ORACLES = {**substring_dedup.ORACLE}
+QUERIES = {
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+}
+ORACLES = {**substring_dedup.ORACLE, **decontaminate.ORACLE}

@@ -11,9 +11,9 @@ import pyarrow.compute as pc
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
-#: All ASCII but digits and letters.
-NOT_ALNUM = np.zeros(256, bool)
-NOT_ALNUM[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
+#: All ASCII but digits and small letters: for texts in lower case.
+NOT_LOWER_ALNUM = np.zeros(256, bool)
+NOT_LOWER_ALNUM[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
 #: A-Z to a-z, byte by byte; bytes of other characters are over 0x7F in UTF-8.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
