@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, substring_dedup
+from . import decontaminate, substring_dedup, token_output
 
 QUERIES = {
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op6_token_output": token_output.op6_token_output,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
 ORACLES = {**substring_dedup.ORACLE, **decontaminate.ORACLE}
