@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, substring_dedup, token_output
+from . import decontaminate, substring_dedup, token_output, warc
 
 QUERIES = {
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op6_token_output": token_output.op6_token_output,
+    "op7_warc": warc.op7_warc,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
-ORACLES = {**substring_dedup.ORACLE, **decontaminate.ORACLE}
+ORACLES = {**substring_dedup.ORACLE, **warc.ORACLE, **decontaminate.ORACLE}
