@@ -18,7 +18,7 @@ NOT_LOWER_ALNUM[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] =
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -141,3 +141,24 @@ def by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     held = bucket[order]
     cuts = np.flatnonzero(np.r_[True, held[1:] != held[:-1]]) if len(held) else np.zeros(0, np.int64)
     return order, held[cuts], np.r_[cuts, len(held)]
+
+
+_CLASS = np.full(256, 8, np.uint8)  # punctuation and controls; of other characters each byte counts as a small letter
+_CLASS[SPACES] = 0
+_CLASS[0x30:0x3A] = 4
+_CLASS[0x41:0x5B] = 2
+_CLASS[0x61:0x7B] = 1
+_CLASS[0x80:] = 1
+
+
+def shapes(w: Words, hashes: np.ndarray) -> np.ndarray:
+    """A hash of each word's form: its kinds of characters, a first capital, its last two marks, and whether it is the word before again."""
+    if not len(hashes):
+        return np.zeros(0, np.uint64)
+    kind = _CLASS[w.data]
+    form = np.bitwise_or.reduceat(kind, w.start).astype(np.uint64)
+    last, near = w.data[w.end - 1].astype(np.uint64), w.data[np.maximum(w.end - 2, w.start)].astype(np.uint64)
+    form |= np.where(kind[w.end - 1] == 8, last, 0).astype(np.uint64) << np.uint64(8) | np.where(kind[np.maximum(w.end - 2, w.start)] == 8, near, 0).astype(np.uint64) << np.uint64(16)
+    form |= (kind[w.start] == 2).astype(np.uint64) << np.uint64(4) | np.minimum(w.end - w.start, 2).astype(np.uint64) << np.uint64(24)
+    form[1:] |= (hashes[1:] == hashes[:-1]).astype(np.uint64) << np.uint64(5)
+    return mix((form + np.uint64(1)) * _STEP)
