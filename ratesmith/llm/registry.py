@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, substring_dedup, token_output, warc
+from . import decontaminate, jaccard_join, mixing, quality, substring_dedup, token_output, warc
 
 QUERIES = {
+    "op1_importance_resampling": quality.op1_importance_resampling,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
+    "op5_temperature_mixing": mixing.op5_temperature_mixing,
     "op6_token_output": token_output.op6_token_output,
     "op7_warc": warc.op7_warc,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
