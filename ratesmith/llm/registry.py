@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, mixing, quality, substring_dedup, token_output, warc
+from . import decontaminate, jaccard_join, mixing, quality, substring_dedup, token_output, topk_search, warc
 
 QUERIES = {
     "op1_importance_resampling": quality.op1_importance_resampling,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_temperature_mixing": mixing.op5_temperature_mixing,
     "op6_token_output": token_output.op6_token_output,
     "op7_warc": warc.op7_warc,
+    "op9_topk_search": topk_search.op9_topk_search,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
-ORACLES = {**substring_dedup.ORACLE, **warc.ORACLE, **decontaminate.ORACLE}
+ORACLES = {**substring_dedup.ORACLE, **warc.ORACLE, **topk_search.ORACLE, **decontaminate.ORACLE}
