@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, mixing, quality, substring_dedup, token_output, topk_search, warc
+from . import decontaminate, html_extract, jaccard_join, mixing, quality, substring_dedup, token_output, topk_search, warc
 
 QUERIES = {
     "op1_importance_resampling": quality.op1_importance_resampling,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op3_html_extraction": html_extract.op3_html_extraction,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_temperature_mixing": mixing.op5_temperature_mixing,
     "op6_token_output": token_output.op6_token_output,
