@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _left: dict[str, SparkSession] = {}
 
 
@@ -19,13 +20,25 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/") if base else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of a few MB, where the session has the default of 64: they are held several times over in JVM and Python."""
+    if spark.conf.get(_BATCH_BYTES, "67108864b") == "67108864b":
+        spark.conf.set(_BATCH_BYTES, "4194304b")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder. It goes when Python ends, or earlier by drop()."""
+    small_batches(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     _left[path] = spark
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
     """Delete working tables that nothing reads any more."""
     for path in paths:
@@ -67,6 +80,7 @@ def saved(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import small_batches, table
 from .shingles import NOT_LOWER_ALNUM, text_slices, words
 
 WINDOW = 10
@@ -235,6 +235,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     repeated ids are named once. Columns of docs with the names of those that are added are replaced.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     added = ["spans", "items", "longest", "n_words", "n_hit", "cleaned"]
     docs = docs.drop(*added)
     rows = docs.withColumns({"spans": F.array().cast("array<struct<a:long,b:long>>"), "items": F.array().cast("array<string>"), "longest": F.lit(0).cast("long")})

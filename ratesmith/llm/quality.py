@@ -56,7 +56,9 @@ def _counts(buckets: int):
     return run
 
 
-def _scores(ratio, buckets: int):
+def _scores(ratio, buckets: int, whole: bool = False):
+    """Add n_features and importance to rows. whole: the texts stay."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log = ratio.value
         for batch in batches:
@@ -67,7 +69,7 @@ def _scores(ratio, buckets: int):
                     size = np.bincount(text, minlength=b - a)
                     score += np.bincount(text, weights=log[bucket], minlength=b - a) / np.maximum(size, 1)
                     n += size
-                cols = {c: part.column(c) for c in part.schema.names if c != "text"}
+                cols = {c: part.column(c) for c in part.schema.names if whole or c != "text"}
                 yield pa.RecordBatch.from_arrays([*cols.values(), pa.array(n), pa.array(score)], [*cols, "n_features", "importance"])
 
     return run
@@ -115,6 +117,23 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, labelled: in
     return Model(ratio, *threshold_of(known[known[:, 0] == 0, 1], known[known[:, 0] == 1, 1]))
 
 
+def _perturbed(scored: DataFrame, model: Model, sharpness: float, seed: int) -> DataFrame:
+    weight = F.lit(1e9) if np.isinf(model.threshold) else (F.col("importance") - F.lit(model.threshold)) * F.lit(sharpness / model.gap)
+    chance = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "importance"), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+    return scored.withColumn("weight", weight).withColumn("perturbed", F.col("weight") - F.log(-F.log(chance)))
+
+
+def _sampled(docs: DataFrame, labels: DataFrame, buckets: int, labelled: int, sharpness: float, seed: int) -> tuple[Model, object, DataFrame, float]:
+    """The model, its ratios as a broadcast, all scores, and the perturbed importance of the last document that is sampled."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    model = fit(docs, labels, buckets, labelled)
+    ratio = spark.sparkContext.broadcast(model.ratio)
+    scored = docs.select("doc_id", "text").mapInArrow(_scores(ratio, buckets), "doc_id long, n_features long, importance double")
+    scored = saved(_perturbed(scored, model, sharpness, seed), "quality_scores")
+    return model, ratio, scored, kth_largest(scored, "perturbed", scored.where("weight >= 0").count())
+
+
 def classify(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, labelled: int = LABELLED, sharpness: float = SHARPNESS, seed: int = SEED) -> DataFrame:
     """Sample the k documents with the largest perturbed importance, k being the number whose importance is over the threshold.
 
@@ -123,15 +142,18 @@ def classify(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, labelle
     row. Documents tied at the cut all stay. A text without words, empty or null, has importance 0 and is judged as that. Rows
     without doc_id are sampled like others. Without labels of both classes everything is selected.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    model = fit(docs, labels, buckets, labelled)
-    scored = docs.select("doc_id", "text").mapInArrow(_scores(spark.sparkContext.broadcast(model.ratio), buckets), "doc_id long, n_features long, importance double")
-    weight = F.lit(1e9) if np.isinf(model.threshold) else (F.col("importance") - F.lit(model.threshold)) * F.lit(sharpness / model.gap)
-    chance = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "importance"), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
-    scored = saved(scored.withColumn("weight", weight).withColumn("perturbed", F.col("weight") - F.log(-F.log(chance))), "quality_scores")
-    k = scored.where("weight >= 0").count()
-    return scored.withColumn("selected", F.col("perturbed") >= F.lit(kth_largest(scored, "perturbed", k)))
+    _, _, scored, cut = _sampled(docs, labels, buckets, labelled, sharpness, seed)
+    return scored.withColumn("selected", F.col("perturbed") >= F.lit(cut))
+
+
+def select_documents(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, labelled: int = LABELLED, sharpness: float = SHARPNESS, seed: int = SEED) -> DataFrame:
+    """The rows of docs that classify() selects. Texts are scored once more rather than shuffled to meet their scores."""
+    model, ratio, _, cut = _sampled(docs, labels, buckets, labelled, sharpness, seed)
+    names = {c: f"_doc_{c}" for c in docs.columns if c not in ("doc_id", "text")}
+    rows = docs.withColumnsRenamed(names)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "n_features long", "importance double"])
+    scored = _perturbed(rows.mapInArrow(_scores(ratio, buckets, whole=True), schema), model, sharpness, seed)
+    return scored.where(F.col("perturbed") >= F.lit(cut)).withColumnsRenamed({v: k for k, v in names.items()}).select(*docs.columns)
 
 
 def kth_largest(rows: DataFrame, column: str, k: int, bins: int = 1 << 12) -> float:

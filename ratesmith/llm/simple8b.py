@@ -14,7 +14,7 @@ SUB_BLOCK = 1024
 _60 = np.uint64(60)
 
 
-_SMALL = np.searchsorted(1 << BITS[:11], np.arange(1 << 15), "right").astype(np.uint8)
+_SMALL = np.searchsorted(1 << BITS[:12], np.arange(1 << 16), "right").astype(np.uint8)
 
 
 def _kind(values: np.ndarray) -> np.ndarray:
@@ -46,7 +46,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             most[reach] = wide
     selector = np.full(grid.shape, ESCAPE, np.uint8)
     for s in range(ESCAPE - 1, -1, -1):
-        selector[most[int(COUNTS[s])] <= s] = s
+        np.minimum(selector, np.where(most[int(COUNTS[s])] <= s, np.uint8(s), np.uint8(ESCAPE)), out=selector)
     stop = np.full(lanes, SUB_BLOCK)
     stop[-1] = n - (lanes - 1) * SUB_BLOCK
     lane, pos, size, steps = np.arange(lanes), np.zeros(lanes, np.int64), np.zeros(lanes, np.int64), []

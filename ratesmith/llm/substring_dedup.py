@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop, freed_shuffles, parts_for, saved, table, work_path
+from .common import drop, exists, freed_shuffles, parts_for, saved, table, work_path
 from .shingles import by_bucket, mix, text_slices, windows, words
 
 WINDOW = 13
@@ -25,6 +25,9 @@ BATCHES = 3
 #: Runs of one level that are merged into a run of the next.
 FANOUT = 2
 RUN = "bucket int, n long, gaps binary, checks binary"
+BATCH = ["bucket", "n", "gaps", "checks", "part", "fps", "ids", "kind"]
+#: What a row of a run's table is; each kind is a folder of its own.
+HITS, WINDOWS = 0, 1
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -32,7 +35,7 @@ def _planes(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _unplanes(raw: bytes) -> np.ndarray:
+def _unplanes(raw: pa.Buffer) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
@@ -43,8 +46,8 @@ def _run_row(bucket: int, fps: np.ndarray, checks: np.ndarray) -> pa.Table:
 
 def _run_of(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """All (fingerprint, check) of a bucket's rows of one or more runs, sorted."""
-    fps = [np.cumsum(_unplanes(x), dtype=np.uint64) for x in t.column("gaps").to_pylist()]
-    checks = [np.frombuffer(x, "<u4") for x in t.column("checks").to_pylist()]
+    fps = [np.cumsum(_unplanes(x.as_buffer()), dtype=np.uint64) for x in t.column("gaps")]
+    checks = [np.frombuffer(x.as_buffer(), "<u4") for x in t.column("checks")]
     if not fps:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
     f, c = np.concatenate(fps), np.concatenate(checks)
@@ -94,7 +97,7 @@ def _merge(parts: int):
 
     def run(key: tuple[pa.Scalar, ...], batch: pa.Table, index: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
-        join = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in batch.column(c).to_pylist()] or [np.zeros(0, kind)])
+        join = lambda c, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in batch.column(c)] or [np.zeros(0, kind)])
         f, c, d = join("fps", "<u8"), join("checks", "<u4"), join("ids", "<i8")
         order = np.lexsort((d, c, f))
         f, c, d = f[order], c[order], d[order]
@@ -107,13 +110,16 @@ def _merge(parts: int):
         hf, hd = hf[~again], hd[~again]
         order, held, cuts = by_bucket(part_of(hd, parts))
         hf, hd = hf[order], hd[order]
-        out = [pa.table({"part": pa.array(held.astype(np.int32)), "fps": pa.array([hf[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary()), "ids": pa.array([hd[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())})]
         fresh = np.flatnonzero(new)[~known]
         row = _run_row(bucket, f[fresh], c[fresh])
-        out = [t.append_column("bucket", pa.nulls(len(t), pa.int32())).append_column("n", pa.nulls(len(t), pa.int64())).append_column("gaps", pa.nulls(len(t), pa.binary())).append_column("checks", pa.nulls(len(t), pa.binary())) for t in out]
-        if len(fresh):
-            out.append(pa.table({"part": pa.array([-1], pa.int32()), "fps": pa.nulls(1, pa.binary()), "ids": pa.nulls(1, pa.binary()), **{k: row.column(k) for k in ("bucket", "n", "gaps", "checks")}}))
-        return pa.concat_tables(out)
+        cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())
+        hits = pa.table({"bucket": pa.array([bucket] * len(held), pa.int32()), "part": pa.array(held.astype(np.int32)), "fps": cut(hf), "ids": cut(hd), "kind": pa.array([HITS] * len(held), pa.int32())})
+        for name in ("part", "fps", "ids"):
+            row = row.append_column(name, pa.nulls(1, hits.schema.field(name).type))
+        row = row.append_column("kind", pa.array([WINDOWS], pa.int32()))
+        for name in ("n", "gaps", "checks"):
+            hits = hits.append_column(name, pa.nulls(len(hits), row.schema.field(name).type))
+        return pa.concat_tables([hits.select(BATCH), row.select(BATCH)][: 1 + bool(len(fresh))])
 
     return run
 
@@ -124,8 +130,8 @@ def part_of(ids: np.ndarray, parts: int) -> np.ndarray:
 
 def by_document(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
     """One row for each document of a part, with its fingerprints."""
-    f = np.concatenate([np.frombuffer(x, "<u8") for x in t.column("fps").to_pylist()])
-    d = np.concatenate([np.frombuffer(x, "<i8") for x in t.column("ids").to_pylist()])
+    f = np.concatenate([np.frombuffer(x.as_buffer(), "<u8") for x in t.column("fps")])
+    d = np.concatenate([np.frombuffer(x.as_buffer(), "<i8") for x in t.column("ids")])
     order = np.argsort(d, kind="stable")
     f, d = f[order], d[order]
     cuts = np.r_[np.flatnonzero(np.r_[True, d[1:] != d[:-1]]), len(d)]
@@ -139,41 +145,42 @@ class WindowIndex:
         self.spark, self.buckets, self.runs = spark, buckets, []
         self.files = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _write(self, df: DataFrame, level: int) -> None:
+    def _write(self, df: DataFrame, level: int) -> str:
+        """A run's table, bucketed as its rows are dealt already."""
         name = f"window_run_{uuid.uuid4().hex}"
         path = work_path(self.spark, name)
         with freed_shuffles(self.spark):
-            df.select("bucket", "n", "gaps", "checks").write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(self.files, "bucket").saveAsTable(name)
+            df.write.format("parquet").option("compression", "zstd").option("path", path).partitionBy("kind").bucketBy(self.files, "bucket").saveAsTable(name)
         self.runs.append((level, name, path))
+        return path
 
-    def _read(self, runs: list) -> DataFrame:
-        out = self.spark.createDataFrame([], RUN)
-        for i, (_, name, _) in enumerate(runs):
-            out = self.spark.table(name) if not i else out.unionByName(self.spark.table(name))
-        return out
+    def _read(self, run: tuple) -> DataFrame:
+        return self.spark.table(run[1]).where(f"kind = {WINDOWS}").select("bucket", "n", "gaps", "checks")
 
     def _remove(self, run: tuple) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {run[1]}")
-        drop(self.spark, run[2])
+        drop(self.spark, f"{run[2]}/kind={WINDOWS}")
         self.runs.remove(run)
 
     def add(self, docs: DataFrame, window: int, parts: int) -> DataFrame:
-        """Match a batch with the index and with itself, then keep its windows. Rows (part, fps, ids) of the windows that occur
+        """Match a batch with the index and with itself, and keep its windows. Rows (part, fps, ids) of the windows that occur
         in an earlier batch or in a document of this batch with a smaller id."""
         new = docs.select("doc_id", "text").where("doc_id IS NOT NULL").mapInArrow(_fingerprints(window, self.buckets), "bucket int, fps binary, checks binary, ids binary")
-        both = new.groupBy("bucket").cogroup(self._read(self.runs).groupBy("bucket")).applyInArrow(_merge(parts), f"part int, fps binary, ids binary, {RUN}")
-        both = saved(both, "window_batch")
-        self._write(both.where("part = -1").repartition(self.files, "bucket"), 0)
+        known = self.spark.createDataFrame([], RUN)
+        for i, run in enumerate(self.runs):
+            known = known.unionByName(self._read(run)) if i else self._read(run)
+        both = new.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_merge(parts), f"{RUN}, part int, fps binary, ids binary, kind int")
+        path = self._write(both, 0)
         self.compact()
-        return both.where("part >= 0").select("part", "fps", "ids")
+        return self.spark.read.schema("part int, fps binary, ids binary").parquet(f"{path}/kind={HITS}") if exists(self.spark, f"{path}/kind={HITS}") else None
 
     def compact(self) -> None:
         """Merge the runs of a level as long as one has FANOUT of them."""
         while full := next((same for level in {r[0] for r in self.runs} if len(same := [r for r in self.runs if r[0] == level]) >= FANOUT), None):
-            rows = self._read(full[:1])
+            rows = self._read(full[0])
             for r in full[1:]:
-                rows = rows.groupBy("bucket").cogroup(self.spark.table(r[1]).groupBy("bucket")).applyInArrow(_compacted, RUN)
-            self._write(rows, full[0][0] + 1)
+                rows = rows.groupBy("bucket").cogroup(self._read(r).groupBy("bucket")).applyInArrow(_compacted, RUN)
+            self._write(rows.withColumn("kind", F.lit(WINDOWS)), full[0][0] + 1)
             for r in full:
                 self._remove(r)
 
@@ -190,13 +197,15 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, batches: int = BATC
     spark = docs.sparkSession
     seen = docs.agg(F.sum(F.octet_length("text")).alias("n"), F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10000).alias("at")).first()
     parts = parts_for(spark, seen["n"] or 0, 16 << 20)
-    index = WindowIndex(spark, parts * 2)
+    index = WindowIndex(spark, parts_for(spark, seen["n"] or 0, 8 << 20))
     edges, out = [None, *sorted(set(seen["at"] or [])), None], None
     for low, high in zip(edges, edges[1:], strict=False):
         batch = docs if low is None else docs.where(F.col("doc_id") > low)
         hits = index.add(batch if high is None else batch.where(F.col("doc_id") <= high), window, parts)
-        out = hits if out is None else out.unionByName(hits)
+        out = hits if out is None else out if hits is None else out.unionByName(hits)
     index.close()
+    if out is None:
+        out = spark.createDataFrame([], "part int, fps binary, ids binary")
     return saved(out.groupBy("part").applyInArrow(by_document, "id long, hits binary"), "window_hits")
 
 

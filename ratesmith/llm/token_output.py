@@ -14,85 +14,159 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import simple8b
 from .common import freed_shuffles, parts_for, saved, table, text_bytes, work_path
-from .shingles import text_slices
+from .shingles import SPACES, Words, text_slices, words
 
 MAGIC, HEAD = b"S8B1", struct.Struct("<4sIIQQ")
 BLOCK_IDS = 1 << 18
 NULL, MORE = 1, 2
-#: Distinct words whose ids a Python worker keeps.
-CACHE_WORDS = 500_000
+#: Distinct pieces of text whose ids a Python worker keeps; when there are more, those used once go.
+CACHE_PIECES = 600_000
 END_ID = 2
-#: ASCII punctuation after an ASCII letter or digit is a token boundary of the pre-tokenizer, whatever stands before; an
-#: apostrophe isn't, because of 's and the like.
-_TAIL = re.compile(rb"(.*[a-z0-9])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
-
-
-class WordEncoder:
-    """Ids of whole texts by a tokenizer that lowers case and never lets a token cross ASCII white space: each distinct word is
-    encoded once, with the tokenizers library."""
-
-    def __init__(self, path: str):
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(0x30, 0x3A), *range(0x61, 0x7B)]] = True
+#: Marks at a word's end that are looked at; a word with more of them stays whole.
+_TAIL = 4
+#: Letters only, so that the pre-tokenizer keeps such a piece whole.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
+def _pieces(w: Words) -> Words:
+    """Words cut in two where their end is ASCII punctuation after an ASCII letter or digit: the pre-tokenizer cuts there too,
+    whatever stands before. Apostrophes are left alone, because of 's and the like."""
+    if not len(w.start):
+        return w
+    tail, open_ = w.end.copy(), np.arange(len(w.end))
+    for _ in range(_TAIL):
+        open_ = open_[_PUNCTUATION[w.data[tail[open_] - 1]] & (tail[open_] > w.start[open_])]
+        tail[open_] -= 1
+    tail = np.maximum(tail, w.start)
+    cut = (tail > w.start) & (tail < w.end) & _ALNUM[w.data[tail - 1]]
+    at = np.arange(len(cut)) + np.cumsum(cut) - cut  # where each word's first piece stands
+    start, end = np.empty(len(cut) + int(cut.sum()), np.int64), np.empty(len(cut) + int(cut.sum()), np.int64)
+    start[at], end[at] = w.start, np.where(cut, tail, w.end)
+    start[at[cut] + 1], end[at[cut] + 1] = tail[cut], w.end[cut]
+    return Words(w.data, start, end, np.r_[at, len(start)][w.first])
+
+
+def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... for size[0] places, then the same for the others."""
+    to = np.cumsum(size)
+    return np.arange(to[-1] if len(to) else 0) + np.repeat(start - (to - size), size)
+
+
+class PieceEncoder:
+    """Ids of whole texts by a tokenizer that lowers case, marks the last token of a pre-token, and never lets a token cross ASCII
+    white space: each distinct piece is encoded once, with the tokenizers library. Pieces are known by a 64-bit hash,
+    their length and their outer bytes."""
+
+    def __init__(self, path: str, end_of_word: str = "</w>"):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.slot: dict[bytes, int] = {}
-        self.flat, self.used = np.zeros(1 << 20, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32), 0
-        self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
-
-    def _put(self, word: bytes, ids) -> None:
-        n, k = len(self.slot), len(ids)
-        while self.used + k > len(self.flat):
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(end_of_word)]] = True
+        self.bits = 21
+        self._reset(np.zeros(0, np.int64))
+
+    def _reset(self, keep: np.ndarray) -> None:
+        """Keep these slots only."""
+        old = (self.keys[keep], self.checks[keep], self.size[keep], self.flat[_ragged(self.start[keep], self.size[keep])]) if len(keep) else None
+        self.table, self.n = np.full(1 << self.bits, -1, np.int32), 0
+        room = max(1 << 16, 2 * len(keep))
+        self.keys, self.checks, self.start, self.size = np.zeros(room, np.uint64), np.zeros(room, np.uint32), np.zeros(room, np.int64), np.zeros(room, np.int64)
+        self.flat, self.used, self.uses = np.zeros(1 << 20, np.uint32), 0, np.zeros(room, np.int64)
+        if old:
+            self._add(*old)
+
+    def _add(self, keys: np.ndarray, checks: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        k = len(keys)
+        while self.n + k > len(self.keys):
+            for name in ("keys", "checks", "start", "size", "uses"):
+                setattr(self, name, np.concatenate([x := getattr(self, name), np.zeros_like(x)]))
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        if n == len(self.start):
-            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-        self.flat[self.used : self.used + k] = ids
-        self.start[n], self.size[n], self.slot[word] = self.used, k, n
-        self.used += k
-
-    def _learn(self, new: list[bytes]) -> None:
-        split = {w: m.groups() for w in new if b"<|" not in w and (m := _TAIL.fullmatch(w))}
-        wanted = [w for w in dict.fromkeys([*(w for w in new if w not in split), *(p for s in split.values() for p in s)]) if w not in self.slot]
-        for w, e in zip(wanted, self.tokenizer.encode_batch_fast([w.decode() for w in wanted], add_special_tokens=False), strict=True):
-            self._put(w, e.ids)
-        for w, parts in split.items():
-            a, b = (self.slot[p] for p in parts)
-            self._put(w, np.concatenate([self.flat[self.start[x] : self.start[x] + self.size[x]] for x in (a, b)]))
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        new = slice(self.n, self.n + k)
+        self.keys[new], self.checks[new], self.size[new] = keys, checks, size
+        self.start[new] = self.used + np.cumsum(size) - size
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        left, at, mask = np.arange(self.n, self.n + k), (self.keys[new] >> np.uint64(8)).astype(np.int64), (1 << self.bits) - 1
+        while len(left):  # linear probing, all at once; of those that meet at one place the last stays
+            at &= mask
+            free = self.table[at] < 0
+            self.table[at[free]] = left[free]
+            go = self.table[at] != left
+            left, at = left[go], at[go] + 1
+        self.n += k
+
+    def _find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        out, mask = np.full(len(keys), -1, np.int32), (1 << self.bits) - 1
+        left, at = np.arange(len(keys)), (keys >> np.uint64(8)).astype(np.int64)
+        while len(left):
+            at &= mask
+            slot = self.table[at]
+            hit = (slot >= 0) & (self.keys[slot] == keys[left]) & (self.checks[slot] == checks[left])
+            out[left[hit]] = slot[hit]
+            go = (slot >= 0) & ~hit
+            left, at = left[go], at[go] + 1
+        return out
+
+    def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces' order here, the number of each one's ids, and all ids. Pieces of letters go to the tokenizer in one text,
+        and come apart at the tokens that end a pre-token."""
+        plain = [i for i, p in enumerate(pieces) if _LETTERS.fullmatch(p)]
+        ids, size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join([pieces[i] for i in plain]).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            size = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+            if len(size) != len(plain):
+                plain, ids, size = [], ids[:0], size[:0]
+        known = set(plain)
+        rest = [i for i in range(len(pieces)) if i not in known]
+        more = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False)]
+        return np.array(plain + rest, np.int64), np.concatenate([size, np.array([len(x) for x in more], np.int64)]), np.concatenate([ids, np.array([y for x in more for y in x], np.uint32)])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each text's ids."""
-        if len(self.slot) > CACHE_WORDS:
-            self._clear()
-        # special tokens are looked for in the text as it is, so their upper case is not lowered before
-        by_text = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        words = [w for ws in by_text for w in ws]
-        at = list(map(self.slot.get, words))
-        if None in at:
-            self._learn(list(dict.fromkeys(w for w, i in zip(words, at, strict=True) if i is None)))
-            at = list(map(self.slot.get, words))
-        at = np.array(at, np.int64)
-        size = self.size[at].astype(np.int64)
+        # special tokens are looked for in the text as it is: their upper case must not be lowered before
+        special = pc.any(pc.match_substring(texts, "<|")).as_py()
+        w = words(texts, SPACES) if special else _pieces(words(texts, SPACES, lower=True))
+        keys = w.hashes(2)
+        checks = (w.end - w.start).astype(np.uint32) << np.uint32(16) ^ w.data[w.start].astype(np.uint32) << np.uint32(8) ^ w.data[w.end - 1]
+        slot = self._find(keys, checks)
+        if self.n > CACHE_PIECES and (slot < 0).any():
+            self._reset(np.flatnonzero(self.uses[: self.n] > 1))
+            slot = self._find(keys, checks)
+        raw = w.data.tobytes() if (slot < 0).any() else b""
+        while len(new := np.flatnonzero(slot < 0)):
+            new = new[np.unique(keys[new], return_index=True)[1]]
+            order, size, ids = self._encoded([raw[a:b] for a, b in zip(w.start[new].tolist(), w.end[new].tolist(), strict=True)])
+            self._add(keys[new[order]], checks[new[order]], size, ids)
+            slot = self._find(keys, checks)
+        self.uses[: self.n] += np.bincount(slot, minlength=self.n)
+        size = self.size[slot]
         to = np.cumsum(size)
-        ids = self.flat[np.arange(to[-1] if len(to) else 0) + np.repeat(self.start[at] - (to - size), size)]
-        edge = np.cumsum([0, *map(len, by_text)])
+        ids = self.flat[_ragged(self.start[slot], size)]
         to = np.r_[0, to]
-        return ids, to[edge[1:]] - to[edge[:-1]]
+        return ids, to[w.first[1:]] - to[w.first[:-1]]
 
 
-def word_bpe() -> WordEncoder:
+def word_bpe() -> PieceEncoder:
     import public_tokenizers
 
-    return WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    return PieceEncoder(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def pack_block(docs: list[tuple[int | None, int, bool]], ids: np.ndarray) -> bytes:
@@ -119,7 +193,7 @@ def read_blocks(raw: bytes | memoryview) -> Iterator[tuple[np.ndarray, np.ndarra
         yield parts[0], parts[1], parts[2], simple8b.decode(parts[4].astype(np.uint64), parts[3], n)
 
 
-def _blocks(make: Callable[[], WordEncoder], end_id: int, block_ids: int):
+def _blocks(make: Callable[[], PieceEncoder], end_id: int, block_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = globals().setdefault("_encoders", {}).setdefault(make, None) or make()
         globals()["_encoders"][make] = encoder
@@ -139,8 +213,7 @@ def _blocks(make: Callable[[], WordEncoder], end_id: int, block_ids: int):
 
         for batch in batches:
             for a, b in text_slices(batch, most=1 << 20):
-                texts = [(t or "").encode() for t in batch.column("text").slice(a, b - a).to_pylist()]
-                ids, sizes = encoder.encode(texts)
+                ids, sizes = encoder.encode(batch.column("text").slice(a, b - a))
                 ends = np.cumsum(sizes)
                 docs += zip(batch.column("doc_id").slice(a, b - a).to_pylist(), (sizes + 1).tolist(), strict=True)
                 held.append(np.insert(ids, ends, end_id))
@@ -153,7 +226,7 @@ def _blocks(make: Callable[[], WordEncoder], end_id: int, block_ids: int):
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, make: Callable[[], WordEncoder] = word_bpe, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> None:
+def write_tokens(docs: DataFrame, path: str, make: Callable[[], PieceEncoder] = word_bpe, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> None:
     """Write the ids of all texts, each with end_id after it, into files of `path` in ascending order of doc_id.
 
     A null or empty text has the end id alone. Rows without doc_id come first; rows with one doc_id follow each other, in the

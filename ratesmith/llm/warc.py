@@ -177,7 +177,7 @@ def read_warc(spark: SparkSession, path: str | list[str]) -> DataFrame:
     found = saved(_placed(_scan(spark, [path] if isinstance(path, str) else path, whole=False)), "warc_candidates")
     # a file's candidates are some 24 bytes each, whatever its records hold
     chain = saved(found.select("path", "at", "size", "length").groupBy("path").applyInArrow(_chain, "path string, place long, record long, parts long"), "warc_chain")
-    out = found.join(chain.where("parts = 1").select("path", F.col("place").alias("at")), ["path", "at"]).select("page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest")
+    out = found.join(chain.where("parts = 1").select("path", F.col("place").alias("at")).hint("merge"), ["path", "at"]).select("page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest")
     split = chain.where("parts > 1")
     files = [r["path"] for r in split.select("path").distinct().toLocalIterator()]
     if not files:
