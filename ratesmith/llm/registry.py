@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, jaccard_join, mixing, quality, substring_dedup, token_output, topk_search, warc
+from . import decontaminate, html_extract, jaccard_join, license_scan, mixing, quality, substring_dedup, token_output, topk_search, warc
 
 QUERIES = {
     "op1_importance_resampling": quality.op1_importance_resampling,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_temperature_mixing": mixing.op5_temperature_mixing,
     "op6_token_output": token_output.op6_token_output,
     "op7_warc": warc.op7_warc,
+    "op8_license_scan": license_scan.op8_license_scan,
     "op9_topk_search": topk_search.op9_topk_search,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
