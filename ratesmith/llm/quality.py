@@ -153,7 +153,8 @@ def select_documents(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
     rows = docs.withColumnsRenamed(names)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "n_features long", "importance double"])
     scored = _perturbed(rows.mapInArrow(_scores(ratio, buckets, whole=True), schema), model, sharpness, seed)
-    return scored.where(F.col("perturbed") >= F.lit(cut)).withColumnsRenamed({v: k for k, v in names.items()}).select(*docs.columns)
+    added = ("n_features", "importance", "weight", "perturbed")
+    return scored.where(F.col("perturbed") >= F.lit(cut)).drop(*added).withColumnsRenamed({v: k for k, v in names.items()}).select(*docs.columns)
 
 
 def kth_largest(rows: DataFrame, column: str, k: int, bins: int = 1 << 12) -> float:
