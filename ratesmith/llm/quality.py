@@ -26,6 +26,8 @@ LABELLED = 20_000
 #: Importance in units of the gap between good and bad documents, against Gumbel noise of scale 1.
 SHARPNESS = 40.0
 SEED = 17
+#: Bytes of text that are scored at a time: n-grams of five orders are held for each word.
+SLICE = 1 << 18
 
 
 def _features(texts: pa.Array, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -46,7 +48,7 @@ def _counts(buckets: int):
         raw, target = np.zeros(2 * buckets, np.int64), np.zeros(2 * buckets, np.int64)
         for batch in batches:
             good = batch.column("good").to_numpy(zero_copy_only=False) == 1
-            for a, b in text_slices(batch):
+            for a, b in text_slices(batch, most=SLICE):
                 for bucket, text in _features(batch.column("text").slice(a, b - a), buckets):
                     raw += np.bincount(bucket, minlength=2 * buckets)
                     target += np.bincount(bucket[good[a:b][text]], minlength=2 * buckets)
@@ -62,7 +64,7 @@ def _scores(ratio, buckets: int, whole: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log = ratio.value
         for batch in batches:
-            for a, b in text_slices(batch):
+            for a, b in text_slices(batch, most=SLICE):
                 part = batch.slice(a, b - a)
                 score, n = np.zeros(b - a), np.zeros(b - a, np.int64)
                 for bucket, text in _features(part.column("text"), buckets):

@@ -44,10 +44,10 @@ def _powers(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2**64."""
     have = _POWERS.get(seed)
     if have is None or len(have[0]) < n:
-        size = max(n, _SLICE + 1)
+        size = max(1 << 16, 1 << (n - 1).bit_length())
         r = int(_odd(seed))
         have = tuple(np.cumprod(np.full(size, x, np.uint64)) * np.uint64(pow(x, -1, 1 << 64)) for x in (r, pow(r, -1, 1 << 64)))
-        if n <= _SLICE + 1:
+        if n <= _SLICE:
             _POWERS[seed] = have
     return have
 

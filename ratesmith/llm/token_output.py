@@ -26,8 +26,10 @@ MAGIC, HEAD = b"S8B1", struct.Struct("<4sIIQQ")
 BLOCK_IDS = 1 << 18
 NULL, MORE = 1, 2
 #: Distinct pieces of text whose ids a Python worker keeps; when there are more, those used once go.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 250_000
 END_ID = 2
+#: Bytes of text that are encoded at a time: what numpy holds meanwhile is some sixty times that.
+SLICE = 1 << 18
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _ALNUM = np.zeros(256, bool)
@@ -212,7 +214,7 @@ def _blocks(make: Callable[[], PieceEncoder], end_id: int, block_ids: int):
             return pa.RecordBatch.from_arrays([pa.array([pack_block(own, ids[:most])], pa.binary())], ["block"])
 
         for batch in batches:
-            for a, b in text_slices(batch, most=1 << 20):
+            for a, b in text_slices(batch, most=SLICE):
                 ids, sizes = encoder.encode(batch.column("text").slice(a, b - a))
                 ends = np.cumsum(sizes)
                 docs += zip(batch.column("doc_id").slice(a, b - a).to_pylist(), (sizes + 1).tolist(), strict=True)
