@@ -27,6 +27,8 @@ GROUP = 256
 DELEGATES = 4
 #: Sets that ask one group in one task.
 ASKING = 1024
+#: Bytes of text whose shingles are sorted in one group; sorting them takes some thirty times that.
+SORTED = 4 << 20
 _ENTRY = np.dtype([("set", "<i8"), ("n", "<u4")])
 
 
@@ -264,9 +266,9 @@ def linked_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     size = text_bytes(docs)
-    parts = parts_for(spark, size)
+    parts = parts_for(spark, size, SORTED)
     each = saved(docs.mapInArrow(_set_rows(k), "doc_id long, n_shingles long, set long"), "jaccard_sets")
-    tokens = docs.where("doc_id IS NOT NULL").mapInArrow(_shingles(k, parts_for(spark, size, 8 << 20)), "bucket int, fps binary, entries binary")
+    tokens = docs.where("doc_id IS NOT NULL").mapInArrow(_shingles(k, parts), "bucket int, fps binary, entries binary")
     path = write_table(tokens.groupBy("bucket").applyInArrow(_shared(parts), "part int, fps binary, entries binary, dfs binary"), "jaccard_shared", "lz4")
     shared = spark.read.schema("part int, fps binary, entries binary, dfs binary").parquet(path)
     candidates = saved(shared.groupBy("part").applyInArrow(_candidates(percent), _CANDIDATE), "jaccard_candidates")
