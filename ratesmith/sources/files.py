@@ -110,7 +110,7 @@ def read_index_files(spark: SparkSession, path: str) -> DataFrame:
     """cms-hpt.txt: key: value blocks, a new one at a blank line or a repeated key. One row a block: source_url, block, fields (a map).
 
     A block ends where a key of its own comes again, which only a fold over the lines knows; the files are of a few lines each."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("source_url"), F.udf(_blocks, "array<map<string,string>>")("value").alias("blocks"))
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_url"), F.udf(_blocks, "array<map<string,string>>")("value").alias("blocks"))
     return whole.select("source_url", F.posexplode("blocks").alias("block", "fields"))
 
 
