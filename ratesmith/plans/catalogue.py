@@ -400,6 +400,13 @@ def jaccard_match(spark, sf_dir):
     return resolve.match_names(part.select(F.col("p_name").alias("name")), part.where("p_size < 5").select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("name")))
 
 
+@_register(_JACCARD.replace(" WHERE p_size < 5", ""), "score second")
+def jaccard_match_whole(spark, sf_dir):
+    """jaccard_match against the names of all parts."""
+    part = A.table(spark, sf_dir, "part")
+    return resolve.match_names(part.select(F.col("p_name").alias("name")), part.select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("name")))
+
+
 @_register("""SELECT l_orderkey, l_linenumber, lower(trim(l_returnflag)) AS billing_class, strftime(l_shipdate, '%Y-%m') AS vintage, substr(sha256(CAST(l_orderkey AS VARCHAR) || '␟' || CAST(l_linenumber AS VARCHAR) || '␟' || l_returnflag || '␟' || l_linestatus), 1, 32) AS row_hash FROM lineitem""")
 def conform_and_hash(spark, sf_dir):
     t = A.table(spark, sf_dir, "lineitem").withColumns({"billing_class": F.col("l_returnflag"), "hospital": F.col("l_linestatus"), "file_vintage": F.date_format("l_shipdate", "yyyy-MM-dd")})
