@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 from .common import saved, table
 
 # Kinds of HTML elements, and words of class and id names.
-RAW = "script|style|textarea|title|iframe|noembed|noframes|xmp|template|noscript|svg|math|select|object|canvas|video|audio"
+RAW = "script|style|textarea|title|iframe|noembed|noframes|xmp|template|noscript"
+#: Noise elements; one that its own end tag doesn't close holds nothing, so that it can't take the rest of the page along.
+EMBEDS = frozenset("svg math select object canvas video audio".split())
+FOREIGN = frozenset("svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 CONTAINERS = frozenset("article main section div td body center blockquote".split())
@@ -30,7 +33,7 @@ NOISE = frozenset("ad ads advert adverts advertisement advertising adsense adslo
 PROSE = frozenset("article articlebody post entry content story main text body title headline".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+>(?:.*?</(?P=raw)(?=[\s/>])[^>]*>|.*\Z)|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+)>|<[!?/][^>]*>", re.IGNORECASE | re.DOTALL)
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|(?P<open><(?P<raw>{RAW})(?=[\s/>])(?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+>)(?:.*?</(?P=raw)(?=[\s/>])[^>]*>|.*\Z)|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+)>|<[!?/][^>]*>", re.IGNORECASE | re.DOTALL)
 _ATTR = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.DOTALL)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -46,7 +49,7 @@ class Element:
 def _kind(tag: str, attrs: str) -> tuple[str, bool, float]:
     """A tag's step in a path, whether what it holds is noise, and how much its names speak for an article."""
     if not attrs.strip():
-        return tag, tag in DROPPED, 25.0 if tag == "article" else 10.0 if tag == "main" else 0.0
+        return tag, tag in DROPPED or tag in EMBEDS, 25.0 if tag == "article" else 10.0 if tag == "main" else 0.0
     have = {}
     for k, a, b, c, alone in _ATTR.findall(attrs):
         have.setdefault((k or alone).lower(), a or b or c)
@@ -54,7 +57,7 @@ def _kind(tag: str, attrs: str) -> tuple[str, bool, float]:
     own = {x.lower() for x in _NAME.findall(names)}
     prose = own & PROSE or "articlebody" in have.get("itemprop", "").lower()
     noise = (
-        tag in DROPPED or own & NOISE and not (prose and not own & {"ad", "ads", "comment", "comments", "related", "share"}) or have.get("role", "").lower() in ROLES
+        tag in DROPPED or tag in EMBEDS or own & NOISE and not (prose and not own & {"ad", "ads", "comment", "comments", "related", "share"}) or have.get("role", "").lower() in ROLES
         or "hidden" in have or have.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", have.get("style", "")) is not None
     )
     step = ".".join([tag, *sorted({re.sub(r"\d+", "#", x) for x in have.get("class", "").split()})])
@@ -64,21 +67,34 @@ def _kind(tag: str, attrs: str) -> tuple[str, bool, float]:
 
 def parse(page: str) -> tuple[list[Element], list[tuple[int, str | None]]]:
     """Elements of a page and its stream: (element, text), or (element, None) where a block begins or ends. Element 0 is the page."""
+    elements, stream, unclosed = _parse(page, frozenset())
+    return (elements, stream) if not unclosed else _parse(page, frozenset(unclosed))[:2]
+
+
+def _parse(page: str, hollow: frozenset[int]) -> tuple[list[Element], list[tuple[int, str | None]], list[int]]:
+    """What parse() returns, the elements of `hollow` holding nothing; EMBEDS that their own end tags don't close."""
     elements, stream, stack, at = [Element("", "", False, -1, 0.0)], [], [0], 0
+    embeds, unclosed = [], []
 
     def text(until: int) -> None:
         if until > at and (raw := page[at:until]):
             stream.append((stack[-1], raw))
 
-    def close(to: int) -> None:
+    def close(to: int, ended: bool = False) -> None:
         while len(stack) > to:
             i = stack.pop()
-            if elements[i].tag in BLOCKS:
+            if elements[i].tag in EMBEDS:
+                embeds.pop()
+                if not ended or len(stack) > to:
+                    unclosed.append(i)
+            elif elements[i].tag in BLOCKS and not embeds:
                 stream.append((stack[-1], None))
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         text(m.start())
         at = m.end()
+        if m["raw"] and m["open"].endswith("/>") and embeds and elements[embeds[-1]].tag in FOREIGN:
+            at = m.end("open")
         tag = m["tag"]
         if tag is None:
             continue
@@ -86,38 +102,40 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str | None]]]:
         if m["end"]:
             for k in range(len(stack) - 1, 0, -1):
                 if elements[stack[k]].tag == tag:
-                    close(k)
+                    close(k, True)
                     break
             continue
         if tag in VOID:
             # a line break parts words, a rule parts blocks
-            stream.append((stack[-1], None if tag == "hr" else " ") if tag in ("br", "hr") else (stack[-1], ""))
+            stream.append((stack[-1], None if tag == "hr" and not embeds else " ") if tag in ("br", "hr") else (stack[-1], ""))
             continue
         if tag in CLOSES_P:
             for k in range(len(stack) - 1, 0, -1):
                 if elements[stack[k]].tag == "p":
                     close(k)
                     break
-                if elements[stack[k]].tag in BLOCKS:
+                if elements[stack[k]].tag in BLOCKS or elements[stack[k]].tag in EMBEDS:
                     break
         if tag in SIBLINGS:
             for k in range(len(stack) - 1, 0, -1):
                 if elements[stack[k]].tag in SIBLINGS[tag]:
                     close(k)
                     break
-                if elements[stack[k]].tag in SCOPES:
+                if elements[stack[k]].tag in SCOPES or elements[stack[k]].tag in EMBEDS:
                     break
         step, noise, bonus = _kind(tag, m["attrs"])
         up = elements[stack[-1]]
         # formatting elements are no part of a path: they are left open by mistake too often
         path = f"{up.path}>{step}" if tag in BLOCKS else up.path
         elements.append(Element(tag, path, noise or up.noise, stack[-1], bonus))
-        if tag in BLOCKS:
+        if tag in BLOCKS and not embeds:
             stream.append((stack[-1], None))
-        if not m["attrs"].endswith("/") or tag in BLOCKS:
+        if (not m["attrs"].endswith("/") or tag in BLOCKS or tag in EMBEDS - FOREIGN) and len(elements) - 1 not in hollow:
             stack.append(len(elements) - 1)
+            if tag in EMBEDS:
+                embeds.append(stack[-1])
     text(len(page))
-    return elements, stream
+    return elements, stream, unclosed + embeds
 
 
 def blocks(elements: list[Element], stream: list[tuple[int, str | None]], inside: set[int] | None = None) -> Iterator[tuple[int, str, int]]:
