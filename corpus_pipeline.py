@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ratesmith.llm.common import saved, table, work_path
 from ratesmith.llm.decontaminate import decontaminate
-from ratesmith.llm.jaccard_join import linked_components
+from ratesmith.llm.jaccard_join import linked_sets
 from ratesmith.llm.mixing import mix
 from ratesmith.llm.quality import select_documents
 from ratesmith.llm.token_output import read_tokens, write_tokens
@@ -21,12 +21,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least doc_id of each component of documents whose five-word shingles have a Jaccard similarity of 0.8 or more, once.
-    Rows without doc_id stay."""
-    gone = saved(linked_components(docs, k=5, percent=80).where("doc_id <> component_id").select("doc_id").distinct(), "near_duplicates")
-    rows = docs.join(gone, "doc_id", "left_anti")
-    again = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return rows.withColumn("_again", again).where("_again = 1 OR doc_id IS NULL").select(*docs.columns)
+    """One row of each component of texts whose five-word shingles have a Jaccard similarity of 0.8 or more: that of the least doc_id.
+    Of rows with one doc_id each is judged by its own text; equal texts of one doc_id stay once. Rows without doc_id stay."""
+    known = docs.where("doc_id IS NOT NULL").withColumn("_text_hash", F.xxhash64("text"))
+    linked = saved(linked_sets(known.select("doc_id", "_text_hash", "text"), k=5, percent=80), "near_duplicates")
+    mine = F.struct("doc_id", "_text_hash")
+    least = linked.where("component IS NOT NULL").groupBy("component").agg(F.min(mine).alias("least"))
+    gone = saved(linked.join(least, "component").where(mine != F.col("least")).select("doc_id", "_text_hash").distinct(), "near_duplicates")
+    again = F.row_number().over(Window.partitionBy("doc_id", "_text_hash").orderBy(F.xxhash64(*docs.columns)))
+    rows = known.join(gone, ["doc_id", "_text_hash"], "left_anti").withColumn("_again", again).where("_again = 1")
+    return rows.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

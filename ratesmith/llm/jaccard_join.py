@@ -52,7 +52,8 @@ def _set_rows(k: int):
             for a, b in text_slices(batch):
                 part = batch.slice(a, b - a)
                 _, _, size, ids = _sets(part, k)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size), pa.array(ids, mask=size == 0)], ["doc_id", "n_shingles", "set"])
+                own = [c for c in part.schema.names if c != "text"]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), pa.array(size), pa.array(ids, mask=size == 0)], [*own, "n_shingles", "set"])
 
     return run
 
@@ -263,12 +264,23 @@ def linked_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -
     for each input row. Rows without doc_id link nothing and have no component; of rows with one doc_id each counts by its own
     text. Other columns are left out. Shingles and sets are known by 64-bit hashes.
     """
+    rows = linked_sets(docs.select("doc_id", "text"), k, percent)
+    least = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
+    return rows.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def linked_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The columns of docs but text, n_shingles and component, by the rules of linked_components; one row for each input row.
+
+    component is an id of its own, null where there is no doc_id or no shingle. Rows with one doc_id and different texts can have
+    different components.
+    """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    own = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
     size = text_bytes(docs)
     parts = parts_for(spark, size, SORTED)
-    each = saved(docs.mapInArrow(_set_rows(k), "doc_id long, n_shingles long, set long"), "jaccard_sets")
-    tokens = docs.where("doc_id IS NOT NULL").mapInArrow(_shingles(k, parts), "bucket int, fps binary, entries binary")
+    each = saved(docs.mapInArrow(_set_rows(k), ", ".join([*own, "n_shingles long, set long"])), "jaccard_sets")
+    tokens = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(_shingles(k, parts), "bucket int, fps binary, entries binary")
     path = write_table(tokens.groupBy("bucket").applyInArrow(_shared(parts), "part int, fps binary, entries binary, dfs binary"), "jaccard_shared", "lz4")
     shared = spark.read.schema("part int, fps binary, entries binary, dfs binary").parquet(path)
     candidates = saved(shared.groupBy("part").applyInArrow(_candidates(percent), _CANDIDATE), "jaccard_candidates")
@@ -277,9 +289,7 @@ def linked_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -
     whole = components(_links_between(candidates, labels, percent), "jaccard_components")
     labels = labels.join(whole, labels["label"] == whole["node"], "left").select("set", F.coalesce(whole["label"], labels["label"]).alias("component"))
     labels = saved(labels, "jaccard_final")
-    rows = each.join(labels, "set", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "set")).alias("component"))
-    least = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
-    return rows.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    return each.join(labels, "set", "left").select(*(c for c in each.columns if c != "set"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "set")).alias("component"))
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
