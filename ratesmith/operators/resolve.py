@@ -18,10 +18,11 @@ def alias_table(spark: SparkSession, aliases: dict[str, list[str]] = T.PAYER_ALI
 def alias_match(names: DataFrame, name: str, aliases: DataFrame) -> DataFrame:
     """Adds canonical: the longest alias that stands in the name as whole words, of ties the first listed; else null.
 
-    Every run of up to four words of a distinct name is looked up, an equi-join instead of a pattern per alias."""
+    Every run of up to as many words of a distinct name as the longest alias has is looked up, an equi-join instead of a pattern per alias."""
+    most = aliases.agg(F.max(F.size(F.split("alias", " ")))).first()[0] or 1
     each = names.select(name).distinct().withColumn("_w", F.split(X.canonical_key(F.col(name)), " "))
     starts = F.sequence(F.lit(1), F.greatest(F.size("_w"), F.lit(1)))
-    runs = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.lit(4)), lambda n: F.array_join(F.slice(F.col("_w"), i, n), " "))))
+    runs = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.lit(most)), lambda n: F.array_join(F.slice(F.col("_w"), i, n), " "))))
     found = each.withColumn("alias", F.explode(F.array_distinct(runs))).join(aliases, "alias")
     best = first_rows(found, [name], [F.length("alias").desc(), F.col("ord")]).select(name, "canonical")
     return names.join(best, name, "left")
