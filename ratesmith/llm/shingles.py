@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,6 +21,9 @@ LOWER[0x41:0x5B] += 32
 
 _SLICE = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes up to which a word is hashed together with others.
+LONG = 256
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,27 +33,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _table(seed: int) -> np.ndarray:
-    return mix((np.arange(1, 257, dtype=np.uint64) + np.uint64(seed * 1000)) * _STEP)
-
-
-def _odd(seed: int) -> np.uint64:
-    return mix(np.array([seed + 77], np.uint64) * _STEP)[0] | np.uint64(1)
-
-
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2**64."""
-    have = _POWERS.get(seed)
-    if have is None or len(have[0]) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
-        r = int(_odd(seed))
-        have = tuple(np.cumprod(np.full(size, x, np.uint64)) * np.uint64(pow(x, -1, 1 << 64)) for x in (r, pow(r, -1, 1 << 64)))
-        if n <= _SLICE:
-            _POWERS[seed] = have
-    return have
+def _constants(n: int, seed: int) -> np.ndarray:
+    """n odd numbers that look random, other ones for each seed."""
+    return mix((np.arange(1, n + 1, dtype=np.uint64) + np.uint64((seed + 1) * 100_003)) * _STEP) | np.uint64(1)
 
 
 @dataclass
@@ -62,19 +48,25 @@ class Words:
     first: np.ndarray
 
     def hashes(self, seed: int = 0) -> np.ndarray:
-        """A 64-bit hash of each word's bytes; seeds are independent of each other."""
-        out = np.empty(len(self.start), np.uint64)
-        spread, i = _table(seed), 0
-        while i < len(out):  # by slices, so that memory doesn't follow the length of a text
-            j = max(i + 1, int(np.searchsorted(self.end, self.start[i] + _SLICE, "right")))
-            low, high = int(self.start[i]), int(self.end[j - 1])
-            up, down = _powers(high - low, seed)
-            total = np.zeros(high - low + 1, np.uint64)
-            np.cumsum(spread[self.data[low:high]] * up[: high - low], out=total[1:])
-            s = self.start[i:j] - low
-            out[i:j] = (total[self.end[i:j] - low] - total[s]) * down[s]
-            i = j
-        return mix(out + (self.end - self.start).astype(np.uint64))
+        """A 64-bit hash of each word's bytes; seeds are independent of each other.
+
+        Words are taken in steps of eight bytes, each mixed with all before it by a bijection that isn't linear: words of one
+        length up to eight bytes never have equal hashes. Words of more than LONG bytes are hashed by BLAKE2.
+        """
+        size = self.end - self.start
+        out = mix(size.astype(np.uint64) * _STEP + _constants(1, seed)[0])
+        long = size > LONG
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(self.data) + 1, "<u8", padded, strides=(1,))
+        open_, at = np.flatnonzero(~long), 0
+        while len(open_):
+            left = size[open_] - at
+            out[open_] = mix(out[open_] ^ (eight[self.start[open_] + at] & _MASKS[np.minimum(left, 8)]))
+            open_, at = open_[left > 8], at + 8
+        key = int(_constants(1, seed)[0]).to_bytes(8, "little")
+        for i in np.flatnonzero(long):
+            out[i] = int.from_bytes(hashlib.blake2b(self.data[self.start[i] : self.end[i]], digest_size=8, key=key).digest(), "little")
+        return out
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -114,22 +106,25 @@ def words(texts: pa.Array, breaks: np.ndarray = SPACES, lower: bool = False) ->
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, k: int, short: bool = False, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, text and first word of each window of k words. short: a text of fewer words, but not none, is one window."""
-    n = len(hashes)
-    r, acc = _odd(seed + 13), np.zeros(max(0, n - k + 1), np.uint64)
+    """Hash, text and first word of each window of k words. short: a text of fewer words, but not none, is one window.
+
+    A window's hash is a sum of its words' hashes, each place with a multiplier of its own, mixed.
+    """
+    n, weights = len(hashes), _constants(k + 1, seed + 13)
+    acc = np.zeros(max(0, n - k + 1), np.uint64)
     for j in range(k):
-        acc = acc * r + hashes[j : n - k + 1 + j] if n >= k else acc
+        acc += hashes[j : n - k + 1 + j] * weights[j] if n >= k else acc
     counts = np.diff(first)
-    text = np.repeat(np.arange(len(counts)), np.maximum(counts - k + 1, 0))
-    at = np.arange(len(text)) - np.repeat(np.cumsum(np.maximum(counts - k + 1, 0)) - np.maximum(counts - k + 1, 0), np.maximum(counts - k + 1, 0)) + first[:-1][text]
+    each = np.maximum(counts - k + 1, 0)
+    text = np.repeat(np.arange(len(counts)), each)
+    at = np.arange(len(text)) - np.repeat(np.cumsum(each) - each, each) + first[:-1][text]
     out = mix(acc[at]) if len(at) else np.zeros(0, np.uint64)
     if short and len(few := np.flatnonzero((counts > 0) & (counts < k))):
-        extra = np.zeros(len(few), np.uint64)
+        extra = counts[few].astype(np.uint64) * weights[k]
         for j in range(k - 1):
             has = counts[few] > j
-            extra[has] = extra[has] * r + hashes[first[few[has]] + j]
-        extra = mix(extra + counts[few].astype(np.uint64) * _STEP)
-        out, text, at = np.concatenate([out, extra]), np.concatenate([text, few]), np.concatenate([at, first[few]])
+            extra[has] += hashes[first[few[has]] + j] * weights[j]
+        out, text, at = np.concatenate([out, mix(extra)]), np.concatenate([text, few]), np.concatenate([at, first[few]])
         order = np.argsort(text, kind="stable")
         out, text, at = out[order], text[order], at[order]
     return out, text, at
