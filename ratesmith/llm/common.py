@@ -39,6 +39,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of a folder's files and folders."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return [x.getPath().getName() for x in where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where)]
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
     """Delete working tables that nothing reads any more."""
     for path in paths:
@@ -75,8 +81,35 @@ def write_table(df: DataFrame, name: str, compression: str = "zstd") -> str:
 
 def saved(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """The rows of df, from a working table that has just been written."""
-    spark = df.sparkSession
-    return spark.read.schema(df.schema).parquet(write_table(df, name, compression))
+    spark, schema = df.sparkSession, df.schema
+    path = write_table(df, name, compression)
+    out = spark.read.schema(schema).parquet(path)
+    out.work_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of saved() that nothing reads any more."""
+    for df in tables:
+        drop(df.sparkSession, df.work_path)
+
+
+#: A key is hot that holds more than one in so many rows; so there are fewer hot keys than this.
+HOT_SHARE = 1000
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, total: int) -> DataFrame:
+    """Left join of rows with facts (one row for each key, with n_rows, the key's rows), so that no key gathers in one task.
+
+    Facts of hot keys are broadcast: fewer than HOT_SHARE rows, whatever the input. Rows without a key meet nobody.
+    """
+    hot = facts.where(F.col("n_rows") * HOT_SHARE > total).drop("n_rows")
+    cold = facts.where(F.col("n_rows") * HOT_SHARE <= total).drop("n_rows")
+    known = rows.where(F.col(key).isNotNull())
+    alone = rows.where(F.col(key).isNull()).withColumns({f.name: F.lit(None).cast(f.dataType) for f in cold.schema if f.name != key})
+    names = [*rows.columns, *(c for c in cold.columns if c != key)]
+    parts = known.join(F.broadcast(hot), key), known.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, "left"), alone
+    return parts[0].select(*names).unionByName(parts[1].select(*names)).unionByName(parts[2].select(*names))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

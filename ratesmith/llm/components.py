@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import forget, saved
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -30,5 +30,6 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if seen["n"] == 0 or seen == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("label"))
-        before = seen
-        now = saved(_stars(_stars(now, large=True), large=False), name)
+        before, last = seen, now
+        now = saved(_stars(_stars(last, large=True), large=False), name)
+        forget(last)

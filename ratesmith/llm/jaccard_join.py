@@ -1,10 +1,12 @@
 """N-gram Jaccard join of whole texts, by a token-group matrix.
 
 Equal shingle sets are one set. A set can only have partners if it shares enough of its shingles with any other set, so the
-document frequency of every shingle comes first, and sets of mostly unique shingles leave. Those that stay are put into groups
-of similar sets. Each group's links are found inside it; then only sets of different components are left to be compared: a set
-asks the groups with which it shares a shingle of both prefixes, each group keeps the union of its shingles, the union bounds the
-overlap with the asking set, and only groups that reach the threshold are opened and compared member by member.
+document frequency of every shingle comes first, and sets of mostly unique shingles leave. For that, texts are packed into slices;
+a slice sends each of its shingles once, with its frequency there, to the shingle's bucket, and gets a byte for each one back:
+nothing that is sent names a document, and a shingle that all documents hold comes once from each slice. Sets that stay are put
+into groups of similar sets. Each group's links are found inside it; then only sets of different components are left to be
+compared: a set asks the groups with which it shares a shingle of both prefixes, each group keeps the union of its shingles, the
+union bounds the overlap with the asking set, and only groups that reach the threshold are opened and compared member by member.
 """
 
 from __future__ import annotations
@@ -13,13 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop, parts_for, saved, table, text_bytes, write_table
+from .common import forget, parts_for, saved, small_batches, spread_join, table, text_bytes
 from .components import components
-from .shingles import SPACES, by_bucket, mix, text_slices, windows, words
-from .substring_dedup import part_of
+from .shingles import SPACES, mix, text_slices, windows, words
 
 WORDS, PERCENT = 4, 85
 GROUP = 256
@@ -27,9 +30,11 @@ GROUP = 256
 DELEGATES = 4
 #: Sets that ask one group in one task.
 ASKING = 1024
-#: Bytes of text whose shingles are sorted in one group; sorting them takes some thirty times that.
-SORTED = 4 << 20
-_ENTRY = np.dtype([("set", "<i8"), ("n", "<u4")])
+#: Bytes of text in one slice, and bytes of text whose shingles are counted in one bucket.
+SLICE, BUCKET = 2 << 20, 8 << 20
+#: Bits of a shingle's hash, over those that number all bytes of text, by which its frequency is known: of 256 shingles one may
+#: seem to be shared when it isn't, which costs a comparison and no result.
+SPARE_BITS = 6
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, ...]:
@@ -58,60 +63,155 @@ def _set_rows(k: int):
     return run
 
 
-def _shingles(k: int, buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in text_slices(batch):
-                fps, text, size, ids = _sets(batch.slice(a, b - a), k)
-                once = np.zeros(b - a, bool)
-                once[np.unique(ids, return_index=True)[1]] = True
-                fps, text = fps[once[text]], text[once[text]]
-                entry = np.empty(len(fps), _ENTRY)
-                entry["set"], entry["n"] = ids[text], size[text]
-                order, held, cuts = by_bucket((fps >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32))
-                fps, entry = fps[order], entry[order]
-                cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())  # noqa: E731, B023
-                yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), cut(fps), cut(entry)], ["bucket", "fps", "entries"])
+_SLICE_ROW = "slice long, sizes binary, data binary, n_bytes long"
+
+
+def _pack(texts: list[pa.Array], number: int) -> pa.RecordBatch:
+    """One row of the distinct texts of a slice, compressed."""
+    distinct = pc.unique(pa.chunked_array(texts, pa.string()))
+    sizes = pc.binary_length(distinct).to_numpy().astype("<i4")
+    data = pa.py_buffer("".join(distinct.to_pylist()).encode())
+    task = TaskContext.get()
+    uid = (task.partitionId() if task else 0) << 32 | number
+    return pa.RecordBatch.from_arrays([pa.array([uid]), pa.array([sizes.tobytes()], pa.binary()), pa.array([pa.compress(data, "zstd", asbytes=True)], pa.binary()), pa.array([data.size])], _SLICE_ROW.replace(",", "").split()[::2])
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size, number = [], 0, 0
+    for batch in batches:
+        for a, b in text_slices(batch):
+            texts = batch.column("text").slice(a, b - a)
+            texts = texts.filter(pc.greater(pc.fill_null(pc.binary_length(texts), 0), 0)).cast(pa.string())
+            held.append(texts)
+            size += pc.sum(pc.binary_length(texts)).as_py() or 0
+            if size >= SLICE:
+                yield _pack(held, number)
+                held, size, number = [], 0, number + 1
+    if size:
+        yield _pack(held, number)
+
+
+def _unpack(row: dict) -> pa.RecordBatch:
+    """The texts of a slice."""
+    sizes = np.frombuffer(row["sizes"], "<i4")
+    data = pa.decompress(row["data"], row["n_bytes"], "zstd")
+    texts = pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(np.r_[0, np.cumsum(sizes, dtype=np.int64)]), data])
+    return pa.RecordBatch.from_arrays([texts], ["text"])
+
+
+class _Slice:
+    """Sets of a slice, once each, and its shingles' keys: the upper bits of their hashes, sorted, with their frequencies here."""
+
+    def __init__(self, row: dict, k: int, bits: int, buckets: int):
+        fps, text, size, ids = _sets(_unpack(row), k)
+        kept = np.unique(ids, return_index=True)[1]
+        kept = kept[size[kept] > 0]
+        once = np.zeros(len(ids), bool)
+        once[kept] = True
+        self.fps, self.text, self.sets, self.size = fps[once[text]], text[once[text]], ids, size
+        self.keys, self.key_of, count = np.unique(self.fps >> np.uint64(64 - bits), return_inverse=True, return_counts=True)
+        self.count = np.minimum(count, 255).astype(np.uint8)
+        self.cuts = self._cuts((self.keys << np.uint64(64 - bits) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32))
+        self.own = np.sort(ids[kept])
+        self.own_cuts = self._cuts(((self.own.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32))
 
-    return run
+    @staticmethod
+    def _cuts(bucket: np.ndarray) -> list[tuple[int, int, int]]:
+        """(bucket, from, to) of sorted buckets."""
+        at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
+        return list(zip(bucket[at].tolist(), at.tolist(), [*at[1:].tolist(), len(bucket)], strict=True))
 
 
-def _shared(parts: int):
-    """Of one bucket's shingles those of two sets or more, with their frequencies, by part of the sets."""
+def _packed_gaps(keys: np.ndarray) -> bytes:
+    """Gaps between sorted integers, their bytes by place, as many as the widest needs."""
+    gaps = np.diff(keys)
+    width = max(1, -(-int(gaps.max()).bit_length() // 8)) if len(gaps) else 1
+    return np.ascontiguousarray(gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
-    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        f = np.concatenate([np.frombuffer(x.as_buffer(), "<u8") for x in t.column("fps")])
-        e = np.concatenate([np.frombuffer(x.as_buffer(), _ENTRY) for x in t.column("entries")])
-        order = np.lexsort((e["set"], f))
-        f, e = f[order], e[order]
-        keep = np.r_[True, (f[1:] != f[:-1]) | (e["set"][1:] != e["set"][:-1])]
-        f, e = f[keep], e[keep]
-        first = np.flatnonzero(np.r_[True, f[1:] != f[:-1]])
-        df = np.diff(np.r_[first, len(f)])
-        df = np.repeat(df, df).astype("<u4")
-        f, e, df = f[df > 1], e[df > 1], df[df > 1]
-        order, held, cuts = by_bucket(part_of(e["set"], parts))
-        f, e, df = f[order], e[order], df[order]
-        cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())
-        return pa.table({"part": pa.array(held.astype(np.int32)), "fps": cut(f), "entries": cut(e), "dfs": cut(df)})
+
+def _unpacked_gaps(first: int, n: int, raw: bytes) -> np.ndarray:
+    gaps = np.zeros((n, 8), np.uint8)
+    gaps[0] = np.frombuffer(np.uint64(first).tobytes(), np.uint8)
+    if n > 1:
+        width = len(raw) // (n - 1)
+        gaps[1:, :width] = np.frombuffer(raw, np.uint8).reshape(width, n - 1).T
+    return np.cumsum(gaps.view("<u8").ravel(), dtype=np.uint64)
+
+
+_SENT = "bucket int, slice long, n int, first long, gaps binary, counts binary"
+
+
+def _shingles(k: int, bits: int, buckets: int):
+    """Keys and frequencies by bucket, in buckets 0 and up; ids of sets in buckets -1 and down."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                s = _Slice(row, k, bits, buckets)
+                keys = [(b, j - i, int(s.keys[i : i + 1].view(np.int64)[0]), _packed_gaps(s.keys[i:j]), s.count[i:j].tobytes()) for b, i, j in s.cuts]
+                sets = [(-1 - b, j - i, 0, s.own[i:j].astype("<i8").tobytes(), None) for b, i, j in s.own_cuts]
+                if keys:
+                    cols = list(zip(*keys, *sets, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array([row["slice"]] * len(cols[0])), *(pa.array(x, t) for x, t in zip(cols[1:], (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True))], _SENT.replace(",", "").split()[::2])
 
     return run
 
 
-def _candidates(percent: int):
+_REPLY = "slice long, bucket int, reply binary"
+
+
+def _replies(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+    """To each slice a byte for each key that it sent: 0 if no other set holds it, else a class of its frequency in all slices. For
+    ids of sets: 1 if the slice is the least that has the set."""
+    t = t.sort_by("slice")
+    n, slices = t.column("n").to_numpy(), t.column("slice").to_numpy()
+    cuts = np.r_[0, np.cumsum(n)]
+    if key[0].as_py() < 0:
+        sets = np.concatenate([np.frombuffer(x.as_buffer(), "<i8") for x in t.column("gaps")])
+        flat = np.zeros(len(sets), np.uint8)
+        flat[np.unique(sets, return_index=True)[1]] = 1
+    else:
+        keys = np.empty(cuts[-1], np.uint64)
+        counts = np.empty(cuts[-1], np.uint8)
+        for i, (m, first, raw, count) in enumerate(zip(n.tolist(), t.column("first").to_pylist(), t.column("gaps"), t.column("counts"), strict=True)):
+            keys[cuts[i] : cuts[i + 1]] = _unpacked_gaps(int(np.int64(first).view(np.uint64)), m, raw.as_buffer())
+            counts[cuts[i] : cuts[i + 1]] = np.frombuffer(count.as_buffer(), np.uint8)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        total = np.add.reduceat(counts[order].astype(np.int64), first)
+        kind = np.where(total > 1, np.minimum(1 + np.floor(4 * np.log2(total)), 255), 0).astype(np.uint8)
+        flat = np.empty(cuts[-1], np.uint8)
+        flat[order] = np.repeat(kind, np.diff(np.r_[first, len(keys)]))
+    return pa.table({"slice": pa.array(slices), "bucket": pa.array([key[0].as_py()] * len(n), pa.int32()), "reply": pa.array([flat[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())})
+
+
+def _candidates(k: int, bits: int, buckets: int, percent: int):
     """Sets that share enough shingles for a link: all shared shingles, rare ones first, and how many of them are the prefix."""
 
-    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        f, e, df = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in t.column(c)]) for c, kind in (("fps", "<u8"), ("entries", _ENTRY), ("dfs", "<u4")))
-        order = np.lexsort((f, df, e["set"]))
-        f, e = f[order], e[order]
-        cuts = np.r_[np.flatnonzero(np.r_[True, e["set"][1:] != e["set"][:-1]]), len(f)]
-        n, shared = e["n"][cuts[:-1]].astype(np.int64), np.diff(cuts)
+    def run(key: tuple[pa.Scalar, ...], slices: pa.Table, replies: pa.Table) -> pa.Table:
+        out = pa.table({"set": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "prefix": pa.array([], pa.int64()), "low": pa.array([], pa.int64()), "tokens": pa.array([], pa.binary())})
+        if not slices.num_rows or not replies.num_rows:
+            return out
+        s = _Slice(slices.to_pylist()[0], k, bits, buckets)
+        got = dict(zip(replies.column("bucket").to_pylist(), replies.column("reply"), strict=True))
+        join = lambda cuts, sign: np.concatenate([np.frombuffer(got[b if sign else -1 - b].as_buffer(), np.uint8) for b, _, _ in cuts])
+        kind = join(s.cuts, True)[s.key_of]
+        mine = s.own[join(s.own_cuts, False) > 0]
+        keep = (kind > 0) & np.isin(s.sets, mine)[s.text]
+        f, kind, text = s.fps[keep], kind[keep], s.text[keep]
+        if not len(f):
+            return out
+        order = np.lexsort((f, kind, text))
+        f, text = f[order], text[order]
+        cuts = np.r_[np.flatnonzero(np.r_[True, text[1:] != text[:-1]]), len(f)]
+        at = text[cuts[:-1]]
+        n, shared = s.size[at], np.diff(cuts)
         need = -(-percent * n // 100)
         low = np.minimum.reduceat(mix(f), cuts[:-1]).view(np.int64)
         stay = np.flatnonzero(shared >= need)
         return pa.table({
-            "set": pa.array(e["set"][cuts[stay]]), "n": pa.array(n[stay]), "prefix": pa.array((shared - need + 1)[stay]), "low": pa.array(low[stay]),
+            "set": pa.array(s.sets[at][stay]), "n": pa.array(n[stay].astype(np.int64)), "prefix": pa.array((shared - need + 1)[stay].astype(np.int64)), "low": pa.array(low[stay]),
             "tokens": pa.array([f[cuts[i] : cuts[i + 1]].tobytes() for i in stay], pa.binary()),
         })
 
@@ -228,7 +328,9 @@ def _set_labels(candidates: DataFrame, percent: int) -> DataFrame:
     again = _grouped(speak, "low", "label", "jaccard_large")
     moved = again.groupBy("low", "sub").applyInArrow(_inside(percent), "set long, was long, label long").where("was <> label").groupBy("was").agg(F.min("label").alias("to"))
     moved = saved(moved, "jaccard_moved")
-    return saved(inside.join(moved, inside["label"] == moved["was"], "left").select("set", F.coalesce("to", "label").alias("label")), "jaccard_labels")
+    out = saved(inside.join(moved, inside["label"] == moved["was"], "left").select("set", F.coalesce("to", "label").alias("label")), "jaccard_labels")
+    forget(inside, speak, moved)
+    return out
 
 
 def _links_between(candidates: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -243,11 +345,14 @@ def _links_between(candidates: DataFrame, labels: DataFrame, percent: int) -> Da
     prefix = saved(prefix.join(open_, "token", "left_semi"), "jaccard_prefixes")
     asked = prefix.groupBy("token", "group").agg(F.max("rank").alias("high"))
     pairs = saved(prefix.select("token", "set", "rank").join(asked, "token").where("rank < high").select("set", "group").distinct(), "jaccard_pairs")
+    forget(prefix)
     salts = pairs.groupBy("group").agg(F.ceil(F.count("*") / ASKING).alias("salts"))
     members = rows.join(salts, "group").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
     asking = rows.select("set", "n", "label", "tokens").join(pairs, "set").join(salts, "group").withColumn("salt", F.pmod(F.xxhash64("set"), F.col("salts")))
     side = lambda df: df.select("group", "salt", "n", "label", "tokens").toDF("group", "salt", "n", "label", "tokens").groupBy("group", "salt")
-    return side(members).cogroup(side(asking)).applyInArrow(_opened(percent), "a long, b long").distinct()
+    links = saved(side(members).cogroup(side(asking)).applyInArrow(_opened(percent), "a long, b long").distinct(), "jaccard_links")
+    forget(rows, pairs)
+    return links
 
 
 def _token_column():
@@ -264,9 +369,9 @@ def linked_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -
     for each input row. Rows without doc_id link nothing and have no component; of rows with one doc_id each counts by its own
     text. Other columns are left out. Shingles and sets are known by 64-bit hashes.
     """
-    rows = linked_sets(docs.select("doc_id", "text"), k, percent)
-    least = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
-    return rows.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    rows = saved(linked_sets(docs.select("doc_id", "text"), k, percent), "jaccard_rows")
+    least = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows"))
+    return spread_join(rows, least, "component", rows.count()).select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def linked_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -276,20 +381,26 @@ def linked_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> Data
     different components.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     own = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
     size = text_bytes(docs)
-    parts = parts_for(spark, size, SORTED)
+    buckets, bits = parts_for(spark, size, BUCKET), min(64, max(32, size.bit_length() + SPARE_BITS))
     each = saved(docs.mapInArrow(_set_rows(k), ", ".join([*own, "n_shingles long, set long"])), "jaccard_sets")
-    tokens = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(_shingles(k, parts), "bucket int, fps binary, entries binary")
-    path = write_table(tokens.groupBy("bucket").applyInArrow(_shared(parts), "part int, fps binary, entries binary, dfs binary"), "jaccard_shared", "lz4")
-    shared = spark.read.schema("part int, fps binary, entries binary, dfs binary").parquet(path)
-    candidates = saved(shared.groupBy("part").applyInArrow(_candidates(percent), _CANDIDATE), "jaccard_candidates")
-    drop(spark, path)
+    slices = saved(docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_slices, _SLICE_ROW), "jaccard_slices", "none")
+    sent = slices.mapInArrow(_shingles(k, bits, buckets), _SENT)
+    replies = saved(sent.groupBy("bucket").applyInArrow(_replies, _REPLY), "jaccard_replies")
+    both = slices.groupBy("slice").cogroup(replies.groupBy("slice"))
+    candidates = saved(both.applyInArrow(_candidates(k, bits, buckets, percent), _CANDIDATE), "jaccard_candidates")
+    forget(slices, replies)
     labels = _set_labels(candidates, percent)
-    whole = components(_links_between(candidates, labels, percent), "jaccard_components")
-    labels = labels.join(whole, labels["label"] == whole["node"], "left").select("set", F.coalesce(whole["label"], labels["label"]).alias("component"))
-    labels = saved(labels, "jaccard_final")
-    return each.join(labels, "set", "left").select(*(c for c in each.columns if c != "set"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "set")).alias("component"))
+    links = _links_between(candidates, labels, percent)
+    whole = components(links, "jaccard_components")
+    final = labels.join(whole, labels["label"] == whole["node"], "left").select("set", F.coalesce(whole["label"], labels["label"]).alias("component"))
+    copies = each.where("set IS NOT NULL").groupBy("set").agg(F.count("*").alias("n_rows"))
+    final = saved(final.join(copies, "set"), "jaccard_final")
+    forget(candidates, labels, links)
+    out = spread_join(each, final, "set", each.count())
+    return out.select(*(c for c in each.columns if c != "set"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "set")).alias("component"))
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
