@@ -1,8 +1,8 @@
 """Quality classifier by importance resampling: hashed n-gram generative models of the target and of the raw text give each
 document an importance, and Gumbel top-k samples by it.
 
-Two streams of tokens are modelled, words and forms of words (capitals, marks, repeats), each with its n-grams hashed to a fixed
-number of buckets. A document's importance is the sum of the two mean log ratios of its n-grams.
+A document is a bag of n-grams of words and of forms of words (capitals, marks, repeats), hashed to a fixed number of buckets of
+each kind. Its importance is the log ratio of its chances under the two models, the sum of its n-grams' log ratios.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ from .shingles import SPACES, shapes, text_slices, windows, words
 BUCKETS = 10_000
 #: n-grams of words, and of forms.
 ORDERS = ((1, 2), (1, 2, 3))
-#: Labelled documents that target model and threshold are fitted on, at most.
+#: Labelled documents that target model and threshold are fitted on, at most: those least by a hash of doc_id.
 LABELLED = 20_000
-#: Importance in units of the gap between good and bad documents, against Gumbel noise of scale 1.
-SHARPNESS = 40.0
+#: What importances are divided by before Gumbel noise of scale 1 is added.
+TEMPERATURE = 1.0
 SEED = 17
 #: Bytes of text that are scored at a time: n-grams of five orders are held for each word.
 SLICE = 1 << 18
@@ -68,9 +68,8 @@ def _scores(ratio, buckets: int, whole: bool = False):
                 part = batch.slice(a, b - a)
                 score, n = np.zeros(b - a), np.zeros(b - a, np.int64)
                 for bucket, text in _features(part.column("text"), buckets):
-                    size = np.bincount(text, minlength=b - a)
-                    score += np.bincount(text, weights=log[bucket], minlength=b - a) / np.maximum(size, 1)
-                    n += size
+                    score += np.bincount(text, weights=log[bucket], minlength=b - a)
+                    n += np.bincount(text, minlength=b - a)
                 cols = {c: part.column(c) for c in part.schema.names if whole or c != "text"}
                 yield pa.RecordBatch.from_arrays([*cols.values(), pa.array(n), pa.array(score)], [*cols, "n_features", "importance"])
 
@@ -79,11 +78,10 @@ def _scores(ratio, buckets: int, whole: bool = False):
 
 @dataclass
 class Model:
-    """Log ratios by bucket, the threshold between bad and good importances, and the gap between the classes."""
+    """Log ratios by bucket, and the threshold between importances of bad and good documents."""
 
     ratio: np.ndarray
     threshold: float
-    gap: float
 
 
 def labelled_sample(labels: DataFrame, most: int) -> DataFrame:
@@ -91,15 +89,15 @@ def labelled_sample(labels: DataFrame, most: int) -> DataFrame:
     return labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("good")).orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(most)
 
 
-def threshold_of(bad: np.ndarray, good: np.ndarray) -> tuple[float, float]:
-    """The cut with the least error rate of both classes together, in the middle where many are as good; the gap of the medians."""
+def threshold_of(bad: np.ndarray, good: np.ndarray) -> float:
+    """The cut with the least error rate of both classes together, in the middle of the gap there."""
     if not len(bad) or not len(good):
-        return -np.inf, 1.0
+        return -np.inf
     cuts = np.unique(np.concatenate([bad, good]))
     wrong = (1 - np.searchsorted(np.sort(bad), cuts, "left") / len(bad)) + np.searchsorted(np.sort(good), cuts, "left") / len(good)
     best = int(wrong.argmin())
     below = bad[bad < cuts[best]]
-    return float((cuts[best] + below.max()) / 2 if len(below) else cuts[best]), max(float(np.median(good) - np.median(bad)), 1e-6)
+    return float((cuts[best] + below.max()) / 2 if len(below) else cuts[best])
 
 
 def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, labelled: int = LABELLED) -> Model:
@@ -115,47 +113,57 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, labelled: in
     share = lambda x: np.concatenate([(y + 1) / (y.sum() + buckets) for y in np.split(x, 2)])
     ratio = np.log(share(target) / share(raw))
     seen = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select("good", "text")
-    known = np.array([(r["good"], r["importance"]) for r in seen.mapInArrow(_scores(spark.sparkContext.broadcast(ratio), buckets), "good int, n_features long, importance double").limit(4 * labelled).collect()]).reshape(-1, 2)
-    return Model(ratio, *threshold_of(known[known[:, 0] == 0, 1], known[known[:, 0] == 1, 1]))
+    known = np.array([(r["good"], r["importance"]) for r in seen.mapInArrow(_scores(spark.sparkContext.broadcast(ratio), buckets), "good int, n_features long, importance double").groupBy("good", "importance").agg(F.count("*")).collect()]).reshape(-1, 2)  # at most as many as the sample, but for ids with several texts
+    return Model(ratio, threshold_of(known[known[:, 0] == 0, 1], known[known[:, 0] == 1, 1]))
 
 
-def _perturbed(scored: DataFrame, model: Model, sharpness: float, seed: int) -> DataFrame:
-    weight = F.lit(1e9) if np.isinf(model.threshold) else (F.col("importance") - F.lit(model.threshold)) * F.lit(sharpness / model.gap)
-    chance = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "importance"), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
-    return scored.withColumn("weight", weight).withColumn("perturbed", F.col("weight") - F.log(-F.log(chance)))
+def _perturbed(scored: DataFrame, temperature: float, seed: int) -> DataFrame:
+    """Adds weight and perturbed to rows with importance and draw, a hash of the row."""
+    chance = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "draw"), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+    return scored.withColumn("weight", F.col("importance") / F.lit(temperature)).withColumn("perturbed", F.col("weight") - F.log(-F.log(chance)))
 
 
-def _sampled(docs: DataFrame, labels: DataFrame, buckets: int, labelled: int, sharpness: float, seed: int) -> tuple[Model, object, DataFrame, float]:
+def _wanted(scored: DataFrame, model: Model, keep: float | None) -> int:
+    """k: a number of documents, or a share of all; without it as many as have an importance over the threshold."""
+    if keep is None:
+        return scored.where(F.col("importance") >= F.lit(model.threshold)).count()
+    return int(keep) if keep > 1 else round(keep * scored.count())
+
+
+def _sampled(docs: DataFrame, labels: DataFrame, buckets: int, labelled: int, keep: float | None, temperature: float, seed: int) -> tuple[Model, object, DataFrame, float]:
     """The model, its ratios as a broadcast, all scores, and the perturbed importance of the last document that is sampled."""
     spark = docs.sparkSession
     small_batches(spark)
     model = fit(docs, labels, buckets, labelled)
     ratio = spark.sparkContext.broadcast(model.ratio)
-    scored = docs.select("doc_id", "text").mapInArrow(_scores(ratio, buckets), "doc_id long, n_features long, importance double")
-    scored = saved(_perturbed(scored, model, sharpness, seed), "quality_scores")
-    return model, ratio, scored, kth_largest(scored, "perturbed", scored.where("weight >= 0").count())
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("draw"), "text")
+    scored = rows.mapInArrow(_scores(ratio, buckets), "doc_id long, draw long, n_features long, importance double")
+    scored = saved(_perturbed(scored, temperature, seed), "quality_scores")
+    return model, ratio, scored, kth_largest(scored, "perturbed", _wanted(scored, model, keep))
 
 
-def classify(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, labelled: int = LABELLED, sharpness: float = SHARPNESS, seed: int = SEED) -> DataFrame:
-    """Sample the k documents with the largest perturbed importance, k being the number whose importance is over the threshold.
+def classify(docs: DataFrame, labels: DataFrame, keep: float | None = None, buckets: int = BUCKETS, labelled: int = LABELLED, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
+    """Sample k documents without replacement, each with a chance in proportion to the ratio of the models: the k largest of
+    importance / temperature + Gumbel noise, which is drawn from a hash of doc_id and text.
 
-    Returns doc_id, n_features, importance, weight (the importance's distance from the threshold, in units of the gap between the
-    classes, times sharpness), perturbed (weight plus Gumbel noise from a hash of doc_id) and selected, one row for each input
-    row. Documents tied at the cut all stay. A text without words, empty or null, has importance 0 and is judged as that. Rows
-    without doc_id are sampled like others. Without labels of both classes everything is selected.
+    keep is k, or if it is 1 or less its share of all documents. Without it k is the number of documents that are over the
+    threshold between labelled bad and good ones, so that as many are kept as look good. Returns doc_id, n_features, importance,
+    weight (importance / temperature), perturbed, over_threshold and selected, one row for each input row. Documents tied at the
+    cut all stay, so that rows with one doc_id and text come or go together. A text without words, empty or null, has importance
+    0. Rows without doc_id are sampled like others. Without labels of both classes everything is over the threshold.
     """
-    _, _, scored, cut = _sampled(docs, labels, buckets, labelled, sharpness, seed)
-    return scored.withColumn("selected", F.col("perturbed") >= F.lit(cut))
+    model, _, scored, cut = _sampled(docs, labels, buckets, labelled, keep, temperature, seed)
+    return scored.drop("draw").withColumns({"over_threshold": F.col("importance") >= F.lit(model.threshold), "selected": F.col("perturbed") >= F.lit(cut)})
 
 
-def select_documents(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, labelled: int = LABELLED, sharpness: float = SHARPNESS, seed: int = SEED) -> DataFrame:
+def select_documents(docs: DataFrame, labels: DataFrame, keep: float | None = None, buckets: int = BUCKETS, labelled: int = LABELLED, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
     """The rows of docs that classify() selects. Texts are scored once more rather than shuffled to meet their scores."""
-    model, ratio, _, cut = _sampled(docs, labels, buckets, labelled, sharpness, seed)
+    _, ratio, _, cut = _sampled(docs, labels, buckets, labelled, keep, temperature, seed)
     names = {c: f"_doc_{c}" for c in docs.columns if c not in ("doc_id", "text")}
-    rows = docs.withColumnsRenamed(names)
+    rows = docs.withColumnsRenamed(names).withColumn("draw", F.xxhash64("doc_id", "text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "n_features long", "importance double"])
-    scored = _perturbed(rows.mapInArrow(_scores(ratio, buckets, whole=True), schema), model, sharpness, seed)
-    added = ("n_features", "importance", "weight", "perturbed")
+    scored = _perturbed(rows.mapInArrow(_scores(ratio, buckets, whole=True), schema), temperature, seed)
+    added = ("draw", "n_features", "importance", "weight", "perturbed")
     return scored.where(F.col("perturbed") >= F.lit(cut)).drop(*added).withColumnsRenamed({v: k for k, v in names.items()}).select(*docs.columns)
 
 

@@ -155,5 +155,7 @@ def shapes(w: Words, hashes: np.ndarray) -> np.ndarray:
     last, near = w.data[w.end - 1].astype(np.uint64), w.data[np.maximum(w.end - 2, w.start)].astype(np.uint64)
     form |= np.where(kind[w.end - 1] == 8, last, 0).astype(np.uint64) << np.uint64(8) | np.where(kind[np.maximum(w.end - 2, w.start)] == 8, near, 0).astype(np.uint64) << np.uint64(16)
     form |= (kind[w.start] == 2).astype(np.uint64) << np.uint64(4) | np.minimum(w.end - w.start, 2).astype(np.uint64) << np.uint64(24)
-    form[1:] |= (hashes[1:] == hashes[:-1]).astype(np.uint64) << np.uint64(5)
+    again = np.r_[False, hashes[1:] == hashes[:-1]]
+    again[w.first[w.first < len(hashes)]] = False  # a text's first word has none before it
+    form |= again.astype(np.uint64) << np.uint64(5)
     return mix((form + np.uint64(1)) * _STEP)
