@@ -3,12 +3,12 @@
 The index is a list of sorted immutable runs. A run is a table bucketed by the fingerprint's high bits, one row for each
 bucket with its sorted fingerprints; a batch is merge-joined with the runs bucket by bucket, its own new fingerprints become
 one more run, and runs of like size are merged into one (compaction). A match is verified by a second, independent hash that is
-kept beside each fingerprint, so that 96 bits of two hash families have to agree.
+kept beside each fingerprint, so that 96 bits of two hash families have to agree. A manifest names the runs, so that an index can
+be opened again and take further batches.
 """
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop, exists, freed_shuffles, parts_for, saved, table, work_path
+from .common import drop, exists, freed_shuffles, names_in, parts_for, saved, small_batches, table, work_path
 from .shingles import by_bucket, mix, text_slices, windows, words
 
 WINDOW = 13
@@ -74,20 +74,32 @@ def _held(f: np.ndarray, c: np.ndarray, fps: np.ndarray, checks: np.ndarray) ->
     return hit
 
 
-def _fingerprints(window: int, buckets: int):
-    """(bucket, fingerprints, checks, doc_ids) of the windows of each slice of documents."""
+def _by_part(f: np.ndarray, c: np.ndarray, d: np.ndarray, parts: int) -> tuple[list[int], list[list[bytes]]]:
+    """The parts of some hits' documents, and each part's fingerprints, checks and ids."""
+    order, held, cuts = by_bucket(part_of(d, parts))
+    return held.tolist(), [[x[order][i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)] for x in (f, c, d)]
+
+
+def _fingerprints(window: int, buckets: int, parts: int):
+    """(bucket, fingerprints, checks, doc_ids) of the windows of each slice of documents. A window comes once from a slice, with the
+    least of its documents; that the others have it too goes to buckets -1 and down, by part of the document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in text_slices(batch):
                 w = words(batch.column("text").slice(a, b - a))
-                fps, text, at = windows(w.hashes(), w.first, window)
-                checks = windows(w.hashes(1), w.first, window, seed=1)[0].astype(np.uint32)
-                ids = batch.column("doc_id").slice(a, b - a).to_numpy(zero_copy_only=False)[text]
-                order, held, cuts = by_bucket((fps >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32))
-                fps, checks, ids = fps[order], checks[order], ids[order].astype(np.int64)
-                ranges = list(zip(cuts, cuts[1:], strict=False))
-                yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), *(pa.array([x[i:j].tobytes() for i, j in ranges], pa.binary()) for x in (fps, checks, ids))], ["bucket", "fps", "checks", "ids"])
+                f, text, at = windows(w.hashes(), w.first, window)
+                c = windows(w.hashes(1), w.first, window, seed=1)[0].astype(np.uint32)
+                d = batch.column("doc_id").slice(a, b - a).to_numpy(zero_copy_only=False)[text].astype(np.int64)
+                order = np.lexsort((d, c, f))
+                f, c, d = f[order], c[order], d[order]
+                new = np.r_[True, (f[1:] != f[:-1]) | (c[1:] != c[:-1])] if len(f) else np.zeros(0, bool)
+                more = (d > d[new][np.cumsum(new) - 1]) if len(f) else new
+                bucket = (f[new] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                _, held, cuts = by_bucket(bucket)  # fingerprints are in order, so are buckets
+                own = [[x[new][i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)] for x in (f, c, d)]
+                part, hits = _by_part(f[more], c[more], d[more], parts)
+                yield pa.RecordBatch.from_arrays([pa.array([*held.tolist(), *(-1 - x for x in part)], pa.int32()), *(pa.array([*x, *y], pa.binary()) for x, y in zip(own, hits, strict=True))], ["bucket", "fps", "checks", "ids"])
 
     return run
 
@@ -99,27 +111,24 @@ def _merge(parts: int):
         bucket = key[0].as_py()
         join = lambda c, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in batch.column(c)] or [np.zeros(0, kind)])
         f, c, d = join("fps", "<u8"), join("checks", "<u4"), join("ids", "<i8")
-        order = np.lexsort((d, c, f))
-        f, c, d = f[order], c[order], d[order]
-        new = np.r_[True, (f[1:] != f[:-1]) | (c[1:] != c[:-1])] if len(f) else np.zeros(0, bool)
-        at = np.cumsum(new) - 1
-        known = _held(f[new], c[new], *_run_of(index))
-        hit = known[at] | (d > d[new][at]) if len(f) else new
-        hf, hd = f[hit], d[hit]
-        again = np.r_[False, (hf[1:] == hf[:-1]) & (hd[1:] == hd[:-1])] if len(hf) else np.zeros(0, bool)
-        hf, hd = hf[~again], hd[~again]
-        order, held, cuts = by_bucket(part_of(hd, parts))
-        hf, hd = hf[order], hd[order]
-        fresh = np.flatnonzero(new)[~known]
-        row = _run_row(bucket, f[fresh], c[fresh])
-        cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())
-        hits = pa.table({"bucket": pa.array([bucket] * len(held), pa.int32()), "part": pa.array(held.astype(np.int32)), "fps": cut(hf), "ids": cut(hd), "kind": pa.array([HITS] * len(held), pa.int32())})
-        for name in ("part", "fps", "ids"):
-            row = row.append_column(name, pa.nulls(1, hits.schema.field(name).type))
-        row = row.append_column("kind", pa.array([WINDOWS], pa.int32()))
-        for name in ("n", "gaps", "checks"):
-            hits = hits.append_column(name, pa.nulls(len(hits), row.schema.field(name).type))
-        return pa.concat_tables([hits.select(BATCH), row.select(BATCH)][: 1 + bool(len(fresh))])
+        row = None
+        if bucket >= 0:
+            order = np.lexsort((d, c, f))
+            f, c, d = f[order], c[order], d[order]
+            new = np.r_[True, (f[1:] != f[:-1]) | (c[1:] != c[:-1])] if len(f) else np.zeros(0, bool)
+            at = np.cumsum(new) - 1
+            known = _held(f[new], c[new], *_run_of(index))
+            hit = known[at] | (d > d[new][at]) if len(f) else new
+            fresh = np.flatnonzero(new)[~known]
+            row = _run_row(bucket, f[fresh], c[fresh]) if len(fresh) else None
+            f, c, d = f[hit], c[hit], d[hit]
+        part, hits = _by_part(f, c, d, parts)
+        out = pa.table({"bucket": pa.array([bucket] * len(part), pa.int32()), "part": pa.array(part, pa.int32()), **{name: pa.array(x, pa.binary()) for name, x in zip(("fps", "checks", "ids"), hits, strict=True)}, "kind": pa.array([HITS] * len(part), pa.int32())})
+        out = out.append_column("n", pa.nulls(len(part), pa.int64())).append_column("gaps", pa.nulls(len(part), pa.binary())).select(BATCH)
+        if row is None:
+            return out
+        row = row.append_column("part", pa.nulls(1, pa.int32())).append_column("fps", pa.nulls(1, pa.binary())).append_column("ids", pa.nulls(1, pa.binary())).append_column("kind", pa.array([WINDOWS], pa.int32()))
+        return pa.concat_tables([out, row.select(BATCH)])
 
     return run
 
@@ -129,84 +138,125 @@ def part_of(ids: np.ndarray, parts: int) -> np.ndarray:
 
 
 def by_document(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-    """One row for each document of a part, with its fingerprints."""
-    f = np.concatenate([np.frombuffer(x.as_buffer(), "<u8") for x in t.column("fps")])
-    d = np.concatenate([np.frombuffer(x.as_buffer(), "<i8") for x in t.column("ids")])
-    order = np.argsort(d, kind="stable")
-    f, d = f[order], d[order]
+    """One row for each document of a part, with its fingerprints and their checks."""
+    f, c, d = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in t.column(name)]) for name, kind in (("fps", "<u8"), ("checks", "<u4"), ("ids", "<i8")))
+    order = np.lexsort((c, f, d))
+    f, c, d = f[order], c[order], d[order]
     cuts = np.r_[np.flatnonzero(np.r_[True, d[1:] != d[:-1]]), len(d)]
-    return pa.table({"id": d[cuts[:-1]], "hits": pa.array([f[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())})
+    ranges = list(zip(cuts, cuts[1:], strict=False))
+    return pa.table({"id": d[cuts[:-1]], "hits": pa.array([f[i:j].tobytes() for i, j in ranges], pa.binary()), "hit_checks": pa.array([c[i:j].tobytes() for i, j in ranges], pa.binary())})
+
+
+_HITS = "part int, fps binary, checks binary, ids binary"
 
 
 class WindowIndex:
-    """Fingerprints of all windows seen so far, in runs of FANOUT-fold levels. Runs are bucketed tables, so that merges move no rows."""
+    """Fingerprints of all windows seen so far, in runs of FANOUT-fold levels. Runs are bucketed tables, so that merges move no rows.
+
+    The index lives in the folder `path`. Each change of its runs writes a new manifest beside the old one; open() reads the latest.
+    """
 
-    def __init__(self, spark: SparkSession, buckets: int):
-        self.spark, self.buckets, self.runs = spark, buckets, []
+    def __init__(self, spark: SparkSession, path: str, buckets: int, window: int = WINDOW):
+        self.spark, self.path, self.buckets, self.window, self.version = spark, path, buckets, window, 0
+        self.runs: list[tuple[int, str, int]] = []
         self.files = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> WindowIndex:
+        """The index that an earlier session has left in `path`."""
+        last = max((n for n in names_in(spark, path) if n.startswith("manifest-") and exists(spark, f"{path}/{n}/_SUCCESS")), key=lambda n: int(n.split("-")[1]))
+        rows = spark.read.schema("buckets int, window int, level int, name string, files int").parquet(f"{path}/{last}").collect()  # one row for each run
+        out = cls(spark, path, rows[0]["buckets"], rows[0]["window"])
+        out.version = int(last.split("-")[1])
+        for r in rows:
+            if r["name"]:
+                spark.sql(f"CREATE TABLE IF NOT EXISTS {r['name']} ({RUN}, part int, fps binary, ids binary, kind int) USING parquet PARTITIONED BY (kind) CLUSTERED BY (bucket) INTO {r['files']} BUCKETS LOCATION '{path}/{r['name']}'")
+                spark.sql(f"MSCK REPAIR TABLE {r['name']}")
+                out.runs.append((r["level"], r["name"], r["files"]))
+        return out
+
     def _write(self, df: DataFrame, level: int) -> str:
         """A run's table, bucketed as its rows are dealt already."""
         name = f"window_run_{uuid.uuid4().hex}"
-        path = work_path(self.spark, name)
         with freed_shuffles(self.spark):
-            df.write.format("parquet").option("compression", "zstd").option("path", path).partitionBy("kind").bucketBy(self.files, "bucket").saveAsTable(name)
-        self.runs.append((level, name, path))
-        return path
+            df.write.format("parquet").option("compression", "zstd").option("path", f"{self.path}/{name}").partitionBy("kind").bucketBy(self.files, "bucket").saveAsTable(name)
+        self.runs.append((level, name, self.files))
+        return f"{self.path}/{name}"
 
     def _read(self, run: tuple) -> DataFrame:
         return self.spark.table(run[1]).where(f"kind = {WINDOWS}").select("bucket", "n", "gaps", "checks")
 
-    def _remove(self, run: tuple) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {run[1]}")
-        drop(self.spark, f"{run[2]}/kind={WINDOWS}")
-        self.runs.remove(run)
+    def _noted(self) -> None:
+        self.version += 1
+        rows = [(self.buckets, self.window, level, name, files) for level, name, files in self.runs] or [(self.buckets, self.window, 0, None, 0)]
+        self.spark.createDataFrame(rows, "buckets int, window int, level int, name string, files int").coalesce(1).write.parquet(f"{self.path}/manifest-{self.version}")
 
-    def add(self, docs: DataFrame, window: int, parts: int) -> DataFrame:
-        """Match a batch with the index and with itself, and keep its windows. Rows (part, fps, ids) of the windows that occur
-        in an earlier batch or in a document of this batch with a smaller id."""
-        new = docs.select("doc_id", "text").where("doc_id IS NOT NULL").mapInArrow(_fingerprints(window, self.buckets), "bucket int, fps binary, checks binary, ids binary")
+    def add(self, docs: DataFrame, parts: int) -> DataFrame | None:
+        """Match a batch with the index and with itself, and keep its windows. Rows (part, fps, checks, ids) of the windows that
+        occur in an earlier batch or in a document of this batch with a smaller id."""
+        new = docs.select("doc_id", "text").where("doc_id IS NOT NULL").mapInArrow(_fingerprints(self.window, self.buckets, parts), "bucket int, fps binary, checks binary, ids binary")
         known = self.spark.createDataFrame([], RUN)
         for i, run in enumerate(self.runs):
             known = known.unionByName(self._read(run)) if i else self._read(run)
         both = new.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_merge(parts), f"{RUN}, part int, fps binary, ids binary, kind int")
         path = self._write(both, 0)
-        self.compact()
-        return self.spark.read.schema("part int, fps binary, ids binary").parquet(f"{path}/kind={HITS}") if exists(self.spark, f"{path}/kind={HITS}") else None
-
-    def compact(self) -> None:
-        """Merge the runs of a level as long as one has FANOUT of them."""
+        gone = self.compact()
+        self._noted()
+        for run in gone:  # once no manifest names them
+            self.spark.sql(f"DROP TABLE IF EXISTS {run[1]}")
+            drop(self.spark, f"{self.path}/{run[1]}/kind={WINDOWS}")
+        return self.spark.read.schema(_HITS).parquet(f"{path}/kind={HITS}") if exists(self.spark, f"{path}/kind={HITS}") else None
+
+    def compact(self) -> list[tuple]:
+        """Merge the runs of a level as long as one has FANOUT of them; the runs that are no longer needed."""
+        gone = []
         while full := next((same for level in {r[0] for r in self.runs} if len(same := [r for r in self.runs if r[0] == level]) >= FANOUT), None):
             rows = self._read(full[0])
             for r in full[1:]:
                 rows = rows.groupBy("bucket").cogroup(self._read(r).groupBy("bucket")).applyInArrow(_compacted, RUN)
             self._write(rows.withColumn("kind", F.lit(WINDOWS)), full[0][0] + 1)
-            for r in full:
-                self._remove(r)
+            self.runs = [r for r in self.runs if r not in full]
+            gone += full
+        return gone
 
     def close(self) -> None:
-        for r in list(self.runs):
-            self._remove(r)
+        """Take the runs' tables out of the session's catalogue; the index stays in its folder."""
+        for r in self.runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {r[1]}")
+
 
+def _ranges(docs: DataFrame, batches: int) -> list[DataFrame]:
+    """docs in ascending ranges of doc_id."""
+    at = docs.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10000).alias("at")).first()["at"] if batches > 1 else None
+    edges, out = [None, *sorted(set(at or [])), None], []
+    for low, high in zip(edges, edges[1:], strict=False):
+        batch = docs if low is None else docs.where(F.col("doc_id") > low)
+        out.append(batch if high is None else batch.where(F.col("doc_id") <= high))
+    return out
 
-def duplicate_windows(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
-    """(id, hits): each document that has windows which also start in a document with a smaller id, and their fingerprints.
 
-    Documents enter the index in ascending ranges of doc_id. Rows without an id take no part; a repeated id is one document.
+def duplicate_windows(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES, index: WindowIndex | None = None) -> DataFrame:
+    """(id, hits, hit_checks): each document that has windows which also start in a document with a smaller id or are in the index,
+    and their fingerprints.
+
+    Documents enter the index in ascending ranges of doc_id; without an index they enter a new one that goes afterwards. Rows
+    without an id take no part; a repeated id is one document.
     """
     spark = docs.sparkSession
-    seen = docs.agg(F.sum(F.octet_length("text")).alias("n"), F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10000).alias("at")).first()
-    parts = parts_for(spark, seen["n"] or 0, 16 << 20)
-    index = WindowIndex(spark, parts_for(spark, seen["n"] or 0, 8 << 20))
-    edges, out = [None, *sorted(set(seen["at"] or [])), None], None
-    for low, high in zip(edges, edges[1:], strict=False):
-        batch = docs if low is None else docs.where(F.col("doc_id") > low)
-        hits = index.add(batch if high is None else batch.where(F.col("doc_id") <= high), window, parts)
-        out = hits if out is None else out if hits is None else out.unionByName(hits)
-    index.close()
-    if out is None:
-        out = spark.createDataFrame([], "part int, fps binary, ids binary")
-    return saved(out.groupBy("part").applyInArrow(by_document, "id long, hits binary"), "window_hits")
+    small_batches(spark)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    parts = parts_for(spark, size, 16 << 20)
+    own = index or WindowIndex(spark, work_path(spark, "window_index"), parts_for(spark, size, 8 << 20), window)
+    try:
+        found = [hits for batch in _ranges(docs, batches) if (hits := own.add(batch, parts)) is not None]
+        out = spark.createDataFrame([], _HITS) if not found else found[0]
+        for hits in found[1:]:
+            out = out.unionByName(hits)
+        return saved(out.groupBy("part").applyInArrow(by_document, "id long, hits binary, hit_checks binary"), "window_hits")
+    finally:
+        if index is None:
+            own.close()
+            drop(spark, own.path)
 
 
 def _kept(window: int):
@@ -214,13 +264,15 @@ def _kept(window: int):
         for batch in batches:
             for a, b in text_slices(batch):
                 w = words(batch.column("text").slice(a, b - a))
-                hits = batch.column("hits").slice(a, b - a).to_pylist()
+                hits, hit_checks = (batch.column(c).slice(a, b - a).to_pylist() for c in ("hits", "hit_checks"))
                 fps, text, at = windows(w.hashes(), w.first, window)
+                checks = windows(w.hashes(1), w.first, window, seed=1)[0].astype(np.uint32) if any(hits) else None
                 edge = np.searchsorted(text, np.arange(len(hits) + 1))
                 cover = np.zeros(len(w.start) + 1, np.int32)
                 for i, h in enumerate(hits):
                     if h:
-                        s = at[edge[i] : edge[i + 1]][np.isin(fps[edge[i] : edge[i + 1]], np.frombuffer(h, "<u8"))]
+                        mine = slice(edge[i], edge[i + 1])
+                        s = at[mine][_held(fps[mine], checks[mine], np.frombuffer(h, "<u8"), np.frombuffer(hit_checks[i], "<u4"))]
                         np.add.at(cover, s, 1)
                         np.add.at(cover, s + window, -1)
                 gone = np.cumsum(cover)[:-1] > 0
@@ -232,22 +284,23 @@ def _kept(window: int):
                     low = w.start[x] if y > x else 0
                     texts.append(b" ".join([raw[s:e] for s, e in zip((w.start[stay] - low).tolist(), (w.end[stay] - low).tolist(), strict=True)]).decode())
                     removed.append(int(y - x - len(stay)))
-                keep = [c for c in batch.schema.names if c != "hits"]
+                keep = [c for c in batch.schema.names if c not in ("hits", "hit_checks")]
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(w.counts()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], [*keep, "n_words", "n_removed", "kept_text"])
 
     return run
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES, index: WindowIndex | None = None) -> DataFrame:
     """Remove each word covered by a window of `window` words that also starts in a document with a smaller doc_id.
 
     Returns doc_id, n_words, n_removed and kept_text (kept words joined by a space), one row for each input row. A null or
     empty text has no words. A row without doc_id keeps all its words and covers none of others; rows with one doc_id are one
-    document; other columns, whatever their names, are left out.
+    document; other columns, whatever their names, are left out. With an index, windows of its earlier batches are removed too,
+    and these documents' windows stay in it.
     """
-    hits = duplicate_windows(docs, window, batches)
-    rows = docs.select("doc_id", "text").join(hits, F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "hits")
+    hits = duplicate_windows(docs, window, batches, index)
+    rows = docs.select("doc_id", "text").join(hits, F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "hits", "hit_checks")
     out = rows.mapInArrow(_kept(window), "doc_id long, text string, n_words long, n_removed long, kept_text string")
     return out.drop("text")
 
