@@ -1,21 +1,24 @@
 """HTML extraction by consensus host paths.
 
 Each page's containers are scored by the prose in them; a page votes for the path of its best container, a chain of tags with
-their classes in general form. The votes of a host are counted in Spark, and every page is read again by its host's winning
-path. A page that has no such container is read by its own best one.
+their classes in general form. The votes of a host are counted in Spark; the paths with a large enough share of them win, so that
+a host may have several templates. Every page is read again by a winning path: that of its own best container if it is one, else
+the one with the most votes that the page has. A page that has none is read by its own best container.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import saved, small_batches, table
 
 # Kinds of HTML elements, and words of class and id names.
 RAW = "script|style|textarea|title|iframe|noembed|noframes|xmp|template|noscript"
@@ -25,56 +28,94 @@ FOREIGN = frozenset("svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 CONTAINERS = frozenset("article main section div td body center blockquote".split())
-DROPPED = frozenset("nav aside footer form button menu dialog label input head".split())
+DROPPED = frozenset("nav aside footer button menu dialog label input head".split())
 CLOSES_P = BLOCKS - {"body", "html"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPES = frozenset("table ul ol dl select html body".split())
 NOISE = frozenset("ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored banner cookie cookies consent gdpr notice notices alert popup modal overlay menu nav navbar navigation breadcrumb breadcrumbs sidebar side widget widgets share sharing social related recommended recommendations comment comments commentlist respond disqus discussion newsletter subscribe subscription signup login footer masthead topbar toolbar pagination pager promo promotion tags toc skip hidden print outbrain taboola".split())
 PROSE = frozenset("article articlebody post entry content story main text body title headline".split())
+COMMENTS = frozenset("comment comments commentlist respond disqus discussion".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|(?P<open><(?P<raw>{RAW})(?=[\s/>])(?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+>)(?:.*?</(?P=raw)(?=[\s/>])[^>]*>|.*\Z)|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+)>|<[!?/][^>]*>", re.IGNORECASE | re.DOTALL)
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|(?P<open><(?P<raw>{RAW})(?=[\s/>])(?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+>)(?:.*?</(?P=raw)(?=[\s/>])[^>]*>|.*\Z)|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+)>|<[!?/][^>]*>|<[!?/a-z][^>]*\Z", re.IGNORECASE | re.DOTALL)
 _ATTR = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.DOTALL)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
+#: A path wins that has this share of its host's votes.
+WIN = 0.2
+#: An element whose names speak of noise isn't noise if it has this share of the page's prose, or that one and an article inside.
+MOST, MUCH = 0.5, 0.3
+#: How sure it is that an element is noise: by what it is, or by its names.
+SURE, NAMED, NAMED_COMMENTS = 3, 2, 1
+
+
 class Element:
-    __slots__ = ("tag", "path", "noise", "parent", "prose", "links", "bonus")
+    """path is a hash of the chain of steps; inner says that this is an article or main part that nothing speaks against."""
 
-    def __init__(self, tag: str, path: str, noise: bool, parent: int, bonus: float):
-        self.tag, self.path, self.noise, self.parent, self.bonus = tag, path, noise, parent, bonus
+    __slots__ = ("tag", "path", "noise", "parent", "prose", "links", "bonus", "inner", "near")
+
+    def __init__(self, tag: str, path: int, noise: int, parent: int, bonus: float, inner: bool):
+        self.tag, self.path, self.noise, self.parent, self.bonus, self.inner = tag, path, noise, parent, bonus, inner
         self.prose = self.links = 0.0
 
 
-def _kind(tag: str, attrs: str) -> tuple[str, bool, float]:
-    """A tag's step in a path, whether what it holds is noise, and how much its names speak for an article."""
+def _kind(tag: str, attrs: str) -> tuple[str, int, float]:
+    """A tag's step in a path, how sure it is that what it holds is noise, and how much its names speak for an article."""
+    bonus = 25.0 if tag == "article" else 10.0 if tag == "main" else 0.0
+    sure = SURE if tag in DROPPED or tag in EMBEDS else NAMED if tag == "form" else 0
     if not attrs.strip():
-        return tag, tag in DROPPED or tag in EMBEDS, 25.0 if tag == "article" else 10.0 if tag == "main" else 0.0
+        return tag, sure, bonus
     have = {}
     for k, a, b, c, alone in _ATTR.findall(attrs):
         have.setdefault((k or alone).lower(), a or b or c)
     names = f"{have.get('class', '')} {have.get('id', '')}"
     own = {x.lower() for x in _NAME.findall(names)}
     prose = own & PROSE or "articlebody" in have.get("itemprop", "").lower()
-    noise = (
-        tag in DROPPED or tag in EMBEDS or own & NOISE and not (prose and not own & {"ad", "ads", "comment", "comments", "related", "share"}) or have.get("role", "").lower() in ROLES
-        or "hidden" in have or have.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", have.get("style", "")) is not None
-    )
+    if "hidden" in have or have.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", have.get("style", "")) is not None:
+        sure = SURE
+    elif sure < NAMED and (own & NOISE and not (prose and not own & {"ad", "ads", "comment", "comments", "related", "share"}) or have.get("role", "").lower() in ROLES):
+        sure = NAMED_COMMENTS if own & COMMENTS else NAMED
     step = ".".join([tag, *sorted({re.sub(r"\d+", "#", x) for x in have.get("class", "").split()})])
-    bonus = (25.0 if tag == "article" else 10.0 if tag == "main" else 0.0) + (15.0 if prose else 0.0)
-    return step, bool(noise) and tag not in ("html", "body"), bonus
+    return step, 0 if tag in ("html", "body") else sure, bonus + (15.0 if prose else 0.0)
 
 
 def parse(page: str) -> tuple[list[Element], list[tuple[int, str | None]]]:
     """Elements of a page and its stream: (element, text), or (element, None) where a block begins or ends. Element 0 is the page."""
     elements, stream, unclosed = _parse(page, frozenset())
-    return (elements, stream) if not unclosed else _parse(page, frozenset(unclosed))[:2]
+    if unclosed:
+        elements, stream, _ = _parse(page, frozenset(unclosed))
+    _judge(elements, stream)
+    return elements, stream
+
+
+def _judge(elements: list[Element], stream: list[tuple[int, str | None]]) -> None:
+    """Settle which elements are noise. Names are believed unless the element holds much of the page's prose; comments have to hold
+    an article besides. What stands in noise is noise. Parents come before their children in the list."""
+    size, inner = [0] * len(elements), [e.inner for e in elements]
+    for i, raw in stream:
+        if raw:
+            size[i] += len(raw.strip()) * (elements[i].tag != "a")
+    for i in range(len(elements) - 1, 0, -1):
+        e = elements[i]
+        if e.noise == SURE:
+            size[i], inner[i] = 0, False
+        size[e.parent] += size[i]
+        inner[e.parent] = inner[e.parent] or inner[i]
+    for i, e in enumerate(elements):
+        if e.noise in (NAMED, NAMED_COMMENTS):
+            share = size[i] / max(size[0], 1)
+            if share >= MUCH and inner[i] or share >= MOST and e.noise == NAMED:
+                e.noise = 0
+        if i and elements[e.parent].noise:
+            e.noise = SURE
+        e.near = i if e.tag in CONTAINERS else elements[e.parent].near if i else 0
 
 
 def _parse(page: str, hollow: frozenset[int]) -> tuple[list[Element], list[tuple[int, str | None]], list[int]]:
     """What parse() returns, the elements of `hollow` holding nothing; EMBEDS that their own end tags don't close."""
-    elements, stream, stack, at = [Element("", "", False, -1, 0.0)], [], [0], 0
-    embeds, unclosed = [], []
+    elements, stream, stack, at = [Element("", 0, 0, 0, 0.0, False)], [], [0], 0
+    embeds, unclosed, open_ = [], [], Counter()
 
     def text(until: int) -> None:
         if until > at and (raw := page[at:until]):
@@ -83,6 +124,7 @@ def _parse(page: str, hollow: frozenset[int]) -> tuple[list[Element], list[tuple
     def close(to: int, ended: bool = False) -> None:
         while len(stack) > to:
             i = stack.pop()
+            open_[elements[i].tag] -= 1
             if elements[i].tag in EMBEDS:
                 embeds.pop()
                 if not ended or len(stack) > to:
@@ -100,6 +142,8 @@ def _parse(page: str, hollow: frozenset[int]) -> tuple[list[Element], list[tuple
             continue
         tag = tag.lower()
         if m["end"]:
+            if not open_[tag]:
+                continue
             for k in range(len(stack) - 1, 0, -1):
                 if elements[stack[k]].tag == tag:
                     close(k, True)
@@ -109,14 +153,14 @@ def _parse(page: str, hollow: frozenset[int]) -> tuple[list[Element], list[tuple
             # a line break parts words, a rule parts blocks
             stream.append((stack[-1], None if tag == "hr" and not embeds else " ") if tag in ("br", "hr") else (stack[-1], ""))
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and open_["p"]:
             for k in range(len(stack) - 1, 0, -1):
                 if elements[stack[k]].tag == "p":
                     close(k)
                     break
                 if elements[stack[k]].tag in BLOCKS or elements[stack[k]].tag in EMBEDS:
                     break
-        if tag in SIBLINGS:
+        if tag in SIBLINGS and any(open_[x] for x in SIBLINGS[tag]):
             for k in range(len(stack) - 1, 0, -1):
                 if elements[stack[k]].tag in SIBLINGS[tag]:
                     close(k)
@@ -126,12 +170,13 @@ def _parse(page: str, hollow: frozenset[int]) -> tuple[list[Element], list[tuple
         step, noise, bonus = _kind(tag, m["attrs"])
         up = elements[stack[-1]]
         # formatting elements are no part of a path: they are left open by mistake too often
-        path = f"{up.path}>{step}" if tag in BLOCKS else up.path
-        elements.append(Element(tag, path, noise or up.noise, stack[-1], bonus))
+        path = xxhash.xxh64_intdigest(step, up.path) if tag in BLOCKS else up.path
+        elements.append(Element(tag, path, noise, stack[-1], bonus, tag in ("article", "main") and not noise))
         if tag in BLOCKS and not embeds:
             stream.append((stack[-1], None))
         if (not m["attrs"].endswith("/") or tag in BLOCKS or tag in EMBEDS - FOREIGN) and len(elements) - 1 not in hollow:
             stack.append(len(elements) - 1)
+            open_[tag] += 1
             if tag in EMBEDS:
                 embeds.append(stack[-1])
     text(len(page))
@@ -171,17 +216,19 @@ def best_container(elements: list[Element], stream: list[tuple[int, str | None]]
     """The container with the most prose: a block counts for the nearest container and by half for the one around it."""
     for i, text, links in blocks(elements, stream):
         worth = len(text) * (1 - min(1.0, links / len(text))) + 20 * len(re.findall(r"[,.;:!?]", text)) if len(text) > links else 0.0
-        share = 1.0
+        share, i = 1.0, elements[i].near
         while i > 0 and share > 0.2:
-            if elements[i].tag in CONTAINERS:
-                elements[i].prose += share * worth
-                elements[i].links += share * links
-                share /= 2
-            i = elements[i].parent
+            elements[i].prose += share * worth
+            elements[i].links += share * links
+            share, i = share / 2, elements[elements[i].parent].near
     best = max(range(len(elements)), key=lambda i: (elements[i].prose and elements[i].prose / (1 + elements[i].links / (elements[i].prose + 1)) * (1 + elements[i].bonus / 20), -i))
     return best if elements[best].prose > 0 else 0
 
 
+def _signed(path: int) -> int:
+    return path - (1 << 64) if path >> 63 else path
+
+
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, paths, sizes = [], [], []
@@ -191,40 +238,54 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 best = elements[best_container(elements, stream)]
                 if best.path:
                     hosts.append(host)
-                    paths.append(best.path)
+                    paths.append(_signed(best.path))
                     sizes.append(int(best.prose))
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], ["host", "path", "size"])
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.int64()), pa.array(sizes, pa.int64())], ["host", "path", "size"])
 
 
-def main_text(page: str | None, path: str | None) -> str:
-    """The blocks of the outermost elements with this path; of the page's best container where there is none."""
+def main_text(page: str | None, paths: list[int] | None) -> str:
+    """The blocks of the outermost elements with one of the host's paths; of the page's best container where there are none."""
     if not page:
         return ""
     elements, stream = parse(page)
-    chosen = {i for i, e in enumerate(elements) if path and e.path == path and e.tag in CONTAINERS and not e.noise}
-    text = "\n".join(t for _, t, _ in blocks(elements, stream, chosen)) if chosen else ""
-    return text or "\n".join(t for _, t, _ in blocks(elements, stream, {best_container(elements, stream)}))
+    best = best_container(elements, stream)
+    mine = _signed(elements[best].path)
+    for path in [mine] if mine in (paths or []) else paths or []:
+        chosen = {i for i, e in enumerate(elements) if e.tag in CONTAINERS and not e.noise and _signed(e.path) == path}
+        if chosen and (text := "\n".join(t for _, t, _ in blocks(elements, stream, chosen))):
+            return text
+    return "\n".join(t for _, t, _ in blocks(elements, stream, {best}))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [main_text(page, path) for page, path in zip(batch.column("html").to_pylist(), batch.column("path").to_pylist(), strict=True)]
+        texts = [main_text(page, paths) for page, paths in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
+def winning_paths(votes: DataFrame) -> DataFrame:
+    """(of, paths): each host's paths with a share of at least WIN of its votes, so 1 / WIN at most, those with more votes first.
+    Paths with equally many votes: more prose, then the lesser hash comes first."""
+    counts = votes.groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("size").alias("size"))
+    counts = saved(counts, "html_votes")
+    total = counts.groupBy(F.col("host").alias("of")).agg(F.sum("votes").alias("total"))
+    won = counts.join(total, F.col("host") == F.col("of")).where(F.col("votes") >= F.col("total") * WIN)
+    order = F.array_sort(F.collect_list(F.struct(-F.col("votes"), -F.col("size"), F.col("path"))))
+    return won.groupBy("of").agg(F.transform(order, lambda x: x["path"]).alias("paths"))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars (code points) of each row of pages (page_id, url, html).
 
     The text is the article's blocks, one on a line: character references decoded, white space inside a block made one space.
     Null or empty html gives an empty text. Rows without url, or whose url has no host, are one host of their own kind. Repeated
-    rows each give their row; other columns are left out. Paths with equally many votes: more prose, then the lesser path wins.
+    rows each give their row and their vote; other columns are left out. Memory follows a page's length, however deep it is.
     """
+    small_batches(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:/?#]+://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
-    votes = rows.select("host", "html").mapInArrow(_votes, "host string, path string, size long").groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("size").alias("size"))
-    order = F.row_number().over(Window.partitionBy("host").orderBy(F.col("votes").desc(), F.col("size").desc(), "path"))
-    won = saved(votes.withColumn("n", order).where("n = 1").select(F.col("host").alias("of"), "path"), "html_paths")
-    return rows.join(won, F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "path").mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
+    won = saved(winning_paths(rows.select("host", "html").mapInArrow(_votes, "host string, path long, size long")), "html_paths")
+    return rows.join(won, F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "paths").mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
