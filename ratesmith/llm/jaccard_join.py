@@ -29,7 +29,7 @@ GROUP = 256
 #: Sets that speak for a component when components of one kind are compared.
 DELEGATES = 4
 #: Sets that ask one group in one task.
-ASKING = 1024
+ASKING = 256
 #: Bytes of text in one slice, and bytes of text whose shingles are counted in one bucket.
 SLICE, BUCKET = 2 << 20, 8 << 20
 #: Bits of a shingle's hash, over those that number all bytes of text, by which its frequency is known: of 256 shingles one may
