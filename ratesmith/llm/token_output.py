@@ -66,8 +66,8 @@ def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 class PieceEncoder:
     """Ids of whole texts by a tokenizer that lowers case, marks the last token of a pre-token, and never lets a token cross ASCII
-    white space: each distinct piece is encoded once, with the tokenizers library. Pieces are known by a 64-bit hash,
-    their length and their outer bytes."""
+    white space: each distinct piece is encoded once, with the tokenizers library. Pieces are known by their length, their outer
+    bytes and a 64-bit hash, which no two pieces of one length up to eight bytes share."""
 
     def __init__(self, path: str, end_of_word: str = "</w>"):
         import os
@@ -243,7 +243,7 @@ def write_tokens(docs: DataFrame, path: str, make: Callable[[], PieceEncoder] =
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, raw in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-            file = int(re.search(r"part-(\d+)", path)[1])
+            file = path.rsplit("/", 1)[-1]  # names sort as the files were written, also where a task writes several
             start = size = crc = 0
             for ids, sizes, flags, values in read_blocks(raw.as_buffer()):
                 data, at, out = values.astype("<u4"), 0, []
@@ -253,13 +253,13 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         out.append((file, None if flag & NULL else d, start, size, crc))
                         start, size, crc = start + size, 0, 0
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), *[pa.int64()] * 4), strict=True)], ["file", "doc_id", "start", "n_tokens", "ids_crc32"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.string(), *[pa.int64()] * 4), strict=True)], ["file", "doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of each document in the files of write_tokens()."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0").select("path", "content")
-    rows = saved(files.mapInArrow(_documents, "file int, doc_id long, start long, n_tokens long, ids_crc32 long"), "token_rows")
+    rows = saved(files.mapInArrow(_documents, "file string, doc_id long, start long, n_tokens long, ids_crc32 long"), "token_rows")
     # one row for each file; a file has some 16 MB of text or a whole longer document
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     total = rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
