@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import freed_shuffles, saved, table, work_path
+from .common import freed_shuffles, saved, spread_join, table, work_path
 
 MAGIC = b"WARC/1.1\r\n"
 END = b"\r\n\r\n"
@@ -32,9 +32,9 @@ def _line(name: str, value: Column) -> Column:
 
 def revisits(pages: DataFrame, least: int) -> DataFrame:
     """(page_id, payload_sha256, refers_to) of the pages whose payload of at least `least` bytes a larger page_id has too."""
-    each = pages.select("page_id", F.sha2("payload", 256).alias("payload_sha256")).where(F.octet_length("payload") >= least)
-    owners = each.groupBy("payload_sha256").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("first")).where("first < refers_to").drop("first")
-    return each.join(owners, "payload_sha256").where("page_id < refers_to").distinct()
+    each = saved(pages.where(F.octet_length("payload") >= least).select("page_id", F.sha2("payload", 256).alias("payload_sha256")), "warc_payloads")
+    owners = each.groupBy("payload_sha256").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n_rows"))
+    return spread_join(each, owners, "payload_sha256", each.count()).where("page_id < refers_to").distinct()
 
 
 def write_warc(pages: DataFrame, path: str, least: int = REVISIT_BYTES, date: str = "2000-01-01T00:00:00Z") -> None:
