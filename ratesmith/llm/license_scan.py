@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import saved, small_batches, table
-from .shingles import NOT_LOWER_ALNUM, Words, text_slices, windows, words
+from .shingles import NOT_LOWER_ALNUM, Words, mix, text_slices, windows, words
 
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
@@ -26,6 +26,8 @@ ORDERS = (1, 2, 3)
 WIDTHS = (16, 64)
 #: Documents and units that the plain class is fitted on, at most.
 SAMPLE_DOCUMENTS, SAMPLE_UNITS = 2_000, 4_000
+#: Of each such document one unit and this share of the others; a unit of more characters is no example, all are scanned.
+UNIT_SHARE, UNIT_CHARS = 0.02, 4_096
 #: Varied copies of each template.
 VARIANTS = 40
 #: The share of plain units in the calibration part that may be taken for a licence.
@@ -210,18 +212,20 @@ def _varied(plain: list[str], rng: np.random.Generator) -> Iterator[tuple[str, i
 
 
 def _sampled_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of a few units of each document, by chance; those of a licence's words are left out."""
-    rng = np.random.default_rng(SEED)
+    """Texts of a few units of each document, chosen by a hash of their words, so that it doesn't matter how rows are dealt; those
+    of a licence's words, and those of over UNIT_CHARS characters, are left out."""
     for batch in batches:
         for a, b in text_slices(batch):
             w = words(batch.column("text").slice(a, b - a), NOT_LOWER_ALNUM, lower=True)
             low, high, text = cut_units(w)
-            order = rng.permutation(len(low))
+            h = w.hashes(SEED)
+            draw = mix(h[low] ^ mix(h[high - 1] + (high - low).astype(np.uint64)) ^ mix(low.astype(np.uint64) - w.first[text].astype(np.uint64)))
+            order = np.lexsort((low, draw, text))
             _, first = np.unique(text[order], return_index=True)
-            chosen = np.concatenate([order[first], order[rng.random(len(order)) < 0.02]]) if len(order) else order
-            found = [unit_words(w, low[i], high[i]) for i in np.unique(chosen)]
+            chosen = np.unique(np.concatenate([order[first], np.flatnonzero(draw < np.uint64(int(UNIT_SHARE * 2**64)))]))
+            found = [unit_words(w, low[i], high[i]) for i in chosen]
             found = [" ".join(x) for x in found if max(share for _, share in matches(x).values()) < CONFIRM / 2]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x in found if len(x) < 4096], pa.string())], ["unit"])
+            yield pa.RecordBatch.from_arrays([pa.array([x for x in found if len(x) < UNIT_CHARS], pa.string())], ["unit"])
 
 
 def _calibrated(logits: np.ndarray, label: np.ndarray) -> tuple[float, float, np.ndarray]:
@@ -243,7 +247,10 @@ def _calibrated(logits: np.ndarray, label: np.ndarray) -> tuple[float, float, np
 
 
 def fit(docs: DataFrame) -> Model:
-    """Fit on varied templates, near misses and a bounded sample of the documents' units; three quarters train, a quarter calibrates."""
+    """Fit on varied templates, near misses and a bounded sample of the documents' units; three quarters train, a quarter calibrates.
+
+    The sample is at most SAMPLE_UNITS units of SAMPLE_DOCUMENTS documents, both the least by a hash of their own.
+    """
     spark = docs.sparkSession
     ids = saved(docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(SAMPLE_DOCUMENTS), "license_sample")
     # at most SAMPLE_DOCUMENTS ids are sent to all tasks
