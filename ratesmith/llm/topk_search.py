@@ -1,10 +1,12 @@
 """Exact top-k inner product search in norm buckets.
 
-Vectors are sorted by length and cut into buckets; queries are cut into blocks. A first pass over the bucket of the longest
-vectors gives each query a score that its k-th best has at least. With it a bucket has a local threshold for each query: the
-cosine that a vector of the bucket's greatest length needs. Buckets in which it is over 1 are not opened. Where it is high, the
-query's strongest coordinates bound what its partners' coordinates can be; elsewhere only vectors that are long enough are
-taken. What is left is verified by its exact product.
+Vectors are sorted by length and cut into buckets, runs of buckets are groups; queries are cut into blocks. A first pass over the
+group of the longest vectors gives each query a score that its k-th best has at least. With it a bucket has a local threshold for
+each query: the cosine that a vector of the bucket's greatest length needs. Groups in which it is over 1 for all queries of a block
+aren't sent the block, buckets aren't opened. Where it is high, the query's strongest coordinates bound what its partners'
+coordinates can be; elsewhere only vectors that are long enough are taken. What is left is verified by its exact product.
+
+A task has one group and some blocks of queries, goes through its buckets from the longest on, and keeps k results of each query.
 """
 
 from __future__ import annotations
@@ -13,17 +15,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import saved, small_batches, table
 
 SCALE, TOP, QUERY_EACH = 256, 5, 50
 BUCKET, BLOCK = 2048, 1024
+#: Buckets in a group, and blocks of queries that meet a group in one task.
+GROUP_BUCKETS, TASK_BLOCKS = 16, 8
+#: Components up to this are kept as 32-bit integers; buckets with larger ones hold doubles, which are whole numbers too.
+NARROW = float(1 << 31)
 #: From this local cosine on, coordinates prune.
 COORDINATE_COSINE = 0.8
 FOCUS = 4
-_PACK = "dim int, n int, longest double, ids binary, matrix binary, norms binary"
+_PACK = "dim int, n int, longest double, kind string, ids binary, matrix binary, norms binary"
 
 
 def _integers(scale: int):
@@ -36,13 +42,13 @@ def _integers(scale: int):
                     continue
                 v = v.to_numpy(zero_copy_only=False).astype(np.float64)
                 if np.isfinite(v).all():
-                    v = np.floor(scale * v)
-                    if np.abs(v).max() >= 1 << 31:
-                        raise ValueError("a component is out of range: over 2**31 when scaled")
+                    with np.errstate(over="ignore"):
+                        v = np.clip(np.floor(scale * v), -np.finfo(np.float64).max, np.finfo(np.float64).max)
+                    most = float(np.abs(v).max())
                     ids.append(i)
                     dims.append(len(v))
-                    vectors.append(v.astype("<i4").tobytes())
-                    norms.append(float(np.sqrt((v * v).sum())))
+                    vectors.append(v.astype("<i4" if most < NARROW else "<f8").tobytes())
+                    norms.append(float(most * np.sqrt(((v / most) ** 2).sum())) if most else 0.0)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(norms, pa.float64()), pa.array(vectors, pa.binary())], ["vec_id", "dim", "norm", "vector"])
 
     return run
@@ -56,8 +62,10 @@ def _packed(most: int):
 
         def pack(t: pa.Table) -> pa.RecordBatch:
             norms = t.column("norm").to_numpy()
-            matrix = b"".join(t.column("vector").to_pylist())
-            return pa.RecordBatch.from_arrays([pa.array([t.column("dim")[0].as_py()], pa.int32()), pa.array([len(t)], pa.int32()), pa.array([float(norms.max())]), *(pa.array([x], pa.binary()) for x in (t.column("vec_id").to_numpy().tobytes(), matrix, norms.tobytes()))], ["dim", "n", "longest", "ids", "matrix", "norms"])
+            dim, vectors = t.column("dim")[0].as_py(), t.column("vector").to_pylist()
+            kind = "<i4" if all(len(x) == 4 * dim for x in vectors) else "<f8"
+            matrix = b"".join(x if kind == "<i4" or len(x) == 8 * dim else np.frombuffer(x, "<i4").astype("<f8").tobytes() for x in vectors)
+            return pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([len(t)], pa.int32()), pa.array([float(norms.max())]), pa.array([kind]), *(pa.array([x], pa.binary()) for x in (t.column("vec_id").to_numpy().tobytes(), matrix, norms.tobytes()))], ["dim", "n", "longest", "kind", "ids", "matrix", "norms"])
 
         def flush(whole: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held
@@ -83,14 +91,22 @@ def _packed(most: int):
 
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = np.frombuffer(row["ids"], "<i8")
-    return ids, np.frombuffer(row["matrix"], "<i4").reshape(len(ids), -1), np.frombuffer(row["norms"], "<f8")
+    return ids, np.frombuffer(row["matrix"], row["kind"]).reshape(len(ids), -1), np.frombuffer(row["norms"], "<f8")
+
+
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 
 
 def _products(a: np.ndarray, b: np.ndarray, longest: float) -> np.ndarray:
-    """Exact inner products: whole numbers below 2**53 are exact as doubles."""
+    """Exact inner products, none of which is over `longest`: whole numbers below 2**53 are exact as doubles. Products that a long
+    can't hold become the least or the largest long."""
     if longest < 1 << 53:
         return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    return a.astype(np.int64) @ b.T.astype(np.int64)
+    if longest < 1 << 62 and a.dtype.kind == b.dtype.kind == "i":
+        return a.astype(np.int64) @ b.T.astype(np.int64)
+    whole = np.frompyfunc(int, 1, 1)
+    out = whole(a).astype(object) @ whole(b).astype(object).T if len(a) and len(b) else np.zeros((len(a), len(b)), object)
+    return np.clip(out, _LEAST, _MOST).astype(np.int64)
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,57 +119,70 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return ids[order], scores[order]
 
 
-def _search(k: int):
-    """Candidates of a bucket for a block of queries: at most k of each query, and none that its least score excludes."""
+_FOUND = "block long, query_id long, vec_id long, score long"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids, vectors, norms = _unpack(row)
-                qids, queries, qnorms = _unpack({c: row[f"q_{c}"] for c in ("ids", "matrix", "norms")})
-                least = np.frombuffer(row["least"], "<f8") if row["least"] is not None else np.full(len(qids), -np.inf)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    need = np.where(least > 0, least / qnorms * (1 - 1e-9), 0.0)  # of a partner's length
-                cosine = need / max(row["longest"], 1e-300)
-                open_ = np.flatnonzero(cosine <= 1)
-                out_q, out_v, out_s = [], [], []
-
-                def take(q: int, at: np.ndarray, scores: np.ndarray) -> None:
-                    ok = (scores >= least[q]) & (ids[at] != qids[q])  # noqa: B023
-                    v, s = _best(ids[at][ok], scores[ok], k)  # noqa: B023
-                    out_q.append(np.full(len(v), qids[q]))  # noqa: B023
-                    out_v.append(v)  # noqa: B023
-                    out_s.append(s)  # noqa: B023
-
-                longest = row["longest"] * (float(qnorms.max()) if len(qnorms) else 0.0)
-                for q in open_[cosine[open_] >= COORDINATE_COSINE]:
-                    # with coordinates u and x of two unit vectors their cosine is at most u x + sqrt((1 - u u)(1 - x x))
-                    at = np.arange(int(np.searchsorted(-norms, -need[q], "right")))
-                    unit = queries[q] / qnorms[q]
-                    for f in np.argsort(-np.abs(unit))[:FOCUS]:
-                        u, x = unit[f], vectors[at, f] / norms[at]
-                        at = at[u * x + np.sqrt(np.maximum(0, (1 - u * u) * (1 - x * x))) >= need[q] / norms[at] - 1e-9]
-                    take(int(q), at, _products(queries[q : q + 1], vectors[at], longest)[0])
-                rest = open_[cosine[open_] < COORDINATE_COSINE]
-                if len(rest):
-                    reach = np.searchsorted(-norms, -need[rest], "right")
-                    scores = _products(queries[rest], vectors[: reach.max()], longest)
-                    for q, n, s in zip(rest.tolist(), reach.tolist(), scores, strict=True):
-                        take(q, np.arange(n), s[:n])
-                cols = [np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (out_q, out_v, out_s)]
-                yield pa.RecordBatch.from_arrays([pa.array([row["block"]] * len(cols[0]), pa.int64()), *(pa.array(x) for x in cols)], ["block", "query_id", "vec_id", "score"])
 
-    return run
+def _bucket_best(row: dict, queries: tuple[np.ndarray, np.ndarray, np.ndarray], least: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query, ids, scores) of one bucket: at most k of each query, and none that its least score excludes."""
+    ids, vectors, norms = _unpack(row)
+    qids, asked, qnorms = queries
+    with np.errstate(divide="ignore", invalid="ignore"):
+        need = np.where((least > 0) & (qnorms > 0), least / qnorms * (1 - 1e-9), 0.0)  # of a partner's length
+    cosine = need / max(row["longest"], 1e-300)
+    open_ = np.flatnonzero(cosine <= 1)
+
+    def take(q: int, at: np.ndarray, scores: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+        ok = (scores >= least[q]) & (ids[at] != qids[q])
+        return q, *_best(ids[at][ok], scores[ok], k)
+
+    longest = row["longest"] * (float(qnorms.max()) if len(qnorms) else 0.0)
+    for q in open_[cosine[open_] >= COORDINATE_COSINE]:
+        # with coordinates u and x of two unit vectors their cosine is at most u x + sqrt((1 - u u)(1 - x x))
+        at = np.arange(int(np.searchsorted(-norms, -need[q], "right")))
+        unit = asked[q] / qnorms[q]
+        for f in np.argsort(-np.abs(unit))[:FOCUS]:
+            u, x = unit[f], vectors[at, f] / norms[at]
+            at = at[u * x + np.sqrt(np.maximum(0, (1 - u * u) * (1 - x * x))) >= need[q] / norms[at] - 1e-9]
+        yield take(int(q), at, _products(asked[q : q + 1], vectors[at], longest)[0])
+    rest = open_[cosine[open_] < COORDINATE_COSINE]
+    if len(rest):
+        reach = np.searchsorted(-norms, -need[rest], "right")
+        scores = _products(asked[rest], vectors[: reach.max()], longest)
+        for q, n, s in zip(rest.tolist(), reach.tolist(), scores, strict=True):
+            yield take(q, np.arange(n), s[:n])
 
 
-_FOUND = "block long, query_id long, vec_id long, score long"
+def _search(k: int):
+    """The k best of each query of some blocks in one group."""
+
+    def run(key: tuple[pa.Scalar, ...], buckets: pa.Table, blocks: pa.Table) -> pa.Table:
+        out = [np.zeros(0, np.int64)] * 4
+        group = sorted(buckets.to_pylist(), key=lambda r: -r["longest"]) if blocks.num_rows else []
+        for block in blocks.to_pylist() if group else []:
+            queries = _unpack(block)
+            n = len(queries[0])
+            least = np.frombuffer(block["least"], "<f8").copy() if block["least"] is not None else np.full(n, -np.inf)
+            ids: list[np.ndarray] = [np.zeros(0, np.int64)] * n
+            scores: list[np.ndarray] = [np.zeros(0, np.int64)] * n
+            for row in group:
+                for q, v, s in _bucket_best(row, queries, least, k):
+                    ids[q], scores[q] = _best(np.concatenate([ids[q], v]), np.concatenate([scores[q], s]), k)
+                    if len(ids[q]) == k:
+                        least[q] = max(least[q], float(scores[q][-1]) - (abs(float(scores[q][-1])) >= 1 << 53))
+            size = [len(x) for x in ids]
+            mine = [np.full(sum(size), block["block"]), np.repeat(queries[0], size), np.concatenate(ids), np.concatenate(scores)]
+            out = [np.concatenate([x, y]) for x, y in zip(out, mine, strict=True)]
+        return pa.table(dict(zip(("block", "query_id", "vec_id", "score"), (x.astype(np.int64) for x in out), strict=True)))
+
+    return run
 
 
-def _pairs(buckets: DataFrame, blocks: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """Search the named (block, bucket) pairs."""
-    q = blocks.select("block", *(F.col(c).alias(f"q_{c}") for c in ("ids", "matrix", "norms")), "least")
-    rows = pairs.join(buckets, "bucket").join(q, "block").select("block", "longest", "ids", "matrix", "norms", "q_ids", "q_matrix", "q_norms", "least")
-    return rows.mapInArrow(_search(k), _FOUND)
+def _met(buckets: DataFrame, blocks: DataFrame, first: Column, last: Column, k: int) -> DataFrame:
+    """Search groups number first to last - 1 for each block. TASK_BLOCKS blocks meet a group in one task."""
+    asks = blocks.withColumn("rank", F.explode(F.when(last > first, F.sequence(first, last - 1)))).withColumn("salt", F.floor(F.col("number") / TASK_BLOCKS))
+    tasks = asks.groupBy("dim", "rank").agg(F.collect_set("salt").alias("salts"))
+    sent = buckets.join(tasks, ["dim", "rank"]).withColumn("salt", F.explode("salts")).drop("salts")
+    return sent.groupBy("dim", "rank", "salt").cogroup(asks.groupBy("dim", "rank", "salt")).applyInArrow(_search(k), _FOUND)
 
 
 def top_k(vectors: DataFrame, query_each: int = QUERY_EACH, k: int = TOP, scale: int = SCALE) -> DataFrame:
@@ -163,28 +192,32 @@ def top_k(vectors: DataFrame, query_each: int = QUERY_EACH, k: int = TOP, scale:
     divisible by query_each; equal scores go to the smaller vec_id. Vectors that are null, empty, or have null or non-finite
     components, and rows without vec_id, take no part. Vectors of different dimensions have no product. A query never meets a
     row with its own vec_id; of query rows with one vec_id that with the least vector asks; candidate rows with one vec_id each
-    count. A component of 2**31 or more, when scaled, is an error.
+    count. A product that a long can't hold is the nearest long. Other columns are left out.
     """
     spark = vectors.sparkSession
+    small_batches(spark)
     rows = saved(vectors.select("vec_id", "embedding").mapInArrow(_integers(scale), "vec_id long, dim int, norm double, vector binary"), "topk_vectors")
-    n = rows.count()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")) // 4, -(-n // (16 * BUCKET)), 1)
+    n, parts_least = rows.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(parts_least // 4, -(-n // (GROUP_BUCKETS * BUCKET)), 1)
     sort = [F.col("dim"), F.col("norm").desc(), F.col("vec_id")]
-    number = lambda df, name: df.withColumn(name, F.monotonically_increasing_id())
-    buckets = saved(number(rows.repartitionByRange(parts, *sort).sortWithinPartitions(*sort).mapInArrow(_packed(BUCKET), _PACK), "bucket"), "topk_buckets")
+    packed = rows.repartitionByRange(parts, *sort).sortWithinPartitions(*sort).mapInArrow(_packed(BUCKET), _PACK)
+    buckets = saved(packed.withColumn("part", F.spark_partition_id()), "topk_buckets")
+    # groups are parts of a dimension, numbered from the longest vectors on; their greatest lengths are 8 bytes for some 30,000 vectors
+    groups = buckets.groupBy("dim", "part").agg(F.max("longest").alias("longest")).groupBy("dim").agg(F.array_sort(F.collect_list(F.struct("part", "longest"))).alias("groups"))
+    groups = saved(groups, "topk_groups")
+    ranks = groups.select("dim", F.posexplode("groups").alias("rank", "g")).select("dim", "rank", F.col("g.part").alias("part"))
+    buckets = saved(buckets.join(ranks, ["dim", "part"]).drop("part"), "topk_ranked")
     asking = rows.where(F.col("vec_id") % query_each == 0).groupBy("vec_id").agg(F.min(F.struct("dim", "norm", "vector")).alias("q")).select("vec_id", "q.*")
-    blocks = number(asking.repartitionByRange(max(1, -(-n // (query_each * 4 * BLOCK))), *sort).sortWithinPartitions(*sort).mapInArrow(_packed(BLOCK), _PACK), "block")
-    blocks = saved(blocks.withColumn("least", F.lit(None).cast("binary")), "topk_blocks")
-    # one row for each bucket and block, no vectors
-    known, asks = buckets.select("dim", "bucket", "longest"), blocks.select("dim", "block")
-    first = known.groupBy("dim").agg(F.max_by("bucket", F.struct("longest", -F.col("bucket"))).alias("bucket"))
-    seed = saved(_pairs(buckets, blocks, asks.join(first, "dim").select("block", "bucket"), k), "topk_seed")
+    blocks = asking.repartitionByRange(max(1, -(-n // (query_each * 4 * BLOCK))), *sort).sortWithinPartitions(*sort).mapInArrow(_packed(BLOCK), _PACK)
+    blocks = saved(blocks.withColumns({"block": F.monotonically_increasing_id(), "least": F.lit(None).cast("binary")}), "topk_blocks")
+    numbered = blocks.withColumn("number", F.pmod(F.col("block"), F.lit(1 << 33)) + F.shiftright("block", 33) * TASK_BLOCKS)
+    seed = saved(_met(buckets, numbered, F.lit(0), F.lit(1), k), "topk_seed")
     kth = seed.groupBy("block", "query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") >= k)
     learnt = blocks.join(kth.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "least"))).alias("scores")), "block", "left")
-    blocks = saved(learnt.mapInArrow(_with_least, f"block long, {_PACK}, least binary, need double"), "topk_asking")
-    pairs = known.join(blocks.select("dim", "block", "need"), "dim").where(F.col("longest") >= F.col("need")).select("block", "bucket")
-    pairs = pairs.join(first.select("bucket"), "bucket", "left_anti").repartition(max(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bucket", "block")
-    found = seed.unionByName(_pairs(buckets, blocks, pairs, k))
+    learnt = saved(learnt.mapInArrow(_with_least, f"block long, {_PACK}, least binary, need double"), "topk_asking")
+    reach = F.size(F.filter("groups", lambda g: g["longest"] >= F.col("need")))
+    learnt = learnt.join(groups, "dim").withColumns({"reach": reach, "number": F.pmod(F.col("block"), F.lit(1 << 33)) + F.shiftright("block", 33) * TASK_BLOCKS}).drop("groups")
+    found = seed.unionByName(_met(buckets, learnt, F.lit(1), F.col("reach"), k))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
@@ -196,10 +229,11 @@ def _with_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, _, norms = _unpack(row)
             scores = dict(row["scores"] or [])
             least = np.array([scores.get(int(i), -np.inf) for i in ids], "<f8")
+            least -= np.abs(least) >= 1 << 53  # a double may stand over the long that it was
             with np.errstate(divide="ignore", invalid="ignore"):
-                need = float(np.where(least > 0, least / norms * (1 - 1e-9), 0.0).min())
-            keep = ["block", "dim", "n", "longest", "ids", "matrix", "norms"]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.float64(), *[pa.binary()] * 3]
+                need = float(np.where((least > 0) & (norms > 0), least / norms * (1 - 1e-9), 0.0).min())
+            keep = ["block", "dim", "n", "longest", "kind", "ids", "matrix", "norms"]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.string(), *[pa.binary()] * 3]
             yield pa.RecordBatch.from_arrays([*(pa.array([row[c]], t) for c, t in zip(keep, kinds, strict=True)), pa.array([least.tobytes()], pa.binary()), pa.array([need])], [*keep, "least", "need"])
 
 
