@@ -1,7 +1,13 @@
-"""Benchmark decontamination: documents stream through a generalised suffix automaton of the normalised benchmark items."""
+"""Benchmark decontamination: documents stream through a generalised suffix automaton of the normalised benchmark items.
+
+Items are dealt to blocks by a hash, tasks build each block's automaton and write it to a working table, and documents pass a few
+automata at a time, so that neither the driver nor a task ever holds more of the benchmark than PASS automata.
+"""
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,12 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, table
+from .common import forget, saved, small_batches, table
 from .shingles import NOT_LOWER_ALNUM, text_slices, words
 
 WINDOW = 10
-#: Words of benchmark items in one automaton; more items make more automata, which documents pass one after the other.
-BLOCK_WORDS = 200_000
+#: Words of benchmark items in one automaton, about; more items make more automata.
+BLOCK_WORDS = 100_000
+#: Automata that documents meet in one pass; the driver and a task hold as many.
+PASS = 2
 #: A document with a larger share of hit words goes as a whole.
 MAX_COVERAGE = 0.5
 ORACLE_NAME = "op10_benchmark_decontamination"
@@ -135,24 +143,31 @@ def normalised(text: str | None) -> list[bytes]:
     return [w.data[a:b].tobytes() for a, b in zip(w.start, w.end, strict=True)]
 
 
-def item_blocks(benchmark: DataFrame, window: int, most: int) -> Iterator[ItemAutomaton]:
-    block, size = [], 0
-    for row in benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").toLocalIterator():
-        if item := normalised(row["text"]):
-            block.append((row["item_id"], item))
-            size += len(item)
-        if size >= most:
-            yield ItemAutomaton(block, window)
-            block, size = [], 0
-    if block:
-        yield ItemAutomaton(block, window)
+def _built(window: int):
+    """The automaton of one block of items, pickled and compressed."""
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        t = t.sort_by([("item_id", "ascending"), ("text", "ascending")])
+        items = [(i, item) for i, text in zip(t.column("item_id").to_pylist(), t.column("text").to_pylist(), strict=True) if (item := normalised(text))]
+        made = [zlib.compress(pickle.dumps(ItemAutomaton(items, window)), 1)] if items else []
+        return pa.table({"block": pa.array([key[0].as_py()] * len(made), pa.int64()), "automaton": pa.array(made, pa.binary())})
+
+    return run
+
+
+def item_automata(benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
+    """(block, automaton) of all items, in a working table. A block is a hash's share of the items, of about block_words words."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text IS NOT NULL")
+    total = items.agg(F.coalesce(F.sum(F.size(F.split("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))), F.lit(0)).alias("n")).first()["n"]
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-total // block_words))))
+    return saved(items.withColumn("block", block).groupBy("block").applyInArrow(_built(window), "block long, automaton binary"), "automata")
 
 
 def _stream(automaton):
     """Add each text's hit byte ranges and items of one automaton. Only runs of item words that are long enough for a window are streamed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto: ItemAutomaton = automaton.value
+        auto: ItemAutomaton = pickle.loads(zlib.decompress(automaton.value))
         known = words(pa.array([b" ".join(auto.vocab).decode()]), NOT_LOWER_ALNUM)
         vocab = np.sort(known.hashes())
         likely = np.zeros(1 << 22, bool)
@@ -173,7 +188,8 @@ def _stream(automaton):
                 left, right = cuts[:-1], cuts[1:]
                 runs = np.flatnonzero(ours[left] & (right - left >= auto.shortest)) if len(h) else []
                 doc = np.searchsorted(w.first, left[runs], "right") - 1 if len(h) else []
-                spans, items, longest = part.column("spans").to_pylist(), part.column("items").to_pylist(), part.column("longest").to_pylist()
+                spans = [[(x["a"], x["b"]) for x in own] for own in part.column("spans").to_pylist()]
+                items, longest = part.column("items").to_pylist(), part.column("longest").to_pylist()
                 for r, d in zip(runs, doc, strict=True):
                     x, y = int(left[r]), int(right[r])
                     low = int(w.start[x])
@@ -236,12 +252,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     """
     spark = docs.sparkSession
     small_batches(spark)
+    automata = item_automata(benchmark, window, block_words)
+    blocks = sorted(r["block"] for r in automata.select("block").collect())  # a number for each automaton
     added = ["spans", "items", "longest", "n_words", "n_hit", "cleaned"]
     docs = docs.drop(*added)
     rows = docs.withColumns({"spans": F.array().cast("array<struct<a:long,b:long>>"), "items": F.array().cast("array<string>"), "longest": F.lit(0).cast("long")})
     held = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
-    for automaton in item_blocks(benchmark, window, block_words):
-        rows = rows.mapInArrow(_stream(spark.sparkContext.broadcast(automaton)), held)
+    before = None
+    for at in range(0, len(blocks), PASS):
+        if at:  # what the passes before have found, with the documents; the last pass needs no table
+            rows = saved(rows, "decontaminated")
+            for x in sent:
+                x.destroy()
+            if before is not None:
+                forget(before)
+            before = rows
+        sent = [spark.sparkContext.broadcast(r["automaton"]) for r in automata.where(F.col("block").isin(blocks[at : at + PASS])).collect()]  # some MB each
+        for x in sent:
+            rows = rows.mapInArrow(_stream(x), held)
     out = T.StructType([f for f in held if f.name != "spans"]).add("n_words", "long").add("n_hit", "long").add("cleaned", "string")
     return rows.mapInArrow(_cleaned(max_coverage), out).withColumn("items", F.array_sort(F.array_distinct("items")))
 
