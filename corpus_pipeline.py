@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratesmith.llm.common import saved, table, work_path
+from ratesmith.llm.common import forget, saved, spread_join, table, work_path
 from ratesmith.llm.decontaminate import decontaminate
 from ratesmith.llm.jaccard_join import linked_sets
 from ratesmith.llm.mixing import mix
@@ -26,8 +26,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     known = docs.where("doc_id IS NOT NULL").withColumn("_text_hash", F.xxhash64("text"))
     linked = saved(linked_sets(known.select("doc_id", "_text_hash", "text"), k=5, percent=80), "near_duplicates")
     mine = F.struct("doc_id", "_text_hash")
-    least = linked.where("component IS NOT NULL").groupBy("component").agg(F.min(mine).alias("least"))
-    gone = saved(linked.join(least, "component").where(mine != F.col("least")).select("doc_id", "_text_hash").distinct(), "near_duplicates")
+    least = linked.where("component IS NOT NULL").groupBy("component").agg(F.min(mine).alias("least"), F.count("*").alias("n_rows"))
+    met = spread_join(linked, least, "component", linked.count())
+    gone = saved(met.where(mine != F.col("least")).select("doc_id", "_text_hash").distinct(), "near_duplicates")
+    forget(linked)
     again = F.row_number().over(Window.partitionBy("doc_id", "_text_hash").orderBy(F.xxhash64(*docs.columns)))
     rows = known.join(gone, ["doc_id", "_text_hash"], "left_anti").withColumn("_again", again).where("_again = 1")
     return rows.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
