@@ -49,8 +49,8 @@ def classify_methodology(c: Column) -> Column:
 
 def canonical_key(c: Column) -> Column:
     """A payer's name for look-ups: no codes of 4 to 8 digits and no company words."""
-    key = F.regexp_replace(F.lower(normalise_name(c)), r"\b\d{4,8}\b", " ")
-    key = F.regexp_replace(key, r"\b(inc|llc|corp|corporation|company|co|ltd|insurance|of|the)\b", " ")
+    key = F.regexp_replace(F.lower(normalise_name(c)), T.PAYER_CODES, " ")
+    key = F.regexp_replace(key, T.COMPANY_WORDS, " ")
     return F.trim(F.regexp_replace(key, r"\s+", " "))
 
 
@@ -81,6 +81,12 @@ def unpadded(c: Column) -> Column:
     return F.when(key.rlike(r"^\d+$"), F.regexp_replace(key, r"^0+(?=.)", "")).otherwise(key)
 
 
+def padded_revenue(c: Column) -> Column:
+    """A revenue code in four digits; codes that aren't digits stay."""
+    key = code_key(c)
+    return F.when(key.rlike(r"^\d{1,3}$"), F.lpad(key, 4, "0")).otherwise(key)
+
+
 def code_family(c: Column) -> Column:
     key = F.regexp_replace(code_key(c), "_", "-")
     return F.coalesce(*(F.when(key.isin(types), F.lit(family)) for family, types in T.CODE_FAMILIES.items()))
@@ -122,16 +128,21 @@ def row_codes(c: Column) -> Column:
 
 
 def split_label(c: Column) -> tuple[Column, Column]:
-    """Carrier and network of a file's label, cut at its first _."""
-    return F.split_part(c, F.lit("_"), F.lit(1)), F.regexp_extract(c, r"^[^_]*_(.*)$", 1)
+    """Carrier and network of a file's label, cut at its first _. Labels that begin with T.STATE_LABEL have a state between the two;
+    a label without _ is both."""
+    head, tail = F.split_part(c, F.lit("_"), F.lit(1)), F.regexp_extract(c, r"^[^_]*_(.*)$", 1)
+    product = F.regexp_extract(tail, r"^[^_]*_(.*)$", 1)
+    network = F.when((F.upper(head) == T.STATE_LABEL) & (product != ""), product).when(tail != "", tail).otherwise(head)
+    return head, network
 
 
 def place_setting(c: Column) -> Column:
-    """inpatient, outpatient or both from place-of-service codes joined by |; null if there are none."""
-    codes = F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\|"), F.trim), lambda x: (x != "") & ~x.startswith("CSTM"))
-    inside = F.exists(codes, lambda x: x.isin("21", "51", "61"))
-    outside = F.exists(codes, lambda x: ~x.isin("21", "51", "61"))
-    return F.when(inside & outside, "both").when(inside, "inpatient").when(outside, "outpatient")
+    """inpatient, outpatient or both from place-of-service codes joined by |. No codes and T.ANY_PLACE restrict nothing, which is
+    both; null if all codes are of other places, which the hospital side doesn't tell apart."""
+    whole = stripped(F.coalesce(c, F.lit("")))
+    codes = F.filter(F.transform(F.split(whole, r"\|"), lambda x: stripped(x)), lambda x: x != "")
+    inside, outside = (F.arrays_overlap(codes, F.array(*map(F.lit, places))) for places in (T.INPATIENT_PLACES, T.OUTPATIENT_PLACES))
+    return F.when((whole == T.ANY_PLACE) | (F.size(codes) == 0) | (inside & outside), "both").when(inside, "inpatient").when(outside, "outpatient")
 
 
 def expand_range(c: Column) -> Column:

@@ -66,46 +66,50 @@ def pair_join(left: DataFrame, right: DataFrame, days: int = T.VINTAGE_DAYS) ->
     return _met(left, right, "inner").withColumn("refusal", refusal("l_", "r_", days))
 
 
+def _fingerprint(columns: list[str]) -> dict[str, Column]:
+    """Two hashes that tell rows apart, nulls included."""
+    nulls = F.array(*(F.col(c).isNull() for c in columns))
+    return {"_h1": F.xxhash64(*columns, nulls), "_h2": F.xxhash64(F.lit(1), *columns, nulls)}
+
+
 def distribution_join(left: DataFrame, right: DataFrame, days: int = T.VINTAGE_DAYS, assumed: Column | None = None) -> DataFrame:
-    """One row for each left row (rows that are alike in all columns are one): outcome and the comparable payer rates' spread.
+    """One row for each left row: outcome and the comparable payer rates' spread. Left rows that are alike in all columns each give
+    their row and meet the same payer rates.
 
     assumed: for which left rows a missing billing class is read as facility. outcome is `compared`, a refusal's name, or no
     counterpart. A compared row has n, payer_min, payer_median, payer_max, networks, and the network and vintage of the rate
-    nearest to the median. The pairs are shuffled once, by the left row: the median is a window over what the group-by needs.
+    nearest to the median. Pairs are shuffled once, by 128 bits that stand for the left row, without its columns: the median is a
+    window over what the group-by needs, and the columns come back in a join of one row with one.
     """
     billing = F.when((X.folded(F.col("billing_class")) == "") & (assumed if assumed is not None else F.lit(False)), F.lit("facility")).otherwise(F.col("billing_class"))
     left = left.withColumn("stated_class", F.col("billing_class")).withColumn("billing_class", billing)
-    none = F.lit(None)
-    asking = left.where(~exempt(F.col("product_class")))
-    p = _met(asking, right, "left").withColumn("_any", F.col("r_system").isNotNull())
-    p = p.withColumn("_like", F.coalesce(F.col("_any") & (X.folded(F.col("l_billing_class")) == X.folded(F.col("r_billing_class"))), F.lit(False)))
-    p = p.withColumn("_reason", F.when(F.col("_like"), refusal("l_", "r_", days)))
+    columns, id_ = left.columns, ["_h1", "_h2"]
+    left = left.groupBy(*columns).agg(F.count("*").alias("_copies")).withColumns(_fingerprint(columns))
+    p = _met(left.where(~exempt(F.col("product_class"))).drop("_copies"), right, "inner")
+    like = F.coalesce(X.folded(F.col("l_billing_class")) == X.folded(F.col("r_billing_class")), F.lit(False))
+    p = p.select(F.col("l__h1").alias("_h1"), F.col("l__h2").alias("_h2"), like.alias("_like"), F.when(like, refusal("l_", "r_", days)).alias("_reason"), "r_rate", "r_plan", "r_vintage", "r_product_class")
     p = p.withColumn("_ok", F.when(F.col("_like") & F.col("_reason").isNull(), F.col("r_rate")))
-    keys = [f"l_{c}" for c in left.columns]
-    p = p.withColumn("_median", F.median("_ok").over(Window.partitionBy(*keys)))
+    p = p.withColumn("_median", F.median("_ok").over(Window.partitionBy(*id_)))
     near = F.struct(F.abs(F.col("_ok") - F.col("_median")), F.coalesce("r_plan", F.lit("")), "r_rate", "r_vintage")
     counted = [F.count_if(F.col("_reason") == reason).alias(f"_n_{i}") for i, reason in enumerate(T.REFUSALS)]
-    out = p.groupBy(*keys).agg(
-        F.count_if("_any").alias("_n_any"), F.count_if("_like").alias("_n_like"), F.count("_ok").alias("n"),
+    met = p.groupBy(*id_).agg(
+        F.count("*").alias("_n_any"), F.count_if("_like").alias("_n_like"), F.count("_ok").alias("n"),
         F.min("_ok").alias("payer_min"), F.first("_median").alias("payer_median"), F.max("_ok").alias("payer_max"),
         F.array_sort(F.collect_set(F.when(F.col("_ok").isNotNull() & (X.folded(F.col("r_plan")) != ""), F.col("r_plan")))).alias("networks"),
         F.min_by(F.when(F.col("_ok").isNotNull(), F.struct("r_plan", "r_vintage", "r_product_class")), F.when(F.col("_ok").isNotNull(), near)).alias("_near"), *counted,
     )
     most = F.greatest(*(F.col(f"_n_{i}") for i in range(len(T.REFUSALS))))
     majority = F.coalesce(*(F.when(F.col(f"_n_{i}") == most, F.lit(reason)) for i, reason in enumerate(T.REFUSALS)))
-    outcome = F.when(F.col("_n_any") == 0, T.NO_COUNTERPART).when(X.folded(F.col("l_billing_class")) == "", "billing_class_unstated")
+    outcome = F.when(exempt(F.col("product_class")), "tic_exempt_product").when(F.col("_n_any").isNull(), T.NO_COUNTERPART)
+    outcome = outcome.when(X.folded(F.col("billing_class")) == "", "billing_class_unstated")
     outcome = outcome.when(F.col("_n_like") == 0, "different_billing_class").when(F.col("n") == 0, majority).otherwise("compared")
-    out = out.withColumn("outcome", outcome)
+    out = left.join(met, id_, "left").withColumn("outcome", outcome).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
     done = F.col("outcome") == "compared"
-    out = out.select(
-        *(F.col(f"l_{c}").alias(c) for c in left.columns if c not in ("billing_class", "stated_class")), F.col("l_stated_class").alias("billing_class"), "outcome",
+    return out.select(
+        *(F.col(c) for c in columns if c not in ("billing_class", "stated_class")), F.col("stated_class").alias("billing_class"), "outcome",
         F.when(done, F.col("n")).otherwise(0).alias("n"), *(F.when(done, F.col(c)).alias(c) for c in ("payer_min", "payer_median", "payer_max", "networks")),
         *(F.when(done, F.col(f"_near.r_{c}")).alias(f"payer_{c}") for c in ("plan", "vintage", "product_class")),
     )
-    freed = left.where(exempt(F.col("product_class"))).distinct()
-    rest = {f.name: none.cast(f.dataType) for f in out.schema if f.name not in left.columns}
-    rest |= {"outcome": F.lit("tic_exempt_product"), "n": F.lit(0).cast("long"), "billing_class": F.col("stated_class")}
-    return out.unionByName(freed.withColumns(rest).drop("stated_class"))
 
 
 def explain(compared: DataFrame) -> DataFrame:
@@ -150,13 +154,21 @@ def systematic_offsets(rows: DataFrame, contract: list[str] = CONTRACT, toleranc
     return found.where((F.col("_n") >= codes) & (F.col("codes") >= codes) & (F.col("rows") / F.col("_n") >= share)).drop("_n")
 
 
-def reclassify(rows: DataFrame, offsets: DataFrame, contract: list[str] = CONTRACT, tolerance: float = T.OFFSET_TOLERANCE) -> DataFrame:
-    """Unexplained rows whose ratio is their contract's offset become systematic_offset."""
+def reclassify(rows: DataFrame, offsets: DataFrame, contract: list[str] = CONTRACT, tolerance: float = T.OFFSET_TOLERANCE, keep: str | None = None) -> DataFrame:
+    """Unexplained rows whose ratio is their contract's offset become systematic_offset. keep: a column for the offset."""
     o = offsets.select(*(F.col(c).alias(f"_o_{c}") for c in contract), F.col("offset").alias("_offset"))
     on = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in contract))
     out = rows.join(o, on, "left")
     near = F.coalesce(F.abs(F.col("ratio") - F.col("_offset")) / F.col("_offset") <= tolerance, F.lit(False))
-    return out.withColumn("explanation", F.when((F.col("explanation") == "unexplained") & near, "systematic_offset").otherwise(F.col("explanation"))).select(*rows.columns)
+    return out.withColumn("explanation", F.when((F.col("explanation") == "unexplained") & near, "systematic_offset").otherwise(F.col("explanation"))).select(*rows.columns, *([F.col("_offset").alias(keep)] if keep else []))
+
+
+def with_offsets(explained: DataFrame) -> DataFrame:
+    """Outcomes with offsets applied: offsets come of all compared rows, whatever accounts for them, and account for those that nothing
+    else does, material or not. explanation_before is the account without them; contract_offset is the contract's."""
+    offsets = systematic_offsets(explained.where("outcome = 'compared'"))
+    out = reclassify(explained.withColumn("explanation_before", F.col("explanation")), offsets, keep="contract_offset")
+    return out.withColumn("contract_offset", F.when(F.col("outcome") == "compared", F.col("contract_offset")))
 
 
 def across_facilities(rates: DataFrame, keys: list[str], facility: str = "facility", rate: str = "rate") -> DataFrame:

@@ -65,8 +65,9 @@ def rule_matches(rows: DataFrame, rules: DataFrame) -> DataFrame:
     rules: service, revenue, procedure, excluded, arrays too; an empty array asks for nothing. Each row is joined on one code of
     the rule's first clause that isn't empty, then the others are checked, so that no row meets a rule it shares nothing with."""
     anchor = lambda r, p: F.when(F.size(r) > 0, F.transform(r, lambda x: F.concat(F.lit("r"), x))).otherwise(F.transform(p, lambda x: F.concat(F.lit("p"), x)))
-    s = rules.select("service", *(F.col(c).alias(f"_{c}") for c in ("revenue", "procedure", "excluded"))).withColumn("_code", F.explode(anchor(F.col("_revenue"), F.col("_procedure"))))
+    s = rules.select("service", *(F.col(c).alias(f"_{c}") for c in ("revenue", "procedure", "excluded"))).withColumn("_anchors", F.array_distinct(anchor(F.col("_revenue"), F.col("_procedure")))).withColumn("_code", F.explode("_anchors"))
     both = F.array_distinct(F.concat(F.transform("revenue", lambda x: F.concat(F.lit("r"), x)), F.transform("procedure", lambda x: F.concat(F.lit("p"), x))))
-    met = rows.withColumn("_code", F.explode(both)).join(s, "_code")
+    met = rows.withColumn("_all", both).withColumn("_code", F.explode("_all")).join(s, "_code")
+    first = F.array_min(F.array_intersect("_all", "_anchors")) == F.col("_code")  # a row that shares several codes meets a rule once
     ok = lambda c: (F.size(f"_{c}") == 0) | F.arrays_overlap(c, f"_{c}")
-    return met.where(ok("revenue") & ok("procedure") & ((F.size("_excluded") == 0) | ~F.arrays_overlap("procedure", "_excluded"))).select(*rows.columns, "service").distinct()
+    return met.where(ok("revenue") & ok("procedure") & ((F.size("_excluded") == 0) | ~F.arrays_overlap("procedure", "_excluded")) & first).select(*rows.columns, "service")

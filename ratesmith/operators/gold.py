@@ -10,7 +10,7 @@ from ratesmith.functions import numbers as N
 from .aggregate import first_rows, p90_nearest
 
 #: Any total order of residual rows that is the same on every run.
-TIES = ["code", "facility", "plan", "setting", "billing_class", "vintage", "rate", "payer_median"]
+TIES = ["code", "code_type", "facility", "plan", "setting", "billing_class", "vintage", "rate", "payer_median"]
 
 
 def residual(rows: DataFrame) -> DataFrame:
@@ -19,11 +19,11 @@ def residual(rows: DataFrame) -> DataFrame:
 
 
 def outcomes(rows: DataFrame) -> DataFrame:
-    return rows.where("outcome = 'compared'").groupBy("system", "facility", "carrier", "explanation").agg(F.count("*").alias("pairs"), F.count_if("is_material").alias("material_pairs"))
+    return rows.where("outcome = 'compared'").groupBy("system", "facility", "carrier", "code_type", "explanation").agg(F.count("*").alias("pairs"), F.count_if("is_material").alias("material_pairs"))
 
 
 def refusals(rows: DataFrame) -> DataFrame:
-    return rows.where("outcome <> 'compared'").groupBy(F.col("outcome").alias("reason"), "facility", "carrier").agg(F.count("*").alias("candidates"))
+    return rows.where("outcome <> 'compared'").groupBy(F.col("outcome").alias("reason"), "system", "facility", "carrier", "code_type").agg(F.count("*").alias("candidates"))
 
 
 def _residual_flag() -> Column:
@@ -42,8 +42,8 @@ def coverage(rows: DataFrame) -> DataFrame:
 
 
 def magnitude(rows: DataFrame) -> DataFrame:
-    """Sizes of the residual per system and carrier."""
-    left, keys = residual(rows), ["system", "carrier"]
+    """Sizes of the residual per system, carrier and code type."""
+    left, keys = residual(rows), ["system", "carrier", "code_type"]
     sizes = left.groupBy(*keys).agg(
         F.count("*").alias("residual_pairs"), F.median("relative_difference").alias("median_relative_difference"),
         F.median(F.abs("difference")).alias("median_abs_difference_usd"), F.count_if("is_implausible").alias("implausible_pairs"),
@@ -65,7 +65,7 @@ def pairs(rows: DataFrame) -> DataFrame:
     """One row for each facility and carrier, for rankings."""
     done, other = F.col("outcome") == "compared", F.col("outcome") == "different_billing_class"
     gap = F.when(done & (F.col("ratio") > 0), F.col("ratio") - 1.0)
-    out = rows.groupBy("facility", "carrier").agg(
+    out = rows.groupBy("system", "facility", "carrier").agg(
         F.count("*").alias("hospital_rates"), F.count_if(done).alias("compared"), F.count_if(done & F.col("is_material")).alias("material"),
         F.count_if(_residual_flag()).alias("unexplained_material"), F.median(gap).alias("median_signed_gap"),
         F.sum(F.when(_residual_flag(), F.abs(F.col("payer_median") - F.col("rate"))).cast("decimal(28,9)")).cast("double").alias("summed_abs_gap_usd"),
@@ -76,13 +76,13 @@ def pairs(rows: DataFrame) -> DataFrame:
 
 
 def rates(rows: DataFrame, carriers: DataFrame) -> DataFrame:
-    """Facility, carrier and code: medians, the payer's spread, and the most frequent account or refusal (ties by name).
+    """Facility, carrier, code and its type: medians, the payer's spread, and the most frequent account or refusal (ties by name).
 
     carriers: those the payer side has, by system; others have no insurer rate to look up."""
     wanted = carriers.select("system", F.lower("carrier").alias("_carrier")).distinct()
     rows = rows.join(wanted, (rows["system"] == wanted["system"]) & (F.lower(rows["carrier"]) == wanted["_carrier"]), "left_semi")
-    keys, done = ["system", "facility", "carrier", "code"], F.col("outcome") == "compared"
-    kind = F.when(done, F.col("explanation")).otherwise(F.col("outcome"))
+    keys, done = ["system", "facility", "carrier", "code", "code_type"], F.col("outcome") == "compared"
+    kind = F.when(done, F.col("explanation_before")).otherwise(F.col("outcome"))
     each = rows.withColumns({"_done": done, "_kind": kind}).groupBy(*keys, "_done", "_kind").agg(F.count("*").alias("_n"))
     modes = each.groupBy(*keys).agg(*(F.min_by(F.when(flag, F.col("_kind")), F.when(flag, F.struct(-F.col("_n"), "_kind"))).alias(name) for name, flag in (("explanation_before_offsets", F.col("_done")), ("refusal", ~F.col("_done")))))
     out = rows.groupBy(*keys).agg(
@@ -114,3 +114,17 @@ def lever_weights(rows: DataFrame) -> DataFrame:
     counts = rows.where("outcome <> 'compared'").groupBy(F.col("outcome").alias("reason")).agg(F.count("*").alias("candidates"))
     whole = rows.agg(F.count("*").alias("_all"))
     return counts.join(F.broadcast(whole)).withColumns({"share_of_refused": F.col("candidates") / F.sum("candidates").over(total), "lift": F.col("candidates") / F.col("_all")}).drop("_all")
+
+
+def offsets(rows: DataFrame) -> DataFrame:
+    """Contracts with an offset, and the compared rows that it accounts for."""
+    kept = rows.where("contract_offset IS NOT NULL")
+    return kept.groupBy("system", "facility", "carrier", "plan", "payer_label").agg(F.first("contract_offset").alias("offset"), F.count("*").alias("pairs"), F.count_if(F.col("explanation") == "systematic_offset").alias("reclassified"))
+
+
+#: The published tables, each from the outcomes and the payer side.
+TABLES = {
+    "coverage": lambda rows, right: coverage(rows), "outcomes": lambda rows, right: outcomes(rows), "refusals": lambda rows, right: refusals(rows), "magnitude": lambda rows, right: magnitude(rows),
+    "pairs": lambda rows, right: pairs(rows), "rates": rates, "measures": lambda rows, right: measures(rows), "offsets": lambda rows, right: offsets(rows),
+    "exemplars": lambda rows, right: exemplars(rows), "residual": lambda rows, right: residual_top(rows),
+}

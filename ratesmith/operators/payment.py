@@ -51,6 +51,11 @@ def margins(lines: DataFrame, payment: str = "payment", cost: str = "cost", case
     return lines.withColumns({"margin": p - k, "margin_pct": N.ratio(p - k, p), "per_case": N.ratio(p - k, F.col(cases).cast("double")), "underwater": p < k})
 
 
+def underwater_lines(lines: DataFrame, payment: str, cost: str, cases: str, ties: list[str]) -> DataFrame:
+    """Lines that lose money, the worst first."""
+    return margins(lines, payment, cost, cases).where("underwater").orderBy("margin", *ties)
+
+
 def weighted_mean(value: Column, weight: Column) -> Column:
     return N.ratio(F.sum(value * weight), F.sum(weight))
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratesmith.functions import numbers as N
@@ -13,32 +16,47 @@ from ratesmith.rules import tables as T
 RULES = ["implausible", "vintage_artifact", "systematic_offset", "granularity_mismatch", "marginal", "unexplained"]
 
 
+#: Buckets of the ratio's logarithm that a tolerance covers: what is counted in one task is a part of that.
+_BUCKETS = 8
+
+
+def _beside(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """rows with the other columns of facts (one row for each key); null keys are keys."""
+    named = facts.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    on = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys))
+    return rows.join(named, on, how).drop(*(f"_k_{k}" for k in keys))
+
+
 def near_counts(rows: DataFrame, keys: list[str], ratio: str = "ratio", tolerance: float = T.NEAR_TOLERANCE) -> DataFrame:
     """Adds near: how many rows of the same keys (itself included) have a ratio within the tolerance of this row's.
 
-    A band join without pairs: for each row the bounds' places in the key's order, from running counts over rows and bounds.
+    A band join without pairs: for each distinct ratio the places of its bounds in the key's order. A place is the number of rows in
+    lower buckets of the ratio's logarithm, and a running count within the bound's own bucket, so that no task has a whole key.
     """
-    kept = rows.withColumn("_id", F.struct(*rows.columns))
-    r = F.col(ratio)
-    points = kept.where(r > 0).select(*keys, F.explode(F.array(
-        F.struct(r.alias("x"), F.lit(1).alias("kind"), F.lit(1).alias("one"), F.lit(None).cast(kept.schema["_id"].dataType).alias("id")),
-        F.struct((r * (1 - tolerance)).alias("x"), F.lit(0).alias("kind"), F.lit(0).alias("one"), F.col("_id").alias("id")),
-        F.struct((r * (1 + tolerance)).alias("x"), F.lit(2).alias("kind"), F.lit(0).alias("one"), F.col("_id").alias("id")),
-    )).alias("p")).select(*keys, "p.*")
+    r, each = F.col(ratio), [*keys, "_bucket"]
+    values = rows.where(r > 0).groupBy(*keys, r.alias("v")).agg(F.count("*").alias("c"))
+    points = values.select(*keys, F.explode(F.array(
+        F.struct(F.col("v").alias("x"), F.lit(1).alias("kind"), F.col("c").alias("c"), F.col("v")),
+        F.struct((F.col("v") * (1 - tolerance)).alias("x"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("c"), F.col("v")),
+        F.struct((F.col("v") * (1 + tolerance)).alias("x"), F.lit(2).alias("kind"), F.lit(0).cast("long").alias("c"), F.col("v")),
+    )).alias("p")).select(*keys, "p.*").withColumn("_bucket", F.floor(F.log("x") * (_BUCKETS / math.log(1 + tolerance))))
     # rows at a bound count: the lower bound stands before them, the upper one after them
-    run = Window.partitionBy(*keys).orderBy("x", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = points.withColumn("_run", F.sum("one").over(run)).where("id IS NOT NULL")
-    near = placed.groupBy("id").agg((F.max("_run") - F.min("_run")).alias("near"), F.count_if(F.col("kind") == 2).alias("_copies"))
-    near = near.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
-    return near.select("id.*", "near").unionByName(rows.where(~F.coalesce(r > 0, F.lit(False))).withColumn("near", F.lit(0).cast("long")))
+    run = Window.partitionBy(*each).orderBy("x", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = points.withColumn("_run", F.sum("c").over(run))
+    below = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = points.groupBy(*each).agg(F.sum("c").alias("_n")).withColumn("_base", F.coalesce(F.sum("_n").over(below), F.lit(0))).drop("_n")
+    at = _beside(placed, base, each, "inner").select(*keys, "v", (F.col("_base") + F.col("_run")).alias("_at"))
+    near = at.groupBy(*keys, "v").agg((F.max("_at") - F.min("_at")).alias("near"))
+    return _beside(rows.withColumn("v", r), near, [*keys, "v"]).drop("v").withColumn("near", F.coalesce("near", F.lit(0).cast("long")))
 
 
 def queue(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Residual rows (rate, payer_median, plan, payer_label, vintage, payer_vintage) with rule and priority.
 
     Alike rows are told apart by the caller's columns; the queue's order is priority, then relative difference, widest first."""
-    w = Window.partitionBy(*keys)
-    near = near_counts(rows, keys).withColumn("_size", F.count(F.when(F.col("ratio") > 0, 1)).over(w))
+    near = near_counts(rows, keys)
+    sizes = rows.where("ratio > 0").groupBy(*keys).agg(F.count("*").alias("_size"))
+    near = _beside(near, sizes, keys).withColumn("_size", F.coalesce("_size", F.lit(0)))
     days = N.days_apart(F.col("vintage"), F.col("payer_vintage"))
     stated = [X.folded(F.col(c)) != "" for c in ("plan", "payer_label")]
     fires = {

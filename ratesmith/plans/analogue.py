@@ -8,19 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratesmith.operators import aggregate, compare
+from ratesmith.sources import lake
 
 _EXPRESSIONS = {
     "side": "CAST(l_orderkey % 2 AS INT)",
     "system": "n_regionkey",
     "facility": "s_nationkey",
     "code": "concat(p_brand, '-', CAST(p_size AS STRING))",
-    "code_type": "'CPT'",
+    "code_type": "CASE p_size % 3 WHEN 0 THEN 'CPT' WHEN 1 THEN 'HCPCS' ELSE 'MS-DRG' END",
     "carrier": "c_mktsegment",
-    "plan": "CASE o_orderpriority WHEN '1-URGENT' THEN 'HMO' WHEN '2-HIGH' THEN 'ChoicePPO' WHEN '3-MEDIUM' THEN 'EPO/POS' WHEN '5-LOW' THEN NULL ELSE 'Commercial' END",
+    "plan": "CASE WHEN c_mktsegment = 'BUILDING' OR o_orderpriority = '1-URGENT' THEN 'HMO' WHEN o_orderpriority = '2-HIGH' THEN 'ChoicePPO' WHEN o_orderpriority = '3-MEDIUM' THEN 'EPO/POS' WHEN o_orderpriority = '5-LOW' THEN NULL ELSE 'Commercial' END",
     "setting": "CASE WHEN l_linestatus = 'F' THEN 'inpatient' WHEN l_linenumber % 3 = 0 THEN 'both' ELSE 'outpatient' END",
     "billing_class": "CASE l_returnflag WHEN 'N' THEN 'professional' WHEN 'R' THEN 'facility' END",
     "product_class": "CASE WHEN l_orderkey % 2 = 1 THEN 'commercial' WHEN p_size % 10 = 0 THEN 'medicare_advantage' WHEN p_size % 10 = 5 THEN 'commercial_aggregate' ELSE 'commercial' END",
-    "rate": "l_extendedprice / l_quantity",
+    # one carrier's contracts have one offset from the hospital side, whatever the code
+    "rate": "CASE WHEN c_mktsegment = 'BUILDING' THEN (CAST(100 AS DOUBLE) + p_size) * CASE l_orderkey % 2 WHEN 1 THEN CAST(1.25 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END ELSE l_extendedprice / l_quantity END",
     "rate_kind": "CASE WHEN l_orderkey % 2 = 1 AND l_linenumber = 7 THEN 'percentage' ELSE 'dollar' END",
     "methodology": "CASE WHEN l_orderkey % 2 = 0 AND p_size % 7 = 0 THEN 'per_diem' ELSE 'unknown' END",
     "vintage": "CAST(l_shipdate AS DATE)",
@@ -50,9 +52,20 @@ def right(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.distinct_then_median(rates(spark, sf_dir).where("side = 1"), compare.RIGHT, RIGHT_KEYS).select(*compare.RIGHT)
 
 
+def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of every left rate with the accounts of the compared ones, contracts' offsets applied."""
+    return compare.with_offsets(compare.explain(compare.distribution_join(left(spark, sf_dir), right(spark, sf_dir))))
+
+
+_written: dict[tuple[str, str], str] = {}
+
+
 def explained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcomes of every left rate with the accounts of the compared ones."""
-    return compare.explain(compare.distribution_join(left(spark, sf_dir), right(spark, sf_dir)))
+    """outcomes(), from a working table that a session writes once for each set of tables: all published tables read it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        _written[key] = lake.working_table(outcomes(spark, sf_dir), "outcomes")
+    return spark.read.parquet(_written[key])
 
 
 @lru_cache
@@ -120,15 +133,23 @@ def explained_sql() -> str:
   SELECT *, CASE WHEN rate <> 0 THEN payer_median / rate ELSE 0.0 END AS ratio, abs(payer_median - rate) / least(rate, payer_median) AS relative_difference,
     coalesce(rate BETWEEN payer_min AND payer_max, FALSE) AS inside, abs(date_diff('day', vintage, payer_vintage)) AS days,
     CASE WHEN n_networks > 1 THEN label ELSE coalesce(payer_plan, '') END AS payer_label FROM oc
-), ex AS (
+), ex0 AS (
   SELECT *, relative_difference >= CAST(0.05 AS DOUBLE) AS is_material, greatest(rate, payer_median) / least(rate, payer_median) >= 10 AS is_implausible,
     CASE WHEN outcome <> 'compared' THEN NULL WHEN greatest(rate, payer_median) / least(rate, payer_median) >= 10 THEN 'entity_resolution_suspect'
       WHEN product_class = 'commercial_aggregate' THEN 'granularity_mismatch' WHEN n >= 2 AND payer_max > payer_min AND inside THEN 'within_payer_range'
       WHEN days <> 0 AND relative_difference / (days / CAST(365 AS DOUBLE)) <= CAST(0.40 AS DOUBLE) THEN 'vintage_artifact'
       WHEN n_networks > 1 AND plan IS NOT NULL THEN CASE WHEN any_match THEN 'unexplained' WHEN any_aggregate THEN 'granularity_mismatch' ELSE 'plan_unresolved' END
       WHEN n_networks <= 1 AND plan <> payer_plan THEN CASE {_verdict_sql("plan", "payer_plan")} WHEN 'match' THEN 'unexplained' WHEN 'aggregate' THEN 'granularity_mismatch' ELSE 'plan_unresolved' END
-      ELSE 'unexplained' END AS explanation
+      ELSE 'unexplained' END AS explanation_before
   FROM dx
+), oc0 AS (
+  SELECT facility, carrier, plan, payer_label, code, ratio, count(*) OVER w AS m, median(ratio) OVER w AS centre FROM ex0 WHERE outcome = 'compared' AND ratio > 0 WINDOW w AS (PARTITION BY facility, carrier, plan, payer_label)
+), oc1 AS (
+  SELECT facility, carrier, plan, payer_label, median(ratio) FILTER (WHERE abs(ratio - centre) / centre <= CAST(0.03 AS DOUBLE)) AS off FROM oc0 GROUP BY ALL
+  HAVING max(m) >= 20 AND count(DISTINCT code) FILTER (WHERE abs(ratio - centre) / centre <= CAST(0.03 AS DOUBLE)) >= 20 AND count(*) FILTER (WHERE abs(ratio - centre) / centre <= CAST(0.03 AS DOUBLE)) / max(m) >= CAST(0.8 AS DOUBLE)
+), ex AS (
+  SELECT e.*, o.off AS contract_offset, CASE WHEN e.explanation_before = 'unexplained' AND coalesce(abs(e.ratio - o.off) / o.off <= CAST(0.03 AS DOUBLE), FALSE) THEN 'systematic_offset' ELSE e.explanation_before END AS explanation
+  FROM ex0 e LEFT JOIN oc1 o ON e.outcome = 'compared' AND e.facility = o.facility AND e.carrier = o.carrier AND e.plan IS NOT DISTINCT FROM o.plan AND e.payer_label IS NOT DISTINCT FROM o.payer_label
 ), res AS (
   SELECT *, payer_median - rate AS difference FROM ex WHERE outcome = 'compared' AND is_material AND explanation = 'unexplained'
 )"""

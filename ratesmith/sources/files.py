@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,21 +34,91 @@ def read_price_json(spark: SparkSession, path: str) -> DataFrame:
     return out.withColumns(_first_code(F.col("codes"))).select(*RAW)
 
 
-def _csv(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, str]]:
-    """The table under two rows of names and values about the file, and those."""
-    lines = [r["value"] for r in spark.read.text(path).limit(3).collect()]  # a file's first three lines
-    parse = lambda x: spark.createDataFrame([(x.removeprefix("﻿"),)], "v string").select(F.from_csv("v", ", ".join(f"c{i} string" for i in range(x.count(",") + 1))).alias("r")).first()["r"]
-    about, values, header = (list(parse(x)) for x in lines)
-    schema = ", ".join(f"`{h}` string" for h in header if h)
-    rows = spark.read.schema(schema).option("mode", "PERMISSIVE").csv(path)
-    # the three head rows are dropped by content: a file may be split, so they can't be counted off
-    drop = [a for a in (about[0], values[0], header[0]) if a]
-    body = rows.withColumn("_file", F.col("_metadata.file_path")).where(~F.coalesce(F.col(f"`{header[0]}`").isin(drop) & _head_row(rows, [about, values, header]), F.lit(False)))
-    return body, {k.strip(): v for k, v in zip(about, values, strict=False) if k and v}
+#: Lines in which a file's header is looked for.
+HEAD_LINES = 12
+
+
+def _paths(spark: SparkSession, path: str) -> list[str]:
+    """The files of a file's, folder's or pattern's path."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [f for s in fs.globStatus(where) or [] for f in (fs.listStatus(s.getPath()) if s.isDirectory() else [s])]
+    return sorted(f.getPath().toString() for f in found if f.isFile() and not f.getPath().getName().startswith(("_", ".")))
+
+
+def _head(spark: SparkSession, lines: list[str]) -> tuple[int, list[str], list[list[str]], dict[str, str]]:
+    """Where the header stands, its columns, the rows before it, and what the file's first two rows say about it."""
+    split = lambda x: list(spark.createDataFrame([(x.removeprefix("\ufeff"),)], "v string").select(F.from_csv("v", ", ".join(f"c{i} string" for i in range(x.count(",") + 1))).alias("r")).first()["r"])
+    rows = [split(x) for x in lines]
+    at = next((i for i, r in enumerate(rows) if any(c and (c.strip().lower() == "description" or c.strip().startswith("code|")) for c in r)), None)
+    if at is None:
+        raise ValueError(f"no header in the first {len(rows)} lines")
+    about = {k.strip(): v for k, v in zip(rows[0], rows[1], strict=False) if k and v} if at >= 2 else {}
+    return at, [h.strip() if h else f"_blank{i}" for i, h in enumerate(rows[at])], rows[: at + 1], about
+
+
+def _csv(spark: SparkSession, path: str, multi_line: bool = False) -> list[tuple[DataFrame, dict[str, str]]]:
+    """Of each file: the table under its header, and what its first rows say about it. Heads are read file by file.
+
+    multi_line: cells may have line breaks; a file then is one task."""
+    out = []
+    for file in _paths(spark, path):
+        if file.lower().endswith(".zip"):
+            out += _zipped(spark, file)
+            continue
+        lines = [r["value"] for r in spark.read.text(file).limit(HEAD_LINES).collect()]
+        _, header, heads, about = _head(spark, lines)
+        rows = spark.read.schema(", ".join(f"`{h}` string" for h in header)).option("mode", "PERMISSIVE").option("multiLine", multi_line).csv(file)
+        # the head rows are dropped by content: a file may be split, so they can't be counted off
+        body = rows.withColumn("_file", F.col("_metadata.file_path")).where(~F.coalesce(_head_row(rows, heads), F.lit(False)))
+        out.append((body.drop(*(h for h in header if h.startswith("_blank"))), about))
+    if not out:
+        raise FileNotFoundError(path)
+    return out
+
+
+def read_zip_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the members of zip files: file, member, line (from 0), value. A task has one archive, its members are unpacked line by line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
+                    for member in archive.namelist():
+                        with archive.open(member) as raw:
+                            held: list[str] = []
+                            at = 0
+                            for line in io.TextIOWrapper(raw, "utf-8", "replace", newline="\n"):
+                                held.append(line.rstrip("\r\n"))
+                                if len(held) == 4096:
+                                    yield _numbered(name, member, at, held)
+                                    at, held = at + len(held), []
+                            if held:
+                                yield _numbered(name, member, at, held)
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInArrow(run, "file string, member string, line long, value string")
+
+
+def _numbered(file: str, member: str, at: int, lines: list[str]) -> pa.RecordBatch:
+    n = len(lines)
+    return pa.RecordBatch.from_arrays([pa.array([file] * n), pa.array([member] * n), pa.array(range(at, at + n), pa.int64()), pa.array(lines, pa.string())], ["file", "member", "line", "value"])
+
+
+def _zipped(spark: SparkSession, file: str) -> list[tuple[DataFrame, dict[str, str]]]:
+    rows, out = read_zip_lines(spark, file), []
+    heads: dict[str, list[str]] = {}
+    for r in rows.where(F.col("line") < HEAD_LINES).orderBy("member", "line").collect():  # some lines of each member
+        heads.setdefault(r["member"], []).append(r["value"])
+    for member, lines in heads.items():
+        at, header, _, about = _head(spark, lines)
+        body = rows.where((F.col("member") == member) & (F.col("line") > at) & (F.trim("value") != "")).select(F.from_csv("value", ", ".join(f"`{h}` string" for h in header)).alias("r"), F.concat_ws("!", "file", "member").alias("_file"))
+        out.append((body.select(*(F.col(f"r.`{h}`") for h in header if not h.startswith("_blank")), "_file"), about))
+    return out
 
 
 def _head_row(rows: DataFrame, heads: list[list[str]]) -> Column:
-    same = lambda h: reduce(lambda x, y: x & y, (F.col(f"`{c}`").eqNullSafe(F.lit(v)) for c, v in list(zip(rows.columns, h, strict=False))[:3]))
+    same = lambda h: reduce(lambda x, y: x & y, (F.col(f"`{c}`").eqNullSafe(F.lit(v.removeprefix("\ufeff") if v else v)) for c, v in list(zip(rows.columns, h, strict=False))[:3]))
     return reduce(lambda x, y: x | y, map(same, heads))
 
 
@@ -55,13 +129,20 @@ def _columns(df: DataFrame, about: dict[str, str]) -> tuple[DataFrame, Column]:
     return df.withColumns(head), codes
 
 
+def _each(spark: SparkSession, path: str, multi_line: bool, make) -> DataFrame:
+    return reduce(DataFrame.unionByName, (make(body, about) for body, about in _csv(spark, path, multi_line)))
+
+
 def _maybe(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("string")
 
 
-def read_price_tall(spark: SparkSession, path: str) -> DataFrame:
-    """One rate a row, codes in code|n and code|n|type."""
-    body, about = _csv(spark, path)
+def read_price_tall(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """One rate a row, codes in code|n and code|n|type. Of a folder each file has its own head; zip files are read member by member."""
+    return _each(spark, path, multi_line, _tall)
+
+
+def _tall(body: DataFrame, about: dict[str, str]) -> DataFrame:
     df, codes = _columns(body, about)
     v = lambda n: _maybe(df, f"standard_charge|{n}")
     out = df.select(
@@ -80,9 +161,12 @@ def unpivot_wide(df: DataFrame, ids: list[str], prefix: str = "standard_charge")
     return long.select(*ids, part(2).alias("payer_name"), part(3).alias("plan_name"), part(4).alias("measure"), "value")
 
 
-def read_price_wide(spark: SparkSession, path: str) -> DataFrame:
+def read_price_wide(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """One row an item, a column for each payer, plan and measure; one raw row for each of those with a value."""
-    body, about = _csv(spark, path)
+    return _each(spark, path, multi_line, _wide)
+
+
+def _wide(body: DataFrame, about: dict[str, str]) -> DataFrame:
     df, codes = _columns(body, about)
     df = df.select("*", codes.alias("codes"), *(_maybe(df, c).alias(f"_{c}") for c in ("setting", "billing_class", "description")), _maybe(df, "standard_charge|gross").alias("gross_charge"), _maybe(df, "standard_charge|discounted_cash").alias("discounted_cash"))
     long = unpivot_wide(df, ["source_url", "hospital", "location_name", "file_vintage", "codes", "_setting", "_billing_class", "_description", "gross_charge", "discounted_cash"])
