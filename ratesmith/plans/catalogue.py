@@ -254,10 +254,10 @@ def market_rank(spark, sf_dir):
     return market.peer_rank(_cells(spark, sf_dir), ["code"])
 
 
-@register(with_("SELECT code, sum(CAST(CASE WHEN percentile < 0.25 THEN greatest(peer_median - rate, 0) * 10 ELSE 0 END AS DECIMAL(28, 9))) AS opportunity FROM (SELECT code, rate, cume_dist() OVER (PARTITION BY code ORDER BY rate) AS percentile, median(rate) OVER (PARTITION BY code) AS peer_median FROM cell) GROUP BY code", A.base_sql() + _CELL))
+@register(with_("SELECT code, CAST(round(sum(CAST(CASE WHEN percentile < 0.25 THEN greatest(peer_median - rate, 0) * 10 ELSE 0 END AS DECIMAL(28, 9))), 6) AS DECIMAL(28, 6)) AS opportunity FROM (SELECT code, rate, cume_dist() OVER (PARTITION BY code ORDER BY rate) AS percentile, median(rate) OVER (PARTITION BY code) AS peer_median FROM cell) GROUP BY code", A.base_sql() + _CELL))
 def weighted_opportunity(spark, sf_dir):
     r = market.opportunity(market.peer_rank(_cells(spark, sf_dir), ["code"]), 0.25, F.lit(10))
-    return r.groupBy("code").agg(F.sum(F.col("opportunity").cast("decimal(28,9)")).alias("opportunity"))
+    return r.groupBy("code").agg(F.round(F.sum(F.col("opportunity").cast("decimal(28,9)")), 6).cast("decimal(28,6)").alias("opportunity"))
 
 
 @register(with_("SELECT code, min(rate) AS low, arg_min(facility, (rate, facility)) AS low_facility, max(rate) AS high, arg_min(facility, (-rate, facility)) AS high_facility, median(rate) AS median_rate, max(rate) / min(rate) AS ratio FROM cell GROUP BY code", A.base_sql() + _CELL), "low high median_rate ratio")

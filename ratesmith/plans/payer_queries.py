@@ -46,10 +46,10 @@ def payer_filter_systems(spark, sf_dir):
     return _counted(_rows(spark, sf_dir).where(payer.payer_filter(["Beta", "Gamma"], code_prefix="1", code_types=["CPT", "LOCAL"], untranslatable=True, exclusive=False)))
 
 
-@register(with_("SELECT facility, product_class, count(*) AS n, sum(CAST(rate AS DECIMAL(28, 6))) AS total FROM rates WHERE rate_kind = 'dollar' AND rate > 0 AND facility IN (1, 2, 3) AND product_class IN ('commercial') AND code_type IN ('CPT', 'HCPCS') AND starts_with(code, 'Brand#1') GROUP BY ALL"))
+@register(with_("SELECT facility, product_class, count(*) AS n, CAST(round(sum(CAST(rate AS DECIMAL(28, 9))), 4) AS DECIMAL(28, 4)) AS total FROM rates WHERE rate_kind = 'dollar' AND rate > 0 AND facility IN (1, 2, 3) AND product_class IN ('commercial') AND code_type IN ('CPT', 'HCPCS') AND starts_with(code, 'Brand#1') GROUP BY ALL"))
 def rate_filter(spark, sf_dir):
     kept = A.rates(spark, sf_dir).where(payer.rate_filter([1, 2, 3], products=["commercial"], code_types=["CPT", "HCPCS"], prefix="Brand#1"))
-    return kept.groupBy("facility", "product_class").agg(F.count("*").alias("n"), F.sum(F.col("rate").cast("decimal(28,6)")).alias("total"))
+    return kept.groupBy("facility", "product_class").agg(F.count("*").alias("n"), F.round(F.sum(F.col("rate").cast("decimal(28,9)")), 4).cast("decimal(28,4)").alias("total"))
 
 
 @register("""WITH c AS (SELECT p_partkey, [{'code': CAST(p_size AS VARCHAR), 'type': CASE p_partkey % 3 WHEN 0 THEN 'RC' WHEN 1 THEN 'rev' ELSE 'XX' END}, {'code': lower(p_brand), 'type': CASE WHEN p_partkey % 2 = 0 THEN 'CPT' END}] AS codes FROM part), k AS (

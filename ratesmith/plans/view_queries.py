@@ -56,12 +56,12 @@ def widest(spark, sf_dir):
 
 
 _LOOK = """look AS (SELECT facility, carrier, code, median(rate) AS hospital_rate, count(*) FILTER (WHERE outcome = 'compared') AS compared, median(payer_median) AS payer_median FROM ex
-  WHERE code = 'BRAND#7-10' OR code = 'Brand#7-10' GROUP BY facility, carrier, code), gapped AS (SELECT *, payer_median / hospital_rate - 1 AS gap FROM look)"""
+  WHERE code = 'Brand#18-25' AND (system, carrier) IN (SELECT DISTINCT system, carrier FROM rgt) GROUP BY facility, carrier, code), gapped AS (SELECT *, payer_median / hospital_rate - 1 AS gap FROM look)"""
 
 
 def _look(spark, sf_dir):
     rows = A.explained(spark, sf_dir).withColumn("code", F.upper("code"))
-    return views.code_lookup(gold.rates(rows, A.right(spark, sf_dir)), " brand#7-10 ")
+    return views.code_lookup(gold.rates(rows, A.right(spark, sf_dir)), " brand#18-25 ")
 
 
 @register(with_('SELECT facility, carrier, hospital_rate, compared, payer_median, gap, CAST(row_number() OVER (ORDER BY gap IS NULL, abs(gap) DESC, facility, carrier) AS INT) AS "order" FROM gapped', f"{_EX}, {_LOOK}"), "hospital_rate payer_median gap")
