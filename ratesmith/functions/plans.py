@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratesmith.rules import tables as T
@@ -117,3 +117,23 @@ def parse_rule(c: Column) -> Column:
     text, procedure = _before(text, T.PROCEDURE_MARKERS)
     parts = [parse_codes(x) for x in (text, procedure, excluded)]
     return F.struct(F.array_distinct(F.transform(parts[0]["codes"], lambda x: X.padded_revenue(x))).alias("revenue"), F.array_distinct(parts[1]["codes"]).alias("procedure"), F.array_distinct(parts[2]["codes"]).alias("excluded"), F.concat(*(p["bad"] for p in parts)).alias("bad"))
+
+
+def parse_paste(texts: DataFrame, column: str) -> DataFrame:
+    """Codes of pasted lines: place, code, rc (of a revenue code pasted before it), raw; the first of equal ones.
+
+    A line's columns stand between tabs, else commas, else spaces; `139 4` is one code with its severity. Of two tabbed columns the
+    first is a revenue code if it looks like one, else it is the code. Headers and tokens without a digit go."""
+    lines = texts.select(F.posexplode(F.split(column, r"\r\n|\n|\r")).alias("line", "raw")).withColumn("raw", F.trim("raw"))
+    raw = F.col("raw")
+    tabbed = raw.contains("\t")
+    parts = F.when(tabbed, F.split(raw, "\t")).when(raw.contains(","), F.split(raw, ",")).when(raw.rlike(r"^\d{1,3}\s+[1-4]$"), F.array(F.regexp_replace(raw, r"\s+", "-"))).otherwise(F.split(raw, r"\s+"))
+    kept = F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: (x != "") & ~x.rlike(T.HEADER_WORDS) & x.rlike(r"\d"))
+    one = lambda code, rc: F.struct(F.upper(code).alias("code"), rc.alias("rc"))
+    none = F.lit(None).cast("string")
+    paired = tabbed & (F.size("kept") >= 2) & looks_like_revenue(F.try_element_at("kept", F.lit(1)))
+    first, second = F.try_element_at("kept", F.lit(1)), F.try_element_at("kept", F.lit(2))
+    entries = F.when(paired, F.array(one(second, F.lpad(first, 4, "0")))).when(tabbed, F.array(one(first, none))).otherwise(F.transform("kept", lambda x: one(x, none)))
+    rows = lines.withColumn("kept", kept).where(F.size("kept") > 0).select("line", "raw", F.posexplode(entries).alias("at", "e"))
+    best = rows.groupBy("e").agg(F.min(F.struct("line", "at", "raw")).alias("m"))
+    return best.select(F.struct("m.line", "m.at").alias("place"), "e.code", "e.rc", "m.raw")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -157,3 +158,18 @@ def facility_from_source(c: Column) -> Column:
     stem = F.regexp_replace(F.regexp_replace(c, r"^.*/", ""), r"\.[A-Za-z0-9.]+$", "")
     name = F.initcap(F.trim(F.regexp_replace(F.regexp_replace(stem, r"^\d[\d-]*[_-]", ""), r"[_\-\s]+", " ")))
     return reduce(lambda x, w: F.regexp_replace(x, rf"(?<=\s){w}(?=\s)", w.lower()), ["And", "At", "For", "In", "Of", "On", "The"], name)
+
+
+def _repaired(texts: pd.Series) -> pd.Series:
+    def one(text: str | None) -> str | None:
+        try:
+            return text.encode("cp1252").decode() if text else text
+        except (UnicodeEncodeError, UnicodeDecodeError):
+            return text
+
+    return texts.map(one)
+
+
+def repair_mojibake(c: Column) -> Column:
+    """UTF-8 that was read as Windows-1252, read right; any other text as it is. For distinct names: it leaves the JVM."""
+    return F.pandas_udf(_repaired, "string")(c)

@@ -86,3 +86,8 @@ def service_groups(q: DataFrame) -> DataFrame:
     )
     m = F.greatest("median_ratio", 1 / F.col("median_ratio"))
     return out.withColumn("magnitude", m * (0.5 + 0.5 * F.least("findings", F.lit(5)) / 5))
+
+
+def ordered(q: DataFrame) -> DataFrame:
+    """The queue as it is worked off: by priority, then the widest first."""
+    return q.orderBy("priority", F.desc("relative_difference"))

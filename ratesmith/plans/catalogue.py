@@ -36,6 +36,11 @@ def upper_median_row(spark, sf_dir):
     return aggregate.median_row(A.left(spark, sf_dir), ["facility"], [F.col("rate")], upper=True).select("facility", F.col("rate").alias("upper_median"))
 
 
+@register(with_("SELECT facility, rate AS lower_median FROM (SELECT facility, rate, row_number() OVER (PARTITION BY facility ORDER BY rate) AS i, count(*) OVER (PARTITION BY facility) AS n FROM lft) WHERE i = (n + 1) // 2"), "lower_median")
+def lower_median_row(spark, sf_dir):
+    return aggregate.median_row(A.left(spark, sf_dir), ["facility"], [F.col("rate")], upper=False).select("facility", F.col("rate").alias("lower_median"))
+
+
 @register(with_("SELECT carrier, code FROM (SELECT carrier, code, row_number() OVER (PARTITION BY carrier ORDER BY count(*) DESC, code) AS i FROM rates GROUP BY carrier, code) WHERE i = 1"))
 def most_frequent_code(spark, sf_dir):
     return aggregate.most_frequent(A.rates(spark, sf_dir), ["carrier"], "code")

@@ -26,7 +26,7 @@ def _fs(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table's folder has any partition or file that readers see."""
+    """Whether a table's folder has any partition or file that readers see; a file is one itself."""
     where, fs = _fs(spark, path)
     return fs.exists(where) and any(not x.getPath().getName().startswith(("_", ".")) for x in fs.listStatus(where))
 
