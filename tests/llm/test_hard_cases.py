@@ -164,7 +164,7 @@ def test_importance_and_gumbel_top_k_against_plain_sums(spark):
     want = plain_importance([*texts, texts[2]], [i < 40 and i % 3 > 0 for i in range(len(texts))] + [True], 50)
     assert len(rows) == len(want)
     for r in rows:
-        assert r.importance == pytest.approx(want[r.doc_id], abs=1e-9)
+        assert r.importance == pytest.approx(want[r.doc_id], rel=1e-9, abs=1e-9)
         assert r.weight == r.importance
     kept = sorted((r.perturbed for r in rows), reverse=True)
     assert all(r.selected == (r.perturbed >= kept[19]) for r in rows)
