@@ -63,7 +63,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("token-ID / binary output", tokens),
 ]
 
-#: SQL can't express the tokenizer and the seeded samples; tests hold the near-duplicate stage against a plain version, the others by columns and numbers of rows only.
+#: SQL can't express the tokenizer and the seeded samples; tests/llm/test_pipeline_plain.py holds each stage against a plain version.
 ORACLE_SQL = None
 
 
