@@ -19,17 +19,13 @@ def run_mart(spark: SparkSession, left: DataFrame, right: DataFrame, path: str,
     of them that have no rows of a table any more lose their partition there.
     """
     outcomes = spark.read.parquet(lake.working_table(compare.with_offsets(compare.explain(compare.distribution_join(left, right, **join))), "outcomes"))
-    owned = [r["s"] for r in outcomes.select(F.col("system").cast("string").alias("s")).distinct().collect()]  # a row for each system
-    entries = None
+    owned = {f"hospital_slug={r['s']}" for r in outcomes.select(F.col("system").cast("string").alias("s")).distinct().collect()}  # a row for each system
+    entries = spark.createDataFrame([], "table string, hospital_slug string, rows long")
     for name, make in gold.TABLES.items():
         table = make(outcomes, right)
         slug = F.col("system").cast("string") if "system" in table.columns else F.lit(WHOLE)
-        table = spark.read.parquet(lake.working_table(table.withColumn("hospital_slug", slug), name))
-        if not lake.publish(table, f"{path}/{name}", ["hospital_slug"]) and not lake.exists(spark, f"{path}/{name}"):
-            continue
-        rows = spark.read.parquet(f"{path}/{name}").withColumn("hospital_slug", F.col("hospital_slug").cast("string"))
-        gone = rows.where(F.col("hospital_slug").isin(owned)).select("hospital_slug").distinct().join(table.select("hospital_slug").distinct(), "hospital_slug", "left_anti")
-        lake.remove_partitions(spark, f"{path}/{name}", gone, ["hospital_slug"])
-        each = table.groupBy("hospital_slug").agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "hospital_slug", "rows")
-        entries = each if entries is None else entries.unionByName(each)
+        if lake.publish(table.withColumn("hospital_slug", slug), f"{path}/{name}", ["hospital_slug"], owned=lambda leaf: leaf in owned):
+            there = spark.read.parquet(f"{path}/{name}").withColumn("hospital_slug", F.col("hospital_slug").cast("string"))
+            mine = there.where(F.concat(F.lit("hospital_slug="), "hospital_slug").isin([*owned, f"hospital_slug={WHOLE}"]))
+            entries = entries.unionByName(mine.groupBy("hospital_slug").agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "hospital_slug", "rows"))
     return entries

@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import json
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -36,13 +37,15 @@ def _leaves(spark: SparkSession, path: str, depth: int) -> list[str]:
     where, fs = _fs(spark, path)
     found = [""]
     for _ in range(depth):
-        found = [f"{x}/{s.getPath().getName()}".lstrip("/") for x in found for s in fs.listStatus(_fs(spark, f"{path}/{x}")[0]) if s.isDirectory()]
+        found = [f"{x}/{s.getPath().getName()}".lstrip("/") for x in found for s in fs.listStatus(_fs(spark, f"{path}/{x}")[0]) if s.isDirectory() and not s.getPath().getName().startswith(("_", "."))]
     return found
 
 
-def publish(df: DataFrame, path: str, partitions: list[str], order: list[str] = (), rows_per_file: int = 5_000_000) -> int:
+def publish(df: DataFrame, path: str, partitions: list[str], order: list[str] = (), rows_per_file: int = 5_000_000, owned: Callable[[str], bool] | None = None) -> int:
     """Replace the partitions that df has, and only those; the number of rows, checked against what was read back.
 
+    owned: which partition folders, by their names under path, are the caller's; those of them that df has no rows for go.
+
     df is computed once: rows are counted while they are written to a folder beside the table, which Spark's readers skip; what was
     written is counted there, and only then its partitions take the place of the old ones. A null partition key is refused. Rows of
     one partition meet in few files: a shuffle by the keys and a salt of what AQE splits."""
@@ -57,11 +60,14 @@ def publish(df: DataFrame, path: str, partitions: list[str], order: list[str] =
     try:
         out.write.option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).partitionBy(*partitions).parquet(staging)
         leaves = _leaves(spark, staging, len(partitions))
-        if not leaves:  # of an empty plan nothing is observed
-            return 0
-        there, want = spark.read.schema(df.schema).parquet(staging).count(), seen.get["rows"]
+        # of an empty plan nothing is observed
+        there, want = (spark.read.schema(df.schema).parquet(staging).count(), seen.get["rows"]) if leaves else (0, 0)
         if there != want:
             raise ValueError(f"{staging} holds {there} rows, not {want}: {path} is as it was")
+        for leaf in set(_leaves(spark, path, len(partitions))) - set(leaves) if owned else ():
+            if owned(leaf):
+                where, fs = _fs(spark, f"{path}/{leaf}")
+                fs.delete(where, True)
         for leaf in leaves:
             target, fs = _fs(spark, f"{path}/{leaf}")
             fs.delete(target, True)

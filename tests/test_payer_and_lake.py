@@ -95,6 +95,10 @@ def test_partitions_with_odd_values_go(spark, tmp_path):
         lake.publish(spark.createDataFrame([(None, 1)], "k string, v int"), path, ["k"])
     assert [r.v for r in spark.read.parquet(path).collect()] == [3]
     assert lake.publish(df.where("v > 5"), path, ["k"]) == 0
+    assert lake.publish(df.where("v = 1"), path, ["k"], owned=lambda leaf: "plain" not in leaf) == 1
+    assert lake.publish(df.where("v = 2"), path, ["k"], owned=lambda leaf: "plain" not in leaf) == 1
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [2, 3]
+    assert lake.publish(df.where("v > 5"), path, ["k"], owned=lambda leaf: "plain" not in leaf) == 0
     checked = lake.verified_manifest(spark, path, spark.createDataFrame([("plain", 1)], "k string, rows long"), ["k"], F.lit(True)).collect()
     assert [(r.k, r.rows, r.verified) for r in checked] == [("plain", 1, True)]
 
