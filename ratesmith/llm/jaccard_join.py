@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import forget, parts_for, saved, small_batches, spread_join, table, text_bytes
 from .components import components
-from .shingles import SPACES, mix, text_slices, windows, words
+from .shingles import SPACES, give_back, mix, text_slices, windows, words
 
 WORDS, PERCENT = 4, 85
 GROUP = 256
@@ -163,6 +163,7 @@ _REPLY = "slice long, bucket int, reply binary"
 def _replies(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
     """To each slice a byte for each key that it sent: 0 if no other set holds it, else a class of its frequency in all slices. For
     ids of sets: 1 if the slice is the least that has the set."""
+    give_back()
     t = t.sort_by("slice")
     n, slices = t.column("n").to_numpy(), t.column("slice").to_numpy()
     cuts = np.r_[0, np.cumsum(n)]
@@ -193,6 +194,7 @@ def _candidates(k: int, bits: int, buckets: int, percent: int):
         out = pa.table({"set": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "prefix": pa.array([], pa.int64()), "low": pa.array([], pa.int64()), "tokens": pa.array([], pa.binary())})
         if not slices.num_rows or not replies.num_rows:
             return out
+        give_back()
         s = _Slice(slices.to_pylist()[0], k, bits, buckets)
         got = dict(zip(replies.column("bucket").to_pylist(), replies.column("reply"), strict=True))
         join = lambda cuts, sign: np.concatenate([np.frombuffer(got[b if sign else -1 - b].as_buffer(), np.uint8) for b, _, _ in cuts])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -80,6 +82,14 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = _SLICE)
     part = np.cumsum(size) // most
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     yield from zip(cuts, cuts[1:], strict=False)
+    give_back()
+
+
+def give_back() -> None:
+    """Return memory that is free to the system: a Python worker shares its executor's bound with the JVM and with other workers."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def words(texts: pa.Array, breaks: np.ndarray = SPACES, lower: bool = False) -> Words:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import drop, exists, freed_shuffles, names_in, parts_for, saved, small_batches, table, work_path
-from .shingles import by_bucket, mix, text_slices, windows, words
+from .shingles import by_bucket, give_back, mix, text_slices, windows, words
 
 WINDOW = 13
 BATCHES = 3
@@ -108,6 +108,7 @@ def _merge(parts: int):
     """Join a batch's bucket with the index's: hits by part of doc_id, and the bucket's new fingerprints as a run's row (part -1)."""
 
     def run(key: tuple[pa.Scalar, ...], batch: pa.Table, index: pa.Table) -> pa.Table:
+        give_back()
         bucket = key[0].as_py()
         join = lambda c, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in batch.column(c)] or [np.zeros(0, kind)])
         f, c, d = join("fps", "<u8"), join("checks", "<u4"), join("ids", "<i8")
