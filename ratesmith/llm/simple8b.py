@@ -46,6 +46,8 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             most[reach] = wide
     selector = np.full(grid.shape, ESCAPE, np.uint8)
     for s in range(ESCAPE - 1, -1, -1):
+        if int(most[int(COUNTS[s])][:, :SUB_BLOCK].min()) > s:
+            continue  # nowhere do so many values in a row fit
         np.minimum(selector, np.where(most[int(COUNTS[s])] <= s, np.uint8(s), np.uint8(ESCAPE)), out=selector)
     stop = np.full(lanes, SUB_BLOCK)
     stop[-1] = n - (lanes - 1) * SUB_BLOCK

@@ -7,7 +7,6 @@ document goes on in the next block); for each sub-block of 1024 ids u32, the wor
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -20,13 +19,13 @@ from pyspark.sql import functions as F
 
 from . import simple8b
 from .common import freed_shuffles, parts_for, saved, table, text_bytes, work_path
-from .shingles import SPACES, Words, text_slices, words
+from .shingles import SPACES, Words, give_back, text_slices, words
 
 MAGIC, HEAD = b"S8B1", struct.Struct("<4sIIQQ")
 BLOCK_IDS = 1 << 18
 NULL, MORE = 1, 2
-#: Distinct pieces of text whose ids a Python worker keeps; when there are more, those used once go.
-CACHE_PIECES = 250_000
+#: Distinct pieces of text whose ids a Python worker keeps; when there are more, those of one slice of text go.
+CACHE_PIECES = 700_000
 END_ID = 2
 #: Bytes of text that are encoded at a time: what numpy holds meanwhile is some sixty times that.
 SLICE = 1 << 18
@@ -36,8 +35,20 @@ _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(0x30, 0x3A), *range(0x61, 0x7B)]] = True
 #: Marks at a word's end that are looked at; a word with more of them stays whole.
 _TAIL = 4
-#: Letters only, so that the pre-tokenizer keeps such a piece whole.
-_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_SMALL = np.zeros(256, bool)
+_SMALL[0x61:0x7B] = True
+#: Second bytes of the letters from U+00C0 to U+00FF, whose first is 0xC3.
+_SECOND = np.zeros(256, bool)
+_SECOND[[*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)]] = True
+
+
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to letters, small ASCII or Latin-1: the pre-tokenizer keeps a piece of those whole."""
+    out = _SMALL[data]
+    pair = (data[:-1] == 0xC3) & _SECOND[data[1:]]
+    out[:-1] |= pair
+    out[1:] |= pair
+    return out
 
 
 def _pieces(w: Words) -> Words:
@@ -87,8 +98,8 @@ class PieceEncoder:
         old = (self.keys[keep], self.checks[keep], self.size[keep], self.flat[_ragged(self.start[keep], self.size[keep])]) if len(keep) else None
         self.table, self.n = np.full(1 << self.bits, -1, np.int32), 0
         room = max(1 << 16, 2 * len(keep))
-        self.keys, self.checks, self.start, self.size = np.zeros(room, np.uint64), np.zeros(room, np.uint32), np.zeros(room, np.int64), np.zeros(room, np.int64)
-        self.flat, self.used, self.uses = np.zeros(1 << 20, np.uint32), 0, np.zeros(room, np.int64)
+        self.keys, self.checks, self.start, self.size = np.zeros(room, np.uint64), np.zeros(room, np.uint32), np.zeros(room, np.int32), np.zeros(room, np.int32)
+        self.flat, self.used, self.uses = np.zeros(1 << 20, np.uint32), 0, np.zeros(room, np.int32)
         if old:
             self._add(*old)
 
@@ -125,20 +136,21 @@ class PieceEncoder:
             left, at = left[go], at[go] + 1
         return out
 
-    def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The pieces' order here, the number of each one's ids, and all ids. Pieces of letters go to the tokenizer in one text,
-        and come apart at the tokens that end a pre-token."""
-        plain = [i for i, p in enumerate(pieces) if _LETTERS.fullmatch(p)]
-        ids, size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join([pieces[i] for i in plain]).decode()], add_special_tokens=False)[0].ids, np.uint32)
+    def _encoded(self, w: Words, new: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces `new` in an order of their own, the number of each one's ids, and all ids. Pieces of letters only (plain) go to
+        the tokenizer in one text, and come apart at the tokens that end a pre-token."""
+        own, ids, size = new[plain], np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if len(own):
+            room = w.end[own] - w.start[own] + 1
+            joined = np.append(w.data, np.uint8(0x20))[_ragged(w.start[own], room)]
+            joined[np.cumsum(room) - 1] = 0x20
+            ids = np.array(self.tokenizer.encode_batch_fast([joined[:-1].tobytes().decode()], add_special_tokens=False)[0].ids, np.uint32)
             size = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
-            if len(size) != len(plain):
-                plain, ids, size = [], ids[:0], size[:0]
-        known = set(plain)
-        rest = [i for i in range(len(pieces)) if i not in known]
-        more = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False)]
-        return np.array(plain + rest, np.int64), np.concatenate([size, np.array([len(x) for x in more], np.int64)]), np.concatenate([ids, np.array([y for x in more for y in x], np.uint32)])
+            if len(size) != len(own):
+                own, plain, ids, size = own[:0], np.zeros(len(new), bool), ids[:0], size[:0]
+        rest = new[~plain]
+        more = [e.ids for e in self.tokenizer.encode_batch_fast([w.data[a:b].tobytes().decode() for a, b in zip(w.start[rest].tolist(), w.end[rest].tolist(), strict=True)], add_special_tokens=False)]
+        return np.concatenate([own, rest]), np.concatenate([size, np.array([len(x) for x in more], np.int64)]), np.concatenate([ids, np.array([y for x in more for y in x], np.uint32)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each text's ids."""
@@ -151,13 +163,15 @@ class PieceEncoder:
         if self.n > CACHE_PIECES and (slot < 0).any():
             self._reset(np.flatnonzero(self.uses[: self.n] > 1))
             slot = self._find(keys, checks)
-        raw = w.data.tobytes() if (slot < 0).any() else b""
-        while len(new := np.flatnonzero(slot < 0)):
-            new = new[np.unique(keys[new], return_index=True)[1]]
-            order, size, ids = self._encoded([raw[a:b] for a, b in zip(w.start[new].tolist(), w.end[new].tolist(), strict=True)])
-            self._add(keys[new[order]], checks[new[order]], size, ids)
-            slot = self._find(keys, checks)
-        self.uses[: self.n] += np.bincount(slot, minlength=self.n)
+        open_ = np.flatnonzero(slot < 0)
+        others = np.r_[0, np.cumsum(~_letters(w.data), dtype=np.int32)] if len(open_) else None
+        while len(open_):
+            new = open_[np.unique(keys[open_], return_index=True)[1]]
+            order, size, ids = self._encoded(w, new, others[w.end[new]] == others[w.start[new]])
+            self._add(keys[order], checks[order], size, ids)
+            slot[open_] = self._find(keys[open_], checks[open_])
+            open_ = open_[slot[open_] < 0]
+        self.uses[slot] += 1  # slices of text that a piece is in
         size = self.size[slot]
         to = np.cumsum(size)
         ids = self.flat[_ragged(self.start[slot], size)]
@@ -243,6 +257,7 @@ def write_tokens(docs: DataFrame, path: str, make: Callable[[], PieceEncoder] =
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, raw in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            give_back()
             file = path.rsplit("/", 1)[-1]  # names sort as the files were written, also where a task writes several
             start = size = crc = 0
             for ids, sizes, flags, values in read_blocks(raw.as_buffer()):
