@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import forget, parts_for, saved, small_batches, spread_join, table, text_bytes
@@ -322,10 +322,10 @@ def _set_labels(candidates: DataFrame, percent: int) -> DataFrame:
     first = _grouped(candidates.withColumn("label", F.col("set")), "low", "set", "jaccard_large")
     inside = saved(first.groupBy("low", "sub").applyInArrow(_inside(percent), "set long, was long, label long").select("set", "label"), "jaccard_inside")
     # components that large groups were split into: some sets of each meet again
-    order = F.row_number().over(Window.partitionBy("low", "label").orderBy(F.xxhash64("set"), "set"))
     split = candidates.join(inside, "set")
     hot = split.groupBy("low").agg(F.count("*").alias("c")).where(F.col("c") > GROUP).select("low")
-    some = split.select("low", "label", "set").join(hot, "low", "left_semi").withColumn("i", order).where(F.col("i") <= DELEGATES).select("set")
+    one_of = F.pmod(F.xxhash64("set"), F.lit(DELEGATES)).alias("one_of")  # the least of each share, so that a large component isn't gathered
+    some = split.select("low", "label", "set").join(hot, "low", "left_semi").groupBy("low", "label", one_of).agg(F.min("set").alias("set")).select("set")
     speak = saved(split.join(some, "set", "left_semi"), "jaccard_delegates")
     again = _grouped(speak, "low", "label", "jaccard_large")
     moved = again.groupBy("low", "sub").applyInArrow(_inside(percent), "set long, was long, label long").where("was <> label").groupBy("was").agg(F.min("label").alias("to"))
