@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import forget, parts_for, saved, small_batches, spread_join, table, text_bytes
 from .components import components
-from .shingles import SPACES, give_back, mix, text_slices, windows, words
+from .shingles import SPACES, give_back, mix, new_key, text_slices, windows, words
 
 WORDS, PERCENT = 4, 85
 GROUP = 256
@@ -37,10 +37,10 @@ SLICE, BUCKET = 2 << 20, 8 << 20
 SPARE_BITS = 6
 
 
-def _sets(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, ...]:
+def _sets(batch: pa.RecordBatch, k: int, key: bytes) -> tuple[np.ndarray, ...]:
     """Shingles, sorted within each text and without repeats, with their texts; each text's set size and id, a hash of the set."""
     w = words(batch.column("text"), SPACES, lower=True)
-    fps, text, _ = windows(w.hashes(), w.first, k, short=True)
+    fps, text, _ = windows(w.keyed_hashes(key), w.first, k, short=True, key=key)
     order = np.lexsort((fps, text))
     fps, text = fps[order], text[order]
     new = np.r_[True, (fps[1:] != fps[:-1]) | (text[1:] != text[:-1])] if len(fps) else np.zeros(0, bool)
@@ -51,12 +51,12 @@ def _sets(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, ...]:
     return fps, text, size, mix(total[edge[1:]] - total[edge[:-1]] + mix(size.astype(np.uint64))).view(np.int64)
 
 
-def _set_rows(k: int):
+def _set_rows(k: int, key: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in text_slices(batch):
                 part = batch.slice(a, b - a)
-                _, _, size, ids = _sets(part, k)
+                _, _, size, ids = _sets(part, k, key)
                 own = [c for c in part.schema.names if c != "text"]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), pa.array(size), pa.array(ids, mask=size == 0)], [*own, "n_shingles", "set"])
 
@@ -102,8 +102,8 @@ def _unpack(row: dict) -> pa.RecordBatch:
 class _Slice:
     """Sets of a slice, once each, and its shingles' keys: the upper bits of their hashes, sorted, with their frequencies here."""
 
-    def __init__(self, row: dict, k: int, bits: int, buckets: int):
-        fps, text, size, ids = _sets(_unpack(row), k)
+    def __init__(self, row: dict, k: int, key: bytes, bits: int, buckets: int):
+        fps, text, size, ids = _sets(_unpack(row), k, key)
         kept = np.unique(ids, return_index=True)[1]
         kept = kept[size[kept] > 0]
         once = np.zeros(len(ids), bool)
@@ -141,13 +141,13 @@ def _unpacked_gaps(first: int, n: int, raw: bytes) -> np.ndarray:
 _SENT = "bucket int, slice long, n int, first long, gaps binary, counts binary"
 
 
-def _shingles(k: int, bits: int, buckets: int):
+def _shingles(k: int, key: bytes, bits: int, buckets: int):
     """Keys and frequencies by bucket, in buckets 0 and up; ids of sets in buckets -1 and down."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                s = _Slice(row, k, bits, buckets)
+                s = _Slice(row, k, key, bits, buckets)
                 keys = [(b, j - i, int(s.keys[i : i + 1].view(np.int64)[0]), _packed_gaps(s.keys[i:j]), s.count[i:j].tobytes()) for b, i, j in s.cuts]
                 sets = [(-1 - b, j - i, 0, s.own[i:j].astype("<i8").tobytes(), None) for b, i, j in s.own_cuts]
                 if keys:
@@ -187,15 +187,15 @@ def _replies(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
     return pa.table({"slice": pa.array(slices), "bucket": pa.array([key[0].as_py()] * len(n), pa.int32()), "reply": pa.array([flat[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())})
 
 
-def _candidates(k: int, bits: int, buckets: int, percent: int):
+def _candidates(k: int, key: bytes, bits: int, buckets: int, percent: int):
     """Sets that share enough shingles for a link: all shared shingles, rare ones first, and how many of them are the prefix."""
 
-    def run(key: tuple[pa.Scalar, ...], slices: pa.Table, replies: pa.Table) -> pa.Table:
+    def run(_: tuple[pa.Scalar, ...], slices: pa.Table, replies: pa.Table) -> pa.Table:
         out = pa.table({"set": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "prefix": pa.array([], pa.int64()), "low": pa.array([], pa.int64()), "tokens": pa.array([], pa.binary())})
         if not slices.num_rows or not replies.num_rows:
             return out
         give_back()
-        s = _Slice(slices.to_pylist()[0], k, bits, buckets)
+        s = _Slice(slices.to_pylist()[0], k, key, bits, buckets)
         got = dict(zip(replies.column("bucket").to_pylist(), replies.column("reply"), strict=True))
         join = lambda cuts, sign: np.concatenate([np.frombuffer(got[b if sign else -1 - b].as_buffer(), np.uint8) for b, _, _ in cuts])
         kind = join(s.cuts, True)[s.key_of]
@@ -369,7 +369,7 @@ def linked_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -
     Words are runs without ASCII white space, A-Z as a-z. A text of fewer words is one shingle; a text without words, empty or
     null, has no shingles and no links. Returns doc_id, n_shingles and component_id, the least doc_id of the component, one row
     for each input row. Rows without doc_id link nothing and have no component; of rows with one doc_id each counts by its own
-    text. Other columns are left out. Shingles and sets are known by 64-bit hashes.
+    text. Other columns are left out. Shingles and sets are known by 64-bit hashes under a key that each call draws anew.
     """
     rows = saved(linked_sets(docs.select("doc_id", "text"), k, percent), "jaccard_rows")
     least = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows"))
@@ -385,14 +385,14 @@ def linked_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> Data
     spark = docs.sparkSession
     small_batches(spark)
     own = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
-    size = text_bytes(docs)
+    size, key = text_bytes(docs), new_key()
     buckets, bits = parts_for(spark, size, BUCKET), min(64, max(32, size.bit_length() + SPARE_BITS))
-    each = saved(docs.mapInArrow(_set_rows(k), ", ".join([*own, "n_shingles long, set long"])), "jaccard_sets")
+    each = saved(docs.mapInArrow(_set_rows(k, key), ", ".join([*own, "n_shingles long, set long"])), "jaccard_sets")
     slices = saved(docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_slices, _SLICE_ROW), "jaccard_slices", "none")
-    sent = slices.mapInArrow(_shingles(k, bits, buckets), _SENT)
+    sent = slices.mapInArrow(_shingles(k, key, bits, buckets), _SENT)
     replies = saved(sent.groupBy("bucket").applyInArrow(_replies, _REPLY), "jaccard_replies")
     both = slices.groupBy("slice").cogroup(replies.groupBy("slice"))
-    candidates = saved(both.applyInArrow(_candidates(k, bits, buckets, percent), _CANDIDATE), "jaccard_candidates")
+    candidates = saved(both.applyInArrow(_candidates(k, key, bits, buckets, percent), _CANDIDATE), "jaccard_candidates")
     forget(slices, replies)
     labels = _set_labels(candidates, percent)
     links = _links_between(candidates, labels, percent)

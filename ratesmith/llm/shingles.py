@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import hashlib
+import secrets
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +42,33 @@ def _constants(n: int, seed: int) -> np.ndarray:
     return mix((np.arange(1, n + 1, dtype=np.uint64) + np.uint64((seed + 1) * 100_003)) * _STEP) | np.uint64(1)
 
 
+def new_key() -> bytes:
+    """A secret key for keyed hashes, drawn anew: nobody can make texts for it beforehand."""
+    return secrets.token_bytes(16)
+
+
+@functools.lru_cache(64)
+def _secrets(key: bytes, n: int, name: str) -> np.ndarray:
+    """n random integers of 64 bits that follow from a key."""
+    return np.frombuffer(hashlib.shake_256(name.encode() + b"\0" + key).digest(8 * n), "<u8").astype(np.uint64)
+
+
+def eights(data: np.ndarray, padded: bool = False) -> np.ndarray:
+    """The eight bytes from each byte on as integers. padded: data has eight more bytes at its end, which need not be copied."""
+    if not padded:
+        data = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+
+
+def _steps(eight: np.ndarray, start: np.ndarray, size: np.ndarray, open_: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Byte strings in steps of eight bytes: which of open_ have bytes there, and these bytes as integers."""
+    at = 0
+    while len(open_):
+        left = size[open_] - at
+        yield open_, eight[start[open_] + at] & _MASKS[np.minimum(left, 8)]
+        open_, at = open_[left > 8], at + 8
+
+
 @dataclass
 class Words:
     """Words of some texts. first[i]:first[i + 1] are the words of text i, data[start[j]:end[j]] are the bytes of word j."""
@@ -49,22 +78,38 @@ class Words:
     end: np.ndarray
     first: np.ndarray
 
+    def keyed_hashes(self, key: bytes, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word's bytes under a secret key; seeds are independent of each other.
+
+        Two sums of the word's 32-bit parts and its length, each with random multipliers of 64 bits, of which the upper 32 bits
+        count (multilinear hashing): any two words agree with a chance of at most 2 ** -64 over the keys, whatever they are.
+        Words of more than LONG bytes are hashed by BLAKE2 with the key.
+        """
+        size, low = self.end - self.start, np.uint64(0xFFFFFFFF)
+        k = _secrets(key, 2 * (LONG // 4 + 2), f"words{seed}").reshape(2, -1)
+        sums = [a[-1] + size.astype(np.uint64) * a[-2] for a in k]
+        long = size > LONG
+        for step, (open_, part) in enumerate(_steps(eights(self.data), self.start, size, np.flatnonzero(~long))):
+            lower, upper = part & low, part >> np.uint64(32)
+            for s, a in zip(sums, k, strict=True):
+                s[open_] += lower * a[2 * step] + upper * a[2 * step + 1]
+        out = (sums[0] & ~low) | (sums[1] >> np.uint64(32))
+        for i in np.flatnonzero(long):
+            out[i] = int.from_bytes(hashlib.blake2b(self.data[self.start[i] : self.end[i]], digest_size=8, key=key, person=seed.to_bytes(2, "little")).digest(), "little")
+        return out
+
     def hashes(self, seed: int = 0) -> np.ndarray:
-        """A 64-bit hash of each word's bytes; seeds are independent of each other.
+        """A 64-bit hash of each word's bytes that is the same in all runs, for features; seeds are independent of each other.
 
         Words are taken in steps of eight bytes, each mixed with all before it by a bijection that isn't linear: words of one
-        length up to eight bytes never have equal hashes. Words of more than LONG bytes are hashed by BLAKE2.
+        length up to eight bytes never have equal hashes, but longer ones can be made that do. Words of more than LONG bytes are
+        hashed by BLAKE2.
         """
         size = self.end - self.start
         out = mix(size.astype(np.uint64) * _STEP + _constants(1, seed)[0])
         long = size > LONG
-        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
-        eight = np.ndarray(len(self.data) + 1, "<u8", padded, strides=(1,))
-        open_, at = np.flatnonzero(~long), 0
-        while len(open_):
-            left = size[open_] - at
-            out[open_] = mix(out[open_] ^ (eight[self.start[open_] + at] & _MASKS[np.minimum(left, 8)]))
-            open_, at = open_[left > 8], at + 8
+        for open_, part in _steps(eights(self.data), self.start, size, np.flatnonzero(~long)):
+            out[open_] = mix(out[open_] ^ part)
         key = int(_constants(1, seed)[0]).to_bytes(8, "little")
         for i in np.flatnonzero(long):
             out[i] = int.from_bytes(hashlib.blake2b(self.data[self.start[i] : self.end[i]], digest_size=8, key=key).digest(), "little")
@@ -74,6 +119,29 @@ class Words:
         return np.diff(self.first)
 
 
+def distinct(w: Words) -> tuple[Words, np.ndarray]:
+    """The distinct words of w, told apart by their bytes, and which of them each word is."""
+    if not len(w.start):
+        return Words(w.data[:0], w.start, w.end, np.zeros(1, np.int64)), np.zeros(0, np.int64)
+    cuts = np.empty(2 * len(w.start) + 1, np.int64)
+    cuts[:-1:2], cuts[1::2], cuts[-1] = w.start, w.end, w.end[-1]  # words and what is between them, in turns
+    both = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(w.data))]).dictionary_encode()
+    which, offsets = both.indices.to_numpy()[::2], np.frombuffer(both.dictionary.buffers()[1], np.int64)[: len(both.dictionary) + 1]
+    used = np.zeros(len(both.dictionary), bool)
+    used[which] = True
+    number = np.cumsum(used) - 1
+    data = np.frombuffer(both.dictionary.buffers()[2] or b"", np.uint8)
+    return Words(data, offsets[:-1][used], offsets[1:][used], np.array([0, int(used.sum())])), number[which]
+
+
+def same_bytes(a: np.ndarray, a_start: np.ndarray, b: np.ndarray, b_start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether a and b, both made by eights(), hold equal bytes from a_start and b_start on, for each place of the last three."""
+    out = np.ones(len(size), bool)
+    for (open_, x), (_, y) in zip(_steps(a, a_start, size, rows := np.arange(len(size))), _steps(b, b_start, size, rows), strict=True):
+        out[open_[x != y]] = False
+    return out
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = _SLICE) -> Iterator[tuple[int, int]]:
     """Rows of a batch by ranges of about `most` bytes of text, one row at least."""
     if not batch.num_rows:
@@ -115,12 +183,13 @@ def words(texts: pa.Array, breaks: np.ndarray = SPACES, lower: bool = False) ->
     return Words(data, start, end, np.searchsorted(start, offsets))
 
 
-def windows(hashes: np.ndarray, first: np.ndarray, k: int, short: bool = False, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(hashes: np.ndarray, first: np.ndarray, k: int, short: bool = False, seed: int = 0, key: bytes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, text and first word of each window of k words. short: a text of fewer words, but not none, is one window.
 
-    A window's hash is a sum of its words' hashes, each place with a multiplier of its own, mixed.
+    A window's hash is a sum of its words' hashes, each place with a multiplier of its own, mixed. With a key the multipliers
+    are secret.
     """
-    n, weights = len(hashes), _constants(k + 1, seed + 13)
+    n, weights = len(hashes), _constants(k + 1, seed + 13) if key is None else _secrets(key, k + 1, f"windows{seed}") | np.uint64(1)
     acc = np.zeros(max(0, n - k + 1), np.uint64)
     for j in range(k):
         acc += hashes[j : n - k + 1 + j] * weights[j] if n >= k else acc

@@ -3,8 +3,9 @@
 The index is a list of sorted immutable runs. A run is a table bucketed by the fingerprint's high bits, one row for each
 bucket with its sorted fingerprints; a batch is merge-joined with the runs bucket by bucket, its own new fingerprints become
 one more run, and runs of like size are merged into one (compaction). A match is verified by a second, independent hash that is
-kept beside each fingerprint, so that 96 bits of two hash families have to agree. A manifest names the runs, so that an index can
-be opened again and take further batches.
+kept beside each fingerprint, so that 96 bits of two hash families have to agree. Both have a secret key that is drawn for each
+index, so that no words can be made that agree. A manifest names the runs and holds the key, so that an index can be opened again
+and take further batches.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import drop, exists, freed_shuffles, names_in, parts_for, saved, small_batches, table, work_path
-from .shingles import by_bucket, give_back, mix, text_slices, windows, words
+from .shingles import Words, by_bucket, give_back, mix, new_key, text_slices, windows, words
 
 WINDOW = 13
 BATCHES = 3
@@ -80,7 +81,13 @@ def _by_part(f: np.ndarray, c: np.ndarray, d: np.ndarray, parts: int) -> tuple[l
     return held.tolist(), [[x[order][i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)] for x in (f, c, d)]
 
 
-def _fingerprints(window: int, buckets: int, parts: int):
+def _window_hashes(w: Words, window: int, key: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprint, check, text and first word of each window."""
+    f, text, at = windows(w.keyed_hashes(key), w.first, window, key=key)
+    return f, windows(w.keyed_hashes(key, 1), w.first, window, seed=1, key=key)[0].astype(np.uint32), text, at
+
+
+def _fingerprints(window: int, buckets: int, parts: int, key: bytes):
     """(bucket, fingerprints, checks, doc_ids) of the windows of each slice of documents. A window comes once from a slice, with the
     least of its documents; that the others have it too goes to buckets -1 and down, by part of the document."""
 
@@ -88,8 +95,7 @@ def _fingerprints(window: int, buckets: int, parts: int):
         for batch in batches:
             for a, b in text_slices(batch):
                 w = words(batch.column("text").slice(a, b - a))
-                f, text, at = windows(w.hashes(), w.first, window)
-                c = windows(w.hashes(1), w.first, window, seed=1)[0].astype(np.uint32)
+                f, c, text, _ = _window_hashes(w, window, key)
                 d = batch.column("doc_id").slice(a, b - a).to_numpy(zero_copy_only=False)[text].astype(np.int64)
                 order = np.lexsort((d, c, f))
                 f, c, d = f[order], c[order], d[order]
@@ -157,8 +163,8 @@ class WindowIndex:
     The index lives in the folder `path`. Each change of its runs writes a new manifest beside the old one; open() reads the latest.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int, window: int = WINDOW):
-        self.spark, self.path, self.buckets, self.window, self.version = spark, path, buckets, window, 0
+    def __init__(self, spark: SparkSession, path: str, buckets: int, window: int = WINDOW, key: bytes | None = None):
+        self.spark, self.path, self.buckets, self.window, self.version, self.key = spark, path, buckets, window, 0, key or new_key()
         self.runs: list[tuple[int, str, int]] = []
         self.files = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -166,8 +172,8 @@ class WindowIndex:
     def open(cls, spark: SparkSession, path: str) -> WindowIndex:
         """The index that an earlier session has left in `path`."""
         last = max((n for n in names_in(spark, path) if n.startswith("manifest-") and exists(spark, f"{path}/{n}/_SUCCESS")), key=lambda n: int(n.split("-")[1]))
-        rows = spark.read.schema("buckets int, window int, level int, name string, files int").parquet(f"{path}/{last}").collect()  # one row for each run
-        out = cls(spark, path, rows[0]["buckets"], rows[0]["window"])
+        rows = spark.read.schema("buckets int, window int, level int, name string, files int, key binary").parquet(f"{path}/{last}").collect()  # one row for each run
+        out = cls(spark, path, rows[0]["buckets"], rows[0]["window"], bytes(rows[0]["key"]))
         out.version = int(last.split("-")[1])
         for r in rows:
             if r["name"]:
@@ -189,13 +195,13 @@ class WindowIndex:
 
     def _noted(self) -> None:
         self.version += 1
-        rows = [(self.buckets, self.window, level, name, files) for level, name, files in self.runs] or [(self.buckets, self.window, 0, None, 0)]
-        self.spark.createDataFrame(rows, "buckets int, window int, level int, name string, files int").coalesce(1).write.parquet(f"{self.path}/manifest-{self.version}")
+        rows = [(self.buckets, self.window, level, name, files, self.key) for level, name, files in self.runs] or [(self.buckets, self.window, 0, None, 0, self.key)]
+        self.spark.createDataFrame(rows, "buckets int, window int, level int, name string, files int, key binary").coalesce(1).write.parquet(f"{self.path}/manifest-{self.version}")
 
     def add(self, docs: DataFrame, parts: int) -> DataFrame | None:
         """Match a batch with the index and with itself, and keep its windows. Rows (part, fps, checks, ids) of the windows that
         occur in an earlier batch or in a document of this batch with a smaller id."""
-        new = docs.select("doc_id", "text").where("doc_id IS NOT NULL").mapInArrow(_fingerprints(self.window, self.buckets, parts), "bucket int, fps binary, checks binary, ids binary")
+        new = docs.select("doc_id", "text").where("doc_id IS NOT NULL").mapInArrow(_fingerprints(self.window, self.buckets, parts, self.key), "bucket int, fps binary, checks binary, ids binary")
         known = self.spark.createDataFrame([], RUN)
         for i, run in enumerate(self.runs):
             known = known.unionByName(self._read(run)) if i else self._read(run)
@@ -236,7 +242,7 @@ def _ranges(docs: DataFrame, batches: int) -> list[DataFrame]:
     return out
 
 
-def duplicate_windows(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES, index: WindowIndex | None = None) -> DataFrame:
+def duplicate_windows(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES, index: WindowIndex | None = None, key: bytes | None = None) -> DataFrame:
     """(id, hits, hit_checks): each document that has windows which also start in a document with a smaller id or are in the index,
     and their fingerprints.
 
@@ -247,7 +253,7 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, batches: int = BATC
     small_batches(spark)
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     parts = parts_for(spark, size, 16 << 20)
-    own = index or WindowIndex(spark, work_path(spark, "window_index"), parts_for(spark, size, 8 << 20), window)
+    own = index or WindowIndex(spark, work_path(spark, "window_index"), parts_for(spark, size, 8 << 20), window, key)
     try:
         found = [hits for batch in _ranges(docs, batches) if (hits := own.add(batch, parts)) is not None]
         out = spark.createDataFrame([], _HITS) if not found else found[0]
@@ -260,14 +266,13 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, batches: int = BATC
             drop(spark, own.path)
 
 
-def _kept(window: int):
+def _kept(window: int, key: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in text_slices(batch):
                 w = words(batch.column("text").slice(a, b - a))
                 hits, hit_checks = (batch.column(c).slice(a, b - a).to_pylist() for c in ("hits", "hit_checks"))
-                fps, text, at = windows(w.hashes(), w.first, window)
-                checks = windows(w.hashes(1), w.first, window, seed=1)[0].astype(np.uint32) if any(hits) else None
+                fps, checks, text, at = _window_hashes(w, window, key) if any(hits) else [np.zeros(0, np.int64)] * 4
                 edge = np.searchsorted(text, np.arange(len(hits) + 1))
                 cover = np.zeros(len(w.start) + 1, np.int32)
                 for i, h in enumerate(hits):
@@ -300,9 +305,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, batches: int = BATCH
     document; other columns, whatever their names, are left out. With an index, windows of its earlier batches are removed too,
     and these documents' windows stay in it.
     """
-    hits = duplicate_windows(docs, window, batches, index)
+    key = index.key if index else new_key()
+    hits = duplicate_windows(docs, window, batches, index, key)
     rows = docs.select("doc_id", "text").join(hits, F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "hits", "hit_checks")
-    out = rows.mapInArrow(_kept(window), "doc_id long, text string, n_words long, n_removed long, kept_text string")
+    out = rows.mapInArrow(_kept(window, key), "doc_id long, text string, n_words long, n_removed long, kept_text string")
     return out.drop("text")
 
 

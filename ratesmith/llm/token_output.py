@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from . import simple8b
 from .common import freed_shuffles, parts_for, saved, table, text_bytes, work_path
-from .shingles import SPACES, Words, give_back, text_slices, words
+from .shingles import SPACES, Words, distinct, eights, give_back, new_key, same_bytes, text_slices, words
 
 MAGIC, HEAD = b"S8B1", struct.Struct("<4sIIQQ")
 BLOCK_IDS = 1 << 18
@@ -37,13 +37,13 @@ _ALNUM[[*range(0x30, 0x3A), *range(0x61, 0x7B)]] = True
 _TAIL = 4
 _SMALL = np.zeros(256, bool)
 _SMALL[0x61:0x7B] = True
-#: Second bytes of the letters from U+00C0 to U+00FF, whose first is 0xC3.
+#: Second bytes of the small letters from U+00DF to U+00FF, whose first is 0xC3.
 _SECOND = np.zeros(256, bool)
-_SECOND[[*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)]] = True
+_SECOND[[*range(0x9F, 0xB7), *range(0xB8, 0xC0)]] = True
 
 
 def _letters(data: np.ndarray) -> np.ndarray:
-    """Which bytes belong to letters, small ASCII or Latin-1: the pre-tokenizer keeps a piece of those whole."""
+    """Which bytes belong to small letters, ASCII or Latin-1: the pre-tokenizer keeps a piece of those whole."""
     out = _SMALL[data]
     pair = (data[:-1] == 0xC3) & _SECOND[data[1:]]
     out[:-1] |= pair
@@ -51,6 +51,13 @@ def _letters(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _lower_latin(w: Words) -> Words:
+    """Capitals from U+00C0 to U+00DE as small letters, in place: the tokenizer lowers all letters, but the cache should know one form."""
+    second = w.data[1:]
+    second[(w.data[:-1] == 0xC3) & (second <= 0x9E) & (second >= 0x80) & (second != 0x97)] += np.uint8(0x20)
+    return w
+
+
 def _pieces(w: Words) -> Words:
     """Words cut in two where their end is ASCII punctuation after an ASCII letter or digit: the pre-tokenizer cuts there too,
     whatever stands before. Apostrophes are left alone, because of 's and the like."""
@@ -76,45 +83,56 @@ def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class PieceEncoder:
-    """Ids of whole texts by a tokenizer that lowers case, marks the last token of a pre-token, and never lets a token cross ASCII
-    white space: each distinct piece is encoded once, with the tokenizers library. Pieces are known by their length, their outer
-    bytes and a 64-bit hash, which no two pieces of one length up to eight bytes share."""
+    """Ids of whole texts by a byte-level tokenizer that lowers case, marks the last token of a pre-token, and never lets a token cross ASCII
+    white space: each distinct piece is encoded once, with the tokenizers library. Pieces are found by a keyed hash and compared
+    byte by byte."""
 
     def __init__(self, path: str, end_of_word: str = "</w>"):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)  # for pieces that its normaliser and its patterns leave as they are
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith(end_of_word)]] = True
-        self.bits = 21
+        self.bits, self.key = 21, new_key()
         self._reset(np.zeros(0, np.int64))
 
     def _reset(self, keep: np.ndarray) -> None:
         """Keep these slots only."""
-        old = (self.keys[keep], self.checks[keep], self.size[keep], self.flat[_ragged(self.start[keep], self.size[keep])]) if len(keep) else None
+        old = None
+        if len(keep):
+            to = np.cumsum(self.bytes[keep])
+            kept = Words(self.text[_ragged(self.at[keep], self.bytes[keep])], to - self.bytes[keep], to, np.array([0, len(keep)]))
+            old = (self.keys[keep], kept, np.arange(len(keep)), self.size[keep], self.flat[_ragged(self.start[keep], self.size[keep])])
         self.table, self.n = np.full(1 << self.bits, -1, np.int32), 0
         room = max(1 << 16, 2 * len(keep))
-        self.keys, self.checks, self.start, self.size = np.zeros(room, np.uint64), np.zeros(room, np.uint32), np.zeros(room, np.int32), np.zeros(room, np.int32)
-        self.flat, self.used, self.uses = np.zeros(1 << 20, np.uint32), 0, np.zeros(room, np.int32)
+        self.keys = np.zeros(room, np.uint64)
+        self.at, self.bytes, self.start, self.size, self.uses = (np.zeros(room, np.int32) for _ in range(5))
+        self.flat, self.used, self.text, self.filled = np.zeros(1 << 20, np.uint32), 0, np.zeros((1 << 20) + 8, np.uint8), 0
         if old:
             self._add(*old)
 
-    def _add(self, keys: np.ndarray, checks: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
-        k = len(keys)
+    def _add(self, keys: np.ndarray, w: Words, of: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Remember the words `of` of w, which have these keys, numbers of ids, and ids."""
+        k, length = len(keys), w.end[of] - w.start[of]
         while self.n + k > len(self.keys):
-            for name in ("keys", "checks", "start", "size", "uses"):
+            for name in ("keys", "at", "bytes", "start", "size", "uses"):
                 setattr(self, name, np.concatenate([x := getattr(self, name), np.zeros_like(x)]))
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.filled + int(length.sum()) + 8 > len(self.text):
+            self.text = np.concatenate([self.text, np.zeros_like(self.text)])
         new = slice(self.n, self.n + k)
-        self.keys[new], self.checks[new], self.size[new] = keys, checks, size
-        self.start[new] = self.used + np.cumsum(size) - size
+        self.keys[new], self.size[new], self.bytes[new] = keys, size, length
+        self.start[new], self.at[new] = self.used + np.cumsum(size) - size, self.filled + np.cumsum(length) - length
         self.flat[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
+        self.text[self.filled : self.filled + int(length.sum())] = w.data[_ragged(w.start[of], length)]
+        self.used, self.filled = self.used + len(ids), self.filled + int(length.sum())
         left, at, mask = np.arange(self.n, self.n + k), (self.keys[new] >> np.uint64(8)).astype(np.int64), (1 << self.bits) - 1
         while len(left):  # linear probing, all at once; of those that meet at one place the last stays
             at &= mask
@@ -124,13 +142,17 @@ class PieceEncoder:
             left, at = left[go], at[go] + 1
         self.n += k
 
-    def _find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
-        out, mask = np.full(len(keys), -1, np.int32), (1 << self.bits) - 1
+    def _find(self, keys: np.ndarray, w: Words) -> np.ndarray:
+        """The slots of the words of w, -1 where there is none."""
+        out, mask, length = np.full(len(keys), -1, np.int32), (1 << self.bits) - 1, w.end - w.start
         left, at = np.arange(len(keys)), (keys >> np.uint64(8)).astype(np.int64)
+        mine, theirs = eights(self.text, padded=True), eights(w.data)
         while len(left):
             at &= mask
             slot = self.table[at]
-            hit = (slot >= 0) & (self.keys[slot] == keys[left]) & (self.checks[slot] == checks[left])
+            hit = (slot >= 0) & (self.keys[slot] == keys[left]) & (self.bytes[slot] == length[left])
+            of = left[hit]
+            hit[hit] = same_bytes(mine, self.at[slot[hit]], theirs, w.start[of], length[of])
             out[left[hit]] = slot[hit]
             go = (slot >= 0) & ~hit
             left, at = left[go], at[go] + 1
@@ -144,7 +166,7 @@ class PieceEncoder:
             room = w.end[own] - w.start[own] + 1
             joined = np.append(w.data, np.uint8(0x20))[_ragged(w.start[own], room)]
             joined[np.cumsum(room) - 1] = 0x20
-            ids = np.array(self.tokenizer.encode_batch_fast([joined[:-1].tobytes().decode()], add_special_tokens=False)[0].ids, np.uint32)
+            ids = np.array(self.plain.encode_batch_fast([joined[:-1].tobytes().decode()], add_special_tokens=False)[0].ids, np.uint32)
             size = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
             if len(size) != len(own):
                 own, plain, ids, size = own[:0], np.zeros(len(new), bool), ids[:0], size[:0]
@@ -156,22 +178,20 @@ class PieceEncoder:
         """Ids of all texts one after the other, and the number of each text's ids."""
         # special tokens are looked for in the text as it is: their upper case must not be lowered before
         special = pc.any(pc.match_substring(texts, "<|")).as_py()
-        w = words(texts, SPACES) if special else _pieces(words(texts, SPACES, lower=True))
-        keys = w.hashes(2)
-        checks = (w.end - w.start).astype(np.uint32) << np.uint32(16) ^ w.data[w.start].astype(np.uint32) << np.uint32(8) ^ w.data[w.end - 1]
-        slot = self._find(keys, checks)
+        w = words(texts, SPACES) if special else _pieces(_lower_latin(words(texts, SPACES, lower=True)))
+        d, which = distinct(w)
+        keys = d.keyed_hashes(self.key)
+        slot = self._find(keys, d)
         if self.n > CACHE_PIECES and (slot < 0).any():
             self._reset(np.flatnonzero(self.uses[: self.n] > 1))
-            slot = self._find(keys, checks)
-        open_ = np.flatnonzero(slot < 0)
-        others = np.r_[0, np.cumsum(~_letters(w.data), dtype=np.int32)] if len(open_) else None
-        while len(open_):
-            new = open_[np.unique(keys[open_], return_index=True)[1]]
-            order, size, ids = self._encoded(w, new, others[w.end[new]] == others[w.start[new]])
-            self._add(keys[order], checks[order], size, ids)
-            slot[open_] = self._find(keys[open_], checks[open_])
-            open_ = open_[slot[open_] < 0]
+            slot = self._find(keys, d)
+        if len(new := np.flatnonzero(slot < 0)):
+            others = np.r_[0, np.cumsum(~_letters(d.data), dtype=np.int32)]
+            order, size, ids = self._encoded(d, new, others[d.end[new]] == others[d.start[new]])
+            slot[order] = np.arange(self.n, self.n + len(order))
+            self._add(keys[order], d, order, size, ids)
         self.uses[slot] += 1  # slices of text that a piece is in
+        slot = slot[which]
         size = self.size[slot]
         to = np.cumsum(size)
         ids = self.flat[_ragged(self.start[slot], size)]

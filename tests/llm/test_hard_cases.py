@@ -278,3 +278,84 @@ def test_spread_join_of_hot_and_missing_keys(spark):
     hot = 4998
     assert len(got) == 5000
     assert all(v == (max(hot, 7) if i % 3 == 0 else i if i % 3 == 1 and i % 2 and i != 7 else max(hot, 7) if i == 7 else None) for i, v in got.items())
+
+
+def crafted_pairs(count, seed, allowed, outer=False, size=16):
+    """Pairs of 16 bytes that agree in the unkeyed hash of words of this size: the second eight bytes undo the difference of the
+    first, and are plain ASCII. In words of more than 16 bytes pair follows on pair. outer: with equal outer bytes too."""
+    from ratesmith.llm.shingles import _STEP, _constants, mix
+
+    rng, state = np.random.default_rng(seed), mix(np.array([size], np.uint64) * _STEP + _constants(1, seed)[0])
+    fine, out = np.zeros(256, bool), []
+    fine[list(allowed)] = True
+    while len(out) < count:
+        before = len(out)
+        heads = np.frombuffer(rng.choice(np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8), 8 * 65536).tobytes(), "<u8").copy()
+        if outer:
+            heads = heads & ~np.uint64(255) | np.uint64(ord("a"))
+        mixed = mix(state ^ heads)
+        for i in range(0, 256):
+            tail = np.frombuffer(rng.choice(np.flatnonzero(fine).astype(np.uint8), 8).tobytes(), "<u8")[0]
+            other = np.ascontiguousarray(mixed ^ mixed[i] ^ tail)
+            good = fine[other.view(np.uint8).reshape(-1, 8)].all(1)
+            if outer:
+                good &= other >> np.uint64(56) == tail >> np.uint64(56)
+            good[i] = False
+            for j in np.flatnonzero(good)[:1]:
+                out.append(tuple((h.tobytes() + t.tobytes()).decode() for h, t in ((heads[i], tail), (heads[j], other[j]))))
+                after = mix(mixed[i : i + 1] ^ tail)
+            if size > 16 and len(out) > before:
+                state = after
+                break
+    return out[:count]
+
+
+PLAIN = {*range(0x21, 0x7F)} - {*range(0x41, 0x5B)} - {ord("<")}
+
+
+def test_words_made_for_the_unkeyed_hash(spark):
+    pairs = crafted_pairs(16, 0, PLAIN)
+    assert all(len(set(words(pa.array(p)).hashes().tolist())) == 1 and p[0] != p[1] for p in pairs)  # they do agree there
+    docs = spark.createDataFrame([(2 * i + j, w) for i, p in enumerate(pairs) for j, w in enumerate(p)], "doc_id long, text string").coalesce(1)
+    assert {r.doc_id: r.component_id for r in linked_components(docs).collect()} == {i: i for i in range(32)}
+    # words of 256 bytes, all of one 64-bit hash, of which two agree in 32 bits of the other family
+    rng, seen, two, pairs = random.Random(1), {}, None, crafted_pairs(16, 0, PLAIN, size=256)
+    for _ in range(4):
+        many = ["".join(p[rng.randrange(2)] for p in pairs) for _ in range(40_000)]
+        w = words(pa.array(many))
+        assert len(set(w.hashes().tolist())) == 1
+        for word, c in zip(many, w.hashes(1).astype(np.uint32).tolist(), strict=True):
+            if seen.setdefault(c, word) != word:
+                two = seen[c], word
+    rest = " ".join(f"w{i}" for i in range(12))
+    two = two or (many[0], many[1])
+    texts = spark.createDataFrame([(1, f"{two[0]} {rest}"), (2, f"{two[1]} {rest}")], "doc_id long, text string").coalesce(1)
+    assert [r.n_removed for r in substring_dedup.dedup_substrings(texts).collect()] == [0, 0]
+
+
+def test_pieces_made_for_the_unkeyed_hash():
+    pairs = crafted_pairs(2, 2, PLAIN, outer=True)
+    plain, encoder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), token_output.word_bpe()
+    texts = [w for p in pairs for w in p]
+    ids, sizes = encoder.encode(pa.array(texts))
+    cuts = np.r_[0, np.cumsum(sizes)]
+    assert [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [plain.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_equal_hashes_are_told_apart_by_bytes(monkeypatch):
+    monkeypatch.setattr(token_output.Words, "keyed_hashes", lambda self, key, seed=0: np.full(len(self.start), 7, np.uint64))
+    plain, encoder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), token_output.word_bpe()
+    texts = ["one two three", "two four, one's ünd", "three three zwölf", "x" * 40 + " " + "x" * 39 + "y"]
+    for _ in range(2):
+        ids, sizes = encoder.encode(pa.array(texts))
+        cuts = np.r_[0, np.cumsum(sizes)]
+        assert [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [plain.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_keyed_hashes_differ_by_key_and_hold_over_batches():
+    texts = ["".join(random.Random(i).choices("ab", k=n)) for n in (1, 7, 8, 9, 16, 17, 255, 256, 257, 600) for i in range(40)]
+    w = words(pa.array(texts))
+    for seed in (0, 1):
+        h = w.keyed_hashes(b"k" * 16, seed)
+        assert len(set(h.tolist())) == len(set(texts)) and (h != w.keyed_hashes(b"l" * 16, seed)).all()
+        assert (h == np.concatenate([words(pa.array([t])).keyed_hashes(b"k" * 16, seed) for t in texts])).all()
