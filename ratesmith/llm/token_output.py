@@ -82,26 +82,28 @@ def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(to[-1] if len(to) else 0) + np.repeat(start - (to - size), size)
 
 
-class PieceEncoder:
-    """Ids of whole texts by a byte-level tokenizer that lowers case, marks the last token of a pre-token, and never lets a token cross ASCII
-    white space: each distinct piece is encoded once, with the tokenizers library. Pieces are found by a keyed hash and compared
-    byte by byte."""
+class PieceCache:
+    """Some integers for each distinct piece of text. Pieces are found by a keyed hash and compared byte by byte."""
 
-    def __init__(self, path: str, end_of_word: str = "</w>"):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.plain = Tokenizer(self.tokenizer.model)  # for pieces that its normaliser and its patterns leave as they are
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocab = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith(end_of_word)]] = True
+    def __init__(self):
         self.bits, self.key = 21, new_key()
         self._reset(np.zeros(0, np.int64))
 
+    def slots(self, d: Words, learn: Callable[[Words, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The slots of the distinct pieces d. learn gets those that aren't known, and gives an order of them, the number of each
+        one's integers, and all integers."""
+        keys = d.keyed_hashes(self.key)
+        slot = self._find(keys, d)
+        if self.n > CACHE_PIECES and (slot < 0).any():
+            self._reset(np.flatnonzero(self.uses[: self.n] > 1))
+            slot = self._find(keys, d)
+        if len(new := np.flatnonzero(slot < 0)):
+            order, size, ids = learn(d, new)
+            slot[order] = np.arange(self.n, self.n + len(order))
+            self._add(keys[order], d, order, size, ids)
+        self.uses[slot] += 1  # slices of text that a piece is in
+        return slot
+
     def _reset(self, keep: np.ndarray) -> None:
         """Keep these slots only."""
         old = None
@@ -158,9 +160,30 @@ class PieceEncoder:
             left, at = left[go], at[go] + 1
         return out
 
-    def _encoded(self, w: Words, new: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The pieces `new` in an order of their own, the number of each one's ids, and all ids. Pieces of letters only (plain) go to
-        the tokenizer in one text, and come apart at the tokens that end a pre-token."""
+
+class PieceEncoder(PieceCache):
+    """Ids of whole texts by a byte-level tokenizer that lowers case, marks the last token of a pre-token, and never lets a token cross
+    ASCII white space: each distinct piece is encoded once, with the tokenizers library."""
+
+    def __init__(self, path: str, end_of_word: str = "</w>"):
+        super().__init__()
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)  # for pieces that its normaliser and its patterns leave as they are
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(end_of_word)]] = True
+
+    def _encoded(self, w: Words, new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces `new` in an order of their own, the number of each one's ids, and all ids. Pieces of letters only go to the
+        tokenizer in one text, and come apart at the tokens that end a pre-token."""
+        others = np.r_[0, np.cumsum(~_letters(w.data), dtype=np.int32)]
+        plain = others[w.end[new]] == others[w.start[new]]
         own, ids, size = new[plain], np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if len(own):
             room = w.end[own] - w.start[own] + 1
@@ -180,18 +203,7 @@ class PieceEncoder:
         special = pc.any(pc.match_substring(texts, "<|")).as_py()
         w = words(texts, SPACES) if special else _pieces(_lower_latin(words(texts, SPACES, lower=True)))
         d, which = distinct(w)
-        keys = d.keyed_hashes(self.key)
-        slot = self._find(keys, d)
-        if self.n > CACHE_PIECES and (slot < 0).any():
-            self._reset(np.flatnonzero(self.uses[: self.n] > 1))
-            slot = self._find(keys, d)
-        if len(new := np.flatnonzero(slot < 0)):
-            others = np.r_[0, np.cumsum(~_letters(d.data), dtype=np.int32)]
-            order, size, ids = self._encoded(d, new, others[d.end[new]] == others[d.start[new]])
-            slot[order] = np.arange(self.n, self.n + len(order))
-            self._add(keys[order], d, order, size, ids)
-        self.uses[slot] += 1  # slices of text that a piece is in
-        slot = slot[which]
+        slot = self.slots(d, self._encoded)[which]
         size = self.size[slot]
         to = np.cumsum(size)
         ids = self.flat[_ragged(self.start[slot], size)]
