@@ -9,6 +9,8 @@ documents gets the counts of its own distinct pairs back.
 
 from __future__ import annotations
 
+import functools
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import forget, parts_for, saved, small_batches, table, text_bytes
-from .shingles import Words, distinct, give_back, text_slices
+from .shingles import Words, by_bucket, distinct, give_back, text_slices
 from .token_output import PieceCache, _ragged
 
 #: Bytes of text in one slice, and bytes of text whose slices' pairs meet in one bucket.
@@ -191,6 +193,14 @@ def _encoded(make: Callable[[], Pair]):
     return run
 
 
+@functools.lru_cache(4)
+def _printed(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The digits of the integers below n, one row each, and how many there are; room for a mark after them."""
+    text = np.char.encode(np.arange(n).astype(str))
+    rows = text.astype(f"S{text.dtype.itemsize + 1}").view(np.uint8).reshape(n, -1).copy()
+    return rows, (rows > 0).sum(1)
+
+
 class _Slice:
     """The tokens of a slice, and what their ends say."""
 
@@ -199,13 +209,15 @@ class _Slice:
         self.ids, self.nulls = of("doc_ids", "<i8"), of("nulls", np.uint8) > 0
         self.n_a, self.n_b = of("n_a", "<u4").astype(np.int64), of("n_b", "<u4").astype(np.int64)
         self.a, self.b = of("a", _kind(pair.a_size)).astype(np.int64), of("b", _kind(pair.b_size)).astype(np.int64)
-        self.ends = ends = [np.cumsum(size[ids]) for size, ids in ((pair.a_size, self.a), (pair.b_size, self.b))]
+        ends = [np.cumsum(size[ids]) for size, ids in ((pair.a_size, self.a), (pair.b_size, self.b))]
         n = int(ends[0][-1]) + 1 if len(self.a) else 1
         a_ends, b_ends = (np.bincount(e, minlength=n) for e in ends)
         self.cut, either = a_ends & b_ends, a_ends | b_ends
         at = np.flatnonzero(either)
         # tokens of each side that have ended before: the place of the one that goes on
-        self.link_a, self.link_b = (np.cumsum(x)[at] - x[at] for x in (a_ends, b_ends))
+        a_to, b_to = (np.cumsum(x) for x in (a_ends, b_ends))
+        self.link_a, self.link_b = a_to[at] - a_ends[at], b_to[at] - b_ends[at]
+        self.group_ends = a_to[np.flatnonzero(self.cut)], b_to[np.flatnonzero(self.cut)]
         self.pairs = self.a[self.link_a] << 32 | self.b[self.link_b]
         self.edge = np.r_[0, ends[0]][np.r_[0, np.cumsum(self.n_a)]]  # bytes before each document
         self.links_before, self.cuts_before = np.cumsum(either)[self.edge], np.cumsum(self.cut)[self.edge]  # no token ends at 0
@@ -216,102 +228,97 @@ class _Slice:
 
     def groups(self) -> list[str]:
         """Each document's groups: a1,a2|b1;a3|b2 and so on."""
-        at = np.flatnonzero(self.cut)
-        a_to, b_to = (np.searchsorted(self.ends[side], at, "right") for side in range(2))
+        a_to, b_to = self.group_ends
         a_in, b_in = np.diff(a_to, prepend=0), np.diff(b_to, prepend=0)
-        group_a, group_b = np.repeat(np.arange(len(at)), a_in), np.repeat(np.arange(len(at)), b_in)
         b_before = b_to - b_in
         ids, mark = np.empty(len(self.a) + len(self.b), np.int64), np.full(len(self.a) + len(self.b), ord(","), np.uint8)
-        place_a, place_b = np.arange(len(self.a)) + b_before[group_a], np.arange(len(self.b)) + a_to[group_b]
+        place_a, place_b = np.arange(len(self.a)) + np.repeat(b_before, a_in), np.arange(len(self.b)) + np.repeat(a_to, b_in)
         ids[place_a], ids[place_b] = self.a, self.b
         mark[place_a[a_to - 1]], mark[place_b[b_to - 1]] = ord("|"), ord(";")
-        digits = np.where(ids > 0, np.floor(np.log10(np.maximum(ids, 1))).astype(np.int64), 0) + 1
-        end = np.cumsum(digits + 1)
-        out = np.empty(int(end[-1]) if len(end) else 0, np.uint8)
-        out[end - 1] = mark
-        left, open_ = ids.copy(), np.arange(len(ids))
-        for k in range(int(digits.max()) if len(digits) else 0):
-            open_ = open_[digits[open_] > k]
-            out[end[open_] - 2 - k] = 0x30 + left[open_] % 10
-            left[open_] //= 10
+        printed, digits = _printed(int(ids.max(initial=0)) + 1)
+        size, rows = digits[ids], printed[ids]
+        rows[np.arange(len(ids)), size] = mark
+        out, end = rows[np.arange(rows.shape[1]) <= size[:, None]], np.cumsum(size + 1)
         tokens = np.r_[0, np.cumsum(self.n_a + self.n_b)]
         edge = np.r_[0, end][tokens].tolist()
         return [out[x : max(x, y - 1)].tobytes().decode() for x, y in zip(edge, edge[1:], strict=False)]
 
 
-def _counted(make: Callable[[], Pair]):
-    """Pairs of ids with their links, summed over the slices of a task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, held, size = _pair(make), [], 0
-
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            keys, which = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            n = np.zeros(len(keys), np.int64)
-            np.add.at(n, which, np.concatenate([c for _, c in held]))
-            return keys, n
-
-        def rows(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys >> 32), pa.array(keys & 0xFFFFFFFF), pa.array(n)], ["a", "b", "n"])
-
-        for batch in batches:
-            for row in batch.to_pylist():
-                held.append(np.unique(_Slice(row, pair).pairs, return_counts=True))
-                size += len(held[-1][0])
-                if size > HELD_PAIRS:
-                    held = [summed()]
-                    size = len(held[0][0])
-                    if size > HELD_PAIRS // 2:
-                        yield rows(*held[0])
-                        held, size = [], 0
-        if held:
-            yield rows(*summed())
-
-    return run
+def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of pairs by bucket, the buckets, and where each begins and the last ends in that order."""
+    return by_bucket(_bucket(keys >> 32, keys & 0xFFFFFFFF, buckets).astype(np.uint32))
 
 
 def _bucket(a: np.ndarray, b: np.ndarray, buckets: int) -> np.ndarray:
     return (a * 1_000_003 + b) % buckets
 
 
+_ASKED = "bucket int, slice long, pairs binary, links binary"
+
+
 def _asked(make: Callable[[], Pair], buckets: int):
-    """The distinct pairs of each slice by bucket."""
+    """The distinct pairs of each slice by bucket, and how often each is there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(make)
         for batch in batches:
             for row in batch.to_pylist():
-                keys = np.unique(_Slice(row, pair).pairs)
-                bucket = _bucket(keys >> 32, keys & 0xFFFFFFFF, buckets)
-                held = np.unique(bucket).tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([row["slice"]] * len(held), pa.int64()), pa.array([keys[bucket == x].tobytes() for x in held], pa.binary())], ["bucket", "slice", "pairs"])
+                keys, n = np.unique(_Slice(row, pair).pairs, return_counts=True)
+                order, held, cuts = _by_bucket(keys, buckets)
+                keys, n = keys[order], n[order].astype("<u4")
+                parts = [pa.array([x[i:j].tobytes() for i, j in itertools.pairwise(cuts.tolist())], pa.binary()) for x in (keys, n)] if len(keys) else [pa.array([], pa.binary())] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array([row["slice"]] * len(held), pa.int64()), *parts], _ASKED.replace(",", "").split()[::2])
 
     return run
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of ids with their links, summed over the slices that a task has."""
+    keys, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+    def summed() -> None:
+        held, which = np.unique(np.concatenate(keys), return_inverse=True)
+        keys[:], n[:] = [held], [np.bincount(which, np.concatenate(n), len(held)).astype(np.int64)]
+
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys[0] >> 32), pa.array(keys[0] & 0xFFFFFFFF), pa.array(n[0])], ["a", "b", "n"])
+
+    for batch in batches:
+        for pairs, links in zip(batch.column("pairs"), batch.column("links"), strict=True):
+            keys.append(np.frombuffer(pairs.as_buffer(), "<i8"))
+            n.append(np.frombuffer(links.as_buffer(), "<u4").astype(np.int64))
+            if sum(map(len, keys)) > HELD_PAIRS:
+                summed()
+                if len(keys[0]) > HELD_PAIRS // 2:
+                    yield rows()
+                    keys[:], n[:] = [keys[0][:0]], [n[0][:0]]
+    summed()
+    yield rows()
+
+
 def _answered(_: tuple[pa.Scalar, ...], asked: pa.Table, counts: pa.Table) -> pa.Table:
     """To each slice the counts of its pairs, and whether they are their B ids' highest."""
     key = (counts.column("a").to_numpy() << 32) | counts.column("b").to_numpy()
     order = np.argsort(key)
-    key, n, best = key[order], counts.column("n").to_numpy()[order], counts.column("best").to_numpy()[order]
+    key, n, best = key[order], counts.column("n").to_numpy()[order], counts.column("best").to_numpy()[order].astype(np.uint8)
     at = [np.searchsorted(key, np.frombuffer(x.as_buffer(), "<i8")) for x in asked.column("pairs")]
-    return pa.table({"slice": asked.column("slice"), "pairs": asked.column("pairs"), "n": pa.array([n[x].tobytes() for x in at], pa.binary()), "best": pa.array([best[x].astype(np.uint8).tobytes() for x in at], pa.binary())})
+    return pa.table({"slice": asked.column("slice"), "bucket": asked.column("bucket"), "n": pa.array([n[x].tobytes() for x in at], pa.binary()), "best": pa.array([best[x].tobytes() for x in at], pa.binary())})
 
 
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
 
-def _aligned(make: Callable[[], Pair]):
+def _aligned(make: Callable[[], Pair], buckets: int):
     def run(_: tuple[pa.Scalar, ...], slices: pa.Table, answers: pa.Table) -> pa.Table:
         give_back()
-        pair, out = _pair(make), []
+        pair, out, answers = _pair(make), [], answers.sort_by("bucket")
+        join = lambda c, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in answers.column(c))])
         for row in slices.to_pylist():
             s = _Slice(row, pair)
-            join = lambda c, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in answers.column(c))])
-            keys, n, best = join("pairs", "<i8"), join("n", "<i8"), join("best", np.uint8)
-            order = np.argsort(keys)
-            at = order[np.searchsorted(keys[order], s.pairs)] if len(keys) else np.zeros(0, np.int64)
-            own = [s.n_a, s.n_b, np.diff(s.cuts_before), np.diff(s.links_before), s.per_document(best[at].astype(np.int64)), s.per_document(n[at])]
+            keys, at = np.unique(s.pairs, return_inverse=True)
+            order, n, best = _by_bucket(keys, buckets)[0], np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+            n[order], best[order] = join("n", "<i8"), join("best", np.uint8)
+            own = [s.n_a, s.n_b, np.diff(s.cuts_before), np.diff(s.links_before), s.per_document(best[at]), s.per_document(n[at])]
             out.append(pa.table([pa.array(s.ids, pa.int64(), mask=s.nulls), *(pa.array(x, pa.int64()) for x in own), pa.array(s.groups(), pa.string())], _RESULT.replace(",", "").split()[::2]))
         return pa.concat_tables(out) if out else pa.table([pa.array([], t) for t in (*[pa.int64()] * 7, pa.string())], _RESULT.replace(",", "").split()[::2])
 
@@ -331,12 +338,14 @@ def align(docs: DataFrame, make: Callable[[], Pair] = public_pair) -> DataFrame:
     small_batches(spark)
     buckets = parts_for(spark, text_bytes(docs), BUCKET)
     slices = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encoded(make), _SLICE_ROW), "align_slices")
-    counts = saved(slices.mapInArrow(_counted(make), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")), "align_counts")
+    asked = saved(slices.mapInArrow(_asked(make, buckets), _ASKED), "align_asked")
+    counts = saved(asked.select("pairs", "links").mapInArrow(_counted, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")), "align_counts")
     best = counts.groupBy("b").agg(F.max("n").alias("most"))
     known = counts.join(best, "b").select((F.pmod(F.col("a") * 1_000_003 + F.col("b"), F.lit(buckets))).cast("int").alias("bucket"), "a", "b", "n", (F.col("n") == F.col("most")).alias("best"))
-    asked = slices.mapInArrow(_asked(make, buckets), "bucket int, slice long, pairs binary")
-    answers = saved(asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answered, "slice long, pairs binary, n binary, best binary"), "align_answers")
-    out = saved(slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_aligned(make), _RESULT), "align_documents")
+    asking = asked.select("bucket", "slice", "pairs").groupBy("bucket")
+    answers = saved(asking.cogroup(known.groupBy("bucket")).applyInArrow(_answered, "slice long, bucket int, n binary, best binary"), "align_answers")
+    forget(asked)
+    out = saved(slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_aligned(make, buckets), _RESULT), "align_documents")
     forget(slices, counts, answers)
     return out
 
