@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, chosen_path, decontaminate, html_extract, jaccard_join, license_scan, mixing, quality, substring_dedup, token_output, topk_search, warc
+from . import alignment, chosen_path, decontaminate, html_extract, jaccard_join, license_scan, mixing, phrases, quality, substring_dedup, token_output, topk_search, warc
 
 QUERIES = {
     "op1_importance_resampling": quality.op1_importance_resampling,
@@ -17,5 +17,6 @@ QUERIES = {
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
     "op11_tokenizer_alignment": alignment.op11_tokenizer_alignment,
     "op12_minhash_near_dedup": chosen_path.op12_minhash_near_dedup,
+    "op13_phrase_collocations": phrases.op13_phrase_collocations,
 }
-ORACLES = {**substring_dedup.ORACLE, **warc.ORACLE, **topk_search.ORACLE, **decontaminate.ORACLE}
+ORACLES = {**substring_dedup.ORACLE, **warc.ORACLE, **topk_search.ORACLE, **decontaminate.ORACLE, **phrases.ORACLE}
