@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -10,7 +11,46 @@ from pyspark.sql import functions as F
 
 from ratesmith.rules import tables as T
 
-_ENTITIES = [("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&amp;", "&")]
+
+
+def _names_map() -> Column:
+    """Characters of named references, names as the standard library has them."""
+    return F.create_map(*(F.lit(x) for name, text in html5.items() for x in (name, text)))
+
+
+#: Names that need no semicolon, longer ones first.
+_BARE_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+#: What numbers from 0x80 to 0x9F stand for: characters of Windows-1252 where it has them.
+_CONTROLS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+
+
+def _of_number(number: Column) -> Column:
+    """The character of a code point, as browsers read it: null and out of range is the replacement character."""
+    wrong = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+    plain = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    old = F.create_map(*(F.lit(x) for n, c in _CONTROLS.items() for x in (n, c)))
+    return F.when(wrong, "\ufffd").when(number.between(0x80, 0x9F), F.try_element_at(old, number.cast("int"))).otherwise(plain)
+
+
+def decoded(c: Column) -> Column:
+    """Character references decoded, named and numeric ones, with and without their semicolon. A text without `&` costs one look."""
+
+    def one(part: Column) -> Column:
+        digits = lambda base: F.regexp_extract(part, r"^#[xX]([0-9a-fA-F]+);?" if base == 16 else r"^#([0-9]+);?", 1)
+        short = lambda d: F.substring(F.concat(F.lit("0"), F.regexp_replace(d, "^0+", "")), 1, 9)  # noqa: E731  # longer ones are out of range anyway
+        after = lambda pattern: F.regexp_replace(part, pattern, "")
+        name, bare = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*;)", 1), F.regexp_extract(part, f"^({_BARE_NAMES})", 1)
+        whole = F.try_element_at(_names_map(), name)
+        return (
+            F.when(digits(16) != "", F.concat(_of_number(F.conv(short(digits(16)), 16, 10).cast("long")), after(r"^#[xX][0-9a-fA-F]+;?")))
+            .when(digits(10) != "", F.concat(_of_number(short(digits(10)).cast("long")), after(r"^#[0-9]+;?")))
+            .when((name != "") & whole.isNotNull(), F.concat(whole, F.substring(part, F.length(name) + 1, F.length(part))))
+            .when(bare != "", F.concat(F.try_element_at(_names_map(), bare), F.substring(part, F.length(bare) + 1, F.length(part))))
+            .otherwise(F.concat(F.lit("&"), part))
+        )
+
+    parts = F.split(c, "&")
+    return F.when(c.contains("&"), F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), ""))).otherwise(c)
 
 
 def stripped(c: Column) -> Column:
@@ -28,8 +68,7 @@ def folded(c: Column) -> Column:
 
 def normalise_name(c: Column) -> Column:
     """Character references decoded, [codes] dropped, separators and white space flattened; null is empty."""
-    plain = reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), _ENTITIES, F.coalesce(c, F.lit("")))
-    plain = F.regexp_replace(F.regexp_replace(plain, r"\[[^\]]*\]", " "), r"[_/|,;+&()\[\]-]+", " ")
+    plain = F.regexp_replace(F.regexp_replace(decoded(F.coalesce(c, F.lit(""))), r"\[[^\]]*\]", " "), r"[_/|,;+&()\[\]-]+", " ")
     return F.trim(F.regexp_replace(plain, r"(?U)\s+", " "))
 
 
@@ -39,7 +78,11 @@ def first_rule(c: Column, rules: list[tuple[str, str]]) -> Column:
 
 
 def classify_product(payer: Column, plan: Column) -> Column:
-    payer, plan = normalise_name(payer), normalise_name(plan)
+    return product_of(normalise_name(payer), normalise_name(plan))
+
+
+def product_of(payer: Column, plan: Column) -> Column:
+    """The product of names that are normalised already: make those columns of their own, each stands here many times."""
     bare = (plan == "") | (F.lower(plan) == F.lower(payer))
     return F.coalesce(first_rule(F.concat_ws(" ", payer, plan), T.PRODUCT_RULES), F.when(bare, F.lit("no_plan_detail")), F.lit("unclassified"))
 
@@ -153,13 +196,6 @@ def expand_range(c: Column) -> Column:
     return F.when(low != "", F.transform(F.sequence(low.cast("int"), F.greatest(low.cast("int"), last.cast("int"))), lambda x: F.lpad(x.cast("string"), 4, "0")))
 
 
-def facility_from_source(c: Column) -> Column:
-    """A hospital's name from its file's name, small words in small letters."""
-    stem = F.regexp_replace(F.regexp_replace(c, r"^.*/", ""), r"\.[A-Za-z0-9.]+$", "")
-    name = F.initcap(F.trim(F.regexp_replace(F.regexp_replace(stem, r"^\d[\d-]*[_-]", ""), r"[_\-\s]+", " ")))
-    return reduce(lambda x, w: F.regexp_replace(x, rf"(?<=\s){w}(?=\s)", w.lower()), ["And", "At", "For", "In", "Of", "On", "The"], name)
-
-
 def _repaired(texts: pd.Series) -> pd.Series:
     def one(text: str | None) -> str | None:
         try:

@@ -13,13 +13,13 @@ from .aggregate import first_rows
 HASHED = ["source_url", "payer_name", "plan_name", "code", "code_type", "setting", "billing_class", "rate_dollar", "rate_percentage", "rate_algorithm"]
 
 
-def reject_reason() -> Column:
-    """The first rule that a raw row breaks, else null."""
+def reject_reason(product: Column) -> Column:
+    """The first rule that a raw row of this product breaks, else null."""
     has = lambda c: X.folded(F.col(c)) != ""
     dollar, percent = X.to_decimal(F.col("rate_dollar")), X.to_decimal(F.col("rate_percentage"))
     checks = [
         ("missing_payer", ~has("payer_name")),
-        ("non_payer_row", X.classify_product(F.col("payer_name"), F.col("plan_name")) == "non_payer"),
+        ("non_payer_row", product == "non_payer"),
         ("missing_code", ~has("code")),
         ("missing_vintage", X.parse_date(F.col("file_vintage")).isNull()),
         ("no_rate_value", ~has("rate_dollar") & ~has("rate_percentage") & ~has("rate_algorithm")),
@@ -37,12 +37,15 @@ def curate(raw: DataFrame) -> DataFrame:
 
     Split by `reject IS NULL`; both halves come from one scan if the caller writes them partitioned by that."""
     dollar, percent = X.to_decimal(F.col("rate_dollar")), X.to_decimal(F.col("rate_percentage"))
-    return raw.withColumns({
-        "reject": reject_reason(), "row_hash": X.row_hash(*(F.col(c) for c in HASHED)), "payer_key": F.lower(X.normalise_name(F.col("payer_name"))),
-        "plan_key": F.nullif(F.lower(X.normalise_name(F.col("plan_name"))), F.lit("")), "product_class": X.classify_product(F.col("payer_name"), F.col("plan_name")),
+    # names are normalised once, and so is their product found: Spark leaves columns alone that are dear and used more than once
+    named = raw.withColumns({"_payer": X.normalise_name(F.col("payer_name")), "_plan": X.normalise_name(F.col("plan_name"))})
+    named = named.withColumn("_product", X.product_of(F.col("_payer"), F.col("_plan")))
+    return named.withColumns({
+        "reject": reject_reason(F.col("_product")), "row_hash": X.row_hash(*(F.col(c) for c in HASHED)), "payer_key": F.lower("_payer"),
+        "plan_key": F.nullif(F.lower("_plan"), F.lit("")), "product_class": F.col("_product"),
         "methodology": X.classify_methodology(F.col("methodology")), "rate_kind": F.when(dollar.isNotNull(), "dollar").when(percent.isNotNull(), "percentage").otherwise("algorithm"),
         "rate_dollar": dollar.cast("double"), "rate_percentage": percent.cast("double"), "billing_class": X.blank_to_null(F.lower(F.col("billing_class"))), "vintage": X.partition_vintage(F.col("file_vintage")),
-    })
+    }).drop("_payer", "_plan", "_product")
 
 
 def reject_summary(curated: DataFrame) -> DataFrame:

@@ -55,15 +55,18 @@ def reviewed_share(labels: DataFrame, reviewed: str) -> DataFrame:
 
 
 def profile(rows: DataFrame) -> DataFrame:
-    """Composition of price rows, one pass: counter, value, lines; by payer and plan, methodology, value kind, product, product and kind."""
+    """Composition of price rows, one pass: counter, value, lines; by payer and plan, methodology, value kind, product, product and kind.
+
+    Rows are counted by all of these first; names are classified once for each pair of them that occurs."""
     payer, plan = (F.trim(F.coalesce(c, F.lit(""))) for c in ("payer_name", "plan_name"))
     present = lambda c: X.folded(F.col(c)) != ""
     kind = F.when(present("rate_dollar"), "dollar").when(present("rate_algorithm"), "algorithm").when(present("rate_percentage"), "percentage").otherwise("none")
     methodology = F.coalesce(F.nullif(F.lower(F.trim(F.coalesce("methodology", F.lit("")))), F.lit("")), F.lit("(blank)"))
-    product = X.classify_product(F.col("payer_name"), F.col("plan_name"))
+    each = rows.where((payer != "") | (plan != "")).groupBy(payer.alias("payer"), plan.alias("plan"), methodology.alias("methodology"), kind.alias("kind")).agg(F.count("*").alias("lines"))
+    names = each.withColumns({"_payer": X.normalise_name(F.col("payer")), "_plan": X.normalise_name(F.col("plan"))}).withColumn("product", X.product_of(F.col("_payer"), F.col("_plan")))
     one = lambda name, value: F.struct(F.lit(name).alias("counter"), value.alias("value"))
-    counted = F.array(one("pairs", F.concat(payer, F.lit(" || "), plan)), one("methodology", methodology), one("value_kind", kind), one("product_class", product), one("joint", F.concat(product, F.lit("|"), kind)))
-    return rows.where((payer != "") | (plan != "")).select(F.explode(counted).alias("c")).groupBy("c.counter", "c.value").agg(F.count("*").alias("lines"))
+    counted = F.array(one("pairs", F.concat("payer", F.lit(" || "), "plan")), one("methodology", F.col("methodology")), one("value_kind", F.col("kind")), one("product_class", F.col("product")), one("joint", F.concat("product", F.lit("|"), "kind")))
+    return names.select(F.explode(counted).alias("c"), "lines").groupBy("c.counter", "c.value").agg(F.sum("lines").alias("lines"))
 
 
 def spread_by_code(rows: DataFrame) -> DataFrame:

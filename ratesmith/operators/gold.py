@@ -52,13 +52,13 @@ def magnitude(rows: DataFrame) -> DataFrame:
 
 
 def exemplars(rows: DataFrame, n: int = 25) -> DataFrame:
-    """The widest residual rows of each carrier."""
-    return first_rows(residual(rows), ["carrier"], [F.desc("relative_difference"), *TIES], n)
+    """The widest residual rows of each carrier of each system."""
+    return first_rows(residual(rows), ["system", "carrier"], [F.desc("relative_difference"), *TIES], n)
 
 
 def residual_top(rows: DataFrame, n: int = 100) -> DataFrame:
-    """The widest residual rows of each facility and carrier, by dollars."""
-    return first_rows(residual(rows), ["facility", "carrier"], [F.desc(F.abs("difference")), *TIES], n)
+    """The widest residual rows of each facility and carrier of each system, by dollars."""
+    return first_rows(residual(rows), ["system", "facility", "carrier"], [F.desc(F.abs("difference")), *TIES], n)
 
 
 def pairs(rows: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratesmith.functions import numbers as N
+from ratesmith.functions import text as X
 from ratesmith.rules import tables as T
 
 
@@ -60,20 +61,30 @@ def weighted_mean(value: Column, weight: Column) -> Column:
     return N.ratio(F.sum(value * weight), F.sum(weight))
 
 
-def percent_of_benchmark(rates: DataFrame, benchmarks: DataFrame, wages: DataFrame, year: int) -> DataFrame:
-    """Each rate over its benchmark: a weighted one times the facility's base, or an amount adjusted by the wage index.
-
-    benchmarks: schedule, code, year, amount, weight. wages: facility, wage_index, base. Dimensions are small; they are left to
-    Spark's own broadcast limit. failure is the first check that fails; amount and percent aren't rounded here."""
-    b = benchmarks.where(F.col("year") == year).select("schedule", F.col("code").alias("_code"), "amount", "weight")
-    out = rates.join(b, (rates["schedule"] == b["schedule"]) & (rates["code"] == b["_code"]), "left").drop(b["schedule"]).drop("_code").join(wages, "facility", "left")
-    priced = F.when(F.col("weight").isNotNull(), F.col("weight") * F.col("base") * F.col("wage_index")).when((F.col("schedule") == "opps") & F.col("wage_index").isNotNull(), F.col("amount") * (0.6 * F.col("wage_index") + 0.4)).otherwise(F.col("amount"))
+def percent_of_benchmark(rates: DataFrame, benchmarks: DataFrame, wages: DataFrame, year: int, labor: float, other: float, last: str | None = None) -> DataFrame:
+    """Each rate over its benchmark: a weighted one times the facility's base, its labor share adjusted by the wage index, or an
+    outpatient amount adjusted likewise.
+
+    rates: facility, schedule, code, rate, rate_kind. benchmarks: schedule, code, year, amount, weight; codes meet without leading
+    zeros and whatever their case, and of rows with one code the one counts that is greatest in `last` (an order of loading), of
+    equal ones the dearest. wages: facility, wage_index, base; one row a facility. labor and other are the shares of a weighted
+    payment, published each year. Dimensions are small; they are left to Spark's own broadcast limit. failure is the first check
+    that fails; amount and percent aren't rounded here."""
+    found = F.struct("amount", "weight")
+    b = benchmarks.where(F.col("year") == year).groupBy("schedule", X.unpadded(F.col("code")).alias("_code")).agg(F.max_by(found, F.struct(*([last] if last else []), "weight", "amount")).alias("_b"))
+    out = rates.withColumn("_code", X.unpadded(F.col("code"))).join(b, ["schedule", "_code"], "left").join(wages.withColumn("_known", F.lit(True)), "facility", "left")
+    out = out.withColumns({"amount": F.col("_b.amount"), "weight": F.col("_b.weight")})
+    share = lambda a, b: F.lit(a) * F.col("wage_index") + F.lit(b)
+    weighted = F.col("weight").isNotNull()
+    priced = F.when(weighted, F.col("weight") * F.col("base") * share(labor, other)).when((F.col("schedule") == "opps") & F.col("wage_index").isNotNull(), F.col("amount") * share(T.OPPS_LABOR, 1 - T.OPPS_LABOR)).otherwise(F.col("amount"))
     failure = (
         F.when((F.col("rate_kind") != "dollar") | F.col("rate").isNull(), "not_dollar_denominated")
+        .when(F.coalesce(F.trim("code"), F.lit("")) == "", "no_benchmark_for_code")
         .when(F.col("schedule").isNull(), "unsupported_code_type")
-        .when(F.col("amount").isNull() & F.col("weight").isNull(), "no_benchmark_for_code")
-        .when(F.col("weight").isNotNull() & F.col("wage_index").isNull(), "no_wage_index_for_area")
+        .when(F.col("amount").isNull() & ~weighted, "no_benchmark_for_code")
+        .when(weighted & F.col("_known").isNull(), "no_geography_for_hospital")
+        .when(weighted & F.col("wage_index").isNull(), "no_wage_index_for_area")
         .when(priced <= 0, "zero_benchmark")
     )
-    out = out.withColumns({"benchmark_amount": priced, "failure": failure})
+    out = out.withColumns({"benchmark_amount": priced, "failure": failure}).drop("_code", "_b", "_known")
     return out.withColumn("percent_of_benchmark", F.when(F.col("failure").isNull(), F.col("rate") / F.col("benchmark_amount")))

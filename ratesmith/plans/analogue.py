@@ -57,12 +57,17 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.with_offsets(compare.explain(compare.distribution_join(left(spark, sf_dir), right(spark, sf_dir))))
 
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple, str] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, lengths and times of the files that outcomes() reads."""
+    return tuple(lake.file_states(spark, [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "customer", "part", "supplier", "nation")]))
 
 
 def explained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """outcomes(), from a working table that a session writes once for each set of tables: all published tables read it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """outcomes(), from a working table that a session writes once for each state of the tables' files: all published tables read it."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
     if key not in _written:
         _written[key] = lake.working_table(outcomes(spark, sf_dir), "outcomes")
     return spark.read.parquet(_written[key])

@@ -194,14 +194,14 @@ def gold_measures(spark, sf_dir):
 _TIES = "code, code_type, facility, plan NULLS FIRST, setting, billing_class NULLS FIRST, vintage, rate, payer_median"
 
 
-@register(with_(f"SELECT carrier, code, facility, plan, setting, vintage, rate, relative_difference, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY carrier ORDER BY relative_difference DESC, {_TIES}) AS INT) AS rank FROM res) WHERE rank <= 25", _EX), "rate relative_difference")
+@register(with_(f"SELECT system, carrier, code, facility, plan, setting, vintage, rate, relative_difference, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY system, carrier ORDER BY relative_difference DESC, {_TIES}) AS INT) AS rank FROM res) WHERE rank <= 25", _EX), "rate relative_difference")
 def exemplars_top25(spark, sf_dir):
-    return gold.exemplars(A.explained(spark, sf_dir)).select("carrier", "code", "facility", "plan", "setting", "vintage", "rate", "relative_difference", "rank")
+    return gold.exemplars(A.explained(spark, sf_dir)).select("system", "carrier", "code", "facility", "plan", "setting", "vintage", "rate", "relative_difference", "rank")
 
 
-@register(with_(f"SELECT facility, carrier, code, plan, setting, vintage, rate, difference, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY facility, carrier ORDER BY abs(difference) DESC, {_TIES}) AS INT) AS rank FROM res) WHERE rank <= 100", _EX), "rate difference")
+@register(with_(f"SELECT system, facility, carrier, code, plan, setting, vintage, rate, difference, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY system, facility, carrier ORDER BY abs(difference) DESC, {_TIES}) AS INT) AS rank FROM res) WHERE rank <= 100", _EX), "rate difference")
 def residual_top100(spark, sf_dir):
-    return gold.residual_top(A.explained(spark, sf_dir)).select("facility", "carrier", "code", "plan", "setting", "vintage", "rate", "difference", "rank")
+    return gold.residual_top(A.explained(spark, sf_dir)).select("system", "facility", "carrier", "code", "plan", "setting", "vintage", "rate", "difference", "rank")
 
 
 @register(with_("SELECT outcome AS reason, count(*) AS candidates, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share_of_refused, count(*) / (SELECT count(*) FROM ex) AS lift FROM ex WHERE outcome <> 'compared' GROUP BY outcome", _EX), "share_of_refused lift")
@@ -477,20 +477,20 @@ def weighted_mean(spark, sf_dir):
     return A.table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(payment.weighted_mean(F.col("l_extendedprice"), F.col("l_quantity")).alias("mean"))
 
 
-@register(with_("""SELECT facility, code, failure, benchmark_amount, CASE WHEN failure IS NULL THEN rate / benchmark_amount END AS percent_of_benchmark FROM (SELECT *, CASE WHEN schedule IS NULL THEN 'unsupported_code_type' WHEN amount IS NULL AND weight IS NULL THEN 'no_benchmark_for_code' WHEN weight IS NOT NULL AND wage_index IS NULL THEN 'no_wage_index_for_area' WHEN benchmark_amount <= 0 THEN 'zero_benchmark' END AS failure FROM (
-  SELECT *, CASE WHEN weight IS NOT NULL THEN weight * base * wage_index WHEN schedule = 'opps' AND wage_index IS NOT NULL THEN amount * (CAST(0.6 AS DOUBLE) * wage_index + CAST(0.4 AS DOUBLE)) ELSE amount END AS benchmark_amount FROM (
-  SELECT c.facility, c.code, c.rate, c.schedule, b.amount, b.weight, w.wage_index, w.base FROM sch c LEFT JOIN ben b USING (schedule, code) LEFT JOIN (SELECT n_nationkey AS facility, CAST(0.9 AS DOUBLE) + CAST(0.01 AS DOUBLE) * n_nationkey AS wage_index, CAST(6000 AS DOUBLE) AS base FROM nation WHERE n_nationkey % 5 <> 0) w USING (facility))))""",
+@register(with_("""SELECT facility, code, failure, benchmark_amount, CASE WHEN failure IS NULL THEN rate / benchmark_amount END AS percent_of_benchmark FROM (SELECT *, CASE WHEN schedule IS NULL THEN 'unsupported_code_type' WHEN amount IS NULL AND weight IS NULL THEN 'no_benchmark_for_code' WHEN weight IS NOT NULL AND base IS NULL THEN 'no_geography_for_hospital' WHEN weight IS NOT NULL AND wage_index IS NULL THEN 'no_wage_index_for_area' WHEN benchmark_amount <= 0 THEN 'zero_benchmark' END AS failure FROM (
+  SELECT *, CASE WHEN weight IS NOT NULL THEN weight * base * (CAST(0.677 AS DOUBLE) * wage_index + CAST(0.323 AS DOUBLE)) WHEN schedule = 'opps' AND wage_index IS NOT NULL THEN amount * (CAST(0.6 AS DOUBLE) * wage_index + CAST(0.4 AS DOUBLE)) ELSE amount END AS benchmark_amount FROM (
+  SELECT c.facility, c.code, c.rate, c.schedule, b.amount, b.weight, w.wage_index, w.base FROM sch c LEFT JOIN ben b USING (schedule, code) LEFT JOIN (SELECT n_nationkey AS facility, CASE WHEN n_nationkey % 7 > 0 THEN CAST(0.9 AS DOUBLE) + CAST(0.01 AS DOUBLE) * n_nationkey END AS wage_index, CAST(6000 AS DOUBLE) AS base FROM nation WHERE n_nationkey % 5 <> 0) w USING (facility))))""",
   A.base_sql() + _CELL + """, sch AS (SELECT *, CASE length(code) % 3 WHEN 0 THEN 'ipps' WHEN 1 THEN 'opps' END AS schedule FROM cell),
-  ben AS (SELECT 'ipps' AS schedule, p_brand || '-' || p_size AS code, CAST(NULL AS DOUBLE) AS amount, max(p_size) / CAST(10 AS DOUBLE) AS weight FROM part WHERE p_size % 3 > 0 GROUP BY code UNION ALL SELECT 'opps', p_brand || '-' || p_size AS code, max(CAST(p_size AS DOUBLE) * 20), NULL FROM part WHERE p_size % 4 > 0 GROUP BY code)"""), "benchmark_amount percent_of_benchmark")
+  ben AS (SELECT 'ipps' AS schedule, p_brand || '-' || p_size AS code, CAST(NULL AS DOUBLE) AS amount, arg_max(p_size, p_partkey) / CAST(10 AS DOUBLE) AS weight FROM part WHERE p_size % 3 > 0 GROUP BY code UNION ALL SELECT 'opps', p_brand || '-' || p_size AS code, arg_max(CAST(p_size AS DOUBLE) * 20, p_partkey), NULL FROM part WHERE p_size % 4 > 0 GROUP BY code)"""), "benchmark_amount percent_of_benchmark")
 def benchmark_percent(spark, sf_dir):
     schedule = F.when(F.length("code") % 3 == 0, "ipps").when(F.length("code") % 3 == 1, "opps")
     part = A.table(spark, sf_dir, "part").withColumn("code", F.concat_ws("-", "p_brand", "p_size"))
     none = F.lit(None).cast("double")
-    ipps = part.where("p_size % 3 > 0").groupBy("code").agg((F.max("p_size") / F.lit(10.0)).alias("weight")).select(F.lit("ipps").alias("schedule"), "code", F.lit(2026).alias("year"), none.alias("amount"), "weight")
-    opps = part.where("p_size % 4 > 0").groupBy("code").agg((F.max("p_size") * F.lit(20.0)).alias("amount")).select(F.lit("opps").alias("schedule"), "code", F.lit(2026).alias("year"), "amount", none.alias("weight"))
-    wages = A.table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 0").select(F.col("n_nationkey").alias("facility"), (F.lit(0.9) + F.lit(0.01) * F.col("n_nationkey")).alias("wage_index"), F.lit(6000.0).alias("base"))
+    ipps = part.where("p_size % 3 > 0").select(F.lit("ipps").alias("schedule"), "code", F.lit(2026).alias("year"), none.alias("amount"), (F.col("p_size") / F.lit(10.0)).alias("weight"), "p_partkey")
+    opps = part.where("p_size % 4 > 0").select(F.lit("opps").alias("schedule"), "code", F.lit(2026).alias("year"), (F.col("p_size") * F.lit(20.0)).alias("amount"), none.alias("weight"), "p_partkey")
+    wages = A.table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 0").select(F.col("n_nationkey").alias("facility"), F.when(F.col("n_nationkey") % 7 > 0, F.lit(0.9) + F.lit(0.01) * F.col("n_nationkey")).alias("wage_index"), F.lit(6000.0).alias("base"))
     rows = _cells(spark, sf_dir).withColumns({"schedule": schedule, "rate_kind": F.lit("dollar")})
-    return payment.percent_of_benchmark(rows, ipps.unionByName(opps), wages, 2026).select("facility", "code", "failure", "benchmark_amount", "percent_of_benchmark")
+    return payment.percent_of_benchmark(rows, ipps.unionByName(opps), wages, 2026, labor=0.677, other=0.323, last="p_partkey").select("facility", "code", "failure", "benchmark_amount", "percent_of_benchmark")
 
 
 @register("SELECT quality AS actual, CAST(toxic AS INT) AS predicted, count(*) AS n FROM labels GROUP BY ALL")

@@ -400,8 +400,8 @@ def source_keys(spark, sf_dir):
   UNION ALL SELECT 'pairs', CAST(system AS VARCHAR), count(*) FROM (SELECT DISTINCT system, facility, carrier FROM ex) GROUP BY system UNION ALL SELECT 'rates', CAST(system AS VARCHAR), count(*) FROM (SELECT DISTINCT system, facility, carrier, code, code_type FROM ex WHERE (system, carrier) IN (SELECT DISTINCT system, carrier FROM rgt)) GROUP BY system
   UNION ALL SELECT 'measures', CAST(system AS VARCHAR), 4 + count(*) FROM (SELECT DISTINCT system, outcome = 'compared' AS done, CASE WHEN outcome = 'compared' THEN explanation ELSE outcome END AS name FROM ex) GROUP BY system
   UNION ALL SELECT 'offsets', CAST(system AS VARCHAR), count(*) FROM (SELECT DISTINCT system, facility, carrier, plan, payer_label FROM ex WHERE contract_offset IS NOT NULL) GROUP BY system
-  UNION ALL SELECT 'exemplars', CAST(system AS VARCHAR), count(*) FROM (SELECT system, row_number() OVER (PARTITION BY carrier ORDER BY relative_difference DESC, code, code_type, facility, plan NULLS FIRST, setting, billing_class NULLS FIRST, vintage, rate, payer_median) AS i FROM res) WHERE i <= 25 GROUP BY system
-  UNION ALL SELECT 'residual', CAST(system AS VARCHAR), count(*) FROM (SELECT system, row_number() OVER (PARTITION BY facility, carrier ORDER BY abs(difference) DESC, code) AS i FROM res) WHERE i <= 100 GROUP BY system""", _EX))
+  UNION ALL SELECT 'exemplars', CAST(system AS VARCHAR), count(*) FROM (SELECT system, row_number() OVER (PARTITION BY system, carrier ORDER BY relative_difference DESC, code, code_type, facility, plan NULLS FIRST, setting, billing_class NULLS FIRST, vintage, rate, payer_median) AS i FROM res) WHERE i <= 25 GROUP BY system
+  UNION ALL SELECT 'residual', CAST(system AS VARCHAR), count(*) FROM (SELECT system, row_number() OVER (PARTITION BY system, facility, carrier ORDER BY abs(difference) DESC, code) AS i FROM res) WHERE i <= 100 GROUP BY system""", _EX))
 def mart_run(spark, sf_dir):
     """All published tables, written and counted: the whole work of a mart run."""
     return run_mart(spark, A.left(spark, sf_dir), A.right(spark, sf_dir), lake.working_path(spark, "mart"))

@@ -214,6 +214,18 @@ def working_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def file_states(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    """(path, length, time of change) of all files below some paths, in order."""
+    out = []
+    for path in paths:
+        where, fs = _fs(spark, path)
+        files = fs.listFiles(where, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
 def working_table(df: DataFrame, name: str) -> str:
     """Write df to a working path, which also cuts its lineage; the path."""
     path = working_path(df.sparkSession, name)
