@@ -5,33 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .lake import exists
+from . import ranges
+from .lake import exists, working_table
 
 _PRICE = "negotiated_type: string, negotiated_rate: double, expiration_date: string, service_code: array<string>, billing_class: string, billing_code_modifier: array<string>"
 _RATES = f"array<struct<provider_references: array<long>, negotiated_prices: array<struct<{_PRICE}>>>>"
 _CODES = "array<struct<billing_code_type: string, billing_code: string>>"
 _GROUPS = "array<struct<npi: array<string>, tin: struct<type: string, value: string>>>"
-IN_NETWORK = (
-    "reporting_entity_name string, last_updated_on string, "
-    f"provider_references array<struct<provider_group_id: long, provider_groups: {_GROUPS}>>, "
-    f"in_network array<struct<negotiation_arrangement: string, name: string, billing_code_type: string, billing_code: string, description: string, bundled_codes: {_CODES}, negotiated_rates: {_RATES}>>"
-)
+_GROUP = f"struct<provider_group_id: long, provider_groups: {_GROUPS}>"
+_ITEM = f"struct<negotiation_arrangement: string, name: string, billing_code_type: string, billing_code: string, description: string, bundled_codes: {_CODES}, negotiated_rates: {_RATES}>"
+IN_NETWORK = f"reporting_entity_name string, last_updated_on string, provider_references array<{_GROUP}>, in_network array<{_ITEM}>"
 
 
-def read_in_network(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """items, groups and prices of in-network files; each is its own scan of what it needs.
+def read_in_network(spark: SparkSession, path: str, block: int | None = None) -> dict[str, DataFrame]:
+    """items, groups and prices of in-network files, from one reading of each document by many tasks, block by block.
 
     items: source_file, item_idx, arrangement, code_type, code, description, bundled_rcs; groups: source_file, gid, npis, tins;
-    prices: source_file, item_idx, refs, negotiated_type, rate, billing_class, service_codes, modifiers. A file is one document and
-    one task."""
-    doc = spark.read.schema(IN_NETWORK).option("multiLine", True).json(path).withColumn("source_file", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1))
-    item = doc.select("source_file", F.posexplode("in_network").alias("item_idx", "i"))
+    prices: source_file, item_idx, refs, negotiated_type, rate, billing_class, service_codes, modifiers. A document that is cut off
+    yields what it holds; a compressed one is one task, and yields nothing then."""
+    found, packed = ranges.listed(spark, path), F.col("file").rlike(r"(?i)\.gz$")
+    read = spark.read.parquet(working_table(ranges.json_elements(found.where(~packed), ["in_network", "provider_references"], block=block).where("whole").drop("about"), "in_network"))
+    name = F.regexp_extract("file", r"([^/]+)$", 1).alias("source_file")
+    item = ranges.numbered(read.where("name = 'in_network'"), "item_idx", block).select(name, "item_idx", F.from_json("value", _ITEM).alias("i"))
+    group = read.where("name = 'provider_references'").select(name, F.from_json("value", _GROUP).alias("g"))
+    if zipped := [r["file"] for r in found.where(packed).select("file").collect()]:
+        doc = spark.read.schema(IN_NETWORK).option("multiLine", True).json(zipped).withColumn("source_file", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1))
+        item = item.unionByName(doc.select("source_file", F.posexplode("in_network").alias("item_idx", "i")))
+        group = group.unionByName(doc.select("source_file", F.explode("provider_references").alias("g")))
     bundled = F.transform(F.filter("i.bundled_codes", lambda c: c["billing_code_type"] == "RC"), lambda c: c["billing_code"])
     items = item.select(
         "source_file", "item_idx", F.col("i.negotiation_arrangement").alias("arrangement"), F.col("i.billing_code_type").alias("code_type"), F.col("i.billing_code").alias("code"),
         F.coalesce("i.description", "i.name").alias("description"), bundled.alias("bundled_rcs"),
     )
-    group = doc.select("source_file", F.explode("provider_references").alias("g"))
     npis, tins = F.array_distinct(F.flatten(F.col("g.provider_groups.npi"))), F.array_distinct(F.col("g.provider_groups.tin.value"))
     groups = group.select("source_file", F.col("g.provider_group_id").alias("gid"), npis.alias("npis"), tins.alias("tins"))
     rate = item.select("source_file", "item_idx", F.explode("i.negotiated_rates").alias("r")).select("source_file", "item_idx", F.col("r.provider_references").alias("refs"), F.explode("r.negotiated_prices").alias("p"))

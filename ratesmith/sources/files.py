@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import ranges
+
 _PAYER = "payer_name: string, plan_name: string, standard_charge_dollar: string, standard_charge_percentage: string, standard_charge_algorithm: string, methodology: string"
 _CHARGE = f"setting: string, billing_class: string, gross_charge: string, discounted_cash: string, payers_information: array<struct<{_PAYER}>>"
 _ITEM = f"description: string, code_information: array<struct<code: string, type: string>>, standard_charges: array<struct<{_CHARGE}>>"
@@ -22,10 +24,19 @@ def _first_code(codes: Column) -> dict[str, Column]:
     return {"code": F.try_element_at(codes, F.lit(1))["code"], "code_type": F.try_element_at(codes, F.lit(1))["type"]}
 
 
-def read_price_json(spark: SparkSession, path: str) -> DataFrame:
-    """One raw row for each payer of each charge of each item. A file is one JSON document; gzip is Spark's own."""
-    doc = spark.read.schema(JSON_SCHEMA).option("multiLine", True).json(path)
-    head = doc.select(F.col("_metadata.file_path").alias("source_url"), F.col("hospital_name").alias("hospital"), F.array_join("location_name", "|").alias("location_name"), F.col("last_updated_on").alias("file_vintage"), F.explode("standard_charge_information").alias("i"))
+def read_price_json(spark: SparkSession, path: str, block: int | None = None) -> DataFrame:
+    """One raw row for each payer of each charge of each item. A file is one JSON document, which is read by many tasks, block by block;
+    a document that is cut off yields the items before the cut (ranges.cut_off tells which are). A compressed file is one task, and
+    yields nothing if it is cut off."""
+    found = ranges.listed(spark, path)
+    packed = F.col("file").rlike(r"(?i)\.gz$")
+    doc = ranges.json_elements(found.where(~packed), ["standard_charge_information"], ["hospital_name", "location_name", "last_updated_on"], block).where("whole")
+    told = lambda n: ranges.json_text(F.try_element_at("about", F.lit(n)))
+    places = F.array_join(F.from_json(F.try_element_at("about", F.lit("location_name")), "array<string>"), "|")
+    head = doc.select(F.col("file").alias("source_url"), told("hospital_name").alias("hospital"), places.alias("location_name"), told("last_updated_on").alias("file_vintage"), F.from_json("value", f"struct<{_ITEM}>").alias("i"))
+    if zipped := [r["file"] for r in found.where(packed).select("file").collect()]:
+        whole = spark.read.schema(JSON_SCHEMA).option("multiLine", True).json(zipped)
+        head = head.unionByName(whole.select(F.col("_metadata.file_path").alias("source_url"), F.col("hospital_name").alias("hospital"), F.array_join("location_name", "|").alias("location_name"), F.col("last_updated_on").alias("file_vintage"), F.explode("standard_charge_information").alias("i")))
     charge = head.withColumn("c", F.explode("i.standard_charges")).withColumn("p", F.explode("c.payers_information"))
     out = charge.select(
         "source_url", "hospital", "location_name", "file_vintage", F.col("i.code_information").alias("codes"), F.col("i.description").alias("description"), "c.setting", "c.billing_class", "c.gross_charge", "c.discounted_cash",

@@ -29,6 +29,17 @@ def test_in_network_files(spark, tmp_path):
     assert [(r.gid, r.code, r.rate) for r in extracts.rescan(e, codes, gids).collect()] == [(2, "99213", 5.5)]
 
 
+def test_in_network_files_in_blocks(spark, tmp_path):
+    doc = DOC | {"in_network": [DOC["in_network"][i % 2] | {"name": f"n{i}", "description": None} for i in range(40)]}
+    (tmp_path / "a.json").write_text(json.dumps(doc))
+    (tmp_path / "b.json").write_text(json.dumps(doc)[: json.dumps(doc).index('"n33"')])
+    for block in (400, None):
+        e = extracts.read_in_network(spark, str(tmp_path), block)
+        got = sorted((r.source_file, r.item_idx, r.description) for r in e["items"].collect())
+        assert got == [("a.json", i, f"n{i}") for i in range(40)] + [("b.json", i, f"n{i}") for i in range(33)]
+        assert e["prices"].count() == 40 + 2 * 17 and e["groups"].count() == 4
+
+
 def test_lists_and_summaries(spark, tmp_path):
     (tmp_path / "f.csv").write_text("Facility ID,Facility Name,City/Town,State,County/Parish,Hospital Type\n1,A ,x,NY,ERIE,Acute Care Hospitals\n2,B,y,NY,,Psychiatric\n,C,z,NY,,Acute\n")
     assert [(r.ccn, r.name) for r in extracts.read_facilities(spark, str(tmp_path / "f.csv")).collect()] == [("1", "A")]
