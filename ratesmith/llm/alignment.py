@@ -4,7 +4,7 @@ Texts of an Arrow batch are encoded by both tokenizers and laid one after the ot
 whole batch. Ends of either side are counted by offset once (bincount); where both have one, a group ends, and each offset with an
 end of either ends one link. Prefix sums over the offsets, read at the documents' ends, give each document's share. Ids are kept in
 a working table; links are counted over the corpus as pairs of ids, summed in a task before they are shuffled, and each slice of
-documents gets the counts of its own distinct pairs back.
+documents gets the counts of its own distinct pairs back. A slice holds its distinct stretches of text once, with their ids.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from .shingles import Words, by_bucket, distinct, give_back, text_slices
 from .token_output import PieceCache, _ragged
 
 #: Bytes of text in one slice, and bytes of text whose slices' pairs meet in one bucket.
-SLICE, BUCKET = 1 << 20, 32 << 20
+SLICE, BUCKET = 2 << 20, 32 << 20
 #: Distinct pairs that a task sums before it hands them on.
 HELD_PAIRS = 1 << 21
 
@@ -36,7 +36,23 @@ _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 #: Second bytes of the two signs among the letters from U+00C0 to U+00FF, whose first is 0xC3.
 _SIGN = np.zeros(256, bool)
 _SIGN[[0x97, 0xB7]] = True
-_SLICE_ROW = "slice long, doc_ids binary, nulls binary, n_a binary, n_b binary, a binary, b binary"
+_SLICE_ROW = "slice long, doc_ids binary, nulls binary, n binary, which binary, n_a binary, n_b binary, a binary, b binary"
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Integers by place of their bytes, compressed, so that they are small in working tables and in shuffles."""
+    if not len(x):
+        return bytes(8)
+    raw = np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T).tobytes()
+    return len(x).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpacked(raw: bytes | pa.Buffer, kind: str) -> np.ndarray:
+    data, width = memoryview(raw), np.dtype(kind).itemsize
+    n = int.from_bytes(data[:8], "little")
+    if not n:
+        return np.zeros(0, kind)
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(pa.py_buffer(data[8:]), n * width, "zstd"), np.uint8).reshape(width, n).T).view(kind).ravel()
 
 
 class Pair(PieceCache):
@@ -130,15 +146,15 @@ class Pair(PieceCache):
             order.append(rest)
         return np.concatenate(order), np.concatenate(sizes), np.concatenate(flat)
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of A and of B of all texts, and the number of each text's. A text that is null or empty, or whose joined tokens of either
-        side aren't space + text, has none."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
+        """How many stretches each text has, which they are, and of each distinct one the numbers of its A and B ids, and these. A text
+        that is null or empty, or whose joined tokens of either side aren't space + text, has none."""
         full = pc.greater(pc.fill_null(pc.binary_length(texts), 0), 0).to_numpy(zero_copy_only=False)
         own = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts.filter(pa.array(full)).cast(pa.large_string()), pa.scalar(" ", pa.large_string()))
         data, edge = np.frombuffer(own.buffers()[2] or b"", np.uint8), np.frombuffer(own.buffers()[1], np.int64)[own.offset : own.offset + len(own) + 1]
-        n_a, n_b = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        n, none = np.zeros(len(texts), np.int64), np.zeros(0, np.int64)
         if not len(own):
-            return np.zeros(0, np.uint32), np.zeros(0, np.uint32), n_a, n_b
+            return n, none, none, none, none, none
         space = np.flatnonzero(data[: len(data) - 1] == 0x20)
         space = space[space > 1]
         before, after = data[space - 1], data[space + 1]
@@ -150,14 +166,10 @@ class Pair(PieceCache):
         d, which = distinct(Words(data, cuts[:-1], cuts[1:], first))
         slot = self.slots(d, self._learn)
         start, head = self.start[slot].astype(np.int64), self.flat[self.start[slot]].astype(np.int64)
-        many = head >> 1, self.size[slot] - 1 - (head >> 1)
+        n_a, n_b = head >> 1, self.size[slot] - 1 - (head >> 1)
         same = np.logical_and.reduceat((head & 1)[which] > 0, first[:-1])
-        which = which[np.repeat(same, np.diff(first))]
-        of = np.repeat(np.flatnonzero(full), np.where(same, np.diff(first), 0))
-        for n, own_n in zip((n_a, n_b), many, strict=True):
-            n += np.bincount(of, own_n[which], len(texts)).astype(np.int64)
-        a, b = (self.flat[_ragged(x[which], n[which])] for x, n in ((start + 1, many[0]), (start + 1 + many[0], many[1])))
-        return a, b, n_a, n_b
+        n[full] = np.where(same, np.diff(first), 0)
+        return n, which[np.repeat(same, np.diff(first))], n_a, n_b, self.flat[_ragged(start + 1, n_a)], self.flat[_ragged(start + 1 + n_a, n_b)]
 
 
 def public_pair() -> Pair:
@@ -183,12 +195,12 @@ def _encoded(make: Callable[[], Pair]):
         pair, task, number = _pair(make), TaskContext.get(), 0
         for batch in batches:
             for x, y in text_slices(batch, most=SLICE):
-                a, b, n_a, n_b = pair.encode(batch.column("text").slice(x, y - x))
+                n, which, n_a, n_b, a, b = pair.encode(batch.column("text").slice(x, y - x))
                 ids = batch.column("doc_id").slice(x, y - x)
-                row = [np.array(pc.fill_null(ids, 0), "<i8"), np.array(ids.is_null(), np.uint8), n_a.astype("<u4"), n_b.astype("<u4"), a.astype(_kind(pair.a_size)), b.astype(_kind(pair.b_size))]
+                row = [np.array(pc.fill_null(ids, 0), "<i8"), np.array(ids.is_null(), np.uint8), n.astype("<u4"), which.astype("<u4"), n_a.astype("<u4"), n_b.astype("<u4"), a.astype(_kind(pair.a_size)), b.astype(_kind(pair.b_size))]
                 uid = (task.partitionId() if task else 0) << 32 | number
                 number += 1
-                yield pa.RecordBatch.from_arrays([pa.array([uid]), *(pa.array([v.tobytes()], pa.binary()) for v in row)], _SLICE_ROW.replace(",", "").split()[::2])
+                yield pa.RecordBatch.from_arrays([pa.array([uid]), *(pa.array([packed(v)], pa.binary()) for v in row)], _SLICE_ROW.replace(",", "").split()[::2])
 
     return run
 
@@ -205,10 +217,14 @@ class _Slice:
     """The tokens of a slice, and what their ends say."""
 
     def __init__(self, row: dict, pair: Pair):
-        of = lambda name, kind: np.frombuffer(row[name], kind)
+        of = lambda name, kind: unpacked(row[name], kind)
         self.ids, self.nulls = of("doc_ids", "<i8"), of("nulls", np.uint8) > 0
-        self.n_a, self.n_b = of("n_a", "<u4").astype(np.int64), of("n_b", "<u4").astype(np.int64)
-        self.a, self.b = of("a", _kind(pair.a_size)).astype(np.int64), of("b", _kind(pair.b_size)).astype(np.int64)
+        n, which = of("n", "<u4").astype(np.int64), of("which", "<u4")
+        sides = []
+        for counts, ids in ((of("n_a", "<u4").astype(np.int64), of("a", _kind(pair.a_size))), (of("n_b", "<u4").astype(np.int64), of("b", _kind(pair.b_size)))):
+            many = counts[which]
+            sides += [ids[_ragged((np.cumsum(counts) - counts)[which], many)].astype(np.int64), np.diff(np.r_[0, np.cumsum(many)][np.r_[0, np.cumsum(n)]])]
+        self.a, self.n_a, self.b, self.n_b = sides
         ends = [np.cumsum(size[ids]) for size, ids in ((pair.a_size, self.a), (pair.b_size, self.b))]
         n = int(ends[0][-1]) + 1 if len(self.a) else 1
         a_ends, b_ends = (np.bincount(e, minlength=n) for e in ends)
@@ -266,7 +282,7 @@ def _asked(make: Callable[[], Pair], buckets: int):
                 keys, n = np.unique(_Slice(row, pair).pairs, return_counts=True)
                 order, held, cuts = _by_bucket(keys, buckets)
                 keys, n = keys[order], n[order].astype("<u4")
-                parts = [pa.array([x[i:j].tobytes() for i, j in itertools.pairwise(cuts.tolist())], pa.binary()) for x in (keys, n)] if len(keys) else [pa.array([], pa.binary())] * 2
+                parts = [pa.array([packed(x[i:j]) for i, j in itertools.pairwise(cuts.tolist())], pa.binary()) for x in (keys, n)] if len(keys) else [pa.array([], pa.binary())] * 2
                 yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array([row["slice"]] * len(held), pa.int64()), *parts], _ASKED.replace(",", "").split()[::2])
 
     return run
@@ -285,8 +301,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for pairs, links in zip(batch.column("pairs"), batch.column("links"), strict=True):
-            keys.append(np.frombuffer(pairs.as_buffer(), "<i8"))
-            n.append(np.frombuffer(links.as_buffer(), "<u4").astype(np.int64))
+            keys.append(unpacked(pairs.as_buffer(), "<i8"))
+            n.append(unpacked(links.as_buffer(), "<u4").astype(np.int64))
             if sum(map(len, keys)) > HELD_PAIRS:
                 summed()
                 if len(keys[0]) > HELD_PAIRS // 2:
@@ -301,8 +317,8 @@ def _answered(_: tuple[pa.Scalar, ...], asked: pa.Table, counts: pa.Table) -> pa
     key = (counts.column("a").to_numpy() << 32) | counts.column("b").to_numpy()
     order = np.argsort(key)
     key, n, best = key[order], counts.column("n").to_numpy()[order], counts.column("best").to_numpy()[order].astype(np.uint8)
-    at = [np.searchsorted(key, np.frombuffer(x.as_buffer(), "<i8")) for x in asked.column("pairs")]
-    return pa.table({"slice": asked.column("slice"), "bucket": asked.column("bucket"), "n": pa.array([n[x].tobytes() for x in at], pa.binary()), "best": pa.array([best[x].tobytes() for x in at], pa.binary())})
+    at = [np.searchsorted(key, unpacked(x.as_buffer(), "<i8")) for x in asked.column("pairs")]
+    return pa.table({"slice": asked.column("slice"), "bucket": asked.column("bucket"), "n": pa.array([packed(n[x]) for x in at], pa.binary()), "best": pa.array([packed(best[x]) for x in at], pa.binary())})
 
 
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
@@ -312,7 +328,7 @@ def _aligned(make: Callable[[], Pair], buckets: int):
     def run(_: tuple[pa.Scalar, ...], slices: pa.Table, answers: pa.Table) -> pa.Table:
         give_back()
         pair, out, answers = _pair(make), [], answers.sort_by("bucket")
-        join = lambda c, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in answers.column(c))])
+        join = lambda c, kind: np.concatenate([np.zeros(0, kind), *(unpacked(x.as_buffer(), kind) for x in answers.column(c))])
         for row in slices.to_pylist():
             s = _Slice(row, pair)
             keys, at = np.unique(s.pairs, return_inverse=True)
@@ -345,9 +361,8 @@ def align(docs: DataFrame, make: Callable[[], Pair] = public_pair) -> DataFrame:
     asking = asked.select("bucket", "slice", "pairs").groupBy("bucket")
     answers = saved(asking.cogroup(known.groupBy("bucket")).applyInArrow(_answered, "slice long, bucket int, n binary, best binary"), "align_answers")
     forget(asked)
-    out = saved(slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_aligned(make, buckets), _RESULT), "align_documents")
-    forget(slices, counts, answers)
-    return out
+    forget(counts)
+    return slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_aligned(make, buckets), _RESULT)
 
 
 def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
