@@ -27,8 +27,9 @@ NULL, MORE = 1, 2
 #: Distinct pieces of text whose ids a Python worker keeps; when there are more, those of one slice of text go.
 CACHE_PIECES = 700_000
 END_ID = 2
-#: Bytes of text that are encoded at a time: what numpy holds meanwhile is some sixty times that.
-SLICE = 1 << 18
+#: Bytes of text that are encoded at a time: what numpy holds meanwhile is some sixty times that, and larger slices have fewer
+#: distinct pieces in all.
+SLICE = 1 << 20
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _ALNUM = np.zeros(256, bool)
