@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ranges
+from .lake import working_table
 
 _PAYER = "payer_name: string, plan_name: string, standard_charge_dollar: string, standard_charge_percentage: string, standard_charge_algorithm: string, methodology: string"
 _CHARGE = f"setting: string, billing_class: string, gross_charge: string, discounted_cash: string, payers_information: array<struct<{_PAYER}>>"
@@ -45,46 +47,64 @@ def read_price_json(spark: SparkSession, path: str, block: int | None = None) ->
     return out.withColumns(_first_code(F.col("codes"))).select(*RAW)
 
 
-#: Lines in which a file's header is looked for.
-HEAD_LINES = 12
+#: Bytes in which a file's header is looked for, and rows of a zip archive's member.
+HEAD_BYTES, HEAD_LINES = 1 << 18, 64
+_HEADS = "file string, header array<string>, rows array<array<string>>, about map<string,string>, skipped string"
 
 
-def _paths(spark: SparkSession, path: str) -> list[str]:
-    """The files of a file's, folder's or pattern's path."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [f for s in fs.globStatus(where) or [] for f in (fs.listStatus(s.getPath()) if s.isDirectory() else [s])]
-    return sorted(f.getPath().toString() for f in found if f.isFile() and not f.getPath().getName().startswith(("_", ".")))
-
-
-def _head(spark: SparkSession, lines: list[str]) -> tuple[int, list[str], list[list[str]], dict[str, str]]:
-    """Where the header stands, its columns, the rows before it, and what the file's first two rows say about it."""
-    split = lambda x: list(spark.createDataFrame([(x.removeprefix("\ufeff"),)], "v string").select(F.from_csv("v", ", ".join(f"c{i} string" for i in range(x.count(",") + 1))).alias("r")).first()["r"])
-    rows = [split(x) for x in lines]
+def _head(text: str) -> dict:
+    """Of a file's first rows: the header, the rows up to it, and what the first two say about the file. A file without a header is
+    skipped."""
+    rows = [[c or None for c in r] for r in csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline="")) if r]
     at = next((i for i, r in enumerate(rows) if any(c and (c.strip().lower() == "description" or c.strip().startswith("code|")) for c in r)), None)
     if at is None:
-        raise ValueError(f"no header in the first {len(rows)} lines")
+        return {"header": None, "rows": None, "about": None, "skipped": "no header"}
+    header = [h.strip() if h else f"_blank{i}" for i, h in enumerate(rows[at])]
+    header = [h if h not in header[:i] else f"_blank{i}" for i, h in enumerate(header)]  # of columns with one name the first counts
     about = {k.strip(): v for k, v in zip(rows[0], rows[1], strict=False) if k and v} if at >= 2 else {}
-    return at, [h.strip() if h else f"_blank{i}" for i, h in enumerate(rows[at])], rows[: at + 1], about
+    return {"header": header, "rows": [(r + [None] * len(header))[: len(header)] for r in rows[: at + 1]], "about": about, "skipped": None}
+
+
+def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The head of each file, from its first bytes."""
+    text = pa.string()
+    schema = pa.schema([("file", text), ("header", pa.list_(text)), ("rows", pa.list_(pa.list_(text))), ("about", pa.map_(text, text)), ("skipped", text)])
+    for batch in batches:
+        for file in batch.column("file").to_pylist():
+            with ranges.opened(file) as raw:
+                data = raw.read(HEAD_BYTES)
+            whole = data if len(data) < HEAD_BYTES else data[: data.rfind(b"\n") + 1]
+            yield pa.RecordBatch.from_pylist([{"file": file, **_head(whole.decode("utf-8", "replace"))}], schema)
+
 
+def price_heads(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header, rows, about, skipped) of the CSV files of a path, all heads in one job: the columns, the rows up to and with the
+    header, what the first rows say about the file. skipped: why a file isn't read (it has no header in its first HEAD_BYTES)."""
+    found = ranges.listed(spark, path).where(~F.col("file").rlike(r"(?i)\.zip$")).select("file")
+    return found.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "file").mapInArrow(_first_rows, _HEADS)
 
-def _csv(spark: SparkSession, path: str, multi_line: bool = False) -> list[tuple[DataFrame, dict[str, str]]]:
-    """Of each file: the table under its header, and what its first rows say about it. Heads are read file by file.
+
+def _csv(spark: SparkSession, path: str, multi_line: bool = False) -> list[DataFrame]:
+    """The tables under the files' headers, one for each header that occurs, with _file and _about. Files without a header are left out;
+    price_heads() names them.
 
     multi_line: cells may have line breaks; a file then is one task."""
+    heads = spark.read.schema(_HEADS).parquet(working_table(price_heads(spark, path), "price_heads"))
     out = []
-    for file in _paths(spark, path):
-        if file.lower().endswith(".zip"):
-            out += _zipped(spark, file)
-            continue
-        lines = [r["value"] for r in spark.read.text(file).limit(HEAD_LINES).collect()]
-        _, header, heads, about = _head(spark, lines)
-        rows = spark.read.schema(", ".join(f"`{h}` string" for h in header)).option("mode", "PERMISSIVE").option("multiLine", multi_line).csv(file)
-        # the head rows are dropped by content: a file may be split, so they can't be counted off
-        body = rows.withColumn("_file", F.col("_metadata.file_path")).where(~F.coalesce(_head_row(rows, heads), F.lit(False)))
-        out.append((body.drop(*(h for h in header if h.startswith("_blank"))), about))
+    for r in heads.where("skipped IS NULL").groupBy("header").agg(F.collect_list("file").alias("files")).collect():  # names only
+        header = r["header"]
+        rows = spark.read.schema(", ".join(f"`{h}` string" for h in header)).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line).csv(r["files"])
+        at = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
+        rows = rows.select("*", at.alias("_file"), (F.col("_metadata.file_block_start") == 0).alias("_first"))
+        about = heads.where(F.col("header") == F.array(*map(F.lit, header))).select(F.col("file").alias("_file"), F.col("rows").alias("_heads"), F.col("about").alias("_about"))
+        # head rows stand in a file's first split; a row goes if it is one of them in every cell
+        same = F.exists("_heads", lambda h: h.eqNullSafe(F.array(*(F.col(f"`{c}`") for c in header))))
+        body = rows.join(about, "_file").where(~(F.col("_first") & same))
+        out.append(body.drop("_first", "_heads", *(h for h in header if h.startswith("_blank"))))
+    for file in [r["file"] for r in ranges.listed(spark, path).where(F.col("file").rlike(r"(?i)\.zip$")).select("file").collect()]:
+        out += _zipped(spark, file)
     if not out:
-        raise FileNotFoundError(path)
+        raise FileNotFoundError(f"no file with a header in {path}")
     return out
 
 
@@ -116,32 +136,35 @@ def _numbered(file: str, member: str, at: int, lines: list[str]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array([file] * n), pa.array([member] * n), pa.array(range(at, at + n), pa.int64()), pa.array(lines, pa.string())], ["file", "member", "line", "value"])
 
 
-def _zipped(spark: SparkSession, file: str) -> list[tuple[DataFrame, dict[str, str]]]:
-    rows, out = read_zip_lines(spark, file), []
-    heads: dict[str, list[str]] = {}
+def _zipped(spark: SparkSession, file: str) -> list[DataFrame]:
+    """The tables of an archive's members, one for each header; members without a header are left out."""
+    rows, first, of = read_zip_lines(spark, file), {}, {}
     for r in rows.where(F.col("line") < HEAD_LINES).orderBy("member", "line").collect():  # some lines of each member
-        heads.setdefault(r["member"], []).append(r["value"])
-    for member, lines in heads.items():
-        at, header, _, about = _head(spark, lines)
-        body = rows.where((F.col("member") == member) & (F.col("line") > at) & (F.trim("value") != "")).select(F.from_csv("value", ", ".join(f"`{h}` string" for h in header)).alias("r"), F.concat_ws("!", "file", "member").alias("_file"))
-        out.append((body.select(*(F.col(f"r.`{h}`") for h in header if not h.startswith("_blank")), "_file"), about))
+        first.setdefault(r["member"], []).append(r["value"])
+    for member, lines in first.items():
+        head = _head("\n".join(lines))
+        if head["header"]:
+            at = next(i for i in range(len(lines)) if _head("\n".join(lines[: i + 1]))["header"])
+            of.setdefault(tuple(head["header"]), []).append((member, at, head["about"]))
+    out = []
+    for header, members in of.items():
+        about = spark.createDataFrame(members, "member string, at long, _about map<string,string>")
+        body = rows.join(about, "member").where((F.col("line") > F.col("at")) & (F.trim("value") != ""))
+        body = body.select(F.from_csv("value", ", ".join(f"`{h}` string" for h in header), {"escape": '"'}).alias("r"), F.concat_ws("!", "file", "member").alias("_file"), "_about")
+        out.append(body.select(*(F.col(f"r.`{h}`") for h in header if not h.startswith("_blank")), "_file", "_about"))
     return out
 
 
-def _head_row(rows: DataFrame, heads: list[list[str]]) -> Column:
-    same = lambda h: reduce(lambda x, y: x & y, (F.col(f"`{c}`").eqNullSafe(F.lit(v.removeprefix("\ufeff") if v else v)) for c, v in list(zip(rows.columns, h, strict=False))[:3]))
-    return reduce(lambda x, y: x | y, map(same, heads))
-
-
-def _columns(df: DataFrame, about: dict[str, str]) -> tuple[DataFrame, Column]:
+def _columns(df: DataFrame) -> tuple[DataFrame, Column]:
     numbers = sorted(c.split("|")[1] for c in df.columns if c.startswith("code|") and c.count("|") == 1)
     codes = F.filter(F.array(*(F.struct(F.col(f"`code|{n}`").alias("code"), F.col(f"`code|{n}|type`").alias("type")) for n in numbers)), lambda x: x["code"].isNotNull())
-    head = {"source_url": F.col("_file"), "hospital": F.lit(about.get("hospital_name")), "location_name": F.lit(about.get("location_name")), "file_vintage": F.lit(about.get("last_updated_on"))}
+    told = lambda n: F.try_element_at("_about", F.lit(n))
+    head = {"source_url": F.col("_file"), "hospital": told("hospital_name"), "location_name": told("location_name"), "file_vintage": told("last_updated_on")}
     return df.withColumns(head), codes
 
 
 def _each(spark: SparkSession, path: str, multi_line: bool, make) -> DataFrame:
-    return reduce(DataFrame.unionByName, (make(body, about) for body, about in _csv(spark, path, multi_line)))
+    return reduce(DataFrame.unionByName, map(make, _csv(spark, path, multi_line)))
 
 
 def _maybe(df: DataFrame, name: str) -> Column:
@@ -153,8 +176,8 @@ def read_price_tall(spark: SparkSession, path: str, multi_line: bool = False) ->
     return _each(spark, path, multi_line, _tall)
 
 
-def _tall(body: DataFrame, about: dict[str, str]) -> DataFrame:
-    df, codes = _columns(body, about)
+def _tall(body: DataFrame) -> DataFrame:
+    df, codes = _columns(body)
     v = lambda n: _maybe(df, f"standard_charge|{n}")
     out = df.select(
         "source_url", "hospital", "location_name", "file_vintage", codes.alias("codes"), _maybe(df, "description").alias("description"), _maybe(df, "setting").alias("setting"), _maybe(df, "billing_class").alias("billing_class"),
@@ -177,8 +200,8 @@ def read_price_wide(spark: SparkSession, path: str, multi_line: bool = False) ->
     return _each(spark, path, multi_line, _wide)
 
 
-def _wide(body: DataFrame, about: dict[str, str]) -> DataFrame:
-    df, codes = _columns(body, about)
+def _wide(body: DataFrame) -> DataFrame:
+    df, codes = _columns(body)
     df = df.select("*", codes.alias("codes"), *(_maybe(df, c).alias(f"_{c}") for c in ("setting", "billing_class", "description")), _maybe(df, "standard_charge|gross").alias("gross_charge"), _maybe(df, "standard_charge|discounted_cash").alias("discounted_cash"))
     long = unpivot_wide(df, ["source_url", "hospital", "location_name", "file_vintage", "codes", "_setting", "_billing_class", "_description", "gross_charge", "discounted_cash"])
     of = lambda m: F.when(F.col("measure") == m, F.col("value"))

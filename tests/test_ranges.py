@@ -79,3 +79,24 @@ def test_many_tasks_read_one_document(spark, tmp_path):
     rows = ranges.json_elements(ranges.listed(spark, str(tmp_path)), block=100_000)
     each = rows.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     assert sum(r["count"] for r in each) == 5000 and len(each) > 5 and max(r["count"] for r in each) < 2500
+
+
+def test_rows_with_blank_cells_stay(spark, tmp_path):
+    head = "hospital_name,last_updated_on,location_name\nH {0},2026-01-0{0},\"a, {0}\"\n\n"
+    table = "description,code|1,code|1|type,payer_name,plan_name,standard_charge|negotiated_dollar\n"
+    rows = [",1,CPT,A,P,5", "two,2,CPT,A,P,6", ",3,CPT,A,P,7", "\"say \"\"four\"\"\",4,CPT,A,P,8"]
+    for i in (1, 2):
+        (tmp_path / f"f{i}.csv").write_text(head.format(i) + table + "\n".join(rows) + "\n")
+    (tmp_path / "late.csv").write_text("x,y\n" * 40 + table + rows[0] + "\n")
+    (tmp_path / "none.csv").write_text("nothing,here\n1,2\n")
+    (tmp_path / "own.csv").write_text("note,description,code|1,code|1|type,description\nn,d,9,CPT,other\n")
+    got = files.read_price_tall(spark, str(tmp_path)).withColumn("file", F.regexp_extract("source_url", "([^/]*)$", 1))
+    by = {}
+    for r in got.collect():
+        by.setdefault(r.file, []).append((r.hospital, r.file_vintage, r.location_name, r.description, r.code, r.rate_dollar))
+    for i in (1, 2):
+        about = (f"H {i}", f"2026-01-0{i}", f"a, {i}")
+        assert sorted(by[f"f{i}.csv"], key=lambda x: x[4]) == [(*about, None, "1", "5"), (*about, "two", "2", "6"), (*about, None, "3", "7"), (*about, 'say "four"', "4", "8")]
+    assert by["late.csv"] == [(None, None, None, None, "1", "5")] or by["late.csv"][0][3:] == (None, "1", "5")
+    assert by["own.csv"][0][3:] == ("d", "9", None)
+    assert {r.file.rsplit("/", 1)[1]: r.skipped for r in files.price_heads(spark, str(tmp_path)).where("skipped IS NOT NULL").collect()} == {"none.csv": "no header"}
