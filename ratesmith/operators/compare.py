@@ -72,20 +72,33 @@ def _fingerprint(columns: list[str]) -> dict[str, Column]:
     return {"_h1": F.xxhash64(*columns, nulls), "_h2": F.xxhash64(F.lit(1), *columns, nulls)}
 
 
+def _question(left: DataFrame) -> DataFrame:
+    """Left rows with what the comparison asks of the payer side, under q_ names, and a fingerprint of it: facility, plan and product
+    don't count, and of the rate only whether it is missing or not over zero."""
+    rate = F.when(F.col("rate").isNull(), None).when(F.col("rate") <= 0, 0.0).otherwise(1.0)
+    asked = {
+        "system": F.col("system"), "code": X.code_key(F.col("code")), "code_type": F.col("code_type"), "carrier": X.folded(F.col("carrier")), "setting": X.setting_key(F.col("setting")), "billing_class": X.folded(F.col("billing_class")),
+        "product_class": F.lit(None).cast("string"), "rate": rate, "rate_kind": F.col("rate_kind"), "methodology": F.col("methodology"), "vintage": F.col("vintage"),
+    }
+    named = left.withColumns({f"q_{k}": c for k, c in asked.items()})
+    return named.withColumns(_fingerprint([f"q_{k}" for k in asked]))
+
+
 def distribution_join(left: DataFrame, right: DataFrame, days: int = T.VINTAGE_DAYS, assumed: Column | None = None) -> DataFrame:
-    """One row for each left row: outcome and the comparable payer rates' spread. Left rows that are alike in all columns each give
-    their row and meet the same payer rates.
+    """One row for each left row: outcome and the comparable payer rates' spread.
 
     assumed: for which left rows a missing billing class is read as facility. outcome is `compared`, a refusal's name, or no
     counterpart. A compared row has n, payer_min, payer_median, payer_max, networks, and the network and vintage of the rate
-    nearest to the median. Pairs are shuffled once, by 128 bits that stand for the left row, without its columns: the median is a
-    window over what the group-by needs, and the columns come back in a join of one row with one.
+    nearest to the median. Left rows that ask the same of the payer side (code, carrier, setting, class, kind, methodology, vintage)
+    ask once: there are as many pairs as distinct questions have payer rows, however many rates a hospital has under a code. Pairs are
+    shuffled once, by 128 bits that stand for the question; the median is a window over what the group-by needs.
     """
     billing = F.when((X.folded(F.col("billing_class")) == "") & (assumed if assumed is not None else F.lit(False)), F.lit("facility")).otherwise(F.col("billing_class"))
     left = left.withColumn("stated_class", F.col("billing_class")).withColumn("billing_class", billing)
     columns, id_ = left.columns, ["_h1", "_h2"]
-    left = left.groupBy(*columns).agg(F.count("*").alias("_copies")).withColumns(_fingerprint(columns))
-    p = _met(left.where(~exempt(F.col("product_class"))).drop("_copies"), right, "inner")
+    left = _question(left)
+    asking = left.where(~exempt(F.col("product_class"))).select(*(F.col(c).alias(c.removeprefix("q_")) for c in left.columns if c.startswith("q_")), *id_).distinct()
+    p = _met(asking, right, "inner")
     like = F.coalesce(X.folded(F.col("l_billing_class")) == X.folded(F.col("r_billing_class")), F.lit(False))
     p = p.select(F.col("l__h1").alias("_h1"), F.col("l__h2").alias("_h2"), like.alias("_like"), F.when(like, refusal("l_", "r_", days)).alias("_reason"), "r_rate", "r_plan", "r_vintage", "r_product_class")
     p = p.withColumn("_ok", F.when(F.col("_like") & F.col("_reason").isNull(), F.col("r_rate")))
@@ -103,7 +116,7 @@ def distribution_join(left: DataFrame, right: DataFrame, days: int = T.VINTAGE_D
     outcome = F.when(exempt(F.col("product_class")), "tic_exempt_product").when(F.col("_n_any").isNull(), T.NO_COUNTERPART)
     outcome = outcome.when(X.folded(F.col("billing_class")) == "", "billing_class_unstated")
     outcome = outcome.when(F.col("_n_like") == 0, "different_billing_class").when(F.col("n") == 0, majority).otherwise("compared")
-    out = left.join(met, id_, "left").withColumn("outcome", outcome).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+    out = left.join(met, id_, "left").withColumn("outcome", outcome)
     done = F.col("outcome") == "compared"
     return out.select(
         *(F.col(c) for c in columns if c not in ("billing_class", "stated_class")), F.col("stated_class").alias("billing_class"), "outcome",

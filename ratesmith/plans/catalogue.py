@@ -64,7 +64,7 @@ def distribution_join(spark, sf_dir):
 
 @register(with_("SELECT system, outcome, count(*) AS hospital_rates, count(*) / CAST(sum(count(*)) OVER (PARTITION BY system) AS DOUBLE) AS share FROM ex GROUP BY system, outcome", _EX), "share")
 def outcome_funnel(spark, sf_dir):
-    n = compare.distribution_join(A.left(spark, sf_dir), A.right(spark, sf_dir)).groupBy("system", "outcome").agg(F.count("*").alias("hospital_rates"))
+    n = A.explained(spark, sf_dir).groupBy("system", "outcome").agg(F.count("*").alias("hospital_rates"))
     return n.withColumn("share", F.col("hospital_rates") / F.sum("hospital_rates").over(Window.partitionBy("system")))
 
 

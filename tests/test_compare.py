@@ -86,3 +86,21 @@ def test_medians_and_p90(spark):
     assert {r.k: r.p90 for r in aggregate.p90_nearest(df, ["k"], "rate").collect()} == {"a": 9.0, None: 3.0}
     assert {r.k: r.p90 for r in aggregate.p90_floor(df, ["k"], "rate").collect()} == {"a": 10.0, None: 3.0}
     assert aggregate.median_row(df.where("k = 'a'"), ["k"], [F.col("rate")], upper=False).first().rate == 5.0
+
+
+def test_many_rates_of_one_code_ask_once(spark):
+    """A key with 20,000 rates on either side: 400 million pairs, of which no join has to make one for each left row."""
+    left = rows(spark, {}).crossJoin(spark.range(20_000)).withColumn("facility", F.concat(F.lit("f"), F.col("id") % 7)).withColumn("rate", F.col("id") + 1.0).drop("id")
+    right = rows(spark, {}).drop("facility").crossJoin(spark.range(20_001)).withColumn("rate", F.col("id") + 1.0).drop("id")
+    got = compare.distribution_join(left, right).groupBy("outcome", "n", "payer_min", "payer_median", "payer_max").count().collect()
+    assert [tuple(r) for r in got] == [("compared", 20_001, 1.0, 10_001.0, 20_001.0, 20_000)]
+
+
+def test_questions_differ_where_the_answer_does(spark):
+    changes = [{}, {"rate": None}, {"rate": 0.0}, {"setting": "both"}, {"setting": "OUTPATIENT "}, {"vintage": None}, {"billing_class": None}, {"rate_kind": "percentage"}, {"plan": "other"}, {"code": " 70450"}, {"methodology": "per_diem"}, {"vintage": dt.date(2024, 1, 1)}]
+    left = rows(spark, *({**c, "facility": str(i)} for i, c in enumerate(changes)))
+    got = {int(r.facility): (r.outcome, r.n) for r in compare.distribution_join(left, rows(spark, {}, {"setting": "both"}, {"setting": "inpatient"}).drop("facility")).collect()}
+    assert got == {
+        0: ("compared", 2), 1: ("missing_rate", 0), 2: ("zero_rate", 0), 3: ("compared", 1), 4: ("compared", 2), 5: ("compared", 2), 6: ("billing_class_unstated", 0), 7: ("mixed_rate_kind", 0), 8: ("compared", 2), 9: ("compared", 2),
+        10: ("incompatible_methodology", 0), 11: ("vintage_too_far_apart", 0),
+    }
