@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def median_by_key(df: DataFrame, keys: list[str], value: str = "rate", **more: Column) -> DataFrame:
@@ -33,11 +36,67 @@ def most_frequent(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return counts.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(value))
 
 
-def _nth(df: DataFrame, keys: list[str], value: str, at: Column) -> DataFrame:
-    """The value at a 1-based place of each key's order. Rows are ranked by a spillable window, never gathered."""
+#: A key is hot that holds more than one in so many rows, so there are fewer hot keys than this; and rows that it has at least.
+HOT_SHARE, HOT_ROWS = 1000, 100_000
+#: Values of a key that percentile_approx tells apart; its error in places is one in so many.
+ACCURACY = 10_000
+
+
+def order_statistics(df: DataFrame, keys: list[str], value: str, places: dict[str, Column]) -> DataFrame:
+    """The exact values at some places of each key's order: a row for each key that has values, with its keys and a column for each of
+    `places`, whose places (from 1) are expressions over the number of values, `_n`.
+
+    Keys of few rows are ranked by a spillable window. A hot key spreads over all tasks: an approximate percentile gives two values
+    between which the place must be, rows below are counted and rows between summed up by value, both before anything is shuffled,
+    and the place is found among those sums. Null values don't count; a null key is a key. What is read twice should be a table.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    total = sizes.agg(F.sum("_n").alias("n")).first()["n"] or 0
+    hot = [r.asDict() for r in sizes.where((F.col("_n") * HOT_SHARE > total) & (F.col("_n") >= HOT_ROWS)).collect()]  # fewer than HOT_SHARE rows
+    same = lambda a, b: reduce(lambda x, y: x & y, (a[k].eqNullSafe(b[k]) for k in keys), F.lit(True))
+    big = F.broadcast(df.sparkSession.createDataFrame([tuple(r[k] for k in [*keys, "_n"]) for r in hot], sizes.schema)) if hot else None
+    cold = rows.join(big, same(rows, big), "left_anti") if hot else rows
     w = Window.partitionBy(*keys)
-    ranked = df.where(F.col(value).isNotNull()).withColumns({"_n": F.count("*").over(w), "_i": F.row_number().over(w.orderBy(value))})
-    return ranked.where(F.col("_i") == at).select(*keys, F.col(value).alias("p90"))
+    ranked = cold.withColumns({"_n": F.count("*").over(w), "_i": F.row_number().over(w.orderBy("_v"))})
+    at = {f"_at_{name}": place.cast("long") for name, place in places.items()}
+    out = ranked.withColumns(at).groupBy(*keys).agg(*(F.max(F.when(F.col("_i") == F.col(f"_at_{name}"), F.col("_v"))).alias(name) for name in places))
+    if not hot:
+        return out
+    mine = rows.join(big.select(*keys), same(rows, big), "left_semi")
+    wanted = big.withColumns(at)
+    for name in places:
+        near = lambda side: F.least(F.greatest(F.col(f"_at_{name}") / F.col("_n") + side * 3 / ACCURACY, F.lit(0.0)), F.lit(1.0))  # noqa: B023, E731
+        bounds = [r.asDict() for r in wanted.select(*keys, near(-1).alias("low"), near(1).alias("high")).collect()]
+        between = []
+        for r in bounds:  # a percentile needs a constant share; hot keys are few, and all go in one pass below
+            own = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.lit(r[k])) for k in keys), F.lit(True))
+            between.append(F.percentile_approx(F.when(own, F.col("_v")), [r["low"], r["high"]], ACCURACY))
+        edges = mine.agg(F.array(*between).alias("e")).first()["e"]
+        spans = F.broadcast(df.sparkSession.createDataFrame([(*(r[k] for k in keys), float(e[0]), float(e[1])) for r, e in zip(bounds, edges, strict=True)], _span_schema(sizes, keys)))
+        seen = mine.join(spans, same(mine, spans)).select(*(mine[k] for k in keys), "_v", "_low", "_high").where("_v <= _high")
+        sums = seen.groupBy(*keys, F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_v")).agg(F.count("*").alias("_c"))  # those below are one sum
+        below = F.sum("_c").over(w.orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        upto = sums.withColumn("_upto", below)
+        found = upto.join(wanted, same(upto, wanted)).where(F.col("_upto") >= F.col(f"_at_{name}")).groupBy(*(upto[k] for k in keys)).agg(F.min("_v").alias(name))
+        place = found if name == next(iter(places)) else place.join(found, same(place, found)).select(*(place[k] for k in keys), *(c for c in place.columns if c not in keys), name)
+    return out.unionByName(place)
+
+
+def _span_schema(sizes: DataFrame, keys: list[str]) -> StructType:
+    return StructType([*(f for f in sizes.schema if f.name in keys), StructField("_low", DoubleType()), StructField("_high", DoubleType())])
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
+    """The exact median of each key, as order_statistics finds it."""
+    n = F.col("_n")
+    two = order_statistics(df, keys, value, {"_lower": F.floor((n + 1) / 2), "_upper": F.floor(n / 2) + 1})
+    return two.select(*keys, ((F.col("_lower") + F.col("_upper")) / 2).alias(name))
+
+
+def _nth(df: DataFrame, keys: list[str], value: str, at: Column) -> DataFrame:
+    """The value at a 1-based place of each key's order."""
+    return order_statistics(df, keys, value, {"p90": at})
 
 
 def p90_nearest(df: DataFrame, keys: list[str], value: str) -> DataFrame:
