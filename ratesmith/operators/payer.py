@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ratesmith.functions import text as X
 from ratesmith.rules import tables as T
+from ratesmith.sources.footers import footers
+from ratesmith.sources.lake import working_table
 
 
 def _all(tests: list[Column]) -> Column:
@@ -20,16 +22,18 @@ def payer_files(spark: SparkSession, path: str, required: list[str], duplicates:
     """The Parquet files right under path: file, stem, carrier, network, bytes, vintage, missing (required columns it lacks) and
     skipped, the first reason to leave it out: in flight, duplicate, contract; null if it counts.
 
-    A file's vintage is one that is given for its stem, else the least of its own. Files are listed and their footers read on the
-    driver, as few as they are; rows are read in one scan of the files that have the column.
+    A file's vintage is one that is given for its stem, else the least of its own. Footers are read by tasks; a file that is cut off or
+    no Parquet lacks all columns. Rows are read in one scan of the files that have the column.
     """
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     listed = [(str(s.getPath().toString()), s.getLen()) for s in where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where) if s.isFile() and re.search(r"\.parquet(\.part)?$", s.getPath().getName())]
-    columns = {f: spark.read.parquet(f).columns for f, _ in listed if f.endswith(".parquet")}
-    rows = [(f, n, sorted(set(required) - set(columns[f])) if f in columns else []) for f, n in listed]
-    files = spark.createDataFrame(rows, "file string, bytes long, missing array<string>").withColumn("stem", F.regexp_extract("file", r"([^/]+?)\.parquet(\.part)?$", 1))
+    there = spark.createDataFrame(listed, "file string, size long")
+    held = spark.read.parquet(working_table(footers(there.where(F.col("file").endswith(".parquet"))).select("file", F.coalesce("columns", F.array().cast("array<string>")).alias("columns")), "footers"))
+    lacks = F.array_sort(F.array_except(F.array(*map(F.lit, required)).cast("array<string>"), F.col("columns")))
+    files = there.join(held, "file", "left").select("file", F.col("size").alias("bytes"), F.coalesce(lacks, F.array().cast("array<string>")).alias("missing"))
+    files = files.withColumn("stem", F.regexp_extract("file", r"([^/]+?)\.parquet(\.part)?$", 1))
     carrier, network = X.split_label(F.col("stem"))
-    dated = [f for f, c in columns.items() if vintage in c]
+    dated = [r["file"] for r in held.where(F.array_contains("columns", vintage)).select("file").collect()]  # names only
     own = spark.createDataFrame([], "own_stem string, own string")
     if dated:
         stem = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)\.parquet$", 1)
