@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 import io
-import zipfile
 from collections.abc import Iterator
 from functools import reduce
 
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ranges
+from . import containers, ranges
 from .lake import working_table
 
 _PAYER = "payer_name: string, plan_name: string, standard_charge_dollar: string, standard_charge_percentage: string, standard_charge_algorithm: string, methodology: string"
@@ -109,31 +108,9 @@ def _csv(spark: SparkSession, path: str, multi_line: bool = False) -> list[DataF
 
 
 def read_zip_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of the members of zip files: file, member, line (from 0), value. A task has one archive, its members are unpacked line by line."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
-                    for member in archive.namelist():
-                        with archive.open(member) as raw:
-                            held: list[str] = []
-                            at = 0
-                            for line in io.TextIOWrapper(raw, "utf-8", "replace", newline="\n"):
-                                held.append(line.rstrip("\r\n"))
-                                if len(held) == 4096:
-                                    yield _numbered(name, member, at, held)
-                                    at, held = at + len(held), []
-                            if held:
-                                yield _numbered(name, member, at, held)
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, "file string, member string, line long, value string")
-
-
-def _numbered(file: str, member: str, at: int, lines: list[str]) -> pa.RecordBatch:
-    n = len(lines)
-    return pa.RecordBatch.from_arrays([pa.array([file] * n), pa.array([member] * n), pa.array(range(at, at + n), pa.int64()), pa.array(lines, pa.string())], ["file", "member", "line", "value"])
+    """Lines of the members of zip files: file, member, line (from 0), value. A task has one archive, which is decoded from the front,
+    line by line; one that is cut off gives what it holds."""
+    return containers.read_lines(ranges.listed(spark, path)).where("member <> ''")
 
 
 def _zipped(spark: SparkSession, file: str) -> list[DataFrame]:
