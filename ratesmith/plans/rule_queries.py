@@ -8,7 +8,7 @@ from ratesmith.functions import plans
 from ratesmith.functions import text as X
 from ratesmith.operators import evals, gold, levers, places, triage
 from ratesmith.rules import tables as T
-from ratesmith.sources import lake
+from ratesmith.sources import files, lake
 
 from . import analogue as A
 from .mart import run_mart
@@ -324,6 +324,24 @@ def price_profile(spark, sf_dir):
     return evals.profile(A.table(spark, sf_dir, "lineitem").selectExpr(*(f"{x} AS {n}" for x, n in (y.rsplit(" AS ", 1) for y in _PRICED.split(", CASE ") if y) for x in [x if x.startswith("CASE") else f"CASE {x}"])))
 
 
+@register("""SELECT n_name AS hospital, l_linestatus AS payer_name, count(*) AS rates, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS total, count(DISTINCT l_partkey) AS codes
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL""", "total")
+def json_price_documents(spark, sf_dir):
+    """Order lines as one price document for each nation, written line by line, and read back by blocks of a megabyte."""
+    t = lambda name: A.table(spark, sf_dir, name)
+    payer = F.struct(F.col("l_linestatus").alias("payer_name"), F.lit('P "1", [a]').alias("plan_name"), F.col("l_extendedprice").cast("string").alias("standard_charge_dollar"))
+    charge = F.struct(F.lit("inpatient").alias("setting"), F.array(payer).alias("payers_information"))
+    item = F.to_json(F.struct(F.concat_ws("-", F.lit("item"), "l_orderkey", "l_linenumber").alias("description"), F.array(F.struct(F.col("l_partkey").cast("string").alias("code"), F.lit("CPT").alias("type"))).alias("code_information"), F.array(charge).alias("standard_charges")))
+    lines = t("lineitem").join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").alias("nation"), F.lit(1).alias("place"), F.concat(F.lit(","), item).alias("value"))
+    ends = [(0, F.concat(F.lit('{"hospital_name":"'), F.col("n_name"), F.lit('","location_name":["x","y"],"last_updated_on":"2026-01-01","standard_charge_information":[null'))), (2, F.lit("]}"))]
+    for place, value in ends:
+        lines = lines.unionByName(t("nation").select(F.col("n_nationkey").alias("nation"), F.lit(place).alias("place"), value.alias("value")))
+    path = lake.working_path(spark, "price_documents")
+    lines.repartition("nation").sortWithinPartitions("nation", "place").select("nation", "value").write.partitionBy("nation").text(path)
+    rows = files.read_price_json(spark, path, block=1 << 20)
+    return rows.groupBy("hospital", "payer_name").agg(F.count("*").alias("rates"), F.sum(F.col("rate_dollar").cast("decimal(18,2)")).cast("double").alias("total"), F.countDistinct("code").alias("codes"))
+
+
 @register(with_("SELECT code, median(relative_difference) AS median_relative_difference, count(*) AS pairs FROM ex WHERE outcome = 'compared' GROUP BY code", _EX), "median_relative_difference")
 def spread_by_code(spark, sf_dir):
     return evals.spread_by_code(A.explained(spark, sf_dir).where("outcome = 'compared'"))
