@@ -35,6 +35,9 @@ SCOPES = frozenset("table ul ol dl select html body".split())
 NOISE = frozenset("ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored banner cookie cookies consent gdpr notice notices alert popup modal overlay menu nav navbar navigation breadcrumb breadcrumbs sidebar side widget widgets share sharing social related recommended recommendations comment comments commentlist respond disqus discussion newsletter subscribe subscription signup login footer masthead topbar toolbar pagination pager promo promotion tags toc skip hidden print outbrain taboola".split())
 PROSE = frozenset("article articlebody post entry content story main text body title headline".split())
 COMMENTS = frozenset("comment comments commentlist respond disqus discussion".split())
+POSTS = frozenset("article articlebody post entry story".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LISTS = frozenset("ul ol dl".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|(?P<open><(?P<raw>{RAW})(?=[\s/>])(?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+>)(?:.*?</(?P=raw)(?=[\s/>])[^>]*>|.*\Z)|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+)>|<[!?/][^>]*>|<[!?/a-z][^>]*\Z", re.IGNORECASE | re.DOTALL)
@@ -44,28 +47,34 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 #: A path wins that has this share of its host's votes.
 WIN = 0.2
-#: An element whose names speak of noise isn't noise if it has this share of the page's prose, or that one and an article inside.
-MOST, MUCH = 0.5, 0.3
+#: An element whose names speak of noise isn't noise if it has this share of the page's prose and what nothing speaks against has
+#: less than FEW of it in sentences, or if it has that share and an article inside.
+MOST, MUCH, FEW = 0.5, 0.3, 0.1
+#: Characters of a block that may be a sentence.
+SENTENCE = 40
 #: How sure it is that an element is noise: by what it is, or by its names.
 SURE, NAMED, NAMED_COMMENTS = 3, 2, 1
 
 
 class Element:
-    """path is a hash of the chain of steps; inner says that this is an article or main part that nothing speaks against."""
+    """path is a hash of the chain of steps; inner says that this is an article or main part that nothing speaks against; head that it
+    is a header; post that it is, or is in, an article; linked that its text is a link's."""
 
-    __slots__ = ("tag", "path", "noise", "parent", "prose", "links", "bonus", "inner", "near")
+    __slots__ = ("tag", "path", "noise", "parent", "prose", "links", "bonus", "inner", "near", "head", "post", "linked")
 
-    def __init__(self, tag: str, path: int, noise: int, parent: int, bonus: float, inner: bool):
+    def __init__(self, tag: str, path: int, noise: int, parent: int, bonus: float, inner: bool, head: bool = False, post: bool = False, linked: bool = False):
         self.tag, self.path, self.noise, self.parent, self.bonus, self.inner = tag, path, noise, parent, bonus, inner
+        self.head, self.post, self.linked = head, post, linked
         self.prose = self.links = 0.0
 
 
-def _kind(tag: str, attrs: str) -> tuple[str, int, float]:
-    """A tag's step in a path, how sure it is that what it holds is noise, and how much its names speak for an article."""
+def _kind(tag: str, attrs: str) -> tuple[str, int, float, bool, bool]:
+    """A tag's step in a path, how sure it is that what it holds is noise, how much its names speak for an article, whether it is a
+    header that isn't named as an article's, and whether it is an article."""
     bonus = 25.0 if tag == "article" else 10.0 if tag == "main" else 0.0
     sure = SURE if tag in DROPPED or tag in EMBEDS else NAMED if tag == "form" else 0
     if not attrs.strip():
-        return tag, sure, bonus
+        return tag, sure or NAMED * (tag == "header"), bonus, tag == "header", tag in ("article", "main")
     have = {}
     for k, a, b, c, alone in _ATTR.findall(attrs):
         have.setdefault((k or alone).lower(), a or b or c)
@@ -77,7 +86,9 @@ def _kind(tag: str, attrs: str) -> tuple[str, int, float]:
     elif sure < NAMED and (own & NOISE and not (prose and not own & {"ad", "ads", "comment", "comments", "related", "share"}) or have.get("role", "").lower() in ROLES):
         sure = NAMED_COMMENTS if own & COMMENTS else NAMED
     step = ".".join([tag, *sorted({re.sub(r"\d+", "#", x) for x in have.get("class", "").split()})])
-    return step, 0 if tag in ("html", "body") else sure, bonus + (15.0 if prose else 0.0)
+    post = tag in ("article", "main") or bool(own & POSTS)
+    head = not sure and not own & POSTS and (tag == "header" or "header" in own and tag in BLOCKS)
+    return step, 0 if tag in ("html", "body") else NAMED if head else sure, bonus + (15.0 if prose else 0.0), head, post
 
 
 def parse(page: str) -> tuple[list[Element], list[tuple[int, str | None]]]:
@@ -90,23 +101,49 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str | None]]]:
 
 
 def _judge(elements: list[Element], stream: list[tuple[int, str | None]]) -> None:
-    """Settle which elements are noise. Names are believed unless the element holds much of the page's prose; comments have to hold
-    an article besides. What stands in noise is noise. Parents come before their children in the list."""
-    size, inner = [0] * len(elements), [e.inner for e in elements]
-    for i, raw in stream:
-        if raw:
-            size[i] += len(raw.strip()) * (elements[i].tag != "a")
-    for i in range(len(elements) - 1, 0, -1):
+    """Settle which elements are noise. Names are believed unless the element holds most of the page's prose and little is left
+    without it; comments have to hold an article besides. Headers are noise but for an article's own with a heading in it. Lists of
+    several links that hold nothing else are menus. What stands in noise is noise. Parents come before their children in the list."""
+    n = len(elements)
+    size, inner, heading, plain, anchors = [0] * n, [e.inner for e in elements], [e.tag in HEADINGS for e in elements], [False] * n, [0] * n
+    sentences, held, owner, ends = [0] * n, 0, 0, False
+    for i, raw in [*stream, (0, None)]:
+        if raw is None:
+            if held >= SENTENCE and ends and elements[owner].tag not in HEADINGS:
+                sentences[owner] += held
+            held, ends = 0, False
+        elif raw and (length := len(raw.strip())):
+            if elements[i].linked:
+                anchors[i] += 1
+            else:
+                size[i] += length
+                plain[i] = plain[i] or re.search(r"\w", html.unescape(raw)) is not None
+                owner = owner if held else i
+                held += length
+                ends = ends or re.search(r"[.,;:!?。]", raw) is not None
+    for i in range(n - 1, 0, -1):
         e = elements[i]
+        up = e.parent
+        anchors[up] += anchors[i]
+        plain[up] = plain[up] or plain[i]
+        if e.tag in LISTS and anchors[i] > 1 and not plain[i]:
+            e.noise = SURE
         if e.noise == SURE:
-            size[i], inner[i] = 0, False
-        size[e.parent] += size[i]
-        inner[e.parent] = inner[e.parent] or inner[i]
+            size[i], inner[i], heading[i], sentences[i] = 0, False, False, 0
+        size[up] += size[i]
+        inner[up] = inner[up] or inner[i]
+        heading[up] = heading[up] or heading[i]
+        if not e.noise:
+            sentences[up] += sentences[i]
+    clean = sentences[0]
     for i, e in enumerate(elements):
-        if e.noise in (NAMED, NAMED_COMMENTS):
+        if e.head and elements[e.parent].post and heading[i]:
+            e.noise = 0
+        elif e.noise in (NAMED, NAMED_COMMENTS):
             share = size[i] / max(size[0], 1)
-            if share >= MUCH and inner[i] or share >= MOST and e.noise == NAMED:
+            if share >= MUCH and inner[i] or share >= MOST and e.noise == NAMED and clean < FEW * size[0]:
                 e.noise = 0
+                clean += sentences[i]
         if i and elements[e.parent].noise:
             e.noise = SURE
         e.near = i if e.tag in CONTAINERS else elements[e.parent].near if i else 0
@@ -167,11 +204,11 @@ def _parse(page: str, hollow: frozenset[int]) -> tuple[list[Element], list[tuple
                     break
                 if elements[stack[k]].tag in SCOPES or elements[stack[k]].tag in EMBEDS:
                     break
-        step, noise, bonus = _kind(tag, m["attrs"])
+        step, noise, bonus, head, post = _kind(tag, m["attrs"])
         up = elements[stack[-1]]
         # formatting elements are no part of a path: they are left open by mistake too often
         path = xxhash.xxh64_intdigest(step, up.path) if tag in BLOCKS else up.path
-        elements.append(Element(tag, path, noise, stack[-1], bonus, tag in ("article", "main") and not noise))
+        elements.append(Element(tag, path, noise, stack[-1], bonus, tag in ("article", "main") and not noise, head, post or up.post, tag == "a" and "href" in m["attrs"].lower() or up.linked and tag not in BLOCKS))
         if tag in BLOCKS and not embeds:
             stream.append((stack[-1], None))
         if (not m["attrs"].endswith("/") or tag in BLOCKS or tag in EMBEDS - FOREIGN) and len(elements) - 1 not in hollow:
@@ -184,8 +221,9 @@ def _parse(page: str, hollow: frozenset[int]) -> tuple[list[Element], list[tuple
 
 
 def blocks(elements: list[Element], stream: list[tuple[int, str | None]], inside: set[int] | None = None) -> Iterator[tuple[int, str, int]]:
-    """(element, text, characters in links) of each block that is not noise, inside the given elements."""
-    own, held, owner, links = {0: inside is None or 0 in inside}, [], 0, 0
+    """(element, text, characters in links) of each block that is not noise, inside the given elements. Blocks of several links with
+    nothing but marks between them are menus, other than headings."""
+    own, held, owner, links, anchors, others = {0: inside is None or 0 in inside}, [], 0, 0, set(), []
 
     def within(i: int) -> bool:
         chain = []
@@ -202,14 +240,18 @@ def blocks(elements: list[Element], stream: list[tuple[int, str | None]], inside
     for i, raw in [*stream, (0, None)]:
         if raw is None:
             if held and (text := " ".join(html.unescape("".join(held)).split())):
-                yield owner, text, links
-            held, links = [], 0
+                if len(anchors) < 2 or elements[owner].tag in HEADINGS or re.search(r"\w", html.unescape(" ".join(others))):
+                    yield owner, text, links
+            held, links, anchors, others = [], 0, set(), []
         elif raw and not elements[i].noise and (inside is None or within(i)):
             if not held:
                 owner = i
             held.append(raw)
-            if elements[i].tag == "a":
+            if elements[i].linked:
                 links += len(raw.strip())
+                anchors.add(i)
+            else:
+                others.append(raw)
 
 
 def best_container(elements: list[Element], stream: list[tuple[int, str | None]]) -> int:
