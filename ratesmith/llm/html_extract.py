@@ -100,6 +100,13 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str | None]]]:
     return elements, stream
 
 
+def _titled(elements: list[Element], i: int) -> bool:
+    """Whether the block of an element is a heading."""
+    while elements[i].tag not in BLOCKS and i:
+        i = elements[i].parent
+    return elements[i].tag in HEADINGS
+
+
 def _judge(elements: list[Element], stream: list[tuple[int, str | None]]) -> None:
     """Settle which elements are noise. Names are believed unless the element holds most of the page's prose and little is left
     without it; comments have to hold an article besides. Headers are noise but for an article's own with a heading in it. Lists of
@@ -109,7 +116,7 @@ def _judge(elements: list[Element], stream: list[tuple[int, str | None]]) -> Non
     sentences, held, owner, ends = [0] * n, 0, 0, False
     for i, raw in [*stream, (0, None)]:
         if raw is None:
-            if held >= SENTENCE and ends and elements[owner].tag not in HEADINGS:
+            if held >= SENTENCE and ends and not _titled(elements, owner):
                 sentences[owner] += held
             held, ends = 0, False
         elif raw and (length := len(raw.strip())):
@@ -240,7 +247,7 @@ def blocks(elements: list[Element], stream: list[tuple[int, str | None]], inside
     for i, raw in [*stream, (0, None)]:
         if raw is None:
             if held and (text := " ".join(html.unescape("".join(held)).split())):
-                if len(anchors) < 2 or elements[owner].tag in HEADINGS or re.search(r"\w", html.unescape(" ".join(others))):
+                if len(anchors) < 2 or _titled(elements, owner) or re.search(r"\w", html.unescape(" ".join(others))):
                     yield owner, text, links
             held, links, anchors, others = [], 0, set(), []
         elif raw and not elements[i].noise and (inside is None or within(i)):
