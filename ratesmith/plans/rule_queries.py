@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ratesmith.functions import plans
 from ratesmith.functions import text as X
-from ratesmith.operators import evals, gold, levers, places, triage
+from ratesmith.operators import evals, gold, levers, loaders, places, triage
 from ratesmith.rules import tables as T
-from ratesmith.sources import files, lake
+from ratesmith.sources import files, lake, ranges, sheets
 
 from . import analogue as A
 from .mart import run_mart
@@ -170,6 +170,58 @@ def service_rules_parsed(spark, sf_dir):
     return rows.select("p_partkey", *(F.array_join(f"r.{c}", ",").alias(c) for c in ("revenue", "procedure", "excluded", "bad")))
 
 
+def _cells(found):
+    """Cells of files, decoded once: loaders look for headers first and for rows then."""
+    return sheets.cells(found.sparkSession.read.parquet(lake.working_table(sheets.read(found), "cells")))
+
+
+@register(f"""SELECT p_brand AS category, 'part ' || p_partkey AS name, CASE p_size % 4 WHEN 0 THEN '0360,0361,0362,0490' WHEN 1 THEN '0110' WHEN 2 THEN '' ELSE '0450,99281' END AS revenue, CASE p_size % 4 WHEN 0 THEN '27130,27131,27132' WHEN 1 THEN 'G0101,G0102,G0103' ELSE '' END AS "procedure",
+  CASE p_size % 4 WHEN 0 THEN '27131' ELSE '' END AS excluded, CASE p_size % 4 WHEN 2 THEN '6320-63621' ELSE '' END AS bad FROM part""")
+def service_workbooks(spark, sf_dir):
+    """Parts as services of workbooks, each under its brand, written in tasks and read back as rules."""
+    part = A.table(spark, sf_dir, "part").withColumn("book", F.concat_ws("-", F.lit("services"), F.regexp_extract("p_brand", r"(\d)", 1), F.floor(F.col("p_partkey") / 100_000)))
+    row = lambda first, brand, under: F.struct(F.lit(first).alias("first"), brand.alias("brand"), under.alias("under"))
+    none = F.lit(None).cast("string")
+    tops = part.select("book", row(0, F.lit(""), F.lit(0).cast("long")).alias("row"), F.array(F.lit("Service"), F.lit("Codes")).alias("cells")).distinct()
+    heads = part.select("book", row(1, F.col("p_brand"), F.lit(-1).cast("long")).alias("row"), F.array(F.col("p_brand"), none).alias("cells")).distinct()
+    lines = part.select("book", row(1, F.col("p_brand"), F.col("p_partkey").cast("long")).alias("row"), F.array(F.concat_ws(" ", F.lit("part"), "p_partkey"), F.expr(_CELL)).alias("cells"))
+    books = tops.unionByName(heads).unionByName(lines).withColumn("sheet", F.lit("Rates & codes"))
+    written = lake.working_table(sheets.write_workbooks(books, lake.working_path(spark, "workbooks")), "workbook_files")
+    rules = loaders.service_rules(_cells(spark.read.parquet(written)))
+    return rules.select("category", "name", *(F.array_join(c, ",").alias(c) for c in ("revenue", "procedure", "excluded", "bad")))
+
+
+@register("""SELECT 'P' || p_partkey AS code, round(p_retailprice, 2) AS amount, p_name AS description, 'HCPCS' AS code_type, 2025 AS year FROM part WHERE p_size % 5 <> 0 AND p_retailprice > 0""", "amount")
+def fee_tables(spark, sf_dir):
+    """Parts as outpatient fee tables, one text file each maker: titles, a header found by its caption, amounts with marks; packaged ones go."""
+    part = A.table(spark, sf_dir, "part")
+    maker = F.regexp_extract("p_brand", r"(\d)", 1)
+    cells = [F.concat(F.lit(" p"), "p_partkey"), F.concat(F.lit('"'), F.replace("p_name", F.lit('"'), F.lit('""')), F.lit('"')), F.when(F.col("p_size") % 5 == 0, "N").otherwise("t"), F.concat(F.lit("$"), F.format_number("p_retailprice", 2))]
+    lines = part.select(maker.alias("maker"), F.lit(1).alias("place"), F.concat_ws("\t", *cells).alias("value"))
+    top = F.lit("Addendum B. HCPCS codes and amounts\t\t\t\n\n\tHCPCS\tamounts\n1,2 HCPCS\u00a0Code\tShort Descriptor\tStatus  Indicator\t3 Payment Rate")
+    lines = lines.unionByName(part.select(maker.alias("maker"), F.lit(0).alias("place"), top.alias("value")).distinct())
+    path = lake.working_path(spark, "fee_tables")
+    lines.repartition("maker").sortWithinPartitions("maker", "place").select("maker", "value").write.partitionBy("maker").text(path)
+    return loaders.outpatient_rates(_cells(ranges.listed(spark, path)), 2025).select("code", "amount", "description", "code_type", "year")
+
+
+@register("""SELECT CAST(7000000 + s_suppkey AS VARCHAR) AS opcert, s_name AS hospital, round(s_acctbal, 2) AS discharge_rate, round(s_suppkey / 100.0, 2) AS isaf, CAST(s_nationkey AS DOUBLE) AS alc_rate, CAST(2.5 + s_nationkey AS DOUBLE) AS addons_per_discharge, CAST(2 AS DOUBLE) AS transfer_addons, CAST(CASE WHEN s_acctbal > 0 THEN 0.07 ELSE 0 END AS DOUBLE) AS hcra_surcharge
+FROM supplier""", "discharge_rate isaf")
+def rate_workbooks(spark, sf_dir):
+    """Suppliers as hospitals of rate publications, a workbook each nation: bands above, notes below, money with marks, blank cells."""
+    s = A.table(spark, sf_dir, "supplier").withColumn("book", F.concat_ws("-", F.lit("rates"), "s_nationkey", F.floor(F.col("s_suppkey") / 500_000)))
+    none = F.lit(None).cast("string")
+    text = lambda c: c.cast("string")
+    values = {"discharge_rate": F.concat(F.lit("$"), F.format_number("s_acctbal", 2)), "isaf": text(F.format_number(F.col("s_suppkey") / 100, 2)), "ambulance_addon": F.lit("0.5"), "minimum_wage_addon": text(F.col("s_nationkey")), "acr_addon": F.lit("2"), "alc_rate": text(F.col("s_nationkey")), "hcra_surcharge": F.when(F.col("s_acctbal") > 0, "0.07")}
+    lines = s.select("book", (F.col("s_suppkey") + 1).cast("long").alias("row"), F.array((F.col("s_suppkey") + 7_000_000).cast("string"), "s_name", *(values.get(n, none) for n in T.RATE_COLUMNS["mmc"])).alias("cells"))
+    ends = [s.select("book", F.lit(place).cast("long").alias("row"), F.array(*map(F.lit, cells)).alias("cells")).distinct() for place, cells in ((-1, ["Rates", "2025"]), (0, ["Certificate", "Hospital"]), (1 << 60, ["Note 1", "of the rates"]))]
+    for end in ends:
+        lines = lines.unionByName(end)
+    written = lake.working_table(sheets.write_workbooks(lines.withColumn("sheet", F.lit("2025_Acute")), lake.working_path(spark, "workbooks")), "workbook_files")
+    rates = loaders.rate_schedules(_cells(spark.read.parquet(written)), "mmc")
+    return rates.select("opcert", "hospital", "discharge_rate", "isaf", "alc_rate", "addons_per_discharge", "transfer_addons", "hcra_surcharge")
+
+
 # places
 
 _FACILITY = "CASE s_suppkey % 8 WHEN 0 THEN 'Danbury Hospital' WHEN 1 THEN 'Mercy Hospital of Buffalo' WHEN 2 THEN 'MERCY HOSPITAL' WHEN 3 THEN 'Ellis' WHEN 4 THEN 'Strong Memorial' WHEN 5 THEN 'Strong Memorial Hospital Annex' WHEN 6 THEN 'Nowhere Clinic' END"
