@@ -11,6 +11,7 @@ from ratesmith.functions import text as X
 from ratesmith.rules import tables as T
 
 from .aggregate import first_rows
+from .resolve import OFTEN, likeness, word_candidates
 
 PREFIX = 12
 
@@ -94,13 +95,13 @@ def _plain(c: Column, left_out: str) -> Column:
     return F.lower(F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"[^\w\s]+", " "), left_out, " "), r"\s+", " ")))
 
 
-def match_locations(locations: DataFrame, known: DataFrame, by_state: bool = False) -> DataFrame:
+def match_locations(locations: DataFrame, known: DataFrame, by_state: bool = False, often: int = OFTEN) -> DataFrame:
     """Of each distinct location name the known facility it is most like: id, score, second (the runner-up's), method, sure.
 
     One facility with exactly this name settles it. Else the score is the Jaccard similarity of the words that tell names apart, ties
     to the lesser id; a name whose every word several facilities have is a system's, and its score counts as a tie. locations: name
     (and state), known: id, name (and state): with by_state only facilities of the location's state are looked at, and a name's
-    words meet only those of its state. Candidates are facilities that share a word.
+    words meet only those of its state. Candidates are facilities that share a word, but words that many have aren't joined on.
     """
     keys = ["name", "state"] if by_state else ["name"]
     a = locations.select(*keys).distinct().withColumns({"_exact": _plain(F.col("name"), T.NAME_ARTICLES), "_words": F.array_distinct(F.filter(F.split(_plain(F.col("name"), T.NAME_NOISE), " "), lambda x: F.length(x) > 1))})
@@ -108,11 +109,11 @@ def match_locations(locations: DataFrame, known: DataFrame, by_state: bool = Fal
     on = keys[1:]
     same = a.withColumn("_k", F.col("_exact")).join(b.withColumn("_k", F.col("_f_exact")), [*on, "_k"])
     exact = same.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("id").alias("id"), F.min("facility").alias("facility")).where("_n = 1").drop("_n")
-    shared = a.withColumn("_t", F.explode("_words")).join(b.withColumn("_t", F.explode("_f_words")), [*on, "_t"])
-    pairs = shared.groupBy(*keys, "id", "facility").agg(F.count("*").alias("_both"), F.first(F.size("_words")).alias("_a"), F.first(F.size("_f_words")).alias("_b"))
-    pairs = pairs.withColumns({"score": F.round(F.col("_both") / (F.col("_a") + F.col("_b") - F.col("_both")), 4), "_super": F.col("_both") == F.col("_a")})
+    rounded = lambda both, n, m: F.round(likeness(both, n, m), 4)
+    pairs = word_candidates(a.select(*keys, F.col("_words").alias("_aw")), b.select(*on, "id", "facility", F.col("_f_words").alias("_bw")), keys, ["id", "facility"], on, rounded, often)
+    pairs = pairs.withColumn("score", rounded(F.col("_both"), F.col("_a"), F.col("_b")))
     order = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "id", "facility")))
-    best = pairs.groupBy(*keys).agg(order.alias("_l"), F.count_if("_super").alias("_supers"))
+    best = pairs.groupBy(*keys).agg(order.alias("_l"), F.max("_supers").alias("_supers"))
     first, next_ = F.element_at("_l", 1), F.coalesce(-F.try_element_at("_l", F.lit(2))["s"], F.lit(0.0))
     best = best.select(*keys, first["id"].alias("_b_id"), first["facility"].alias("_b_facility"), (-first["s"]).alias("_b_score"), F.when(F.col("_supers") > 1, -first["s"]).otherwise(next_).alias("_b_second"), (F.col("_supers") > 1).alias("_vague"))
     rows = a.select(*keys).join(exact, keys, "left").join(best, keys, "left")
