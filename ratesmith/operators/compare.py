@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from ratesmith.functions import numbers as N
 from ratesmith.functions import text as X
 from ratesmith.rules import tables as T
+from ratesmith.sources import lake
+
+from . import sweeps
 
 LEFT = ["system", "facility", "code", "code_type", "carrier", "plan", "setting", "billing_class", "product_class", "rate", "rate_kind", "methodology", "vintage"]
 RIGHT = [c for c in LEFT if c != "facility"]
@@ -66,22 +69,103 @@ def pair_join(left: DataFrame, right: DataFrame, days: int = T.VINTAGE_DAYS) ->
     return _met(left, right, "inner").withColumn("refusal", refusal("l_", "r_", days))
 
 
-def _fingerprint(columns: list[str]) -> dict[str, Column]:
+def pair_verdicts(left: DataFrame, right: DataFrame, by: list[str], days: int = T.VINTAGE_DAYS) -> DataFrame:
+    """How many pairs of pair_join have each verdict, a refusal's name or `comparable`, by columns of the left side: by, verdict, pairs.
+
+    No pair is made: rows of one profile are counted together, and how many payer rates are near enough in time is a sweep's count."""
+    left, right = _written(_asking(left.where(F.col("system").isNotNull())), right)
+    p = _profile_pairs(left.groupBy(*by, *_ASKED, "_p1", "_p2").agg(F.count("*").alias("_rows")), right, [*by, "_rows"])
+    verdicts = p.groupBy(*by, F.coalesce("_reason", F.lit("comparable")).alias("verdict")).agg(F.sum(F.col("_rows") * F.col("r_rows")).alias("pairs"))
+    near = left.where("_b1 IS NOT NULL").groupBy(*by, *_SWEPT).agg(F.count("*").alias("_rows"))
+    near = near.join(_swept(left, right, days, counts=True), _SWEPT).groupBy(*by).agg(F.sum(F.col("_rows") * F.col("n")).alias("_near"))
+    near = near.select(*(F.col(c).alias(f"_by_{c}") for c in by), "_near")
+    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by))
+    close = verdicts.where("verdict = 'comparable'").join(near, same, "left").withColumn("_near", F.coalesce("_near", F.lit(0)))
+    both = F.array(F.struct(F.lit("comparable").alias("verdict"), F.col("_near").alias("pairs")), F.struct(F.lit("vintage_too_far_apart").alias("verdict"), (F.col("pairs") - F.col("_near")).alias("pairs")))
+    return verdicts.where("verdict <> 'comparable'").unionByName(close.select(*by, F.inline(both)).where("pairs > 0"))
+
+
+def _fingerprint(columns: list[str], names: tuple[str, str]) -> dict[str, Column]:
     """Two hashes that tell rows apart, nulls included."""
     nulls = F.array(*(F.col(c).isNull() for c in columns))
-    return {"_h1": F.xxhash64(*columns, nulls), "_h2": F.xxhash64(F.lit(1), *columns, nulls)}
+    return dict(zip(names, (F.xxhash64(*columns, nulls), F.xxhash64(F.lit(1), *columns, nulls)), strict=True))
 
 
-def _question(left: DataFrame) -> DataFrame:
-    """Left rows with what the comparison asks of the payer side, under q_ names, and a fingerprint of it: facility, plan and product
-    don't count, and of the rate only whether it is missing or not over zero."""
-    rate = F.when(F.col("rate").isNull(), None).when(F.col("rate") <= 0, 0.0).otherwise(1.0)
-    asked = {
+def _profile() -> dict[str, Column]:
+    """What of a rate row decides which rows it meets and why they are refused, but for the vintage; of the rate only whether it is
+    missing or not over zero, of the product whether it is exempt."""
+    return {
         "system": F.col("system"), "code": X.code_key(F.col("code")), "code_type": F.col("code_type"), "carrier": X.folded(F.col("carrier")), "setting": X.setting_key(F.col("setting")), "billing_class": X.folded(F.col("billing_class")),
-        "product_class": F.lit(None).cast("string"), "rate": rate, "rate_kind": F.col("rate_kind"), "methodology": F.col("methodology"), "vintage": F.col("vintage"),
+        "product_class": F.when(exempt(F.col("product_class")), T.EXEMPT_PRODUCTS[0]), "rate": F.when(F.col("rate").isNull(), None).when(F.col("rate") <= 0, 0.0).otherwise(1.0), "rate_kind": F.col("rate_kind"), "methodology": F.col("methodology"),
     }
-    named = left.withColumns({f"q_{k}": c for k, c in asked.items()})
-    return named.withColumns(_fingerprint([f"q_{k}" for k in asked]))
+
+
+_ASKED = [f"q_{c}" for c in RIGHT if c not in ("plan", "vintage")]
+#: What a sweep answers: a bucket's fingerprint and a day.
+_SWEPT = ["_b1", "_b2", "_at"]
+#: The day of a payer rate that every question of its bucket sees.
+_ALWAYS = -(2**40)
+
+
+def _usable(prefix: str = "q_") -> Column:
+    """Whether a row of that profile can be compared with another: pairs of such rows are refused for their vintages or families of
+    codes alone, and all other pairs are refused. A kind or methodology that isn't known refuses nothing, as in `refusal`."""
+    c = lambda name: F.col(prefix + name)
+    known = F.coalesce(c("rate_kind") == "dollar", F.lit(True)) & F.coalesce(c("methodology").isin(T.COMPARABLE_METHODOLOGIES), F.lit(True))
+    return known & c("product_class").isNull() & (c("billing_class") != "") & F.coalesce(c("rate") > 0, F.lit(False))
+
+
+def _day() -> Column:
+    return F.datediff("vintage", F.lit("1970-01-01").cast("date")).cast("long")
+
+
+def _asking(left: DataFrame) -> DataFrame:
+    """Left rows with their profile under q_ names, its fingerprint, and the bucket and day that a usable row asks a sweep about."""
+    left = left.withColumns({f"q_{k}": c for k, c in _profile().items()})
+    left = left.withColumns({**_fingerprint(_ASKED, ("_p1", "_p2")), "_family": X.code_family(F.col("q_code_type")), "_undated": F.col("vintage").isNull(), "_at": F.coalesce(_day(), F.lit(0))})
+    bucket = _fingerprint(["q_system", "q_code", "q_carrier", "q_setting", "q_billing_class", "_family", "_undated"], ("_b1", "_b2"))
+    return left.withColumns({k: F.when(_usable(), c) for k, c in bucket.items()})
+
+
+def _written(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides from working tables: each is read several times and may be costly to make."""
+    return tuple(df.sparkSession.read.parquet(lake.working_table(df, name)) for df, name in ((left, "asking"), (right, "asked")))
+
+
+def _profile_pairs(asking: DataFrame, right: DataFrame, more: list[str]) -> DataFrame:
+    """Profiles of both sides that meet, with the number of payer rows (r_rows), whether the classes are one (_like), the reason for a
+    refusal whatever the vintages, and columns of the asking side."""
+    named = lambda rows: rows.withColumns({"plan": F.lit(None).cast("string"), "vintage": F.lit(None).cast("date")})
+    payer = right.select(*(c.alias(k) for k, c in _profile().items())).groupBy(*(c.removeprefix("q_") for c in _ASKED)).agg(F.count("*").alias("rows"))
+    p = _met(named(asking.select(*(F.col(c).alias(c.removeprefix("q_")) for c in _ASKED), *(F.col(c).alias(f"more_{c}") for c in more))), named(payer), "inner")
+    like = F.col("l_billing_class") == F.col("r_billing_class")
+    return p.select(*(F.col(f"l_more_{c}").alias(c) for c in more), "r_rows", like.alias("_like"), refusal("l_", "r_").alias("_reason"))
+
+
+def _swept(left: DataFrame, right: DataFrame, days: int, counts: bool = False) -> DataFrame:
+    """For each bucket and day that usable left rows ask about, the payer rates within `days`: _b1, _b2, _at, n, payer_min, payer_median,
+    payer_max, networks, plan, day and product of the rate nearest to the median; counts: no more than n. Days without any have no row.
+
+    A payer row goes to the buckets that ask for it: its setting, or every one if it is for all, and its family of codes. Rows of a
+    bucket pass a task in the order of days, which holds those of the current days, so work follows the rows and not their pairs."""
+    asked = left.where("_b1 IS NOT NULL").select("q_system", "q_code", "q_carrier", "q_billing_class", "q_setting", "_family", "_undated", *_SWEPT)
+    buckets = asked.drop("_at").distinct()
+    r = right.select(*(c.alias(f"r_{k}") for k, c in _profile().items()), F.col("rate").cast("double").alias("rate"), "plan", _day().alias("day"), F.col("product_class").alias("product")).where(_usable("r_"))
+    r = r.withColumns({"r_family": X.code_family(F.col("r_code_type")), "network": F.when(X.folded(F.col("plan")) != "", F.col("plan"))})
+    meets = reduce(lambda x, y: x & y, (F.col(f"q_{c}") == F.col(f"r_{c}") for c in ("system", "code", "carrier", "billing_class")))
+    meets &= F.col("r_setting").isin(F.lit(""), F.col("q_setting")) & F.coalesce(F.col("r_family") == F.col("_family"), F.lit(True))
+    enters = F.when(F.col("_undated") | F.col("day").isNull(), F.lit(_ALWAYS)).otherwise(F.col("day") - days)
+    entering = r.join(buckets, meets).select("_b1", "_b2", enters.alias("_at"), F.lit(False).alias("asks"), "rate", "plan", "network", "day", "product")
+    null = lambda kind: F.lit(None).cast(kind)
+    asking = asked.select(*_SWEPT).distinct().select(*_SWEPT, F.lit(True).alias("asks"), null("double").alias("rate"), null("string").alias("plan"), null("string").alias("network"), null("long").alias("day"), null("string").alias("product"))
+    rows = entering.unionByName(asking)
+    if counts:
+        w = Window.partitionBy("_b1", "_b2").orderBy("_at", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        lost = entering.where(F.col("_at") != _ALWAYS).select("_b1", "_b2", (F.col("_at") + 2 * days + 1).alias("_at"), F.lit(-1).alias("change"))
+        changes = entering.select("_b1", "_b2", "_at", F.lit(1).alias("change")).unionByName(lost).groupBy(*_SWEPT).agg(F.sum("change").alias("change"))
+        steps = changes.withColumn("asks", F.lit(False)).unionByName(asking.select(*_SWEPT, F.lit(0).cast("long").alias("change"), "asks"))
+        return steps.withColumn("n", F.sum("change").over(w)).where("asks AND n > 0").select(*_SWEPT, "n")
+    return rows.repartition("_b1", "_b2").sortWithinPartitions("_b1", "_b2", "_at", "asks").mapInArrow(sweeps.spreads(days, _ALWAYS), sweeps.SPREAD)
 
 
 def distribution_join(left: DataFrame, right: DataFrame, days: int = T.VINTAGE_DAYS, assumed: Column | None = None) -> DataFrame:
@@ -89,39 +173,34 @@ def distribution_join(left: DataFrame, right: DataFrame, days: int = T.VINTAGE_D
 
     assumed: for which left rows a missing billing class is read as facility. outcome is `compared`, a refusal's name, or no
     counterpart. A compared row has n, payer_min, payer_median, payer_max, networks, and the network and vintage of the rate
-    nearest to the median. Left rows that ask the same of the payer side (code, carrier, setting, class, kind, methodology, vintage)
-    ask once: there are as many pairs as distinct questions have payer rows, however many rates a hospital has under a code. Pairs are
-    shuffled once, by 128 bits that stand for the question; the median is a window over what the group-by needs.
+    nearest to the median. No pairs of rates are made. Why rows are refused is counted by pairs of profiles (all that matters but the
+    vintage), and what is near enough in time comes of a sweep over the days of each bucket (_swept): work follows the rows of both
+    sides, however many rates a code has. A bucket (system, code, carrier, setting, class) is one task's, which holds the payer rates
+    of one question.
     """
     billing = F.when((X.folded(F.col("billing_class")) == "") & (assumed if assumed is not None else F.lit(False)), F.lit("facility")).otherwise(F.col("billing_class"))
     left = left.withColumn("stated_class", F.col("billing_class")).withColumn("billing_class", billing)
-    columns, id_ = left.columns, ["_h1", "_h2"]
-    left = _question(left)
-    asking = left.where(~exempt(F.col("product_class"))).select(*(F.col(c).alias(c.removeprefix("q_")) for c in left.columns if c.startswith("q_")), *id_).distinct()
-    p = _met(asking, right, "inner")
-    like = F.coalesce(X.folded(F.col("l_billing_class")) == X.folded(F.col("r_billing_class")), F.lit(False))
-    p = p.select(F.col("l__h1").alias("_h1"), F.col("l__h2").alias("_h2"), like.alias("_like"), F.when(like, refusal("l_", "r_", days)).alias("_reason"), "r_rate", "r_plan", "r_vintage", "r_product_class")
-    p = p.withColumn("_ok", F.when(F.col("_like") & F.col("_reason").isNull(), F.col("r_rate")))
-    p = p.withColumn("_median", F.median("_ok").over(Window.partitionBy(*id_)))
-    near = F.struct(F.abs(F.col("_ok") - F.col("_median")), F.coalesce("r_plan", F.lit("")), "r_rate", "r_vintage")
-    counted = [F.count_if(F.col("_reason") == reason).alias(f"_n_{i}") for i, reason in enumerate(T.REFUSALS)]
-    met = p.groupBy(*id_).agg(
-        F.count("*").alias("_n_any"), F.count_if("_like").alias("_n_like"), F.count("_ok").alias("n"),
-        F.min("_ok").alias("payer_min"), F.first("_median").alias("payer_median"), F.max("_ok").alias("payer_max"),
-        F.array_sort(F.collect_set(F.when(F.col("_ok").isNotNull() & (X.folded(F.col("r_plan")) != ""), F.col("r_plan")))).alias("networks"),
-        F.min_by(F.when(F.col("_ok").isNotNull(), F.struct("r_plan", "r_vintage", "r_product_class")), F.when(F.col("_ok").isNotNull(), near)).alias("_near"), *counted,
-    )
-    most = F.greatest(*(F.col(f"_n_{i}") for i in range(len(T.REFUSALS))))
-    majority = F.coalesce(*(F.when(F.col(f"_n_{i}") == most, F.lit(reason)) for i, reason in enumerate(T.REFUSALS)))
+    columns = left.columns
+    left, right = _written(_asking(left), right)
+    asking = left.where("q_product_class IS NULL").select(*_ASKED, "_p1", "_p2").distinct()
+    p = _profile_pairs(asking, right, ["_p1", "_p2"])
+    alike = lambda test: F.coalesce(F.sum(F.when(F.col("_like") & test, F.col("r_rows"))), F.lit(0))
+    counted = [alike(F.col("_reason") == reason).alias(f"_n_{reason}") for reason in T.REFUSALS[:-1]]
+    met = p.groupBy("_p1", "_p2").agg(F.sum("r_rows").alias("_n_any"), alike(F.lit(True)).alias("_n_like"), alike(F.col("_reason").isNull()).alias("_n_close"), *counted)
+    out = left.join(met, ["_p1", "_p2"], "left").join(_swept(left, right, days), _SWEPT, "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    out = out.withColumn(f"_n_{T.REFUSALS[-1]}", F.col("_n_close") - F.col("n"))
+    most = F.greatest(*(F.col(f"_n_{reason}") for reason in T.REFUSALS))
+    majority = F.coalesce(*(F.when(F.col(f"_n_{reason}") == most, F.lit(reason)) for reason in T.REFUSALS))
     outcome = F.when(exempt(F.col("product_class")), "tic_exempt_product").when(F.col("_n_any").isNull(), T.NO_COUNTERPART)
     outcome = outcome.when(X.folded(F.col("billing_class")) == "", "billing_class_unstated")
     outcome = outcome.when(F.col("_n_like") == 0, "different_billing_class").when(F.col("n") == 0, majority).otherwise("compared")
-    out = left.join(met, id_, "left").withColumn("outcome", outcome)
+    out = out.withColumn("outcome", outcome)
     done = F.col("outcome") == "compared"
+    kinds = {f.name: f.dataType for f in right.schema}
     return out.select(
         *(F.col(c) for c in columns if c not in ("billing_class", "stated_class")), F.col("stated_class").alias("billing_class"), "outcome",
-        F.when(done, F.col("n")).otherwise(0).alias("n"), *(F.when(done, F.col(c)).alias(c) for c in ("payer_min", "payer_median", "payer_max", "networks")),
-        *(F.when(done, F.col(f"_near.r_{c}")).alias(f"payer_{c}") for c in ("plan", "vintage", "product_class")),
+        F.when(done, F.col("n")).otherwise(0).alias("n"), F.when(done, F.col("payer_min").cast(kinds["rate"])).alias("payer_min"), F.when(done, F.col("payer_median")).alias("payer_median"), F.when(done, F.col("payer_max").cast(kinds["rate"])).alias("payer_max"), F.when(done, F.col("networks")).alias("networks"),
+        F.when(done, F.col("near_plan")).alias("payer_plan"), F.when(done, F.date_add(F.lit("1970-01-01").cast("date"), F.col("near_day").cast("int")).cast(kinds["vintage"])).alias("payer_vintage"), F.when(done, F.col("near_product")).alias("payer_product_class"),
     )
 
 

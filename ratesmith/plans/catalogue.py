@@ -50,8 +50,7 @@ def most_frequent_code(spark, sf_dir):
 
 @register(with_("SELECT system, facility, carrier, coalesce(CASE WHEN l_class <> r_class THEN 'different_billing_class' WHEN product_class = 'medicare_advantage' THEN 'tic_exempt_product' WHEN l_class IS NULL OR r_class IS NULL THEN 'billing_class_unstated' ELSE reason END, 'comparable') AS verdict, count(*) AS pairs FROM p GROUP BY ALL", f"{A.base_sql()}, {A.pairs_sql()}"))
 def verdict_pairs(spark, sf_dir):
-    p = compare.pair_join(A.left(spark, sf_dir), A.right(spark, sf_dir))
-    return p.groupBy(F.col("l_system").alias("system"), F.col("l_facility").alias("facility"), F.col("l_carrier").alias("carrier"), F.coalesce("refusal", F.lit("comparable")).alias("verdict")).agg(F.count("*").alias("pairs"))
+    return compare.pair_verdicts(A.left(spark, sf_dir), A.right(spark, sf_dir), ["system", "facility", "carrier"])
 
 
 _ROW = "system, facility, code, carrier, plan, setting, billing_class, product_class, methodology, vintage, rate"

@@ -104,3 +104,57 @@ def test_questions_differ_where_the_answer_does(spark):
         0: ("compared", 2), 1: ("missing_rate", 0), 2: ("zero_rate", 0), 3: ("compared", 1), 4: ("compared", 2), 5: ("compared", 2), 6: ("billing_class_unstated", 0), 7: ("mixed_rate_kind", 0), 8: ("compared", 2), 9: ("compared", 2),
         10: ("incompatible_methodology", 0), 11: ("vintage_too_far_apart", 0),
     }
+
+
+def test_days_of_one_code_are_swept(spark):
+    """20,000 questions that differ in their day and 20,000 payer rates of one code: pairs would be as many as 400 million."""
+    days = lambda n: F.date_add(F.lit("1950-01-01").cast("date"), F.col("id").cast("int") % n)
+    left = rows(spark, {}).crossJoin(spark.range(20_000)).withColumn("vintage", days(20_000)).drop("id")
+    right = rows(spark, {}).drop("facility").crossJoin(spark.range(20_000)).withColumns({"vintage": days(20_000), "rate": F.col("id") + 1.0, "plan": F.concat(F.lit("p"), F.col("id") % 3)}).drop("id")
+    got = compare.distribution_join(left, right).select(F.datediff("vintage", F.lit("1950-01-01")).alias("d"), "n", "payer_min", "payer_median", "payer_max", "networks", F.datediff("payer_vintage", F.lit("1950-01-01")).alias("p")).collect()
+    assert len(got) == 20_000
+    for r in got:
+        low, high = max(0, r.d - 400), min(19_999, r.d + 400)
+        mid = (low + high) / 2
+        ends = {int(mid)} if mid == int(mid) else {int(mid), int(mid) + 1}
+        near = min(ends, key=lambda d: (f"p{d % 3}", d))
+        assert (r.n, r.payer_min, r.payer_median, r.payer_max, r.networks, r.p) == (high - low + 1, low + 1.0, mid + 1, high + 1.0, ["p0", "p1", "p2"], near)
+    counted = {r.verdict: r.pairs for r in compare.pair_verdicts(left, right, ["system"]).collect()}
+    near = sum(r.n for r in got)
+    assert counted == {"comparable": near, "vintage_too_far_apart": 400_000_000 - near}
+
+
+def test_verdicts_are_counted_as_pairs_have_them(spark):
+    changes = [{}, {}, {"rate": None}, {"rate": 0.0}, {"setting": "both"}, {"setting": "OUTPATIENT "}, {"vintage": None}, {"billing_class": None}, {"billing_class": "professional"}, {"rate_kind": "percentage"}, {"rate_kind": None}, {"plan": "other"}, {"code": " 70450"}, {"methodology": "per_diem"}, {"methodology": None}, {"vintage": dt.date(2024, 1, 1)}, {"product_class": "medicare_advantage"}, {"code_type": "RC"}, {"code_type": None}, {"carrier": None}, {"system": None}]
+    left, right = rows(spark, *changes, {"facility": None}), rows(spark, *changes).drop("facility")
+    pairs = compare.pair_join(left, right).groupBy("l_system", "l_facility", F.coalesce("refusal", F.lit("comparable"))).count().collect()
+    assert sorted(map(tuple, compare.pair_verdicts(left, right, ["system", "facility"]).collect()), key=str) == sorted(map(tuple, pairs), key=str)
+    each = [dict(zip(BASE, r, strict=True)) for r in left.distinct().collect()]
+    for i, r in enumerate(each):
+        r["facility"] = str(i)
+    left = rows(spark, *each)
+    n = {r.l_facility: r.n for r in compare.pair_join(left, right).where("refusal IS NULL AND lower(l_billing_class) = lower(r_billing_class)").groupBy("l_facility").agg(F.count("*").alias("n")).collect()}
+    assert {r.facility: r.n for r in compare.distribution_join(left, right).collect()} == {r["facility"]: n.get(r["facility"], 0) for r in each}
+
+
+def test_window_keeps_order_over_blocks(monkeypatch):
+    import random
+
+    from ratesmith.operators import sweeps
+
+    monkeypatch.setattr(sweeps, "_BLOCK", 7)
+    dice, window, held = random.Random(1), sweeps._Window(), []
+    for _ in range(3000):
+        if held and dice.random() < 0.47:
+            x = held.pop(dice.randrange(len(held)))
+            window.remove(x)
+        else:
+            rate = float(dice.choice([1, 2, 3, dice.random() * 4]))
+            x = (rate, dice.choice(["", "a", "b"]), dice.randint(0, 3), True, "", False, rate)
+            held.append(x)
+            window.add(x)
+        held.sort()
+        assert [y for block in window.blocks for y in block] == held
+        if held:
+            median, low, high = sweeps._median(window)
+            assert sweeps._nearest(window, median, low, high) == min(held, key=lambda y: (abs(y[0] - median), y[1], y[0], y[2:]))
