@@ -119,6 +119,16 @@ def parse_rule(c: Column) -> Column:
     return F.struct(F.array_distinct(F.transform(parts[0]["codes"], lambda x: X.padded_revenue(x))).alias("revenue"), F.array_distinct(parts[1]["codes"]).alias("procedure"), F.array_distinct(parts[2]["codes"]).alias("excluded"), F.concat(*(p["bad"] for p in parts)).alias("bad"))
 
 
+def with_rules(df: DataFrame, cell: str, name: str) -> DataFrame:
+    """df with parse_rule of a cell. A sheet repeats its cells: each distinct one is parsed once, in as many tasks as there are shuffle
+    partitions, however few files the rows come from."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = df.select(F.col(cell).alias("_cell")).where("_cell IS NOT NULL").distinct().repartition(parts, "_cell")
+    rules = cells.select("_cell", parse_rule(F.col("_cell")).alias(name))
+    blank = F.lit(None).cast("string")
+    return df.join(rules, F.col(cell) == F.col("_cell"), "left").drop("_cell").withColumn(name, F.coalesce(name, parse_rule(blank)))
+
+
 def parse_paste(texts: DataFrame, column: str) -> DataFrame:
     """Codes of pasted lines: place, code, rc (of a revenue code pasted before it), raw; the first of equal ones.
 

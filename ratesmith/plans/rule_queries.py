@@ -166,7 +166,7 @@ _CELL = "CASE p_size % 4 WHEN 0 THEN '360-362, 490 with 27130-27132 excluding 27
 @register(f"""SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN '0360,0361,0362,0490' WHEN 1 THEN '0110' WHEN 2 THEN '' ELSE '0450,99281' END AS revenue, CASE p_size % 4 WHEN 0 THEN '27130,27131,27132' WHEN 1 THEN 'G0101,G0102,G0103' ELSE '' END AS "procedure",
   CASE p_size % 4 WHEN 0 THEN '27131' ELSE '' END AS excluded, CASE p_size % 4 WHEN 2 THEN '6320-63621' ELSE '' END AS bad FROM (SELECT p_partkey, p_size, {_CELL} AS cell FROM part)""")
 def service_rules_parsed(spark, sf_dir):
-    rows = A.table(spark, sf_dir, "part").select("p_partkey", plans.parse_rule(F.expr(_CELL)).alias("r"))
+    rows = plans.with_rules(A.table(spark, sf_dir, "part").select("p_partkey", F.expr(_CELL).alias("cell")), "cell", "r")
     return rows.select("p_partkey", *(F.array_join(f"r.{c}", ",").alias(c) for c in ("revenue", "procedure", "excluded", "bad")))
 
 
