@@ -24,6 +24,9 @@ from .lake import working_table
 
 #: Bytes of a document that one task looks at.
 BLOCK = 8 << 20
+#: Bytes that a task reads, of blocks that are smaller: a task each would take longer to begin than to read.
+TASK = 32 << 20
+FEW = 64
 #: Bytes that are read at a time to find the end of a value that goes on behind its block.
 MORE = 1 << 20
 _OPEN, _CLOSE = np.zeros(256, bool), np.zeros(256, bool)
@@ -74,9 +77,9 @@ def _quotes(data: np.ndarray, state: int) -> tuple[np.ndarray, int]:
 
 def _outside(data: np.ndarray, quotes: np.ndarray, state: int) -> np.ndarray:
     """Which bytes are outside strings."""
-    flips = np.zeros(len(data) + 1, np.int8)
+    flips = np.zeros(len(data) + 1, np.uint8)
     flips[quotes] = 1
-    return (np.cumsum(flips[:-1], dtype=np.int32) + (state != OUTSIDE)) % 2 == 0
+    return np.cumsum(flips[:-1], dtype=np.uint8) & 1 == (state != OUTSIDE)  # parity outlives the overflow
 
 
 def _summary(data: np.ndarray, state: int) -> tuple[int, int]:
@@ -84,7 +87,19 @@ def _summary(data: np.ndarray, state: int) -> tuple[int, int]:
     quotes, last = _quotes(data, state)
     out = _outside(data, quotes, state)
     inside = (len(quotes) + (state != OUTSIDE)) % 2
-    return (ESCAPED if last else INSIDE) if inside else OUTSIDE, int((_OPEN[data] & out).sum()) - int((_CLOSE[data] & out).sum())
+    return (ESCAPED if last else INSIDE) if inside else OUTSIDE, np.count_nonzero(_OPEN[data] & out) - np.count_nonzero(_CLOSE[data] & out)
+
+
+def _all_summaries(data: np.ndarray) -> list[tuple[int, int]]:
+    """_summary for each state, in one pass: what is inside strings in one state is outside in the other, and an escape matters only if
+    the first byte is a backslash or a quote."""
+    quotes, last = _quotes(data, OUTSIDE)
+    out, opens, closes = _outside(data, quotes, OUTSIDE), _OPEN[data], _CLOSE[data]
+    depth = np.count_nonzero(opens & out) - np.count_nonzero(closes & out)
+    rest = np.count_nonzero(opens) - np.count_nonzero(closes) - depth
+    within = ESCAPED if last else INSIDE
+    ends = [(within, depth), (OUTSIDE, rest)] if len(quotes) % 2 else [(OUTSIDE, depth), (within, rest)]
+    return [*ends, _summary(data, ESCAPED) if not len(data) or data[0] in (0x22, 0x5C) else ends[1]]
 
 
 def _read(file, low: int, size: int) -> np.ndarray:
@@ -97,7 +112,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
             with opened(row["file"]) as file:
                 data = _read(file, row["low"], row["high"] - row["low"])
-            ends = [_summary(data, s) for s in (OUTSIDE, INSIDE, ESCAPED)]
+            ends = _all_summaries(data)
             yield pa.RecordBatch.from_pylist([row | {"ends": [e for e, _ in ends], "depths": [d for _, d in ends]}], pa.schema([("file", pa.string()), ("size", pa.int64()), ("block", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("ends", pa.list_(pa.int32())), ("depths", pa.list_(pa.int64()))]))
 
 
@@ -230,6 +245,12 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(working_table(df, name))
 
 
+def _tasks(spread: DataFrame, size: int) -> int:
+    """Into how many tasks blocks go: one each up to FEW or as many as shuffles have, then about TASK bytes in each."""
+    n = spread.count()
+    return max(1, min(n, max(FEW, int(spread.sparkSession.conf.get("spark.sql.shuffle.partitions")))), -(-n * size // max(size, TASK)))
+
+
 def json_elements(files: DataFrame, names: list[str] | None = None, about: list[str] = (), block: int | None = None) -> DataFrame:
     """(file, name, place, value, whole, about) of JSON documents (file, size): one row for each element of the arrays that are members
     of a document and have one of the names; value is JSON, place a byte of the file, about maps some other members' names to their
@@ -238,7 +259,7 @@ def json_elements(files: DataFrame, names: list[str] | None = None, about: list[
     A document that is cut off yields what it holds: the value at the cut has whole = false and is no JSON. Empty arrays, empty files
     and documents that aren't objects have no rows. Compressed files can't be read by ranges. The bytes are read three times."""
     spread = blocks(files, block or BLOCK)
-    parts = max(1, spread.count())
+    parts = _tasks(spread, block or BLOCK)
     known = spread.repartition(parts, "file", "block").mapInArrow(_summaries, _CUT).groupBy("file").applyInArrow(_composed, "file string, size long, block long, low long, high long, state int, depth long")
     known = _kept(known, "json_blocks")
     members = _kept(known.repartition(parts, "file", "block").mapInArrow(_members, "file string, place long, name string, array boolean, value string, whole boolean"), "json_members")

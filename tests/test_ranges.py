@@ -100,3 +100,22 @@ def test_rows_with_blank_cells_stay(spark, tmp_path):
     assert by["late.csv"] == [(None, None, None, None, "1", "5")] or by["late.csv"][0][3:] == (None, "1", "5")
     assert by["own.csv"][0][3:] == ("d", "9", None)
     assert {r.file.rsplit("/", 1)[1]: r.skipped for r in files.price_heads(spark, str(tmp_path)).where("skipped IS NOT NULL").collect()} == {"none.csv": "no header"}
+
+
+def test_a_task_reads_many_small_blocks(spark):
+    """Of 10,000 blocks of a kilobyte no task is made for each; large blocks stay a task each beyond the shuffle's partitions."""
+    files = lambda n: spark.createDataFrame([("f", n)], "file string, size long")
+    parts = max(ranges.FEW, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    assert ranges._tasks(ranges.blocks(files(10_000 << 10), 1 << 10), 1 << 10) == parts
+    assert ranges._tasks(ranges.blocks(files(1000 << 20), 1 << 20), 1 << 20) == max(parts, 32)
+    assert ranges._tasks(ranges.blocks(files(3 << 20), 1 << 20), 1 << 20) == min(parts, 3)
+    assert ranges._tasks(ranges.blocks(files(100 * ranges.TASK), ranges.TASK), ranges.TASK) == max(parts, 100)
+
+
+def test_summaries_of_all_states_agree_with_each():
+    dice = random.Random(3)
+    for _ in range(2000):
+        data = np.frombuffer("".join(dice.choice('"\\{}[],a') for _ in range(dice.randrange(0, 12))).encode(), np.uint8)
+        assert ranges._all_summaries(data) == [ranges._summary(data, s) for s in (ranges.OUTSIDE, ranges.INSIDE, ranges.ESCAPED)]
+    data = np.frombuffer(b'"{"' * 1000, np.uint8)
+    assert ranges._all_summaries(data)[1] == (ranges.INSIDE, 1000)
