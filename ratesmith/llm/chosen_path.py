@@ -35,6 +35,8 @@ MINOR = 1024
 AGREE = 33
 #: Rows of nodes, and sets of clusters, that go to one call.
 GROUP_ROWS, CLUSTER_ROWS = 8192, 256
+#: Sets of a cluster over which its pairs are compared by bits, and the flags of one slice of shingles.
+MANY, FLAGS = 32, 1 << 25
 #: Passes over the blocks of nodes that have no coordinates left, before such a node counts as done.
 LAST_PASSES = 3
 
@@ -135,17 +137,18 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _near(percent: int):
     """Of some blocks: the clusters of sets between which links are possible, one row for each member. A cluster's name is made of
-    its members, so that it is the same wherever they meet."""
+    its members, so that it is the same wherever they meet. Sets that are in all blocks meet each other where one is at home."""
 
     def run(_: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         give_back()
         t = t.sort_by([("node", "ascending"), ("block", "ascending"), ("rid", "ascending")])
         node, block, tree, rid, label, n = (t.column(c).to_numpy() for c in ("node", "block", "tree", "rid", "label", "n"))
+        home = np.array(t.column("home").to_pylist(), bool)
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), "<u4").reshape(-1, COORDINATES)
         start = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (block[1:] != block[:-1])])
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i, j in _pairs(start, np.diff(np.r_[start, len(node)])):
-            other = label[i] != label[j]
+            other = (label[i] != label[j]) & (home[i] | home[j])
             i, j, _agree = _may_link(i[other], j[other], n, sig, percent)
             a.append(i)
             b.append(j)
@@ -153,19 +156,43 @@ def _near(percent: int):
         root, member = _roots(len(node), a, b), np.unique(np.r_[a, b])
         name = np.zeros(len(node), np.uint64)
         np.add.at(name, root[member], mix(rid[member].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
-        return pa.table({"cluster": pa.array(mix(name[root[member]]).view(np.int64)), "tree": pa.array(tree[member], pa.int32()), "rid": pa.array(rid[member], pa.int64())})
+        return pa.table({"cluster": pa.array(mix(name[root[member]]).view(np.int64)), "tree": pa.array(tree[member], pa.int32()), "rid": pa.array(rid[member], pa.int64()), "home": pa.array(home[member])})
 
     return run
 
 
+def _common(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Which sets have which shingles, in the order of shingles: those that more than one has, numbered from 0."""
+    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, often = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), count > 1
+    row, token = row[often[token]], (np.cumsum(often) - 1)[token[often[token]]]
+    order = np.argsort(token, kind="stable")
+    return row[order], token[order]
+
+
+def _shared(n_sets: int, row: np.ndarray, token: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many shingles the sets i[0] and j[0], i[1] and j[1], ... share: bits of each set, a slice of shingles at a time."""
+    out, width = np.zeros(len(i), np.int64), max(64, FLAGS // n_sets // 64 * 64)
+    for low in range(0, int(token[-1]) + 1 if len(token) else 0, width):
+        own = slice(*np.searchsorted(token, (low, low + width)))
+        flags = np.zeros((n_sets, min(width, -(-(int(token[-1]) + 1 - low) // 64) * 64)), bool)
+        flags[row[own], token[own] - low] = True
+        bits = np.packbits(flags, axis=1).view(np.uint64)
+        part = max(1, (1 << 18) // bits.shape[1])
+        for x in range(0, len(i), part):
+            out[x : x + part] += np.bitwise_count(bits[i[x : x + part]] & bits[j[x : x + part]]).sum(1, dtype=np.int64)
+    return out
+
+
 def _confirmed(k: int, percent: int, key: bytes):
     """Links (a, b) between the labels of some clusters' sets, by their whole sets; pairs that agree most come first, and a pair that
-    others have linked already isn't compared."""
+    others have linked already isn't compared. Large clusters, most of whose pairs may be just too far apart to be linked, are
+    compared by bits."""
 
     def run(_: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         give_back()
         t = t.sort_by([("cluster", "ascending"), ("rid", "ascending")])
-        cluster, label = t.column("cluster").to_numpy(), t.column("label").to_numpy()
+        cluster, label, home = t.column("cluster").to_numpy(), t.column("label").to_numpy(), np.array(t.column("home").to_pylist(), bool)
         parts = [_shingle_sets(part.column("text").slice(x, y - x), k, key)[:2] for part in t.to_batches() for x, y in text_slices(part)]
         n = np.concatenate([np.diff(edge) for _, edge in parts])
         sets = [fps[x:y] for fps, edge in parts for x, y in itertools.pairwise(edge.tolist())]
@@ -178,16 +205,38 @@ def _confirmed(k: int, percent: int, key: bytes):
                 root[x] = x = root[root[x]]
             return x
 
-        for i, j in _pairs(start, np.diff(np.r_[start, len(cluster)])):
-            i, j, agree = _may_link(i, j, n, sig, percent)
+        def meeting(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            other = (label[i] != label[j]) & (home[i] | home[j])
+            i, j, agree = _may_link(i[other], j[other], n, sig, percent)
             order = np.argsort(-agree, kind="stable")
-            for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
+            return i[order], j[order]
+
+        size = np.diff(np.r_[start, len(cluster)])
+        for i, j in _pairs(start[size <= MANY], size[size <= MANY]):
+            for x, y in zip(*(v.tolist() for v in meeting(i, j)), strict=True):
                 a, b = top(int(label[x])), top(int(label[y]))
                 if a != b:
                     both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
                     if 100 * both >= percent * (n[x] + n[y] - both):
                         root[max(a, b)] = min(a, b)
                         links.append((a, b))
+        for first, many in zip(start[size > MANY].tolist(), size[size > MANY].tolist(), strict=True):
+            i, j = meeting(*(first + v for v in np.triu_indices(many, 1)))
+            row, token = _common(sets[first : first + many])
+            values, at = np.unique([top(x) for x in label[first : first + many].tolist()], return_inverse=True)
+            final, begin, take = np.arange(len(values)), 0, 4 * many
+            while begin < len(i):
+                x, y = i[begin : begin + take], j[begin : begin + take]
+                apart = at[x - first] != at[y - first]
+                x, y = x[apart], y[apart]
+                both = _shared(many, row, token, x - first, y - first)
+                near = 100 * both >= percent * (n[x] + n[y] - both)
+                moved = _roots(len(values), at[x[near] - first], at[y[near] - first])
+                at, final, begin, take = moved[at], moved[final], begin + take, 2 * take
+            for a, b in zip(values[final].tolist(), values.tolist(), strict=True):
+                if a != b:
+                    root[b] = a
+                    links.append((a, b))
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     return run
@@ -226,19 +275,20 @@ class _Join:
         blocks = F.when(F.col("size") > LEAF, blocks).otherwise(F.lit(1)).cast("long")
         one = F.array(F.pmod(F.xxhash64("rid", F.lit(salt)), F.col("blocks")))
         everywhere = (F.col("minor") <= MINOR) & (F.col("label") != F.col("top"))
-        dealt = rows.withColumn("blocks", blocks).withColumn("block", F.explode(F.when(everywhere, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(one)))
+        dealt = rows.withColumn("blocks", blocks).withColumn("own", one[0]).withColumn("block", F.explode(F.when(everywhere, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(one)))
         groups = max(1, rows.count() // GROUP_ROWS)
         full = dealt.join(self.sets.select("rid", "n", "sig"), "rid").withColumn("group", F.pmod(F.xxhash64("node", "block"), F.lit(groups)))
-        near = full.select("group", "node", "block", "tree", "rid", "label", "n", "sig").groupBy("group").applyInArrow(_near(self.percent), "cluster long, tree int, rid long")
-        return saved(near.groupBy("cluster", "rid").agg(F.min("tree").alias("tree")), "paths_clusters")
+        full = full.select("group", "node", "block", "tree", "rid", "label", "n", "sig", (F.col("block") == F.col("own")).alias("home"))
+        near = full.groupBy("group").applyInArrow(_near(self.percent), "cluster long, tree int, rid long, home boolean")
+        return saved(near.groupBy("cluster", "rid").agg(F.min("tree").alias("tree"), F.max("home").alias("home")), "paths_clusters")
 
     def link(self, clusters: DataFrame, texts: DataFrame) -> bool:
         """Compare the sets of clusters that have more than one label, and give what is linked one label. False if nothing was."""
-        rows = self.labelled(clusters.select("cluster", "rid"))
+        rows = self.labelled(clusters.select("cluster", "rid", "home"))
         open_ = rows.groupBy("cluster").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("cluster")
         rows = saved(rows.join(open_, "cluster"), "paths_compared")
         group = F.pmod(F.xxhash64("cluster"), F.lit(max(1, rows.count() // CLUSTER_ROWS))).alias("group")
-        both = rows.join(texts, "rid").select(group, "cluster", "rid", "label", "text")
+        both = rows.join(texts, "rid").select(group, "cluster", "rid", "label", "home", "text")
         links = saved(both.groupBy("group").applyInArrow(_confirmed(self.k, self.percent, self.key), "a long, b long").distinct(), "paths_links")
         forget(rows)
         if linked := not links.isEmpty():

@@ -110,3 +110,27 @@ def test_empty_table_and_low_threshold(spark):
     assert run(spark, []) == []
     with pytest.raises(ValueError):
         run(spark, [], percent=50)
+
+
+def test_large_cluster_without_links_is_compared_by_bits(monkeypatch):
+    """Pairs just under the threshold pass the signatures; each of them was an intersection of its own."""
+    key, rng = b"k" * 16, np.random.default_rng(3)
+    texts = []
+    for i in range(300):
+        w = [f"w{x}" for x in range(200)]
+        for x in rng.choice(196, 6 if i % 3 else 1, replace=False):
+            w[x] = f"o{i}x{x}"
+        texts.append(" ".join(w))
+    fps, edge, _ = chosen_path._shingle_sets(pa.array(texts), 4, key)
+    sets = [set(fps[x:y].tolist()) for x, y in zip(edge[:-1], edge[1:], strict=True)]
+    rid = np.arange(len(texts))
+    for home in (np.ones(len(texts), bool), rid < 40):
+        calls, plain = [], np.intersect1d
+        monkeypatch.setattr(np, "intersect1d", lambda *a, **k: calls.append(1) or plain(*a, **k))  # noqa: B023
+        rows = pa.table({"group": rid * 0, "cluster": rid * 0, "rid": rid, "label": rid, "home": home, "text": texts})
+        got = chosen_path._confirmed(4, 80, key)((), rows)
+        assert len(calls) < len(texts)
+        want = [(i, j) for i in rid for j in rid[i + 1 :] if (home[i] or home[j]) and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+        assert 100 < len(want) < len(texts) ** 2 / 4
+        label = lambda pairs: chosen_path._roots(len(texts), *(np.array(x, np.int64) for x in zip(*pairs, strict=True))).tolist()
+        assert label(zip(got["a"].to_pylist(), got["b"].to_pylist(), strict=True)) == label(want)
