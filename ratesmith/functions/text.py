@@ -53,9 +53,13 @@ def decoded(c: Column) -> Column:
     return F.when(c.contains("&"), F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), ""))).otherwise(c)
 
 
+#: What has Unicode's property White_Space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def stripped(c: Column) -> Column:
     """Without white space of any script at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -132,7 +136,7 @@ def padded_revenue(c: Column) -> Column:
 
 
 def code_family(c: Column) -> Column:
-    key = F.regexp_replace(code_key(c), "_", "-")
+    key = F.replace(code_key(c), F.lit("_"), F.lit("-"))
     return F.coalesce(*(F.when(key.isin(types), F.lit(family)) for family, types in T.CODE_FAMILIES.items()))
 
 

@@ -257,7 +257,9 @@ def reclassify(rows: DataFrame, offsets: DataFrame, contract: list[str] = CONTRA
 
 def with_offsets(explained: DataFrame) -> DataFrame:
     """Outcomes with offsets applied: offsets come of all compared rows, whatever accounts for them, and account for those that nothing
-    else does, material or not. explanation_before is the account without them; contract_offset is the contract's."""
+    else does, material or not. explanation_before is the account without them; contract_offset is the contract's. The rows are read
+    twice, so they go to a working table first: else the whole comparison would run twice."""
+    explained = explained.sparkSession.read.parquet(lake.working_table(explained, "explained"))
     offsets = systematic_offsets(explained.where("outcome = 'compared'"))
     out = reclassify(explained.withColumn("explanation_before", F.col("explanation")), offsets, keep="contract_offset")
     return out.withColumn("contract_offset", F.when(F.col("outcome") == "compared", F.col("contract_offset")))

@@ -1,10 +1,12 @@
 """The comparison's cases on hand-built rows."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from ratesmith.functions import text as X
 from ratesmith.operators import aggregate, compare, triage
 
 SCHEMA = "system int, facility string, code string, code_type string, carrier string, plan string, setting string, billing_class string, product_class string, rate double, rate_kind string, methodology string, vintage date"
@@ -158,3 +160,31 @@ def test_window_keeps_order_over_blocks(monkeypatch):
         if held:
             median, low, high = sweeps._median(window)
             assert sweeps._nearest(window, median, low, high) == min(held, key=lambda y: (abs(y[0] - median), y[1], y[0], y[2:]))
+
+
+def test_offsets_read_the_comparison_from_one_table(spark):
+    """The comparison stood twice in the plan of the outcomes, and ran twice."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    row = ("f", "c", "p", "l", "x", 1.2, "compared", "unexplained")
+    df = spark.createDataFrame([row] * 3, "facility string, carrier string, plan string, payer_label string, code string, ratio double, outcome string, explanation string")
+    counted = F.udf(count, "string").asNondeterministic()
+    got = compare.with_offsets(df.withColumn("code", counted("code"))).collect()
+    assert len(got) == 3 and seen.value == 3
+
+
+def test_medians_sort_and_trimming_needs_no_regular_expression(spark):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    df = spark.createDataFrame([("a", 1.0), ("a", 4.0), ("a", None), ("b", None), (None, 3.0), (None, 1.0), (None, 2.0)], "k string, rate double")
+    medians = aggregate.median_by_key(df, ["k"])
+    assert {(r.k, r.rate, r.n) for r in medians.collect()} == {("a", 2.5, 2), ("b", None, 0), (None, 2.0, 3)}
+    assert "ObjectHashAggregate" not in plan(medians)
+    spaces = [chr(c) for c in range(0x3001) if re.fullmatch(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]", chr(c))]
+    texts = [s + "a" + s + "b" + s * 2 for s in [*spaces, "", "\u200b", "\x1c"]] + spaces + [" ".join(spaces), "", "x\r\n", "\n\u3000é ü\u3000\n"]
+    both = spark.createDataFrame([(t,) for t in texts], "t string").select(X.stripped(F.col("t")).alias("a"), F.regexp_replace("t", r"(?U)^\s+|\s+$", "").alias("b"))
+    assert all(r.a == r.b for r in both.collect())
+    assert "regexp" not in plan(df.select(X.folded(F.col("k"))))
