@@ -160,7 +160,11 @@ def network_tokens(c: Column) -> Column:
 
 def plan_verdict(plan: Column, network: Column) -> Column:
     """match, aggregate (the plan covers several networks), no_match, or unknown (a side names none)."""
-    mine, theirs = network_tokens(plan), network_tokens(network)
+    return tokens_verdict(network_tokens(plan), network_tokens(network))
+
+
+def tokens_verdict(mine: Column, theirs: Column) -> Column:
+    """plan_verdict of both sides' tokens."""
     same = F.arrays_overlap(mine, theirs) | ((mine == F.array(F.lit("openaccess"))) & F.array_contains(theirs, "oap"))
     return F.when((F.size(mine) == 0) | (F.size(theirs) == 0), "unknown").when(F.size(mine) > 1, "aggregate").when(same, "match").otherwise("no_match")
 

@@ -12,16 +12,20 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 def median_by_key(df: DataFrame, keys: list[str], value: str = "rate", **more: Column) -> DataFrame:
     """The exact median of the values that aren't null, and their number; null keys are keys.
 
-    Rows of a key are sorted, which spills: most keys have few rows, for which the state of a median is larger than they are."""
-    w, n = Window.partitionBy(*keys), F.col("_n")
-    rows = df.withColumns({"_i": F.row_number().over(w.orderBy(F.asc_nulls_last(value))), "_n": F.count(value).over(w)})
-    at = lambda place: F.max(F.when(F.col("_i") == place, F.col(value).cast("double")))
-    middle = at(F.greatest(F.floor((n + 1) / 2), F.lit(1))) * 0.5 + at(F.floor(n / 2) + 1) * 0.5
-    return rows.groupBy(*keys).agg(middle.alias(value), F.max(n).alias("n"), *(c.alias(k) for k, c in more.items()))
+    Rows of a key are sorted, which spills: most keys have few rows, for which the state of a median is larger than they are. A hash
+    of the keys stands before them, so that rows are told apart by one number. Nulls come first, the row below the middle stays."""
+    w = Window.partitionBy("_h", *keys)
+    ordered, n = w.orderBy(value), F.col("_n")
+    rows = df if "_h" in df.columns else df.withColumn("_h", F.xxhash64(*keys))
+    rows = rows.withColumns({"_i": F.row_number().over(ordered), "_next": F.lead(value).over(ordered), "_n": F.count(value).over(w), "_all": F.count("*").over(w), **{k: c.over(w) for k, c in more.items()}})
+    low = F.col(value).cast("double")
+    high = F.when(n % 2 == 0, F.col("_next").cast("double")).otherwise(low)
+    return rows.where(F.col("_i") == F.col("_all") - n + F.floor((n + 1) / 2)).select(*keys, (low * 0.5 + high * 0.5).alias(value), n.alias("n"), *more)
 
 
 def distinct_then_median(df: DataFrame, columns: list[str], keys: list[str], value: str = "rate") -> DataFrame:
-    return median_by_key(df.select(*columns).distinct(), keys, value)
+    """Rows go to the task of their keys' hash first, so that both steps need one shuffle."""
+    return median_by_key(df.select(*columns).withColumn("_h", F.xxhash64(*keys)).repartition("_h").distinct(), keys, value)
 
 
 def median_row(df: DataFrame, keys: list[str], order: list[Column], upper: bool) -> DataFrame:

@@ -72,12 +72,13 @@ def pair_join(left: DataFrame, right: DataFrame, days: int = T.VINTAGE_DAYS) ->
 def pair_verdicts(left: DataFrame, right: DataFrame, by: list[str], days: int = T.VINTAGE_DAYS) -> DataFrame:
     """How many pairs of pair_join have each verdict, a refusal's name or `comparable`, by columns of the left side: by, verdict, pairs.
 
-    No pair is made: rows of one profile are counted together, and how many payer rates are near enough in time is a sweep's count."""
-    left, right = _written(_asking(left.where(F.col("system").isNotNull())), right)
-    p = _profile_pairs(left.groupBy(*by, *_ASKED, "_p1", "_p2").agg(F.count("*").alias("_rows")), right, [*by, "_rows"])
-    verdicts = p.groupBy(*by, F.coalesce("_reason", F.lit("comparable")).alias("verdict")).agg(F.sum(F.col("_rows") * F.col("r_rows")).alias("pairs"))
-    near = left.where("_b1 IS NOT NULL").groupBy(*by, *_SWEPT).agg(F.count("*").alias("_rows"))
-    near = near.join(_swept(left, right, days, counts=True), _SWEPT).groupBy(*by).agg(F.sum(F.col("_rows") * F.col("n")).alias("_near"))
+    No pair is made: rows of one spelling are counted together, and how many payer rates are near enough in time is a sweep's count."""
+    left, right, kinds, payer = _written(left.where(F.col("system").isNotNull()), right)
+    each = _profile_pairs(kinds, payer).groupBy(*_SPELLING, F.coalesce("_reason", F.lit("comparable")).alias("verdict")).agg(F.sum("r_rows").alias("_pairs"))
+    rows = left.groupBy(*by, *_SPELLING).agg(F.count("*").alias("_rows"))
+    verdicts = rows.join(each, _SPELLING).groupBy(*by, "verdict").agg(F.sum(F.col("_rows") * F.col("_pairs")).alias("pairs"))
+    near = left.groupBy(*by, *_SWEPT).agg(F.count("*").alias("_rows"))
+    near = near.join(_swept(left, right, kinds, payer, days, counts=True), _SWEPT).groupBy(*by).agg(F.sum(F.col("_rows") * F.col("n")).alias("_near"))
     near = near.select(*(F.col(c).alias(f"_by_{c}") for c in by), "_near")
     same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by))
     close = verdicts.where("verdict = 'comparable'").join(near, same, "left").withColumn("_near", F.coalesce("_near", F.lit(0)))
@@ -85,12 +86,18 @@ def pair_verdicts(left: DataFrame, right: DataFrame, by: list[str], days: int =
     return verdicts.where("verdict <> 'comparable'").unionByName(close.select(*by, F.inline(both)).where("pairs > 0"))
 
 
-def _fingerprint(columns: list[str], names: tuple[str, str]) -> dict[str, Column]:
+def _fingerprint(columns: list[Column], names: list[str]) -> dict[str, Column]:
     """Two hashes that tell rows apart, nulls included."""
-    nulls = F.array(*(F.col(c).isNull() for c in columns))
+    nulls = F.array(*(c.isNull() for c in columns))
     return dict(zip(names, (F.xxhash64(*columns, nulls), F.xxhash64(F.lit(1), *columns, nulls)), strict=True))
 
 
+def _spelt() -> dict[str, Column]:
+    """What a row's profile is made of, as it is spelt. Rows have few spellings: what takes functions of texts is found for these."""
+    rate = F.when(F.col("rate").isNull(), None).when(F.col("rate") <= 0, 0.0).otherwise(1.0)
+    return {c: F.col(c) for c in RIGHT if c not in ("plan", "vintage")} | {"product_class": F.when(exempt(F.col("product_class")), T.EXEMPT_PRODUCTS[0]), "rate": rate, "_undated": F.col("vintage").isNull()}
+
+
 def _profile() -> dict[str, Column]:
     """What of a rate row decides which rows it meets and why they are refused, but for the vintage; of the rate only whether it is
     missing or not over zero, of the product whether it is exempt."""
@@ -101,8 +108,11 @@ def _profile() -> dict[str, Column]:
 
 
 _ASKED = [f"q_{c}" for c in RIGHT if c not in ("plan", "vintage")]
-#: What a sweep answers: a bucket's fingerprint and a day.
-_SWEPT = ["_b1", "_b2", "_at"]
+#: A spelling's fingerprint, and what a sweep answers: a spelling's day.
+_SPELLING = ["_s1", "_s2"]
+_SWEPT = [*_SPELLING, "_at"]
+#: A bucket's fingerprint.
+_BUCKET = ["_b1", "_b2"]
 #: The day of a payer rate that every question of its bucket sees.
 _ALWAYS = -(2**40)
 
@@ -119,53 +129,76 @@ def _day() -> Column:
     return F.datediff("vintage", F.lit("1970-01-01").cast("date")).cast("long")
 
 
-def _asking(left: DataFrame) -> DataFrame:
-    """Left rows with their profile under q_ names, its fingerprint, and the bucket and day that a usable row asks a sweep about."""
-    left = left.withColumns({f"q_{k}": c for k, c in _profile().items()})
-    left = left.withColumns({**_fingerprint(_ASKED, ("_p1", "_p2")), "_family": X.code_family(F.col("q_code_type")), "_undated": F.col("vintage").isNull(), "_at": F.coalesce(_day(), F.lit(0))})
-    bucket = _fingerprint(["q_system", "q_code", "q_carrier", "q_setting", "q_billing_class", "_family", "_undated"], ("_b1", "_b2"))
-    return left.withColumns({k: F.when(_usable(), c) for k, c in bucket.items()})
+def _kinds(rows: DataFrame) -> DataFrame:
+    """The spellings of rows with their profile under q_ names, the number of rows, and the bucket that a usable one asks."""
+    spelt = rows.groupBy(*_SPELLING, *(c.alias(k) for k, c in _spelt().items())).agg(F.count("*").alias("_rows"))
+    kinds = spelt.select(*_SPELLING, "_rows", "_undated", *(c.alias(f"q_{k}") for k, c in _profile().items())).withColumn("_family", X.code_family(F.col("q_code_type")))
+    bucket = _fingerprint([F.col(c) for c in ("q_system", "q_code", "q_carrier", "q_setting", "q_billing_class", "_family", "_undated")], _BUCKET)
+    return kinds.withColumns({k: F.when(_usable(), c) for k, c in bucket.items()})
+
+
+def _table(df: DataFrame, name: str) -> DataFrame:
+    return df.sparkSession.read.parquet(lake.working_table(df, name))
 
 
-def _written(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides from working tables: each is read several times and may be costly to make."""
-    return tuple(df.sparkSession.read.parquet(lake.working_table(df, name)) for df, name in ((left, "asking"), (right, "asked")))
+def _written(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Both sides with their spellings' fingerprints and days, and the kinds of both, from working tables: each is read several times and
+    may be costly to make."""
+    marks = {**_fingerprint(list(_spelt().values()), _SPELLING), "_at": F.coalesce(_day(), F.lit(0))}
+    left, right = _table(left.withColumns(marks), "asking"), _table(right.withColumns(marks), "asked")
+    return left, right, _table(_kinds(left), "kinds"), _table(_kinds(right), "payer_kinds")
 
 
-def _profile_pairs(asking: DataFrame, right: DataFrame, more: list[str]) -> DataFrame:
-    """Profiles of both sides that meet, with the number of payer rows (r_rows), whether the classes are one (_like), the reason for a
-    refusal whatever the vintages, and columns of the asking side."""
+def _profile_pairs(kinds: DataFrame, payer: DataFrame) -> DataFrame:
+    """Spellings of the left side and profiles of the payer's that meet, with the number of payer rows (r_rows), whether the classes are
+    one (_like) and the reason for a refusal whatever the vintages."""
     named = lambda rows: rows.withColumns({"plan": F.lit(None).cast("string"), "vintage": F.lit(None).cast("date")})
-    payer = right.select(*(c.alias(k) for k, c in _profile().items())).groupBy(*(c.removeprefix("q_") for c in _ASKED)).agg(F.count("*").alias("rows"))
-    p = _met(named(asking.select(*(F.col(c).alias(c.removeprefix("q_")) for c in _ASKED), *(F.col(c).alias(f"more_{c}") for c in more))), named(payer), "inner")
+    plain = [F.col(c).alias(c.removeprefix("q_")) for c in _ASKED]
+    p = _met(named(kinds.select(*_SPELLING, *plain)), named(payer.groupBy(*plain).agg(F.sum("_rows").alias("rows"))), "inner")
     like = F.col("l_billing_class") == F.col("r_billing_class")
-    return p.select(*(F.col(f"l_more_{c}").alias(c) for c in more), "r_rows", like.alias("_like"), refusal("l_", "r_").alias("_reason"))
+    return p.select(*(F.col(f"l_{c}").alias(c) for c in _SPELLING), "r_rows", like.alias("_like"), refusal("l_", "r_").alias("_reason"))
 
 
-def _swept(left: DataFrame, right: DataFrame, days: int, counts: bool = False) -> DataFrame:
-    """For each bucket and day that usable left rows ask about, the payer rates within `days`: _b1, _b2, _at, n, payer_min, payer_median,
+def _swept(left: DataFrame, right: DataFrame, kinds: DataFrame, payer: DataFrame, days: int, counts: bool = False) -> DataFrame:
+    """For each spelling and day that usable left rows ask about, the payer rates within `days`: _s1, _s2, _at, n, payer_min, payer_median,
     payer_max, networks, plan, day and product of the rate nearest to the median; counts: no more than n. Days without any have no row.
 
-    A payer row goes to the buckets that ask for it: its setting, or every one if it is for all, and its family of codes. Rows of a
-    bucket pass a task in the order of days, which holds those of the current days, so work follows the rows and not their pairs."""
-    asked = left.where("_b1 IS NOT NULL").select("q_system", "q_code", "q_carrier", "q_billing_class", "q_setting", "_family", "_undated", *_SWEPT)
-    buckets = asked.drop("_at").distinct()
-    r = right.select(*(c.alias(f"r_{k}") for k, c in _profile().items()), F.col("rate").cast("double").alias("rate"), "plan", _day().alias("day"), F.col("product_class").alias("product")).where(_usable("r_"))
-    r = r.withColumns({"r_family": X.code_family(F.col("r_code_type")), "network": F.when(X.folded(F.col("plan")) != "", F.col("plan"))})
+    A payer row goes to the buckets that ask for it: its setting, or every one if it is for all, and its family of codes. Which these are
+    is found for spellings, not for rows. Rows of a bucket pass a task in the order of days, which holds those of the current days, so
+    work follows the rows and not their pairs."""
+    usable = kinds.where("_b1 IS NOT NULL")
+    buckets = usable.select("q_system", "q_code", "q_carrier", "q_billing_class", "q_setting", "_family", "_undated", *_BUCKET).distinct()
+    r = payer.select(*_SPELLING, *(F.col(c).alias(c.replace("q_", "r_")) for c in _ASKED), F.col("_family").alias("r_family")).where(_usable("r_"))
     meets = reduce(lambda x, y: x & y, (F.col(f"q_{c}") == F.col(f"r_{c}") for c in ("system", "code", "carrier", "billing_class")))
     meets &= F.col("r_setting").isin(F.lit(""), F.col("q_setting")) & F.coalesce(F.col("r_family") == F.col("_family"), F.lit(True))
-    enters = F.when(F.col("_undated") | F.col("day").isNull(), F.lit(_ALWAYS)).otherwise(F.col("day") - days)
-    entering = r.join(buckets, meets).select("_b1", "_b2", enters.alias("_at"), F.lit(False).alias("asks"), "rate", "plan", "network", "day", "product")
+    goes = r.join(buckets, meets).select(*_SPELLING, *_BUCKET, "_undated")
+    enters = F.when(F.col("_undated") | F.col("vintage").isNull(), F.lit(_ALWAYS)).otherwise(F.col("_at") - days)
     null = lambda kind: F.lit(None).cast(kind)
-    asking = asked.select(*_SWEPT).distinct().select(*_SWEPT, F.lit(True).alias("asks"), null("double").alias("rate"), null("string").alias("plan"), null("string").alias("network"), null("long").alias("day"), null("string").alias("product"))
-    rows = entering.unionByName(asking)
+    entering = right.join(goes, _SPELLING).select(*_BUCKET, enters.alias("_at"), F.lit(False).alias("asks"), *(null("long").alias(c) for c in _SPELLING), F.col("rate").cast("double").alias("rate"), "plan", _day().alias("day"), F.col("product_class").alias("product"))
+    asking = left.select(*_SWEPT).distinct().join(usable.select(*_SPELLING, *_BUCKET), _SPELLING)
+    asking = asking.select(*_BUCKET, "_at", F.lit(True).alias("asks"), *_SPELLING, null("double").alias("rate"), null("string").alias("plan"), null("long").alias("day"), null("string").alias("product"))
     if counts:
-        w = Window.partitionBy("_b1", "_b2").orderBy("_at", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        lost = entering.where(F.col("_at") != _ALWAYS).select("_b1", "_b2", (F.col("_at") + 2 * days + 1).alias("_at"), F.lit(-1).alias("change"))
-        changes = entering.select("_b1", "_b2", "_at", F.lit(1).alias("change")).unionByName(lost).groupBy(*_SWEPT).agg(F.sum("change").alias("change"))
-        steps = changes.withColumn("asks", F.lit(False)).unionByName(asking.select(*_SWEPT, F.lit(0).cast("long").alias("change"), "asks"))
+        w = Window.partitionBy(*_BUCKET).orderBy("_at", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        lost = entering.where(F.col("_at") != _ALWAYS).select(*_BUCKET, (F.col("_at") + 2 * days + 1).alias("_at"), F.lit(-1).alias("change"))
+        changes = entering.select(*_BUCKET, "_at", F.lit(1).alias("change")).unionByName(lost).groupBy(*_BUCKET, "_at").agg(F.sum("change").alias("change"))
+        steps = changes.withColumns({"asks": F.lit(False), **{c: null("long") for c in _SPELLING}}).unionByName(asking.select(*_BUCKET, "_at", F.lit(0).cast("long").alias("change"), "asks", *_SPELLING))
         return steps.withColumn("n", F.sum("change").over(w)).where("asks AND n > 0").select(*_SWEPT, "n")
-    return rows.repartition("_b1", "_b2").sortWithinPartitions("_b1", "_b2", "_at", "asks").mapInArrow(sweeps.spreads(days, _ALWAYS), sweeps.SPREAD)
+    rows = entering.unionByName(asking)
+    return rows.repartition(*_BUCKET).sortWithinPartitions(*_BUCKET, "_at", "asks").mapInArrow(sweeps.spreads(days, _ALWAYS), sweeps.SPREAD)
+
+
+def _refused(kinds: DataFrame, payer: DataFrame) -> DataFrame:
+    """What becomes of a spelling's rows that have no rate near enough in time: _s1, _s2, refused. A table: it is small, and its size is
+    known before the rows are joined."""
+    p = _profile_pairs(kinds.where("q_product_class IS NULL"), payer)
+    alike = lambda test: F.coalesce(F.sum(F.when(F.col("_like") & test, F.col("r_rows"))), F.lit(0))
+    tests = {reason: F.col("_reason") == reason for reason in T.REFUSALS[:-1]} | {T.REFUSALS[-1]: F.col("_reason").isNull()}
+    met = p.groupBy(*_SPELLING).agg(F.sum("r_rows").alias("_n_any"), alike(F.lit(True)).alias("_n_like"), *(alike(test).alias(f"_n_{reason}") for reason, test in tests.items()))
+    most = F.greatest(*(F.col(f"_n_{reason}") for reason in T.REFUSALS))
+    majority = F.coalesce(*(F.when(F.col(f"_n_{reason}") == most, F.lit(reason)) for reason in T.REFUSALS))
+    refused = F.when(F.col("q_product_class").isNotNull(), "tic_exempt_product").when(F.col("_n_any").isNull(), T.NO_COUNTERPART)
+    refused = refused.when(F.col("q_billing_class") == "", "billing_class_unstated").when(F.col("_n_like") == 0, "different_billing_class").otherwise(majority)
+    return _table(kinds.join(met, _SPELLING, "left").select(*_SPELLING, refused.alias("refused")), "refused")
 
 
 def distribution_join(left: DataFrame, right: DataFrame, days: int = T.VINTAGE_DAYS, assumed: Column | None = None) -> DataFrame:
@@ -173,34 +206,22 @@ def distribution_join(left: DataFrame, right: DataFrame, days: int = T.VINTAGE_D
 
     assumed: for which left rows a missing billing class is read as facility. outcome is `compared`, a refusal's name, or no
     counterpart. A compared row has n, payer_min, payer_median, payer_max, networks, and the network and vintage of the rate
-    nearest to the median. No pairs of rates are made. Why rows are refused is counted by pairs of profiles (all that matters but the
-    vintage), and what is near enough in time comes of a sweep over the days of each bucket (_swept): work follows the rows of both
-    sides, however many rates a code has. A bucket (system, code, carrier, setting, class) is one task's, which holds the payer rates
-    of one question.
+    nearest to the median. No pairs of rates are made. Why rows are refused is counted by pairs of spellings and profiles (all that
+    matters but the vintage), and what is near enough in time comes of a sweep over the days of each bucket (_swept): work follows the
+    rows of both sides, however many rates a code has. A bucket (system, code, carrier, setting, class) is one task's, which holds the
+    payer rates of one question. A row with rates near enough is compared; any other has what its spelling has.
     """
-    billing = F.when((X.folded(F.col("billing_class")) == "") & (assumed if assumed is not None else F.lit(False)), F.lit("facility")).otherwise(F.col("billing_class"))
+    billing = F.when((X.folded(F.col("billing_class")) == "") & assumed, F.lit("facility")).otherwise(F.col("billing_class")) if assumed is not None else F.col("billing_class")
     left = left.withColumn("stated_class", F.col("billing_class")).withColumn("billing_class", billing)
     columns = left.columns
-    left, right = _written(_asking(left), right)
-    asking = left.where("q_product_class IS NULL").select(*_ASKED, "_p1", "_p2").distinct()
-    p = _profile_pairs(asking, right, ["_p1", "_p2"])
-    alike = lambda test: F.coalesce(F.sum(F.when(F.col("_like") & test, F.col("r_rows"))), F.lit(0))
-    counted = [alike(F.col("_reason") == reason).alias(f"_n_{reason}") for reason in T.REFUSALS[:-1]]
-    met = p.groupBy("_p1", "_p2").agg(F.sum("r_rows").alias("_n_any"), alike(F.lit(True)).alias("_n_like"), alike(F.col("_reason").isNull()).alias("_n_close"), *counted)
-    out = left.join(met, ["_p1", "_p2"], "left").join(_swept(left, right, days), _SWEPT, "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
-    out = out.withColumn(f"_n_{T.REFUSALS[-1]}", F.col("_n_close") - F.col("n"))
-    most = F.greatest(*(F.col(f"_n_{reason}") for reason in T.REFUSALS))
-    majority = F.coalesce(*(F.when(F.col(f"_n_{reason}") == most, F.lit(reason)) for reason in T.REFUSALS))
-    outcome = F.when(exempt(F.col("product_class")), "tic_exempt_product").when(F.col("_n_any").isNull(), T.NO_COUNTERPART)
-    outcome = outcome.when(X.folded(F.col("billing_class")) == "", "billing_class_unstated")
-    outcome = outcome.when(F.col("_n_like") == 0, "different_billing_class").when(F.col("n") == 0, majority).otherwise("compared")
-    out = out.withColumn("outcome", outcome)
-    done = F.col("outcome") == "compared"
+    left, right, kinds, payer = _written(left, right)
+    out = left.join(_swept(left, right, kinds, payer, days), _SWEPT, "left").join(_refused(kinds, payer), _SPELLING, "left")
+    done = F.col("n").isNotNull()
     kinds = {f.name: f.dataType for f in right.schema}
     return out.select(
-        *(F.col(c) for c in columns if c not in ("billing_class", "stated_class")), F.col("stated_class").alias("billing_class"), "outcome",
-        F.when(done, F.col("n")).otherwise(0).alias("n"), F.when(done, F.col("payer_min").cast(kinds["rate"])).alias("payer_min"), F.when(done, F.col("payer_median")).alias("payer_median"), F.when(done, F.col("payer_max").cast(kinds["rate"])).alias("payer_max"), F.when(done, F.col("networks")).alias("networks"),
-        F.when(done, F.col("near_plan")).alias("payer_plan"), F.when(done, F.date_add(F.lit("1970-01-01").cast("date"), F.col("near_day").cast("int")).cast(kinds["vintage"])).alias("payer_vintage"), F.when(done, F.col("near_product")).alias("payer_product_class"),
+        *(F.col(c) for c in columns if c not in ("billing_class", "stated_class")), F.col("stated_class").alias("billing_class"), F.when(done, "compared").otherwise(F.col("refused")).alias("outcome"),
+        F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.col("payer_min").cast(kinds["rate"]).alias("payer_min"), "payer_median", F.col("payer_max").cast(kinds["rate"]).alias("payer_max"), "networks",
+        F.col("near_plan").alias("payer_plan"), F.date_add(F.lit("1970-01-01").cast("date"), F.col("near_day").cast("int")).cast(kinds["vintage"]).alias("payer_vintage"), F.col("near_product").alias("payer_product_class"),
     )
 
 
@@ -208,14 +229,23 @@ def explain(compared: DataFrame) -> DataFrame:
     """Columns ratio, relative_difference, is_material, inside, payer_label and explanation for compared rows of distribution_join.
 
     The first account that holds: too far apart to be one service, an aggregate plan, inside the payer's range, drift over the
-    days between the vintages, plans that don't match; else unexplained."""
+    days between the vintages, plans that don't match; else unexplained. What plans and networks have to do with each other is found
+    once for all rows that have the same ones, so the comparison goes to a working table."""
+    marks = _fingerprint([F.col("plan"), F.size("networks"), F.col("networks"), F.col("payer_plan")], ["_v1", "_v2"])
+    columns = compared.columns
+    compared = _table(compared.withColumns(marks), "compared")
     a, b = F.col("rate"), F.col("payer_median")
     aggregate = lambda c: F.coalesce(F.col(c).isin(T.AGGREGATE_PRODUCTS), F.lit(False))
     inside = F.coalesce(a.between(F.col("payer_min"), F.col("payer_max")), F.lit(False))
-    verdicts = F.transform("networks", lambda x: X.plan_verdict(F.col("plan"), x))
+    mine = X.network_tokens(F.col("plan"))
+    verdicts = F.transform("networks", lambda x: X.tokens_verdict(F.col("_mine"), X.network_tokens(x)))
     many, stated = F.size("networks") > 1, X.folded(F.col("plan")) != ""
     verdict = F.when(many, F.when(F.array_contains(verdicts, "match"), "match").when(F.array_contains(verdicts, "aggregate"), "aggregate").otherwise("no_match"))
     verdict = F.when(many & stated, verdict).when(~many & X.differs(F.col("plan"), F.col("payer_plan")), X.plan_verdict(F.col("plan"), F.col("payer_plan"))).otherwise("match")
+    label = F.when(many, F.array_join("networks", " + ")).otherwise(F.coalesce("payer_plan", F.lit("")))
+    named = compared.select("_v1", "_v2", "plan", "networks", "payer_plan").distinct().withColumn("_mine", mine)
+    named = _table(named.select("_v1", "_v2", verdict.alias("_verdict"), label.alias("payer_label")), "verdicts")
+    verdict = F.col("_verdict")
     explanation = (
         F.when(N.implausible(a, b), "entity_resolution_suspect")
         .when((aggregate("product_class") | aggregate("payer_product_class")) & ~F.col("product_class").eqNullSafe(F.col("payer_product_class")), "granularity_mismatch")
@@ -225,10 +255,10 @@ def explain(compared: DataFrame) -> DataFrame:
         .when(verdict != "match", "plan_unresolved")
         .otherwise("unexplained")
     )
-    return compared.withColumns({
+    return compared.join(named, ["_v1", "_v2"], "left").withColumns({
         "ratio": N.ratio(b, a), "relative_difference": N.relative_difference(a, b), "is_material": N.material(a, b), "is_implausible": N.implausible(a, b), "inside": inside,
-        "payer_label": F.when(many, F.array_join("networks", " + ")).otherwise(F.coalesce("payer_plan", F.lit(""))), "explanation": explanation,
-    })
+        "explanation": explanation,
+    }).select(*columns, "ratio", "relative_difference", "is_material", "is_implausible", "inside", "payer_label", "explanation")
 
 
 CONTRACT = ["facility", "carrier", "plan", "payer_label"]
@@ -258,9 +288,10 @@ def reclassify(rows: DataFrame, offsets: DataFrame, contract: list[str] = CONTRA
 def with_offsets(explained: DataFrame) -> DataFrame:
     """Outcomes with offsets applied: offsets come of all compared rows, whatever accounts for them, and account for those that nothing
     else does, material or not. explanation_before is the account without them; contract_offset is the contract's. The rows are read
-    twice, so they go to a working table first: else the whole comparison would run twice."""
-    explained = explained.sparkSession.read.parquet(lake.working_table(explained, "explained"))
-    offsets = systematic_offsets(explained.where("outcome = 'compared'"))
+    twice, so they go to a working table first: else the whole comparison would run twice. Offsets are a table too, so what is returned reads
+    two tables, however often it is read."""
+    explained = _table(explained, "explained")
+    offsets = _table(systematic_offsets(explained.where("outcome = 'compared'")), "offsets")
     out = reclassify(explained.withColumn("explanation_before", F.col("explanation")), offsets, keep="contract_offset")
     return out.withColumn("contract_offset", F.when(F.col("outcome") == "compared", F.col("contract_offset")))
 

@@ -9,9 +9,11 @@ from math import inf, isnan, nextafter
 
 import pyarrow as pa
 
-SPREAD = "_b1 long, _b2 long, _at long, n long, payer_min double, payer_median double, payer_max double, networks array<string>, near_plan string, near_day long, near_product string"
+from ratesmith.functions.text import WHITE_SPACE
+
+SPREAD = "_s1 long, _s2 long, _at long, n long, payer_min double, payer_median double, payer_max double, networks array<string>, near_plan string, near_day long, near_product string"
 _SCHEMA = pa.schema([
-    ("_b1", pa.int64()), ("_b2", pa.int64()), ("_at", pa.int64()), ("n", pa.int64()), ("payer_min", pa.float64()), ("payer_median", pa.float64()), ("payer_max", pa.float64()),
+    ("_s1", pa.int64()), ("_s2", pa.int64()), ("_at", pa.int64()), ("n", pa.int64()), ("payer_min", pa.float64()), ("payer_median", pa.float64()), ("payer_max", pa.float64()),
     ("networks", pa.list_(pa.string())), ("near_plan", pa.string()), ("near_day", pa.int64()), ("near_product", pa.string()),
 ])
 #: Entries of a block of the ordered window, before it is split.
@@ -103,17 +105,18 @@ def _nearest(window: _Window, median: float, low: tuple, high: tuple) -> tuple:
 
 def spreads(days: int, always: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows in the order of bucket, day and kind, rates before questions: a rate enters on its day and leaves once a question's day is
-    over 2 * days later, one that enters at `always` stays. A question gets the spread of the rates that are there."""
+    over 2 * days later, one that enters at `always` stays. A question gets the spread of the rates that are there, as others of its day do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, window, leaving, networks, named = None, _Window(), deque(), Counter(), None
+        bucket, day_of, window, leaving, networks, named, answer = None, None, _Window(), deque(), Counter(), None, None
         for batch in batches:
             out = []
-            for b1, b2, at, asks, rate, plan, network, day, product in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for b1, b2, at, asks, s1, s2, rate, plan, day, product in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != (b1, b2):
-                    bucket, window, leaving, networks, named = (b1, b2), _Window(), deque(), Counter(), None
+                    bucket, day_of, window, leaving, networks, named = (b1, b2), None, _Window(), deque(), Counter(), None
                 if not asks:
                     entry = (inf if isnan(rate) else rate, plan or "", -inf if day is None else day, plan is not None, product or "", product is not None, rate)
+                    network = plan if plan and plan.strip(WHITE_SPACE) else None
                     window.add(entry)
                     if at != always:
                         leaving.append((at, entry, network))
@@ -121,20 +124,23 @@ def spreads(days: int, always: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                         networks[network] += 1
                         named = named if networks[network] > 1 else None
                     continue
-                while leaving and leaving[0][0] < at - 2 * days:
-                    _, entry, network = leaving.popleft()
-                    window.remove(entry)
-                    if network is not None:
-                        networks[network] -= 1
-                        if not networks[network]:
-                            del networks[network]
-                            named = None
-                if not window.n:
-                    continue
-                named = sorted(networks) if named is None else named
-                median, low, high = _median(window)
-                near = _nearest(window, median, low, high)
-                out.append((b1, b2, at, window.n, window.at(0)[-1], median, window.at(window.n - 1)[-1], named, near[1] if near[3] else None, None if near[2] == -inf else near[2], near[4] if near[5] else None))
+                if at != day_of:
+                    day_of = at
+                    while leaving and leaving[0][0] < at - 2 * days:
+                        _, entry, network = leaving.popleft()
+                        window.remove(entry)
+                        if network is not None:
+                            networks[network] -= 1
+                            if not networks[network]:
+                                del networks[network]
+                                named = None
+                    if window.n:
+                        named = sorted(networks) if named is None else named
+                        median, low, high = _median(window)
+                        near = _nearest(window, median, low, high)
+                        answer = (window.n, window.at(0)[-1], median, window.at(window.n - 1)[-1], named, near[1] if near[3] else None, None if near[2] == -inf else near[2], near[4] if near[5] else None)
+                if window.n:
+                    out.append((s1, s2, at, *answer))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
 

@@ -57,7 +57,7 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.with_offsets(compare.explain(compare.distribution_join(left(spark, sf_dir), right(spark, sf_dir))))
 
 
-_written: dict[tuple, str] = {}
+_written: dict[tuple, DataFrame] = {}
 
 
 def _state(spark: SparkSession, sf_dir: str) -> tuple:
@@ -66,11 +66,11 @@ def _state(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 def explained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """outcomes(), from a working table that a session writes once for each state of the tables' files: all published tables read it."""
+    """outcomes(), from working tables that a session writes once for each state of the tables' files: all published tables read it."""
     key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
     if key not in _written:
-        _written[key] = lake.working_table(outcomes(spark, sf_dir), "outcomes")
-    return spark.read.parquet(_written[key])
+        _written[key] = outcomes(spark, sf_dir)
+    return _written[key]
 
 
 @lru_cache

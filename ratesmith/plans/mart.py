@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratesmith.operators import compare, gold
-from ratesmith.sources import lake, versions
+from ratesmith.sources import versions
 
 #: Tables that have no system of their own are published whole, under one value.
 WHOLE = "all"
@@ -15,11 +15,11 @@ WHOLE = "all"
 def run_mart(spark: SparkSession, left: DataFrame, right: DataFrame, path: str, **join) -> DataFrame:
     """Publish all tables of gold.TABLES under path/<table>, partitioned by hospital_slug (the system); (table, hospital_slug, rows).
 
-    The comparison runs once, into a working table that all tables are made from. Only the systems of `left` are replaced, and those
+    The comparison runs once, into working tables that all tables are made from. Only the systems of `left` are replaced, and those
     of them that have no rows of a table any more lose their partition there. A table is published by one commit (versions.py): a run
     that breaks off leaves each table as it was or as it should be, and readers never see a mixture.
     """
-    outcomes = spark.read.parquet(lake.working_table(compare.with_offsets(compare.explain(compare.distribution_join(left, right, **join))), "outcomes"))
+    outcomes = compare.with_offsets(compare.explain(compare.distribution_join(left, right, **join)))
     owned = {r["s"] for r in outcomes.select(F.col("system").cast("string").alias("s")).distinct().collect()}  # a row for each system
     entries = spark.createDataFrame([], "table string, hospital_slug string, rows long")
     for name, make in gold.TABLES.items():
