@@ -88,8 +88,8 @@ def pair_verdicts(left: DataFrame, right: DataFrame, by: list[str], days: int =
 
 def _fingerprint(columns: list[Column], names: list[str]) -> dict[str, Column]:
     """Two hashes that tell rows apart, nulls included."""
-    nulls = F.array(*(c.isNull() for c in columns))
-    return dict(zip(names, (F.xxhash64(*columns, nulls), F.xxhash64(F.lit(1), *columns, nulls)), strict=True))
+    nulls = [c.isNull() for c in columns]
+    return dict(zip(names, (F.xxhash64(*columns, *nulls), F.xxhash64(F.lit(1), *columns, *nulls)), strict=True))
 
 
 def _spelt() -> dict[str, Column]:
@@ -285,12 +285,12 @@ def reclassify(rows: DataFrame, offsets: DataFrame, contract: list[str] = CONTRA
     return out.withColumn("explanation", F.when((F.col("explanation") == "unexplained") & near, "systematic_offset").otherwise(F.col("explanation"))).select(*rows.columns, *([F.col("_offset").alias(keep)] if keep else []))
 
 
-def with_offsets(explained: DataFrame) -> DataFrame:
+def with_offsets(explained: DataFrame, written: bool = False) -> DataFrame:
     """Outcomes with offsets applied: offsets come of all compared rows, whatever accounts for them, and account for those that nothing
     else does, material or not. explanation_before is the account without them; contract_offset is the contract's. The rows are read
-    twice, so they go to a working table first: else the whole comparison would run twice. Offsets are a table too, so what is returned reads
+    twice, so unless they come of tables already (written, as those of explain do) they go to a working table first: else the whole comparison would run twice. Offsets are a table too, so what is returned reads
     two tables, however often it is read."""
-    explained = _table(explained, "explained")
+    explained = explained if written else _table(explained, "explained")
     offsets = _table(systematic_offsets(explained.where("outcome = 'compared'")), "offsets")
     out = reclassify(explained.withColumn("explanation_before", F.col("explanation")), offsets, keep="contract_offset")
     return out.withColumn("contract_offset", F.when(F.col("outcome") == "compared", F.col("contract_offset")))

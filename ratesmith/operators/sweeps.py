@@ -5,7 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections import Counter, deque
 from collections.abc import Callable, Iterator
-from math import inf, isnan, nextafter
+from math import inf, nextafter
 
 import pyarrow as pa
 
@@ -77,8 +77,9 @@ class _Window:
 
 def _median(window: _Window) -> tuple[float, tuple, tuple]:
     """The median and the entries on both sides of it."""
-    low = window.at((window.n - 1) // 2)
-    high = low if window.n % 2 else window.at(window.n // 2)
+    at = window.at if len(window.blocks) > 1 else window.blocks[0].__getitem__
+    low = at((window.n - 1) // 2)
+    high = low if window.n % 2 else at(window.n // 2)
     return (low[-1] if low[0] == high[0] else 0.5 * low[-1] + 0.5 * high[-1]), low, high
 
 
@@ -87,8 +88,14 @@ def _nearest(window: _Window, median: float, low: tuple, high: tuple) -> tuple:
 
     def far(x: tuple) -> float:
         d = abs(x[-1] - median)
-        return inf if isnan(d) else d
-
+        return inf if d != d else d
+
+    if len(window.blocks) == 1:
+        block = window.blocks[0]
+        i, over = bisect_left(block, (low[0],)), bisect_left(block, (nextafter(high[0], inf),)) if high[0] < inf else len(block)
+        least = far(low) if high[0] == low[0] else min(far(low), far(high))
+        if (i == 0 or far(block[i - 1]) > least) and (over == len(block) or far(block[over]) > least):  # no other rate is as near
+            return block[i] if high[0] == low[0] else min((block[i], high), key=lambda x: (far(x), x[1], x[0], x[2:]))
     found = [window.first((low[0],))]
     if high[0] != low[0]:
         found.append(window.first((high[0],)))
@@ -108,14 +115,14 @@ def spreads(days: int, always: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     over 2 * days later, one that enters at `always` stays. A question gets the spread of the rates that are there, as others of its day do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, day_of, window, leaving, networks, named, answer = None, None, _Window(), deque(), Counter(), None, None
+        last1, last2, day_of, window, leaving, networks, named, answer = None, None, None, _Window(), deque(), Counter(), None, None
         for batch in batches:
             out = []
             for b1, b2, at, asks, s1, s2, rate, plan, day, product in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if bucket != (b1, b2):
-                    bucket, day_of, window, leaving, networks, named = (b1, b2), None, _Window(), deque(), Counter(), None
+                if b1 != last1 or b2 != last2:
+                    last1, last2, day_of, window, leaving, networks, named = b1, b2, None, _Window(), deque(), Counter(), None
                 if not asks:
-                    entry = (inf if isnan(rate) else rate, plan or "", -inf if day is None else day, plan is not None, product or "", product is not None, rate)
+                    entry = (rate if rate == rate else inf, plan or "", -inf if day is None else day, plan is not None, product or "", product is not None, rate)
                     network = plan if plan and plan.strip(WHITE_SPACE) else None
                     window.add(entry)
                     if at != always:

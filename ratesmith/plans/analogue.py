@@ -54,7 +54,7 @@ def right(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes of every left rate with the accounts of the compared ones, contracts' offsets applied."""
-    return compare.with_offsets(compare.explain(compare.distribution_join(left(spark, sf_dir), right(spark, sf_dir))))
+    return compare.with_offsets(compare.explain(compare.distribution_join(left(spark, sf_dir), right(spark, sf_dir))), written=True)
 
 
 _written: dict[tuple, DataFrame] = {}

@@ -19,7 +19,7 @@ def run_mart(spark: SparkSession, left: DataFrame, right: DataFrame, path: str,
     of them that have no rows of a table any more lose their partition there. A table is published by one commit (versions.py): a run
     that breaks off leaves each table as it was or as it should be, and readers never see a mixture.
     """
-    outcomes = compare.with_offsets(compare.explain(compare.distribution_join(left, right, **join)))
+    outcomes = compare.with_offsets(compare.explain(compare.distribution_join(left, right, **join)), written=True)
     owned = {r["s"] for r in outcomes.select(F.col("system").cast("string").alias("s")).distinct().collect()}  # a row for each system
     entries = spark.createDataFrame([], "table string, hospital_slug string, rows long")
     for name, make in gold.TABLES.items():
