@@ -10,7 +10,7 @@ from test_compare import rows
 
 
 def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df._jdf.queryExecution().executedPlan().toString().lower()
 
 
 def test_texts_are_folded_for_spellings_only(spark, monkeypatch):
@@ -46,5 +46,5 @@ def test_plans_and_networks_are_judged_once(spark):
 def test_distinct_medians_shuffle_once(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("a", 4.0), ("a", None), ("b", None), (None, 3.0), (None, 1.0), (None, 1.0), ("n", float("nan")), ("n", 2.0), ("n", 3.0)], "k string, rate double")
     medians = aggregate.distinct_then_median(df, ["k", "rate"], ["k"])
-    assert _plan(medians).count("Exchange") == 1
+    assert _plan(medians).count("exchange") == 1
     assert {(r.k, r.rate, r.n) for r in medians.collect()} == {("a", 2.5, 2), ("b", None, 0), (None, 2.0, 2), ("n", 3.0, 3)}
