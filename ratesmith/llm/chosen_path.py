@@ -37,6 +37,8 @@ AGREE = 33
 GROUP_ROWS, CLUSTER_ROWS = 8192, 256
 #: Sets of a cluster over which its pairs are compared by bits, and the flags of one slice of shingles.
 MANY, FLAGS = 32, 1 << 25
+#: Nodes in which sets of a block may have met before, those that most of them share: a pair that met elsewhere is compared again.
+BEFORE = 512
 #: Passes over the blocks of nodes that have no coordinates left, before such a node counts as done.
 LAST_PASSES = 3
 
@@ -135,28 +137,50 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _met(block: np.ndarray, earlier: pa.ListArray) -> np.ndarray:
+    """Bits for the nodes in which each row's set was compared before: two rows of one block (numbered) with a bit in common have met."""
+    row = np.repeat(np.arange(len(block)), earlier.value_lengths().to_numpy(zero_copy_only=False))
+    node = earlier.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+    order = np.lexsort((node, block[row]))
+    row, node = row[order], node[order]
+    new = np.r_[True, (node[1:] != node[:-1]) | (block[row[1:]] != block[row[:-1]])] if len(row) else np.zeros(0, bool)
+    run = np.cumsum(new) - 1
+    count, of = np.bincount(run), block[row[new]]
+    place = np.empty(len(of), np.int64)
+    often = np.lexsort((-count, of))
+    place[often] = np.arange(len(of)) - np.searchsorted(of, of)  # in its block, the node that most rows share first; of is sorted
+    keep = (count[run] > 1) & (place[run] < BEFORE)
+    flags = np.zeros((len(block), -(-int(place[run[keep]].max(initial=0) + 1) // 64) * 64), bool)
+    flags[row[keep], place[run[keep]]] = True
+    return np.packbits(flags, axis=1).view(np.uint64)
+
+
 def _near(percent: int):
     """Of some blocks: the clusters of sets between which links are possible, one row for each member. A cluster's name is made of
-    its members, so that it is the same wherever they meet. Sets that are in all blocks meet each other where one is at home."""
+    its members, so that it is the same wherever they meet. Sets that are in all blocks meet each other where one is at home. Two sets
+    that an earlier node, one of `earlier` of both, has compared don't meet again."""
 
     def run(_: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         give_back()
         t = t.sort_by([("node", "ascending"), ("block", "ascending"), ("rid", "ascending")])
-        node, block, tree, rid, label, n = (t.column(c).to_numpy() for c in ("node", "block", "tree", "rid", "label", "n"))
+        node, block, rid, label, n = (t.column(c).to_numpy() for c in ("node", "block", "rid", "label", "n"))
         home = np.array(t.column("home").to_pylist(), bool)
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), "<u4").reshape(-1, COORDINATES)
-        start = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (block[1:] != block[:-1])])
+        new = np.r_[True, (node[1:] != node[:-1]) | (block[1:] != block[:-1])]
+        start, met = np.flatnonzero(new), _met(np.cumsum(new), t.column("earlier").combine_chunks())
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i, j in _pairs(start, np.diff(np.r_[start, len(node)])):
             other = (label[i] != label[j]) & (home[i] | home[j])
-            i, j, _agree = _may_link(i[other], j[other], n, sig, percent)
+            i, j = i[other], j[other]
+            first = ~np.logical_or.reduce([(x[i] & x[j]) != 0 for x in met.T])
+            i, j, _agree = _may_link(i[first], j[first], n, sig, percent)
             a.append(i)
             b.append(j)
         a, b = np.concatenate(a), np.concatenate(b)
         root, member = _roots(len(node), a, b), np.unique(np.r_[a, b])
         name = np.zeros(len(node), np.uint64)
         np.add.at(name, root[member], mix(rid[member].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
-        return pa.table({"cluster": pa.array(mix(name[root[member]]).view(np.int64)), "tree": pa.array(tree[member], pa.int32()), "rid": pa.array(rid[member], pa.int64()), "home": pa.array(home[member])})
+        return pa.table({"cluster": pa.array(mix(name[root[member]]).view(np.int64)), "rid": pa.array(rid[member], pa.int64()), "home": pa.array(home[member])})
 
     return run
 
@@ -270,17 +294,24 @@ class _Join:
         return out
 
     def clusters(self, rows: DataFrame, salt: int) -> DataFrame:
-        """Clusters (cluster, tree, rid) of the blocks of nodes; a cluster that meets in several nodes counts once, in the first tree."""
+        """Clusters (cluster, rid, home) of the blocks of nodes; a cluster that meets in several nodes counts once.
+
+        A node is whole if all its sets of different labels meet: two sets are compared in the first whole node that both are in, and
+        a large group, which is in as many nodes, doesn't meet in each. A signature is fetched once for each set, not for each node."""
         blocks = F.when(F.col("minor") > MINOR, F.ceil(F.col("size") / LEAF)).otherwise(F.greatest(F.lit(1), F.ceil((F.col("size") - F.col("minor")) / LEAF)))
         blocks = F.when(F.col("size") > LEAF, blocks).otherwise(F.lit(1)).cast("long")
         one = F.array(F.pmod(F.xxhash64("rid", F.lit(salt)), F.col("blocks")))
         everywhere = (F.col("minor") <= MINOR) & (F.col("label") != F.col("top"))
-        dealt = rows.withColumn("blocks", blocks).withColumn("own", one[0]).withColumn("block", F.explode(F.when(everywhere, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(one)))
+        nodes = F.array_sort(F.collect_list(F.struct("tree", "node", "size", "top", "minor"))).alias("nodes")
+        each = rows.groupBy("rid").agg(F.first("label").alias("label"), nodes).join(self.sets.select("rid", "n", "sig"), "rid")
+        whole = F.filter(F.slice("nodes", 1, F.col("at")), lambda x: (x["size"] <= LEAF) | (x["minor"] <= MINOR))
+        placed = each.select("*", F.posexplode("nodes").alias("at", "here")).select("rid", "label", "n", "sig", "here.*", F.transform(whole, lambda x: x["node"]).alias("earlier"))
+        dealt = placed.withColumn("blocks", blocks).withColumn("own", one[0]).withColumn("block", F.explode(F.when(everywhere, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(one)))
         groups = max(1, rows.count() // GROUP_ROWS)
-        full = dealt.join(self.sets.select("rid", "n", "sig"), "rid").withColumn("group", F.pmod(F.xxhash64("node", "block"), F.lit(groups)))
-        full = full.select("group", "node", "block", "tree", "rid", "label", "n", "sig", (F.col("block") == F.col("own")).alias("home"))
-        near = full.groupBy("group").applyInArrow(_near(self.percent), "cluster long, tree int, rid long, home boolean")
-        return saved(near.groupBy("cluster", "rid").agg(F.min("tree").alias("tree"), F.max("home").alias("home")), "paths_clusters")
+        full = dealt.withColumn("group", F.pmod(F.xxhash64("node", "block"), F.lit(groups)))
+        full = full.select("group", "node", "block", "rid", "label", "n", "sig", "earlier", (F.col("block") == F.col("own")).alias("home"))
+        near = full.groupBy("group").applyInArrow(_near(self.percent), "cluster long, rid long, home boolean")
+        return saved(near.groupBy("cluster", "rid").agg(F.max("home").alias("home")), "paths_clusters")
 
     def link(self, clusters: DataFrame, texts: DataFrame) -> bool:
         """Compare the sets of clusters that have more than one label, and give what is linked one label. False if nothing was."""
@@ -288,7 +319,8 @@ class _Join:
         open_ = rows.groupBy("cluster").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("cluster")
         rows = saved(rows.join(open_, "cluster"), "paths_compared")
         group = F.pmod(F.xxhash64("cluster"), F.lit(max(1, rows.count() // CLUSTER_ROWS))).alias("group")
-        both = rows.join(texts, "rid").select(group, "cluster", "rid", "label", "home", "text")
+        once = rows.groupBy("rid").agg(F.first("label").alias("label"), F.collect_list(F.struct("cluster", "home")).alias("clusters"))
+        both = once.join(texts, "rid").select("rid", "label", "text", F.inline("clusters")).select(group, "cluster", "rid", "label", "home", "text")
         links = saved(both.groupBy("group").applyInArrow(_confirmed(self.k, self.percent, self.key), "a long, b long").distinct(), "paths_links")
         forget(rows)
         if linked := not links.isEmpty():
@@ -316,13 +348,13 @@ class _Join:
         forget(rows)
         # whatever is compared further down is in a large node now
         texts = self.texts_of(clusters.select("rid").unionByName(open_.select("rid")))
-        self.link(clusters.where("tree = 0"), texts)
         self.link(clusters, texts)
         forget(clusters)
         level, idle = 1, 0
         while idle < LAST_PASSES and not open_.isEmpty():
             deeper = level < COORDINATES // 2
-            children = open_.join(self.sets.select("rid", "sig"), "rid").select("node", "tree", "rid", "sig").mapInArrow(_branches(TREES, self.key), "node long, tree int, rid long") if deeper else open_
+            once = open_.groupBy("rid").agg(F.collect_list(F.struct("node", "tree")).alias("nodes")).join(self.sets.select("rid", "sig"), "rid")
+            children = once.select("rid", "sig", F.inline("nodes")).mapInArrow(_branches(TREES, self.key), "node long, tree int, rid long") if deeper else open_
             rows = self.opened(children)
             clusters = self.clusters(rows, level)
             linked = self.link(clusters, texts)

@@ -11,13 +11,13 @@ from .common import forget, saved
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """Hang each node's larger (or its smaller) neighbours on its least one."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = (both if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct()
+    near = both if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     least = near.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
     rows = near.join(least, "a")
     out = rows.where("b > a" if large else "b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    if not large:
-        out = out.unionByName(least.select("a", F.col("m").alias("b")))
-    return out.where("a <> b").distinct()
+    if large:  # small stars come next, which tell repeated edges apart
+        return out.where("a <> b")
+    return out.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -25,7 +25,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Large and small stars in turn until every node hangs on its component's least; each round's edges are a working table.
     """
-    now, before = saved(edges.where("a <> b").select("a", "b").distinct(), name), None
+    now, before = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name), None
     while True:
         seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if seen["n"] == 0 or seen == before:

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from ratesmith.llm import chosen_path
 from ratesmith.llm.shingles import new_key
@@ -134,3 +135,37 @@ def test_large_cluster_without_links_is_compared_by_bits(monkeypatch):
         assert 100 < len(want) < len(texts) ** 2 / 4
         label = lambda pairs: chosen_path._roots(len(texts), *(np.array(x, np.int64) for x in zip(*pairs, strict=True))).tolist()
         assert label(zip(got["a"].to_pylist(), got["b"].to_pylist(), strict=True)) == label(want)
+
+
+def test_sets_that_have_met_in_a_node_do_not_meet_in_the_next():
+    """A large group is in as many nodes as there are trees and branches; all its pairs were compared in each."""
+    rng = np.random.default_rng(5)
+    family = rng.integers(1, 1 << 32, (2, chosen_path.COORDINATES), dtype=np.uint64).astype("<u4")
+    rows = [(node, rid, family[int(rid >= 20)]) for node, many in ((7, 40), (8, 41)) for rid in range(many)]  # set 40 is only in node 8
+    node, rid, sig = zip(*rows, strict=True)
+    whole = [[7] if n == 8 and r < 40 else [] for n, r in zip(node, rid, strict=True)]
+    columns = {"group": 0, "block": 0, "n": 50, "home": True}
+    t = pa.table({"node": pa.array(node, pa.int64()), "rid": pa.array(rid, pa.int64()), "label": pa.array(rid, pa.int64()), "sig": [s.tobytes() for s in sig], "earlier": pa.array(whole, pa.list_(pa.int64())), **{k: [v] * len(rows) for k, v in columns.items()}})
+    got = chosen_path._near(80)((), t).to_pylist()
+    assert sorted(r["rid"] for r in got) == sorted([*range(40), *range(20, 41)])
+    assert len({r["cluster"] for r in got}) == 3
+
+
+def test_each_set_is_fetched_once_for_all_its_nodes(spark, monkeypatch):
+    """A join of memberships with signatures or texts made a row for each node, block and cluster that a set is in."""
+    for name, value in (("LEAF", 12), ("MINOR", 45), ("GROUP_ROWS", 50), ("CLUSTER_ROWS", 20)):
+        monkeypatch.setattr(chosen_path, name, value)
+    plain_join, made = DataFrame.join, []
+
+    def join(self, other, on=None, how=None):
+        out = plain_join(self, other, on, how)
+        if on == "rid" and how is None:
+            made.append((out.count(), out.select("rid").distinct().count()))
+        return out
+
+    monkeypatch.setattr(DataFrame, "join", join)
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(120)]
+    rows = list(enumerate(corpus(rng, 20) + [" ".join(changed(rng, base, rng.randint(1, 8))) for _ in range(90)]))
+    assert run(spark, rows) == plain(rows)
+    assert len(made) > 3 and all(n == sets for n, sets in made)
